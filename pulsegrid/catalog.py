@@ -22,7 +22,7 @@ from .plans.publish import messages_of, publish
 from .plans.scoring import score_enriched
 from .schemas import (ENCODED_LABEL, FLOAT_COLUMNS, HIGH_RISK, LABEL, LOW_RISK, MESSAGE_COLUMNS, TRAINING_SCHEMA,
                       VITALS)
-from .session import new_dir, use_utc
+from .session import new_dir, stored, use_utc
 from .sources import standins as S
 from .sources.files import read_training, write_training
 from .sources.models import load_model, save_model
@@ -80,10 +80,15 @@ def topic(spark, sf_dir):
     return read_topic(spark, "parquet", path=path)
 
 
-def vital_model(spark, rows):
+def vital_model(rows):
     return T.fit_risk_model(S.training_rows(rows))
 
 
+def scored_table(spark, sf_dir):
+    """Enriched samples with event time as a stored table, which is what a dashboard reads."""
+    return stored(timed(spark, sf_dir), "documents")
+
+
 def at_slot(rows, *columns):
     """Slot number to its start time, without zone so that it compares as written."""
     start = slot_start(F.col("slot"), S.STEP_SECONDS).cast("timestamp_ntz")
@@ -128,7 +133,7 @@ def case_means(spark, sf_dir):
 def mean_impute(spark, sf_dir):
     """Gaps in numeric columns filled with the case's mean."""
     rows, kept = P.trimmed_samples(readings(spark, sf_dir), S.STEP_SECONDS)
-    columns = numeric_columns(rows, leave_out=["slot", "first_slot"])
+    columns = numeric_columns(rows, leave_out=["slot", "first_slot", "block"])
     case_values = kept.join(I.case_means(rows, columns), "caseid")
     return at_slot(I.fill_with_means(G.attach_case_values(rows, case_values), columns), *VITALS)
 
@@ -300,7 +305,8 @@ def topk_preview(spark, sf_dir):
 @query
 def ml_score_batch(spark, sf_dir):
     """Fit on the training rows, save, load, score the held-out rows."""
-    training, test = L.hash_split(T.complete_rows(documents(spark, sf_dir), S.TEXT_FEATURES), ["doc_id"])
+    rows = stored(T.complete_rows(documents(spark, sf_dir), S.TEXT_FEATURES), "training")
+    training, test = L.hash_split(rows, ["doc_id"])
     path = new_dir(spark, "model")
     save_model(T.fit_risk_model(training, S.TEXT_FEATURES), path)
     model = load_model(path)
@@ -355,13 +361,13 @@ def zoneless(rows, *columns):
 @query
 def gauge_recent_mean(spark, sf_dir):
     """Mean of each vital over each case's last two days."""
-    return zoneless(V.recent_means(timed(spark, sf_dir), 2 * 86400), "latest")
+    return zoneless(V.recent_means(scored_table(spark, sf_dir), 2 * 86400), "latest")
 
 
 @query
 def gauge_bands(spark, sf_dir):
     """The same with its colour."""
-    return zoneless(V.with_bands(V.recent_means(timed(spark, sf_dir), 2 * 86400)), "latest")
+    return zoneless(V.with_bands(V.recent_means(scored_table(spark, sf_dir), 2 * 86400)), "latest")
 
 
 @query
@@ -390,7 +396,7 @@ def stream_decode_enrich(spark, sf_dir):
 @query
 def stream_score_append(spark, sf_dir):
     """A topic scored as a stream and appended to a table."""
-    model = vital_model(spark, enriched(spark, sf_dir))
+    model = vital_model(stored(enriched(spark, sf_dir), "training"))
     path = new_dir(spark, "scored")
     finish(scoring.start_scoring(topic(spark, sf_dir), model, "parquet", new_dir(spark, "progress"), path=path,
                                  trigger=TRIGGER))
@@ -446,5 +452,5 @@ def stream_clinical_join(spark, sf_dir):
 @query
 def flagship(spark, sf_dir):
     """Prepare, enrich, train, score, and the risk share of each case."""
-    rows = enriched(spark, sf_dir)
-    return V.risk_share(score_enriched(rows, vital_model(spark, rows)))
+    rows = stored(enriched(spark, sf_dir), "enriched")
+    return V.risk_share(score_enriched(rows, vital_model(rows)))

@@ -23,11 +23,20 @@ def block_of(slot):
     return F.floor(slot / BLOCK_SLOTS)
 
 
+def _placed(readings, step_seconds):
+    """Non-empty readings of known cases with their slot.
+
+    The NULL tests are those that a join on (caseid, block) brings along. With them here, a plan that uses the
+    samples twice, for the means and for the rows, has equal branches and shuffles the readings once.
+    """
+    rows = readings.select("caseid", slot_of(F.col("t"), step_seconds).alias("slot"), "track", "seq", "value")
+    return rows.where(F.col("value").isNotNull() & F.col("caseid").isNotNull() & F.col("slot").isNotNull())
+
+
 def case_extent(readings, step_seconds):
     """(caseid, first_slot, last_slot): one row per case, combined on the map side."""
-    slot = slot_of(F.col("t"), step_seconds)
     return (
-        readings.where(F.col("value").isNotNull()).select("caseid", slot.alias("slot"))
+        _placed(readings, step_seconds).select("caseid", "slot")
         .groupBy("caseid").agg(F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
     )
 
@@ -76,15 +85,15 @@ def resample(readings, step_seconds, grid=None):
     appear, empty ones as NULL: readings and grid rows are united and meet in the same aggregation, so
     resampling, trimming and gap filling take one shuffle. ``seq`` orders the readings of a case and track.
     """
-    rows = readings.where(F.col("value").isNotNull()).select(
-        "caseid", slot_of(F.col("t"), step_seconds).alias("slot"), "track", "seq", "value")
+    rows = _placed(readings, step_seconds)
     vitals = [_last_reading(track, name) for track, name in TRACK_COLUMNS.items()]
     if grid is None:
         any_track = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in TRACK_COLUMNS.values()])
         return rows.groupBy("caseid", "slot").agg(*vitals).where(any_track)
-    rows = rows.unionByName(grid, allowMissingColumns=True)
+    rows = rows.unionByName(grid, allowMissingColumns=True).withColumn("block", block_of(F.col("slot")))
+    rows = rows.where(F.col("block").isNotNull())
     on_grid = F.max("first_slot").alias("first_slot")
-    return (rows.groupBy("caseid", "slot").agg(*vitals, on_grid)
+    return (rows.groupBy("caseid", "block", "slot").agg(*vitals, on_grid)
             .where(F.col("first_slot").isNotNull()))
 
 
@@ -95,5 +104,4 @@ def attach_case_values(samples, case_values):
     Catalyst broadcasts the per-case side only where its measured size is below the session's limit.
     """
     values = by_block(case_values).drop("first_slot", "last_slot")
-    return (samples.withColumn("block", block_of(F.col("slot")))
-            .join(values, ["caseid", "block"]).drop("block"))
+    return samples.join(values, ["caseid", "block"]).drop("block")

@@ -3,10 +3,12 @@
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
 
 from ..operators.labels import hash_split, label_indexer, with_label
 from ..operators.metrics import confusion_matrix, quality
 from ..schemas import ENCODED_LABEL, FEATURES, LABEL
+from ..session import stored
 
 
 def assembler(features=FEATURES):
@@ -17,7 +19,7 @@ def fit_risk_model(rows, features=FEATURES, label=LABEL, trees=100, seed=1234):
     """Label index, feature vector and a forest of ``trees`` trees, with a fixed seed.
 
     Rows without a label or with a missing input are left out: the one would become a class of its own, the
-    other would stop the fit.
+    other would stop the fit. The fit passes over its rows several times, so give it a table, not a long plan.
     """
     forest = RandomForestClassifier(featuresCol="features", labelCol=ENCODED_LABEL, numTrees=trees, seed=seed)
     pipeline = Pipeline(stages=[label_indexer(label, ENCODED_LABEL), assembler(features), forest])
@@ -28,14 +30,24 @@ def complete_rows(rows, features=FEATURES, label=LABEL):
     return with_label(rows, label).dropna(subset=list(features))
 
 
+def left_out(rows, features=FEATURES, label=LABEL):
+    """(n_rows, n_unlabelled, n_incomplete): how many rows the fit does not see, and why."""
+    incomplete = F.lit(False)
+    for c in features:
+        incomplete = incomplete | F.col(c).isNull()
+    return rows.agg(F.count("*").alias("n_rows"), F.count_if(F.col(label).isNull()).alias("n_unlabelled"),
+                    F.count_if(F.col(label).isNotNull() & incomplete).alias("n_incomplete"))
+
+
 def labels_of(model):
     """Label texts by class index."""
     return list(model.stages[0].labels)
 
 
 def train_and_test(rows, keys, features=FEATURES, label=LABEL, trees=100, seed=1234):
-    """(model, predictions on the held-out rows)."""
-    training, test = hash_split(complete_rows(rows, features, label), keys, seed=seed)
+    """(model, predictions on the held-out rows); the rows are computed once and stored for all passes."""
+    rows = stored(complete_rows(rows, features, label), "training")
+    training, test = hash_split(rows, keys, seed=seed)
     model = fit_risk_model(training, features, label, trees, seed)
     known = test.where(test[label].isin(labels_of(model)))
     return model, model.transform(known)

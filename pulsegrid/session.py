@@ -1,6 +1,8 @@
 """Session set-up and the shared folder for checkpoints and intermediate tables."""
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -40,6 +42,7 @@ def shared_dir(spark):
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="pulsegrid-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", made)
     return made
 
@@ -47,3 +50,13 @@ def shared_dir(spark):
 def new_dir(spark, name):
     """A fresh folder name below the shared folder; nothing is created yet."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df, name):
+    """``df`` written once to the shared folder and read back.
+
+    For rows that several jobs pass over: lineage ends here, and a lost executor costs a read, not a rerun.
+    """
+    path = new_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
