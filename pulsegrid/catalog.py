@@ -305,7 +305,7 @@ def topk_preview(spark, sf_dir):
 @query
 def ml_score_batch(spark, sf_dir):
     """Fit on the training rows, save, load, score the held-out rows."""
-    rows = stored(T.complete_rows(documents(spark, sf_dir), S.TEXT_FEATURES), "training")
+    rows = stored(T.spread(T.complete_rows(documents(spark, sf_dir), S.TEXT_FEATURES)), "training")
     training, test = L.hash_split(rows, ["doc_id"])
     path = new_dir(spark, "model")
     save_model(T.fit_risk_model(training, S.TEXT_FEATURES), path)
@@ -396,7 +396,7 @@ def stream_decode_enrich(spark, sf_dir):
 @query
 def stream_score_append(spark, sf_dir):
     """A topic scored as a stream and appended to a table."""
-    model = vital_model(stored(enriched(spark, sf_dir), "training"))
+    model = vital_model(stored(T.spread(enriched(spark, sf_dir)), "training"))
     path = new_dir(spark, "scored")
     finish(scoring.start_scoring(topic(spark, sf_dir), model, "parquet", new_dir(spark, "progress"), path=path,
                                  trigger=TRIGGER))
@@ -452,5 +452,5 @@ def stream_clinical_join(spark, sf_dir):
 @query
 def flagship(spark, sf_dir):
     """Prepare, enrich, train, score, and the risk share of each case."""
-    rows = stored(enriched(spark, sf_dir), "enriched")
+    rows = stored(T.spread(enriched(spark, sf_dir)), "enriched")
     return V.risk_share(score_enriched(rows, vital_model(rows)))

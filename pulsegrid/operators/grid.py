@@ -30,7 +30,8 @@ def _placed(readings, step_seconds):
     samples twice, for the means and for the rows, has equal branches and shuffles the readings once.
     """
     rows = readings.select("caseid", slot_of(F.col("t"), step_seconds).alias("slot"), "track", "seq", "value")
-    return rows.where(F.col("value").isNotNull() & F.col("caseid").isNotNull() & F.col("slot").isNotNull())
+    filled = F.col("value").isNotNull() & ~F.isnan("value")
+    return rows.where(filled & F.col("caseid").isNotNull() & F.col("slot").isNotNull())
 
 
 def case_extent(readings, step_seconds):

@@ -30,6 +30,16 @@ def complete_rows(rows, features=FEATURES, label=LABEL):
     return with_label(rows, label).dropna(subset=list(features))
 
 
+def spread(rows):
+    """Rows dealt evenly over all tasks, in a fixed order.
+
+    A training table is small in bytes next to the work a forest puts into it, so file sizes would give too
+    few tasks. The order inside a task decides the bootstrap samples; sorting makes a rerun repeat them.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks).sortWithinPartitions(*rows.columns)
+
+
 def left_out(rows, features=FEATURES, label=LABEL):
     """(n_rows, n_unlabelled, n_incomplete): how many rows the fit does not see, and why."""
     incomplete = F.lit(False)
@@ -46,7 +56,7 @@ def labels_of(model):
 
 def train_and_test(rows, keys, features=FEATURES, label=LABEL, trees=100, seed=1234):
     """(model, predictions on the held-out rows); the rows are computed once and stored for all passes."""
-    rows = stored(complete_rows(rows, features, label), "training")
+    rows = stored(spread(complete_rows(rows, features, label)), "training")
     training, test = hash_split(rows, keys, seed=seed)
     model = fit_risk_model(training, features, label, trees, seed)
     known = test.where(test[label].isin(labels_of(model)))

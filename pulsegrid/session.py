@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_local_dirs = {}
+
 
 def local_session(app_name="pulsegrid", cores=None, driver_memory="8g", **conf):
     """A local session for tests and the benchmark; a cluster job brings its own session."""
@@ -41,10 +43,11 @@ def shared_dir(spark):
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="pulsegrid-")
-    atexit.register(shutil.rmtree, made, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="pulsegrid-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
+    return _local_dirs[app]
 
 
 def new_dir(spark, name):
