@@ -3,15 +3,18 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import as_int
 from ..schemas import CLINICAL_COLUMNS
 
 
 def select_cases(clinical, case_ids=None):
-    """The five kept columns; rows whose case id is no number are left out, as are cases not asked for."""
-    number = as_int("caseid")
+    """The five kept columns, for all cases or those asked for.
+
+    Case ids are compared as numbers: "01" is case 1, and a row whose id is no number belongs to no case.
+    """
+    number = F.col("caseid").try_cast("bigint")
     wanted = number.isin([int(i) for i in case_ids]) if case_ids else number.isNotNull()
-    return clinical.where(wanted).select(*CLINICAL_COLUMNS)
+    return (clinical.where(wanted).select(*CLINICAL_COLUMNS)
+            .withColumn("caseid", number.cast("string")))
 
 
 def first_per_case(clinical, order=("age", "sex", "height", "weight")):

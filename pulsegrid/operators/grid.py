@@ -75,8 +75,7 @@ def grid_rows(extent):
 
 
 def _last_reading(track, name):
-    here = F.col("track") == track
-    return F.max_by(F.when(here, F.col("value")), F.when(here, F.col("seq"))).alias(name)
+    return F.expr(f"max_by(value, seq) FILTER (WHERE track = '{track}')").alias(name)
 
 
 def resample(readings, step_seconds, grid=None):
@@ -84,7 +83,8 @@ def resample(readings, step_seconds, grid=None):
 
     Without ``grid`` only slots with a reading appear. With ``grid`` (see ``grid_rows``) exactly the grid's slots
     appear, empty ones as NULL: readings and grid rows are united and meet in the same aggregation, so
-    resampling, trimming and gap filling take one shuffle. ``seq`` orders the readings of a case and track.
+    resampling, trimming and gap filling take one shuffle. ``seq`` orders the readings of a case and track; it is a
+    plain number, so that the aggregation stays a hash aggregation, and should not repeat with differing values.
     """
     rows = _placed(readings, step_seconds)
     vitals = [_last_reading(track, name) for track, name in TRACK_COLUMNS.items()]

@@ -43,6 +43,8 @@ def prepare(readings, clinical, base, step_seconds=SAMPLE_SECONDS, case_ids=None
     Means and clinical attributes are joined to each other first, one row per case, so that the samples are
     joined once.
     """
+    if case_ids:
+        readings = readings.where(F.col("caseid").isin([str(i) for i in case_ids]))
     samples, kept = trimmed_samples(readings, step_seconds)
     attributes = first_per_case(select_cases(clinical, case_ids))
     case_values = kept.join(case_means(samples, VITALS), "caseid").join(attributes, "caseid")

@@ -38,7 +38,11 @@ def known_tracks(readings, tracks=tuple(TRACK_COLUMNS)):
     return readings.where(F.col("track").isin(list(tracks)) & F.col("value").isNotNull())
 
 
-def read_readings(spark, path, fmt="parquet"):
-    """Long table of monitor readings, NaN as NULL."""
-    rows = known_tracks(spark.read.schema(READING_SCHEMA).format(fmt).load(path))
-    return rows.withColumn("value", blank_nan(F.col("value")))
+def read_readings(spark, path, fmt="parquet", schema=None):
+    """Long table of monitor readings, NaN as NULL. Without a ``seq`` column the time orders the readings."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    rows = known_tracks(reader.format(fmt).load(path))
+    if "seq" not in rows.columns:
+        rows = rows.withColumn("seq", F.unix_micros("t"))
+    rows = rows.withColumn("value", blank_nan(F.col("value")))
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in READING_SCHEMA.fields])

@@ -5,6 +5,15 @@ import time
 from pyspark.sql import functions as F
 
 
+def document_id(rows):
+    """A name for each document, so that a store with keys replaces a repeated one; see ``UPSERT``."""
+    return rows.withColumn("document_id", F.concat_ws("|", "caseid", "timestamp"))
+
+
+# Search-index options that go with ``document_id``.
+UPSERT = {"es.write.operation": "upsert", "es.mapping.id": "document_id", "es.mapping.exclude": "document_id"}
+
+
 def start_append(rows, fmt, checkpoint, options=None, path=None, trigger=None):
     """Append query with a checkpoint of its own; ``fmt`` names a file format or a search-index connector."""
     writer = (rows.writeStream.outputMode("append").format(fmt).options(**(options or {}))

@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 
 import pytest
@@ -35,14 +36,17 @@ def test_training_csv_goes_by_header_name(spark, tmp_path):
 
 
 def test_readings_keep_known_tracks_and_no_nan(spark, tmp_path):
-    import datetime as dt
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
     at = dt.datetime(2024, 1, 1)
     rows = [("1", "Solar8000/HR", at, 1, 60.0), ("1", "Solar8000/HR", at, 2, math.nan), ("1", "Other/X", at, 3, 1.0),
             ("1", "Solar8000/BT", at, 4, None)]
     spark.createDataFrame(rows, READING_SCHEMA).write.parquet(str(tmp_path / "r"))
     table = read_readings(spark, str(tmp_path / "r"))
     assert sorted((r.seq, r.value) for r in table.collect()) == [(1, 60.0), (2, None)]
-    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    plain = spark.createDataFrame([(1, "Solar8000/HR", at, 60.0)], "caseid int, track string, t timestamp, value double")
+    plain.write.parquet(str(tmp_path / "plain"))
+    assert tuple(read_readings(spark, str(tmp_path / "plain")).first()) == (
+        "1", "Solar8000/HR", at, 1704067200000000, 60.0)
     plan = table._jdf.queryExecution().executedPlan().toString()
     pushed = plan.split("PushedFilters")[1]
     assert "In(track" in pushed and "IsNotNull(value)" in pushed

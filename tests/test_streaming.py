@@ -167,5 +167,10 @@ def test_replay_sends_one_record_per_case_and_tick_in_order(spark, tmp_path):
     assert order == sorted(order)
 
 
+def test_document_ids_name_a_record(spark):
+    rows = decode(spark.createDataFrame([(message("1", 0),), (message("1", 0),), (message("1", 2),)], "value string"))
+    assert delivery.document_id(rows).select("document_id").distinct().count() == 2
+
+
 def test_topic_schema_is_the_envelope():
     assert ENVELOPE_SCHEMA.names[:3] == ["key", "value", "topic"]
