@@ -2,22 +2,29 @@
 
     train    training CSV -> saved model, metrics, importances
     publish  readings + clinical CSV -> topic (Kafka, or files with --path)
-    score    topic -> scored documents (search index, or files with --path), until stopped
+    replay   file topic -> topic, one record per case every two seconds, until stopped
+    score    topic -> scored documents (search index, or files with --path), until stopped or --once
+    monitor  scored documents in files -> trend, gauge and risk_share tables
 """
 
 import argparse
 
 from pyspark.sql import SparkSession
 
+from .operators.messages import decode, encode
+from .operators.monitor import recent_means, risk_share, trend, with_bands, with_event_time
+from .operators.routing import routed
 from .plans.prepare import prepare
 from .plans.publish import publish
 from .plans.training import evaluate, importances, left_out, preview, train_and_test
-from .schemas import ENCODED_LABEL, LABEL
+from .schemas import ENCODED_LABEL, ENVELOPE_SCHEMA, LABEL
 from .session import new_dir, use_utc
 from .settings import JobSettings
 from .sources.files import read_clinical, read_readings, read_training, require_rows
 from .sources.models import load_model, save_model
-from .sources.topics import kafka_options, read_topic
+from .sources.topics import kafka_options, read_topic, write_topic
+from .streaming.delivery import deliver, replace_batch
+from .streaming.replay import start_replay, write_replay_table
 from .streaming.scoring import start_quarantine, start_scoring
 
 INDEX_FORMAT = "org.elasticsearch.spark.sql"
@@ -43,6 +50,24 @@ def publish_samples(spark, settings, args):
         publish(samples, "kafka", {"kafka.bootstrap.servers": settings.kafka_servers}, routes=routes)
 
 
+def replay(spark, settings, args):
+    table = new_dir(spark, "replay")
+    messages = decode(spark.read.schema(ENVELOPE_SCHEMA).parquet(args.topic_path))
+    write_replay_table(encode(messages), table, args.base)
+    kafka = {"kafka.bootstrap.servers": settings.kafka_servers}
+
+    def send(rows, batch_id):
+        rows = routed(rows, {"patient.vitals": settings.topic})
+        if args.path:
+            replace_batch(args.path)(rows.drop("tag", "tick", "timestamp"), batch_id)
+        else:
+            write_topic(rows, "kafka", kafka)
+
+    dead = args.dead_letters or new_dir(spark, "dead-letters")
+    progress = args.checkpoint or new_dir(spark, "progress")
+    start_replay(spark, table, deliver(send, dead), progress).awaitTermination()
+
+
 def score_topic(spark, settings, args):
     model = load_model(settings.model_path)
     if args.topic_path:
@@ -51,13 +76,26 @@ def score_topic(spark, settings, args):
         envelope = read_topic(spark, "kafka", kafka_options(
             settings.kafka_servers, settings.topic, settings.fail_on_data_loss))
     progress = args.checkpoint or new_dir(spark, "progress")
-    if args.path:
-        start_scoring(envelope, model, "parquet", f"{progress}/scored", path=args.path)
-    else:
-        start_scoring(envelope, model, INDEX_FORMAT, f"{progress}/scored", settings.index_options())
+    trigger = {"availableNow": True} if args.once else None
+    sink, options = ("parquet", None) if args.path else (INDEX_FORMAT, settings.index_options())
+    running = [start_scoring(envelope, model, sink, f"{progress}/scored", options, args.path, trigger)]
     if args.quarantine:
-        start_quarantine(envelope, args.quarantine, f"{progress}/quarantine")
-    spark.streams.awaitAnyTermination()
+        running.append(start_quarantine(envelope, args.quarantine, f"{progress}/quarantine", trigger=trigger))
+    if not args.once:
+        spark.streams.awaitAnyTermination()
+    for job in running:
+        job.awaitTermination()
+
+
+def monitor(spark, settings, args):
+    rows = with_event_time(spark.read.parquet(args.scored))
+    tables = {
+        "trend": trend(rows, args.bucket),
+        "gauge": with_bands(recent_means(rows, args.recent_seconds)),
+        "risk_share": risk_share(rows),
+    }
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
 
 
 def parser():
@@ -74,12 +112,26 @@ def parser():
     job.add_argument("--base", required=True, help="time of the first sample, UTC")
     job.add_argument("--path", help="write files instead of Kafka")
     job.set_defaults(run=publish_samples)
+    job = jobs.add_parser("replay")
+    job.add_argument("topic_path")
+    job.add_argument("--base", required=True, help="time of the first sample, UTC")
+    job.add_argument("--path", help="write files instead of Kafka")
+    job.add_argument("--dead-letters", help="folder for what could not be sent")
+    job.add_argument("--checkpoint", help="shared folder; keep it to go on after a restart")
+    job.set_defaults(run=replay)
     job = jobs.add_parser("score")
     job.add_argument("--topic-path", help="read files instead of Kafka")
     job.add_argument("--path", help="write files instead of the search index")
     job.add_argument("--quarantine", help="folder for the rows that cannot be scored")
     job.add_argument("--checkpoint", help="shared folder; keep it to go on after a restart")
+    job.add_argument("--once", action="store_true", help="stop when all present messages are scored")
     job.set_defaults(run=score_topic)
+    job = jobs.add_parser("monitor")
+    job.add_argument("scored")
+    job.add_argument("out")
+    job.add_argument("--bucket", default="1 minute", help="width of a trend bucket")
+    job.add_argument("--recent-seconds", type=int, default=300, help="reach of the gauge")
+    job.set_defaults(run=monitor)
     return root
 
 
