@@ -10,7 +10,7 @@ ALL_VITALS = ", ".join(VITALS)
 
 
 def exact_mean(c):
-    return f"CAST(sum(CAST({c} AS DECIMAL(18,6))) AS DOUBLE) / nullif(count({c}), 0)"
+    return f"CAST(sum(CAST({c} AS DECIMAL(18,9))) AS DOUBLE) / nullif(count({c}), 0)"
 
 
 def prefixed(prefix, column):

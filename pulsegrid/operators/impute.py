@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 
 
 def exact_mean(c):
-    """Mean over decimals with six places: equal for any order and partitioning of the rows."""
-    return F.try_divide(F.sum(c.cast("decimal(18,6)")).cast("double"), F.count(c))
+    """Mean over decimals with nine places: equal for any order and partitioning of the rows.
+
+    Values reach to 10^9; a larger one is an error, not a silent gap.
+    """
+    return F.try_divide(F.sum(c.cast("decimal(18,9)")).cast("double"), F.count(c))
 
 
 def mean_name(column):

@@ -9,7 +9,11 @@ def decoded_with_time(envelope):
 
 
 def drop_repeats(rows, delay="1 hour"):
-    """One row per case and event time: a record that was sent again within ``delay`` is dropped."""
+    """One row per case and event time: a record that was sent again within ``delay`` is dropped.
+
+    Rows without an event time are left out; set them aside with ``untimed``.
+    """
+    rows = rows.where(rows["event_ts"].isNotNull())
     return rows.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["caseid", "event_ts"])
 
 

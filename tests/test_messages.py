@@ -1,11 +1,14 @@
 import json
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.enrich import enrich
 from pulsegrid.operators.messages import decode, encode
-from pulsegrid.operators.quarantine import quarantined, scorable
+from pulsegrid.operators.monitor import with_event_time
+from pulsegrid.operators.quarantine import quarantined, scorable, untimed
 from pulsegrid.operators.routing import in_case_order, routed, union_inputs, unrouted
 from pulsegrid.schemas import FLOAT_COLUMNS, MESSAGE_COLUMNS
 
@@ -46,6 +49,21 @@ def test_every_row_is_scored_or_set_aside(spark):
     assert scorable(rows).count() == 1
 
 
+def test_unreadable_time_is_set_aside(spark):
+    rows = with_event_time(decode(envelope(spark, GOOD, changed(timestamp="noon"))))
+    assert [(r["timestamp"], r.reason) for r in untimed(rows).collect()] == [("noon", "unreadable timestamp")]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 300), st.integers(1, 300)), min_size=1, max_size=20))
+def test_relations_between_pressures(spark, pairs):
+    bodies = [changed(**{"Systolic Blood Pressure": s, "Diastolic Blood Pressure": d}) for s, d in pairs]
+    for r in enrich(decode(envelope(spark, *bodies))).collect():
+        high, low = r["Systolic Blood Pressure"], r["Diastolic Blood Pressure"]
+        assert r.Derived_Pulse_Pressure == high - low
+        assert min(high, low) - 0.01 <= r.Derived_MAP <= max(high, low) + 0.01
+
+
 def test_encode_keeps_all_fields(spark):
     rows = decode(envelope(spark, changed(Weight=None)))
     message = encode(rows).first()
