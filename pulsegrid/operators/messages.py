@@ -17,8 +17,12 @@ def encode(samples, tag="patient.vitals", columns=MESSAGE_COLUMNS):
 
 
 def decode(envelope):
-    """Message fields as text, plus the raw text of a message that is no JSON object."""
+    """Message fields as text, plus the raw text of a message that is no JSON object.
+
+    The fields come out of a generator, because later filters are not pushed below one. Below a plain projection
+    each filter on a field would parse the message again.
+    """
     schema = T.StructType([*MESSAGE_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(F.col("value").cast("string"), schema, options)
-    return envelope.select(parsed.alias("data")).select("data.*")
+    return envelope.select(F.inline(F.array(parsed)))

@@ -44,11 +44,18 @@ def test_what_cannot_be_scored_is_set_aside(spark):
 
 
 def test_every_row_is_scored_or_set_aside(spark):
-    rows = enrich(decode(envelope(spark, GOOD, "[]", "{}", "", changed(Age="NaN"), changed(Age=None))))
-    assert scorable(rows).count() + quarantined(rows).count() == 6
+    none = spark.createDataFrame([(None,)], "value binary")
+    rows = enrich(decode(envelope(spark, GOOD, "[]", "{}", "", changed(Age="NaN"), changed(Age=None)).union(none)))
+    assert scorable(rows).count() + quarantined(rows).count() == 7
     assert scorable(rows).count() == 1
 
 
+def test_a_message_is_parsed_once(spark):
+    for rows in (scorable, quarantined):
+        plan = rows(enrich(decode(envelope(spark, GOOD))))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") == 1
+
+
 def test_unreadable_time_is_set_aside(spark):
     rows = with_event_time(decode(envelope(spark, GOOD, changed(timestamp="noon"))))
     assert [(r["timestamp"], r.reason) for r in untimed(rows).collect()] == [("noon", "unreadable timestamp")]
