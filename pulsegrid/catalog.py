@@ -305,7 +305,7 @@ def topk_preview(spark, sf_dir):
 @query
 def ml_score_batch(spark, sf_dir):
     """Fit on the training rows, save, load, score the held-out rows."""
-    rows = stored(T.spread(T.complete_rows(documents(spark, sf_dir), S.TEXT_FEATURES)), "training")
+    rows = T.complete_rows(stored(T.spread(documents(spark, sf_dir)), "training"), S.TEXT_FEATURES)
     training, test = L.hash_split(rows, ["doc_id"])
     path = new_dir(spark, "model")
     save_model(T.fit_risk_model(training, S.TEXT_FEATURES), path)

@@ -55,8 +55,12 @@ def labels_of(model):
 
 
 def train_and_test(rows, keys, features=FEATURES, label=LABEL, trees=100, seed=1234):
-    """(model, predictions on the held-out rows); the rows are computed once and stored for all passes."""
-    rows = stored(spread(complete_rows(rows, features, label)), "training")
+    """(model, predictions on the held-out rows).
+
+    The rows are computed once and stored for all passes, before they are tested for gaps: a test on a computed
+    input would compute it again.
+    """
+    rows = complete_rows(stored(spread(rows), "training"), features, label)
     training, test = hash_split(rows, keys, seed=seed)
     model = fit_risk_model(training, features, label, trees, seed)
     known = test.where(test[label].isin(labels_of(model)))
