@@ -1,11 +1,14 @@
 """One query per operator over its whole table; ``QUERIES`` maps its name to ``(spark, sf_dir) -> DataFrame``."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import use_utc
-from . import chat, quality, secret_scan, sharding
+from . import bpe, chat, packing, quality, secret_scan, sharding, token_count
 from .columns import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES = {}
 
 
@@ -69,3 +72,30 @@ def op5_quality_rules(spark, sf_dir):
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
     return quality.judged(docs, measures=names).select(
         "doc_id", *names, failed.alias("base_failed"), "kept")
+
+
+@query
+def op6_bpe(spark, sf_dir):
+    """Every document encoded, and decoded from its ids."""
+    ids = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER).select("doc_id", "ids")
+    return bpe.decoded(ids, TOKENIZER).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op8_packing(spark, sf_dir):
+    """All documents in sequences of 2048 tokens at most."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.packed(docs, TOKENIZER).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op9_token_count(spark, sf_dir):
+    """Token numbers of every document."""
+    size = F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", size.alias("n_bytes"))
+    return token_count.counted(docs, TOKENIZER).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
