@@ -6,8 +6,9 @@ read again as the next one's ``docs``. All but the last return the columns of ``
 
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import quality, secret_scan
+from pulsegrid.llm import packing, quality, secret_scan, simhash
 from pulsegrid.llm.columns import table
+from pulsegrid.llm.queries import TOKENIZER
 from pulsegrid.session import stored, use_utc
 
 
@@ -16,6 +17,11 @@ def good_documents(spark, docs, sf_dir):
     return quality.keep_good(docs)
 
 
+def one_of_each(spark, docs, sf_dir):
+    """One document of each near-duplicate component, the one with the smallest id."""
+    return simhash.one_of_each(docs)
+
+
 def without_secrets(spark, docs, sf_dir):
     """All documents, with every span of a secret replaced by a mark; ``n_chars`` follows the text."""
     scanned = secret_scan.scan(docs)
@@ -24,9 +30,16 @@ def without_secrets(spark, docs, sf_dir):
         "n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
+def sequences(spark, docs, sf_dir):
+    """The documents' tokens in sequences of 2048, a row per piece."""
+    return packing.packed(docs, TOKENIZER)
+
+
 STAGES = [
     ("quality_rules", good_documents),
+    ("simhash_near_dedup", one_of_each),
     ("secret_scan", without_secrets),
+    ("packing", sequences),
 ]
 
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import use_utc
-from . import bpe, chat, packing, quality, secret_scan, sharding, token_count
+from . import bpe, chat, packing, quality, secret_scan, sharding, simhash, token_count, topk, warc
 from .columns import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -99,3 +99,27 @@ def op9_token_count(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", size.alias("n_bytes"))
     return token_count.counted(docs, TOKENIZER).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@query
+def op7_simhash(spark, sf_dir):
+    """The near-duplicate component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op1_warc(spark, sf_dir):
+    """All pages written as records of archives, read back in byte ranges."""
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.read_archives(manifest, payloads=False).select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@query
+def op10_top_k(spark, sf_dir):
+    """The ten highest products of every hundredth vector with all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
