@@ -66,7 +66,7 @@ class Vocabulary:
                                         if symbols[:k] in self.ids), None)
         self.automaton.make_automaton()
         self.symbol_of = _byte_symbols()
-        self._compatible = {}
+        self.known_pairs = {}
         self.pattern, self.unsure = regex.compile(PATTERN), regex.compile(f"[^{AGREED}]")
         self.split_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(
             self.special, key=len, reverse=True)) + ")") if self.special else None
@@ -79,11 +79,11 @@ class Vocabulary:
 
     def may_follow(self, left, right):
         pair = left << 32 | right
-        known = self._compatible.get(pair)
+        known = self.known_pairs.get(pair)
         if known is None:
-            if len(self._compatible) > 1_000_000:
-                self._compatible.clear()
-            known = self._compatible[pair] = self._never_joined(left, right)
+            if len(self.known_pairs) > 1_000_000:
+                self.known_pairs.clear()
+            known = self.known_pairs[pair] = self._never_joined(left, right)
         return known
 
     def _never_joined(self, left, right):
@@ -103,7 +103,7 @@ class Vocabulary:
 
     def encode_piece(self, piece):
         symbols = piece.encode().decode("latin-1").translate(self.symbol_of)
-        n, lengths, shorter, known = len(symbols), self.lengths, self.shorter, self._compatible.get
+        n, lengths, shorter, known = len(symbols), self.lengths, self.shorter, self.known_pairs.get
         tokens, closed, place, last = [], None, 0, None
         longest = self.automaton.iter_long(symbols)
         token = next(longest)[1]

@@ -28,31 +28,29 @@ from .bpe import Remembered, Vocabulary
 
 CHUNK_CHARS = 1 << 16
 #: Compiled states of a worker; when there are more it starts anew.
-MOST_STATES = 150_000
+MOST_STATES = 250_000
 _RESET = regex.compile(r"\S\s")
 
 
-class State:
-    """``ending`` begins a token. ``behind`` has (last token, tokens up to there less those up to here) for this place and, going
-    back, for each place from which the ending begins a token: no other place matters to what follows."""
-
-    __slots__ = ("ending", "behind", "steps")
-
-    def __init__(self, ending, behind):
-        self.ending, self.behind, self.steps = ending, behind, {}
-
-
 class Transducer:
+    """States are numbers. ``places[state]`` is its ending, which begins a token, and (last token, tokens up to there less
+    those up to here) for this place and, going back, for each place from which the ending begins a token: no other place
+    matters to what follows. ``steps`` leads from a state and a character to the next state and the tokens added."""
+
     def __init__(self, path):
         self.vocabulary = v = Vocabulary(path)
         self.ids = {s: i for s, i in v.ids.items() if s not in v.special}
         self.beginnings = {s[:k] for s in self.ids for k in range(1, len(s) + 1)}
-        self.runs, self.states = {}, {}
-        self.start = State("", ((None, 0),))
         self.counts = Remembered(self.count_piece)
+        self._forget()
+
+    def _forget(self):
+        self.runs, self.steps = {}, {}
+        self.places = [("", ((None, 0),))]
+        self.numbers = {self.places[0]: 0}
 
     def _places(self, ending):
-        """How far back the places lie that ``behind`` has for an ending."""
+        """How far back the places lie that a state has for an ending."""
         return [0, *(k for k in range(1, len(ending) + 1) if ending[-k:] in self.beginnings)]
 
     def _run(self, run):
@@ -65,34 +63,48 @@ class Transducer:
             ending = ending[1:]
         return found, ending, tuple(index[k - 1] for k in self._places(ending)[1:])
 
-    def step(self, state, symbol):
+    def _compile(self, state, symbol):
         """(next state, tokens added): the one token that ends here and may follow the last token before it."""
-        run, behind = state.ending + symbol, state.behind
-        known = self.runs.get(run)
-        if known is None:
-            known = self.runs[run] = self._run(run)
-        found, ending, kept = known
+        ending, behind = self.places[state]
+        run = ending + symbol
+        common = self.runs.get(run)
+        if common is None:
+            common = self.runs[run] = self._run(run)
+        found, ending, kept = common
+        known = self.vocabulary.known_pairs.get
         for token, place in found:
             last, before = behind[place]
-            if last is None or self.vocabulary.may_follow(last, token):
+            if last is None or known(last << 32 | token) or self.vocabulary.may_follow(last, token):
                 break
         added = before + 1
-        key = ending, ((token, 0), *[(behind[i][0], behind[i][1] - added) for i in kept])
-        following = self.states.get(key)
-        if following is None:
-            if len(self.states) >= MOST_STATES:
-                self.states.clear()
-                self.runs.clear()
-                self.start.steps.clear()
-            following = self.states[key] = State(*key)
+        places = ending, ((token, 0), *[(behind[i][0], behind[i][1] - added) for i in kept])
+        following = self.numbers.setdefault(places, len(self.places))
+        if following == len(self.places):
+            self.places.append(places)
         return following, added
 
     def count_piece(self, piece):
-        state, n = self.start, 0
-        for symbol in piece.encode().decode("latin-1").translate(self.vocabulary.symbol_of):
-            following = state.steps.get(symbol)
+        symbols = piece.encode().decode("latin-1").translate(self.vocabulary.symbol_of)
+        return self._by_tokens(symbols) or self._by_symbols(symbols)
+
+    def _by_tokens(self, symbols):
+        """The count where longest tokens, one after the other, are all allowed: a step per token; else None."""
+        last, n, known = None, 0, self.vocabulary.known_pairs.get
+        for _, token in self.vocabulary.automaton.iter_long(symbols):
+            if n and not (known(last << 32 | token) or self.vocabulary.may_follow(last, token)):
+                return None
+            last, n = token, n + 1
+        return n
+
+    def _by_symbols(self, symbols):
+        if len(self.places) >= MOST_STATES:
+            self._forget()
+        state, n, step = 0, 0, self.steps.get
+        for symbol in symbols:
+            key = state << 9 | ord(symbol)
+            following = step(key)
             if following is None:
-                following = state.steps[symbol] = self.step(state, symbol)
+                following = self.steps[key] = self._compile(state, symbol)
             state, added = following
             n += added
         return n
