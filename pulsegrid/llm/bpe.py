@@ -21,6 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import types as T
 
+from .columns import in_small_batches
+
 # Fixed value: the pattern that splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters on which the pattern library here and the tokenizer's, whose Unicode version is older, are known to agree.
@@ -58,19 +60,27 @@ class Vocabulary:
                 raise ValueError(f"{path}: ids don't follow the order of the merges")
             self.parts[c], self.joined[a, b], last = (a, b), c, c
         self.lengths = {i: len(s) for s, i in self.ids.items()}
-        self.automaton, self.shorter = ahocorasick.Automaton(), {}
-        for symbols, i in self.ids.items():
-            if symbols not in self.special:
-                self.automaton.add_word(symbols, i)
-                self.shorter[i] = next((self.ids[symbols[:k]] for k in range(len(symbols) - 1, 0, -1)
-                                        if symbols[:k] in self.ids), None)
-        self.automaton.make_automaton()
         self.symbol_of = _byte_symbols()
         self.known_pairs = {}
         self.pattern, self.unsure = regex.compile(PATTERN), regex.compile(f"[^{AGREED}]")
         self.split_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(
             self.special, key=len, reverse=True)) + ")") if self.special else None
 
+    @functools.cached_property
+    def automaton(self):
+        found = ahocorasick.Automaton()
+        for symbols, i in self.ids.items():
+            if symbols not in self.special:
+                found.add_word(symbols, i)
+        found.make_automaton()
+        return found
+
+    @functools.cached_property
+    def shorter(self):
+        """The longest token that is a proper beginning of each token."""
+        return {i: next((self.ids[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in self.ids), None)
+                for s, i in self.ids.items() if s not in self.special}
+
     @functools.cached_property
     def splitter(self):
         from tokenizers import Tokenizer
@@ -220,7 +230,7 @@ def with_column(df, name, kind, work):
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*arrays, made], names=[*kept, name])
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 def int_lists(parts):

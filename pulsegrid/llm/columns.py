@@ -10,6 +10,16 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows with whole texts that a Python worker gets at once.
+TEXT_ROWS = 500
+
+
+def in_small_batches(df, rows=TEXT_ROWS):
+    """``df``; its session hands Python workers at most so many rows at once, so that long texts don't pile up."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
+
+
 def let(value, body):
     """``body(value)`` with ``value`` computed once."""
     return F.transform(F.array(value), body)[0]

@@ -2,7 +2,7 @@
 
 A document longer than a window is first cut into full windows. What is left of it, and every shorter document, goes, longest
 first, into the open window with the least room that still holds it. A segment tree over remaining room finds that
-window. Documents are packed in groups of some million tokens within a task, so memory is bounded by a group and the rows are
+window. Documents are packed in groups of a million tokens within a task, so memory is bounded by a group and the rows are
 not shuffled; a group leaves a window or two not full.
 
 Defined cases: a NULL or empty text is the end id alone; equal rows are packed each for itself; an empty table gives no rows;
@@ -17,11 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import types as T
 
 from .bpe import Vocabulary
+from .columns import in_small_batches
 
 WINDOW = 2048
 END_ID = 1
 #: A group is packed when it has so many tokens.
-GROUP_TOKENS = 1 << 22
+GROUP_TOKENS = 1 << 20
 _SEQUENCE_BITS = 33  # a task's number above, its sequences below
 
 
@@ -147,4 +148,4 @@ def packed(df, path, doc="doc_id", text="text", window=WINDOW, end_id=END_ID, gr
         if docs:
             yield group(docs, codes, first, kind)[0]
 
-    return rows.mapInArrow(run, schema)
+    return in_small_batches(rows).mapInArrow(run, schema)

@@ -14,6 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .columns import let
 
 SEED = 20240611
 #: Rows that are put in order together; a shard has as many blocks of them as it needs.
@@ -34,34 +35,52 @@ def hypergeometric(total, marked, draws, u):
 
     Probabilities are taken off ``u`` from the mode outwards; the walk covers twelve standard deviations on both sides.
     """
-    rest = total - marked
-    low, high = F.greatest(F.lit(0).cast("long"), draws - rest), F.least(draws, marked)
-    mode = F.greatest(low, F.least(high, F.floor((draws + 1).cast("double") * (marked + 1) / (total + 2))))
-    share = marked / F.greatest(total, F.lit(1))
-    width = F.sqrt(draws * share * (1 - share) * (total - draws) / F.greatest(total - 1, F.lit(1)))
-    steps = F.least(high - low, F.ceil(width * 12) + 30)
-    at_mode = F.exp(
-        _ln_factorial(marked) - _ln_factorial(mode) - _ln_factorial(marked - mode)
-        + _ln_factorial(rest) - _ln_factorial(draws - mode) - _ln_factorial(rest - draws + mode)
-        - _ln_factorial(total) + _ln_factorial(draws) + _ln_factorial(total - draws))
-
-    def state(u_, up, down, found):
-        return F.struct(u_.alias("u"), up.alias("up"), down.alias("down"), found.alias("found"))
+    given = F.struct(total.cast("long").alias("total"), marked.cast("long").alias("marked"), draws.cast("long").alias("draws"),
+                     u.alias("u"))
+    return let(given, lambda g: let(_mode(g), lambda m: let(_at_mode(g, m), lambda p: _walked(g, m, p))))
+
+
+def _mode(g):
+    low = F.greatest(F.lit(0).cast("long"), g["draws"] + g["marked"] - g["total"])
+    high = F.least(g["draws"], g["marked"])
+    middle = F.floor((g["draws"] + 1).cast("double") * (g["marked"] + 1) / (g["total"] + 2))
+    share = g["marked"] / F.greatest(g["total"], F.lit(1))
+    width = F.sqrt(g["draws"] * share * (1 - share) * (g["total"] - g["draws"]) / F.greatest(g["total"] - 1, F.lit(1)))
+    return let(F.struct(low.alias("low"), high.alias("high")), lambda b: F.struct(
+        b["low"].alias("low"), b["high"].alias("high"), F.greatest(b["low"], F.least(b["high"], middle)).alias("at"),
+        F.least(b["high"] - b["low"], F.ceil(width * 12) + 30).alias("steps")))
+
+
+def _at_mode(g, m):
+    """Probability of the mode."""
+    rest = g["total"] - g["marked"]
+    over = [g["marked"], rest, g["draws"], g["total"] - g["draws"]]
+    under = [m["at"], g["marked"] - m["at"], g["draws"] - m["at"], rest - g["draws"] + m["at"], g["total"]]
+    return F.exp(F.aggregate(F.array(*over), F.lit(0.0), lambda a, n: a + _ln_factorial(n))
+                 - F.aggregate(F.array(*under), F.lit(0.0), lambda a, n: a + _ln_factorial(n)))
 
-    none = F.lit(None).cast("long")
-    start = state(u - at_mode, at_mode, at_mode, F.when(u < at_mode, mode).otherwise(none))
+
+def _walked(g, m, at_mode):
+    def state(u, up, down, found):
+        return F.struct(u.alias("u"), up.alias("up"), down.alias("down"), found.alias("found"))
 
     def walk(s, k):
-        x, y = mode + k - 1, mode - k + 1
-        up = F.when(x < high, s["up"] * (marked - x) * (draws - x) / ((x + 1) * (rest - draws + x + 1))).otherwise(0.0)
-        down = F.when(y > low, s["down"] * y * (rest - draws + y) / ((marked - y + 1) * (draws - y + 1))).otherwise(0.0)
-        after = s["u"] - up
-        hit = F.when(after < 0, mode + k).when(after - down < 0, mode - k)
-        return F.when(s["found"].isNotNull(), s).otherwise(state(after - down, up, down, hit))
+        x, y, rest = m["at"] + k - 1, m["at"] - k + 1, g["total"] - g["marked"] - g["draws"]
+        up = s["up"] * (g["marked"] - x) * (g["draws"] - x) / ((x + 1) * (rest + x + 1))
+        down = s["down"] * y * (rest + y) / ((g["marked"] - y + 1) * (g["draws"] - y + 1))
+        ways = F.struct(F.when(x < m["high"], up).otherwise(0.0).alias("up"), F.when(y > m["low"], down).otherwise(0.0).alias("down"))
+
+        def off(w):
+            after = s["u"] - w["up"]
+            hit = F.when(after < 0, m["at"] + k).when(after - w["down"] < 0, m["at"] - k)
+            return state(after - w["down"], w["up"], w["down"], hit)
 
-    last = F.aggregate(F.when(steps > 0, F.sequence(F.lit(1).cast("long"), steps)).otherwise(
-        F.array().cast("array<bigint>")), start, walk)
-    return F.coalesce(last["found"], mode)
+        return F.when(s["found"].isNotNull(), s).otherwise(let(ways, off))
+
+    none = F.lit(None).cast("long")
+    start = state(g["u"] - at_mode, at_mode, at_mode, F.when(g["u"] < at_mode, m["at"]).otherwise(none))
+    steps = F.when(m["steps"] > 0, F.sequence(F.lit(1).cast("long"), m["steps"])).otherwise(F.array().cast("array<bigint>"))
+    return F.coalesce(F.aggregate(steps, start, walk)["found"], m["at"])
 
 
 def _unit(*parts):
@@ -76,9 +95,9 @@ def _halved(nodes, seed):
         "draws", F.aggregate("left", F.lit(0).cast("long"), lambda a, p: a + p["n"]))
 
     def take(state, cap, i):
-        x = hypergeometric(state["total"], cap, state["draws"], _unit(F.lit(seed), F.col("first"), F.size("parts"), i))
-        return F.struct((state["total"] - cap).alias("total"), (state["draws"] - x).alias("draws"),
-                        F.concat(state["out"], F.array(x)).alias("out"))
+        got = hypergeometric(state["total"], cap, state["draws"], _unit(F.lit(seed), F.col("first"), F.size("parts"), i))
+        return let(got, lambda x: F.struct((state["total"] - cap).alias("total"), (state["draws"] - x).alias("draws"),
+                                           F.concat(state["out"], F.array(x)).alias("out")))
 
     total = F.aggregate("caps", F.lit(0).cast("long"), lambda a, c: a + c)
     empty = F.struct(total.alias("total"), F.col("draws"), F.array().cast("array<bigint>").alias("out"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
+from .columns import in_small_batches
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -30,7 +31,7 @@ HASH_SEED = 42
 SHARD_ROWS = 16384
 _BITS = 64
 _ALL = (1 << _BITS) - 1
-_BATCH_PAIRS = 1 << 21
+_BATCH_PAIRS = 1 << 18
 
 
 # ---- Fingerprints ----
@@ -61,7 +62,7 @@ def with_fingerprints(df, text="text", words=SHINGLE_WORDS):
             arrays = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
             yield pa.RecordBatch.from_arrays([*arrays, made], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 # ---- BK-trees of many shards at once ----
@@ -95,7 +96,7 @@ def linked_in_shards(members, shards, radius=RADIUS):
     label = np.arange(len(members))
     sizes = np.diff(np.append(np.flatnonzero(root == label), len(members)))
     asking = np.flatnonzero(np.repeat(sizes, sizes) > 1)
-    waiting = [(asking[i:i + 65536], root[asking[i:i + 65536]]) for i in range(0, len(asking), 65536)]
+    waiting = [(asking[i:i + 16384], root[asking[i:i + 16384]]) for i in range(0, len(asking), 16384)]
     while waiting:
         who, node = waiting.pop()
         if len(who) > _BATCH_PAIRS:
@@ -190,18 +191,19 @@ def links(fingerprints, radius=RADIUS, shard_rows=SHARD_ROWS):
             [pa.array(found[linked]), pa.array(found[label[linked]])], names=["a", "b"])
 
     def run(batches):
-        held = [np.empty(0, np.int64)] * 3
+        parts, n = [], 0
         for batch in batches:
-            fresh = [batch.column(i).to_numpy() for i in (1, 2, 0)]
-            held = [np.concatenate(x) for x in zip(held, fresh)]
-            if len(held[0]) >= 4 * shard_rows:
-                same = (held[0] == held[0][-1]) & (held[1] == held[1][-1])
-                cut = len(same) - int(same.sum())
+            parts.append([batch.column(i).to_numpy() for i in (1, 2, 0)])
+            n += batch.num_rows
+            if n >= 2 * shard_rows:
+                held = [np.concatenate(x) for x in zip(*parts)]
+                last = (held[0] == held[0][-1]) & (held[1] == held[1][-1])
+                cut = len(last) - int(last.sum())
                 if cut:
                     yield stars(*[x[:cut] for x in held])
-                    held = [x[cut:] for x in held]
-        if len(held[0]):
-            yield stars(*held)
+                parts, n = [[x[cut:] for x in held]], len(last) - cut
+        if n:
+            yield stars(*[np.concatenate(x) for x in zip(*parts)])
 
     return members.mapInArrow(run, "a long, b long")
 

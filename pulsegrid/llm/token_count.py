@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import Remembered, Vocabulary
+from .columns import in_small_batches
 
 CHUNK_CHARS = 1 << 16
 #: Compiled states of a worker; when there are more it starts anew.
@@ -146,7 +147,7 @@ def _state_maps(df, path):
                 (pa.string(), pa.int64(), pa.string(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 def _composed(maps):
@@ -170,7 +171,7 @@ def counted(df, path, text="text", chunk_chars=CHUNK_CHARS):
     string = F.coalesce(F.col(text), F.lit(""))
     pieces = F.when(F.length(string) <= chunk_chars, F.array(string)).otherwise(
         F.regexp_extract_all(string, F.lit("(?s).{1,%d}+" % chunk_chars), F.lit(0)))
-    rows = df.select(F.monotonically_increasing_id().alias("row_no"), F.struct(F.lit(0).alias("_"), *kept).alias("row"),
+    rows = df.select(F.monotonically_increasing_id().alias("row_no"), F.struct(*(kept or [F.lit(0)])).alias("row"),
                      pieces.alias("pieces"))
     chunks = rows.select("row_no", "row", F.size("pieces").alias("n"), F.posexplode("pieces").alias("chunk_no", "chunk")).select(
         "row_no", "row", "chunk_no", "chunk", (F.col("n") == 1).alias("whole"))

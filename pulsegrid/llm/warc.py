@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import new_dir, stored
+from .columns import in_small_batches
 
 # Fixed values of the format.
 MAGIC = b"\x1f\x8b\x08"
@@ -202,7 +203,7 @@ def write_archives(df, folder, key="page_id", url="url", payload="html", least_b
     def manifest(name, size, n):
         return pa.RecordBatch.from_pydict({"path": [f"{folder.rstrip('/')}/{name}"], "bytes": [size], "records": [n]})
 
-    return stored(rows.mapInArrow(run, "path string, bytes long, records long"), "manifest")
+    return stored(in_small_batches(rows).mapInArrow(run, "path string, bytes long, records long"), "manifest")
 
 
 def archives_in(spark, folder):
