@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .columns import in_small_batches
+from .columns import in_small_batches, let
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -30,7 +30,6 @@ HASH_SEED = 42
 #: Members of a shard that one task compares.
 SHARD_ROWS = 16384
 _BITS = 64
-_ALL = (1 << _BITS) - 1
 _BATCH_PAIRS = 1 << 18
 
 
@@ -73,7 +72,7 @@ def _distance(a, b):
 
 def build_forest(members, shards):
     """(child, root): the node below each node at each distance, -1 if none, and each member's root. Members of a shard are
-    next to each other and distinct. All members go down one edge per round; of those that reach a free place, the first stays."""
+    next to each other. All members go down one edge per round; of those that reach a free place, the first stays."""
     n = len(members)
     first = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1]]))
     root = np.repeat(first, np.diff(np.append(first, n)))
@@ -109,7 +108,7 @@ def linked_in_shards(members, shards, radius=RADIUS):
         below_who, below = [], []
         for step in range(-radius, radius + 1):
             edge = apart + step
-            fits = (edge >= 1) & (edge <= _BITS)
+            fits = (edge >= 0) & (edge <= _BITS)
             found = child[node[fits] * (_BITS + 1) + edge[fits]]
             there = found >= 0
             below_who.append(who[fits][there])
@@ -136,51 +135,44 @@ def _join(label, a, b):
 
 # ---- Shards ----
 
-def _signed(x):
-    return x - (1 << _BITS) if x >> (_BITS - 1) else x
+def _finer(mask, count):
+    """Masks that fix, besides the bits of ``mask``, one of ``count`` parts of the others each."""
+    def parts(free):
+        def cut(j):
+            return (F.size(free) * j / count).cast("int")
 
+        return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda j: F.aggregate(
+            F.slice(free, cut(j) + 1, cut(j + 1) - cut(j)), mask,
+            lambda m, b: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))))
 
-def _parts(mask, count):
-    """Masks that fix, besides ``mask``, one of ``count`` parts of the other bits each."""
-    free = [b for b in range(_BITS) if not mask >> b & 1]
-    cuts = [len(free) * i // count for i in range(count + 1)]
-    return [mask | sum(1 << b for b in free[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:])]
+    return let(F.filter(F.sequence(F.lit(0), F.lit(_BITS - 1)), lambda b: F.getbit(mask, b) == 0), parts)
 
 
-def _keyed(members, masks, radius):
-    """Each member once per part of the bits that its mask (one of ``masks``) leaves: (fingerprint, mask, value)."""
-    parts = None
-    for mask in masks:
-        own = F.array(*[F.lit(_signed(m)).cast("long") for m in _parts(mask, radius + 1)])
-        here = F.col("mask") == F.lit(_signed(mask)).cast("long")
-        parts = F.when(here, own) if parts is None else parts.when(here, own)
-    return members.select("fingerprint", F.explode(parts).alias("mask")).withColumn(
-        "value", F.col("fingerprint").bitwiseAND(F.col("mask")))
+def _keyed(members, radius):
+    """Each member once per part of the bits that its mask leaves: (fingerprint, mask, value)."""
+    finer = members.select("fingerprint", F.explode(_finer(F.col("mask"), radius + 1)).alias("mask"))
+    return finer.withColumn("value", F.col("fingerprint").bitwiseAND(F.col("mask")))
 
 
 def shard_members(fingerprints, radius=RADIUS, shard_rows=SHARD_ROWS):
     """(fingerprint, mask, value): shards of at most ``shard_rows`` members, together holding every pair within the radius."""
-    masks, light = [0], []
-    members = fingerprints.select("fingerprint", F.lit(0).cast("long").alias("mask"))
+    if shard_rows < 2 ** radius:
+        raise ValueError(f"a shard must have room for {2 ** radius} members")
+    members, light = fingerprints.select("fingerprint", F.lit(0).cast("long").alias("mask")), None
     while True:
-        keyed = _keyed(members, masks, radius)
+        keyed = _keyed(members, radius)
         heavy = stored(keyed.groupBy("mask", "value").agg(F.count("*").alias("n")).where(F.col("n") > shard_rows)
                        .select("mask", "value"), "heavy-shards")
-        masks = [part for mask in masks for part in _parts(mask, radius + 1) if part != _ALL]
-        if not masks or heavy.isEmpty():
-            light.append(keyed)
-            break
-        light.append(keyed.join(heavy, ["mask", "value"], "left_anti"))
+        if heavy.isEmpty():
+            return keyed if light is None else light.unionByName(keyed)
+        rest = keyed.join(heavy, ["mask", "value"], "left_anti")
+        light = rest if light is None else light.unionByName(rest)
         members = stored(keyed.join(heavy, ["mask", "value"], "left_semi").select("fingerprint", "mask"), "heavy-members")
-    result = light[0]
-    for more in light[1:]:
-        result = result.unionByName(more)
-    return result
 
 
 def links(fingerprints, radius=RADIUS, shard_rows=SHARD_ROWS):
     """(a, b): every linked fingerprint of a shard with the first of its star there."""
-    members = shard_members(fingerprints, radius, shard_rows)
+    members = shard_members(fingerprints, radius, shard_rows).select("fingerprint", "mask", "value")
     members = members.repartition("mask", "value").sortWithinPartitions("mask", "value", "fingerprint")
 
     def stars(masks, values, found):

@@ -9,9 +9,10 @@ it comes from a bounded sample of all vectors, so it is one that the result reac
 Components are whole numbers, floor(scale * x), and scores exact: in 64-bit floats while every product is below 2^53, in whole
 numbers of any size beyond; a score outside 64 bits is set to the nearest one inside.
 
-Defined cases: vectors that are NULL or hold a NULL or non-finite component take no part; only vectors of equal length are
-compared; equal rows are vectors of their own, and so are queries; ties go to the smaller id, a NULL id last; fewer than k
-candidates give fewer rows; an empty table gives none; other columns are not carried.
+Defined cases: vectors that are NULL or hold a NULL or a component that is not finite, or not so once
+scaled, take no part; only vectors of equal length are compared; equal rows are vectors of their own, and so are queries; ties
+go to the smaller id, a NULL id last; fewer than k candidates give fewer rows; an empty table gives none; other columns are
+not carried.
 """
 
 import heapq
@@ -36,11 +37,9 @@ _NO_ID = np.iinfo(np.int64).max
 def whole_numbers(vectors, scale=SCALE):
     """A matrix of floor(scale * x): floats where all products stay exact, else Python numbers."""
     given = np.array(vectors, np.float64)
-    with np.errstate(over="ignore"):
-        scaled = np.floor(given * scale)
+    scaled = np.floor(given * scale)
     if given.size and not (np.abs(scaled).max() ** 2 * given.shape[1] < 2.0 ** 52):
-        flat = [math.floor(x * scale) if math.isfinite(x * scale) else int(x) * int(scale) for x in given.ravel()]
-        return np.array(flat, object).reshape(given.shape)
+        return np.array([int(x) for x in scaled.ravel()], object).reshape(given.shape)
     return scaled
 
 
@@ -67,7 +66,8 @@ class BallTree:
     def _grow(self, rows, leaf_rows):
         points = self.points[rows]
         centre = points.mean(axis=0)
-        away = np.sqrt(((points - centre) ** 2).sum(axis=1))
+        with np.errstate(over="ignore", invalid="ignore"):
+            away = np.nan_to_num(np.sqrt(((points - centre) ** 2).sum(axis=1)), nan=np.inf, posinf=np.inf)
         node = len(self.radii)
         self.centres.append(centre)
         self.radii.append(away.max() * (1 + 1e-9) + 1e-6)
@@ -88,10 +88,11 @@ def search(tree, matrix, ids, row_nos, queries, own, floors, k):
     n = len(queries)
     scores = np.full((n, k), np.iinfo(np.int64).min)
     rows = np.full((n, k), -1, np.int64)
-    floats = queries.astype(np.float64)
+    floats = queries.astype(np.float64)  # of the largest numbers, bounds may be infinite, which leaves nothing out
     norms = np.sqrt((floats ** 2).sum(axis=1))
     bounds = floats @ tree.centres.T + norms[:, None] * tree.radii[None, :]
     bounds += np.abs(bounds) * 1e-9 + 1.0
+    bounds = np.nan_to_num(bounds, nan=np.inf, posinf=np.inf, neginf=-np.inf)
     kth = floors.copy()
     heap = [(-bounds[:, 0].max(), 0, np.arange(n))]
     while heap:
@@ -135,11 +136,11 @@ def _by_length(vectors):
     return {n: np.array(rows) for n, rows in lengths.items()}
 
 
-def usable(df, key, vector):
+def usable(df, key, vector, scale=SCALE):
     """(row_no, id, vector) of the vectors that take part, written once so that row numbers stay."""
     x = F.transform(F.col(vector), lambda v: v.cast("double"))
     fine = F.col("vector").isNotNull() & F.coalesce(F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (
-        F.abs(v) < float("inf"))), F.lit(False))
+        F.abs(v * scale) < float("inf"))), F.lit(False))
     rows = df.select(F.monotonically_increasing_id().alias("row_no"), F.col(key).cast("long").alias("id"), x.alias("vector"))
     return stored(rows.where(fine), "vectors")
 
@@ -169,7 +170,7 @@ def first_floors(rows, queries, k, sample_rows=SAMPLE_ROWS, scale=SCALE):
 
 def top_k(df, is_query, key="vec_id", vector="embedding", k=10, scale=SCALE, shard_rows=SHARD_ROWS, query_block=QUERY_BLOCK):
     """The k highest products of each query row with all other rows: query_id, rank, ``key``, score."""
-    rows = usable(df.select(key, vector), key, vector)
+    rows = usable(df.select(key, vector), key, vector, scale)
     n_rows = rows.count()
     n_shards = max(1, math.ceil(n_rows / shard_rows))
     asked = rows.where(F.expr(is_query) if isinstance(is_query, str) else is_query(F.col("id")))

@@ -63,24 +63,17 @@ def record(key, url, payload, refers_to=None, date=DATE):
 
 
 def compressed(data):
-    """A gzip member in which no other record begins: data that deflate would copy is coded by its characters instead."""
-    for strategy in (zlib.Z_DEFAULT_STRATEGY, zlib.Z_HUFFMAN_ONLY, zlib.Z_FIXED):
-        packer = zlib.compressobj(_LEVEL, zlib.DEFLATED, 31, 8, strategy)
-        member = packer.compress(data) + packer.flush()
-        place = member.find(MAGIC, 1)
-        while place >= 0 and decoded(_in_memory(member), place) is None:
-            place = member.find(MAGIC, place + 1)
-        if place < 0:
-            return member
-    raise ValueError("a record holds a member that can't be hidden")
+    """A gzip member. Data that deflate copies as it is could hold the magic of a record inside; a block ends in each."""
+    packer, parts, at = zlib.compressobj(_LEVEL, zlib.DEFLATED, 31), [], 0
+    place = data.find(MAGIC)
+    while place >= 0:
+        parts += [packer.compress(data[at:place + 1]), packer.flush(zlib.Z_SYNC_FLUSH)]
+        at, place = place + 1, data.find(MAGIC, place + 1)
+    return b"".join([*parts, packer.compress(data[at:]), packer.flush()])
 
 
 # ---- Reading ----
 
-def _in_memory(data):
-    return lambda start, n: data[start:start + n]
-
-
 class Blocks:
     """Bytes of a file by place, from a block that moves along."""
 
