@@ -130,6 +130,22 @@ FROM copies GROUP BY ALL HAVING count(value) > 0"""
 
 FLOAT_ROWS = f'WITH {ENRICHED} SELECT caseid, "Gender", "timestamp", {", ".join(FLOATS)} FROM enriched'
 
+SCORABLE = ['"Age"', HR, RR, BT, SPO2, SBP, DBP, '"Derived_BMI"']
+
+# Readings of the odd inputs that are no measured values.
+BAD_VALUE = "(track = 'click' AND seq % 50 IN (1, 2, 3))"
+
+
+def without_bad(ctes):
+    """The same definitions over readings that have a measured value and a right year."""
+    return ctes.replace("readings AS (", "all_readings AS (", 1).replace(
+        "wide AS (", f"readings AS (SELECT * FROM all_readings WHERE NOT {BAD_VALUE} AND seq % 400 <> 7),\nwide AS (", 1)
+
+
+TRACK_NAME = ("CASE track WHEN 'view' THEN 'Solar8000/ART_DBP' WHEN 'purchase' THEN 'Solar8000/ART_SBP' "
+              "WHEN 'click' THEN 'Solar8000/HR' WHEN 'error' THEN 'Solar8000/BT' WHEN 'signup' THEN 'Solar8000/VENT_RR' "
+              "ELSE 'Solar8000/PLETH_SPO2' END")
+
 RISK = "CASE WHEN quality = 1 THEN 'Low Risk' WHEN quality = 0 THEN 'High Risk' END"
 
 RULED = f"""
@@ -162,8 +178,43 @@ ORACLES = {
     "rename_reorder": f"""WITH {CLINICAL} SELECT caseid, age AS "Age", sex AS "Gender", height AS "Height",
         weight AS "Weight" FROM clinical""",
     "prepared_samples": f"WITH {PREPARED} SELECT {MESSAGE} FROM prepared",
-    "publish_route": f"""WITH {PREPARED} SELECT 'patient.vitals' AS tag, 'vitals' AS topic, caseid AS key,
-        "timestamp", CAST({HR} AS VARCHAR) AS heart_rate FROM prepared""",
+    "publish_route": f"""WITH {PREPARED} SELECT caseid, "Age", "Gender", CAST("Height" AS VARCHAR) AS "Height",
+        "Weight", {each('CAST({c} AS VARCHAR) AS {c}')}, "timestamp",
+        row_number() OVER (PARTITION BY caseid ORDER BY "timestamp") - 1 AS position FROM prepared""",
+    "prepare_with_bad_values": f"WITH {without_bad(PREPARED)} SELECT {MESSAGE} FROM prepared",
+    "trend_with_bad_values": f"""WITH {LONG}, odd AS (SELECT caseid, event_ts, vital, CASE
+          WHEN vital <> 'Heart Rate' OR CAST(caseid AS BIGINT) % 5 > 2 THEN value
+          WHEN CAST(caseid AS BIGINT) % 5 = 1 THEN CAST(CAST(1e12 AS FLOAT) AS DOUBLE)
+          WHEN CAST(caseid AS BIGINT) % 5 = 2 THEN 3e9 END AS value FROM vital_rows)
+        SELECT caseid, time_bucket(INTERVAL 1 DAY, event_ts) AS window_start, vital,
+          CAST(sum(CAST(value AS DECIMAL(28,9))) AS DOUBLE) / nullif(count(value), 0) AS mean,
+          min(value) AS low, max(value) AS high, count(value) AS n
+        FROM odd GROUP BY ALL HAVING count(value) > 0""",
+    "grid_outlier_times": f"""WITH {READINGS}, good AS (SELECT * FROM readings WHERE NOT {BAD_VALUE}),
+        near AS (SELECT caseid, min(time_bucket(INTERVAL 6 HOUR, t)) AS a, max(time_bucket(INTERVAL 6 HOUR, t)) AS b
+          FROM good WHERE seq % 400 <> 7 GROUP BY caseid),
+        far AS (SELECT caseid, count(*) AS n_far FROM good WHERE seq % 400 = 7 GROUP BY caseid)
+        SELECT caseid, CAST(date_diff('hour', a, b) / 6 + 1 AS BIGINT) AS n_slots, coalesce(n_far, 0) AS n_far
+        FROM near LEFT JOIN far USING (caseid)""",
+    "row_accounting": f"""WITH {READINGS}, r AS (SELECT * FROM readings WHERE seq % 400 <> 7 AND NOT (track = 'click' AND seq % 50 = 1))
+        SELECT CASE WHEN {BAD_VALUE} THEN 'value out of range' WHEN CAST(caseid AS BIGINT) % 7 = 0
+          OR caseid NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer) THEN 'no clinical row'
+          ELSE 'prepared' END AS fate, count(*) AS n FROM r GROUP BY ALL""",
+    "clinical_csv_lookup": f"""WITH {CLINICAL}, rows_of_both AS (SELECT * FROM clinical UNION ALL
+          SELECT caseid, '99', sex, height, weight FROM clinical WHERE CAST(caseid AS BIGINT) % 3 = 0)
+        SELECT caseid, min(age) AS age, any_value(sex) AS sex, any_value(height) AS height, any_value(weight) AS weight
+        FROM rows_of_both WHERE CAST(caseid AS BIGINT) % 5 = 1 AND CAST(caseid AS BIGINT) < 2000 GROUP BY caseid""",
+    "read_tracks": f"""WITH {READINGS}, n AS (SELECT caseid, {TRACK_NAME} AS track,
+          CASE WHEN seq % 11 <> 0 THEN value END AS value FROM readings)
+        SELECT caseid, track, count(*) AS n, count(value) AS n_values, max(value) AS high FROM n GROUP BY ALL""",
+    "ml_score_batch": f"""SELECT doc_id, {RISK} AS "Risk Category", true AS known_label, true AS same_as_before_saving
+        FROM labels WHERE CAST('0x' || substr(md5('1234:' || doc_id), 1, 8) AS BIGINT) / 4294967296.0 >= 0.7""",
+    "ml_importances": """SELECT unnest(['characters', 'words', 'newlines', 'digits', 'capitals', 'punctuation',
+        'distinct_words', 'white_space']) AS feature, true AS valid, CAST(1 AS DOUBLE) AS total""",
+    "stream_score_append": f"""WITH {ENRICHED} SELECT caseid, "Gender", "timestamp", {", ".join(FLOATS)}, true AS known_label
+        FROM enriched WHERE {" AND ".join(f"{c} IS NOT NULL" for c in SCORABLE)}""",
+    "stream_restart_scores_once": f"""WITH {ENRICHED} SELECT caseid || '|' || "timestamp" AS document_id, event_ts
+        FROM enriched WHERE {" AND ".join(f"{c} IS NOT NULL" for c in SCORABLE)}""",
     "multi_patient_union": f"""WITH {READINGS} SELECT caseid, count(*) AS n_readings, min(t) AS first_t,
         max(t) AS last_t, max(value) AS high FROM readings GROUP BY caseid""",
     "json_roundtrip": f"""WITH {PREPARED} SELECT caseid, "Age", "Gender", CAST("Height" AS VARCHAR) AS "Height",

@@ -14,18 +14,18 @@ from pyspark.sql import SparkSession
 from .operators.messages import decode, encode
 from .operators.monitor import recent_means, risk_share, trend, with_bands, with_event_time
 from .operators.routing import routed
-from .plans.prepare import prepare
+from .plans.prepare import prepare, set_aside
 from .plans.publish import publish
 from .plans.training import evaluate, importances, left_out, preview, train_and_test
 from .schemas import ENCODED_LABEL, ENVELOPE_SCHEMA, LABEL
-from .session import new_dir, use_utc
+from .session import job_dir, new_dir, use_utc
 from .settings import JobSettings
 from .sources.files import read_clinical, read_readings, read_training, require_rows
 from .sources.models import load_model, save_model
 from .sources.topics import kafka_options, read_topic, write_topic
-from .streaming.delivery import deliver, replace_batch
+from .streaming.delivery import UPSERT, deliver, replace_batch
 from .streaming.replay import start_replay, write_replay_table
-from .streaming.scoring import start_quarantine, start_scoring
+from .streaming.scoring import start_scoring_job
 
 INDEX_FORMAT = "org.elasticsearch.spark.sql"
 
@@ -42,18 +42,25 @@ def train(spark, settings, args):
 
 def publish_samples(spark, settings, args):
     readings = read_readings(spark, args.readings)
-    samples = prepare(readings, read_clinical(spark, args.clinical), args.base, case_ids=settings.case_ids)
+    clinical = read_clinical(spark, args.clinical)
+    samples = prepare(readings, clinical, args.base, case_ids=settings.case_ids)
     routes = {"patient.vitals": settings.topic}
+    aside = args.aside or job_dir(spark, "publish-aside", args.readings, args.path or settings.topic)
+    unplaced, unknown = set_aside(readings, clinical)
+    unplaced.write.mode("overwrite").parquet(f"{aside}/readings")
+    unknown.write.mode("overwrite").parquet(f"{aside}/cases")
     if args.path:
-        publish(samples, "parquet", path=args.path, routes=routes)
+        publish(samples, "parquet", path=args.path, routes=routes, aside=f"{aside}/messages")
     else:
-        publish(samples, "kafka", {"kafka.bootstrap.servers": settings.kafka_servers}, routes=routes)
+        publish(samples, "kafka", {"kafka.bootstrap.servers": settings.kafka_servers}, routes=routes, aside=f"{aside}/messages")
+    print(f"set aside: {aside}")
 
 
 def replay(spark, settings, args):
     table = new_dir(spark, "replay")
     messages = decode(spark.read.schema(ENVELOPE_SCHEMA).parquet(args.topic_path))
-    write_replay_table(encode(messages), table, args.base)
+    unsent = args.unsent or job_dir(spark, "replay-unsent", args.topic_path, args.path or settings.topic)
+    write_replay_table(encode(messages), table, args.base, unsent=unsent)
     kafka = {"kafka.bootstrap.servers": settings.kafka_servers}
 
     def send(rows, batch_id):
@@ -63,8 +70,8 @@ def replay(spark, settings, args):
         else:
             write_topic(rows, "kafka", kafka)
 
-    dead = args.dead_letters or new_dir(spark, "dead-letters")
-    progress = args.checkpoint or new_dir(spark, "progress")
+    dead = args.dead_letters or job_dir(spark, "replay-dead", args.topic_path, args.path or settings.topic)
+    progress = args.checkpoint or job_dir(spark, "replay-progress", args.topic_path, args.path or settings.topic)
     start_replay(spark, table, deliver(send, dead), progress).awaitTermination()
 
 
@@ -74,17 +81,19 @@ def score_topic(spark, settings, args):
         envelope = read_topic(spark, "parquet", path=args.topic_path)
     else:
         envelope = read_topic(spark, "kafka", kafka_options(
-            settings.kafka_servers, settings.topic, settings.fail_on_data_loss))
-    progress = args.checkpoint or new_dir(spark, "progress")
+            settings.kafka_servers, settings.topic, settings.fail_on_data_loss, settings.starting_offsets))
+    names = (args.topic_path or settings.topic, args.path or settings.index)
+    progress = args.checkpoint or job_dir(spark, "score-progress", *names)
+    quarantine = args.quarantine or job_dir(spark, "score-quarantine", *names)
+    dead = args.dead_letters or job_dir(spark, "score-dead", *names)
+
+    def to_index(rows, batch_id):
+        rows.write.format(INDEX_FORMAT).options(**settings.index_options(), **UPSERT).mode("append").save()
+
+    write = replace_batch(args.path) if args.path else to_index
     trigger = {"availableNow": True} if args.once else None
-    sink, options = ("parquet", None) if args.path else (INDEX_FORMAT, settings.index_options())
-    running = [start_scoring(envelope, model, sink, f"{progress}/scored", options, args.path, trigger)]
-    if args.quarantine:
-        running.append(start_quarantine(envelope, args.quarantine, f"{progress}/quarantine", trigger=trigger))
-    if not args.once:
-        spark.streams.awaitAnyTermination()
-    for job in running:
-        job.awaitTermination()
+    print(f"set aside: {quarantine}, {dead}")
+    start_scoring_job(envelope, model, write, quarantine, dead, progress, trigger).awaitTermination()
 
 
 def monitor(spark, settings, args):
@@ -111,19 +120,22 @@ def parser():
     job.add_argument("clinical")
     job.add_argument("--base", required=True, help="time of the first sample, UTC")
     job.add_argument("--path", help="write files instead of Kafka")
+    job.add_argument("--aside", help="folder for rejected cases, readings and messages")
     job.set_defaults(run=publish_samples)
     job = jobs.add_parser("replay")
     job.add_argument("topic_path")
     job.add_argument("--base", required=True, help="time of the first sample, UTC")
     job.add_argument("--path", help="write files instead of Kafka")
+    job.add_argument("--unsent", help="folder for messages without a place in the replay")
     job.add_argument("--dead-letters", help="folder for what could not be sent")
-    job.add_argument("--checkpoint", help="shared folder; keep it to go on after a restart")
+    job.add_argument("--checkpoint", help="shared folder; by default one that follows from topic and sink")
     job.set_defaults(run=replay)
     job = jobs.add_parser("score")
     job.add_argument("--topic-path", help="read files instead of Kafka")
     job.add_argument("--path", help="write files instead of the search index")
     job.add_argument("--quarantine", help="folder for the rows that cannot be scored")
-    job.add_argument("--checkpoint", help="shared folder; keep it to go on after a restart")
+    job.add_argument("--dead-letters", help="folder for batches that could not be written")
+    job.add_argument("--checkpoint", help="shared folder; by default one that follows from topic and sink")
     job.add_argument("--once", action="store_true", help="stop when all present messages are scored")
     job.set_defaults(run=score_topic)
     job = jobs.add_parser("monitor")

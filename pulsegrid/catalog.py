@@ -1,6 +1,7 @@
 """One query per operator over the given tables; ``QUERIES`` maps its name to ``(spark, sf_dir) -> DataFrame``."""
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .functions import as_double, as_float, as_int, round_half_up, round_to_int, round_to_tenth, slot_start
@@ -18,13 +19,13 @@ from .operators.quarantine import quarantined
 from .operators.routing import union_inputs
 from .plans import prepare as P
 from .plans import training as T
-from .plans.publish import messages_of, publish
+from .plans.publish import publish
 from .plans.scoring import score_enriched
-from .schemas import (ENCODED_LABEL, FLOAT_COLUMNS, HIGH_RISK, LABEL, LOW_RISK, MESSAGE_COLUMNS, TRAINING_SCHEMA,
-                      VITALS)
+from .schemas import (ENCODED_LABEL, ENVELOPE_SCHEMA, FLOAT_COLUMNS, HIGH_RISK, LABEL, LOW_RISK, MESSAGE_COLUMNS,
+                      SCORED_COLUMNS, TRAINING_SCHEMA, VITALS)
 from .session import new_dir, stored, use_utc
 from .sources import standins as S
-from .sources.files import read_training, write_training
+from .sources.files import read_clinical, read_readings, read_training, write_training
 from .sources.models import load_model, save_model
 from .sources.topics import read_topic
 from .streaming import arrivals, delivery, monitor, scoring
@@ -73,11 +74,19 @@ def rule_predictions(spark, sf_dir):
     return L.index_labels(rows)
 
 
-def topic(spark, sf_dir):
-    """All prepared samples as a published topic, read as a stream."""
+#: Messages of two days are published together; a stream waits for as long, and a window more.
+TOPIC_BLOCK_SECONDS = 2 * 86400
+DELAY = "3 days"
+ONE_FILE = {"maxFilesPerTrigger": 1}
+
+
+def topic(spark, sf_dir, options=None, times=1):
+    """All prepared samples as a published topic, read as a stream; ``times`` over, if asked for."""
     path = new_dir(spark, "topic")
-    publish(samples(spark, sf_dir), "parquet", path=path)
-    return read_topic(spark, "parquet", path=path)
+    rows = stored(samples(spark, sf_dir), "samples")
+    for _ in range(times):
+        publish(rows, "parquet", path=path, block_seconds=TOPIC_BLOCK_SECONDS)
+    return read_topic(spark, "parquet", options, path)
 
 
 def vital_model(rows):
@@ -184,15 +193,93 @@ def prepared_samples(spark, sf_dir):
     return samples(spark, sf_dir)
 
 
+# ---- Odd inputs ----
+
+def odd_readings(spark, sf_dir):
+    """Readings with NaN, values no vital has, and a few wrong years."""
+    n = F.col("seq") % 50
+    pulse = F.col("track") == "Solar8000/HR"
+    value = (F.when(pulse & (n == 1), F.lit(float("nan"))).when(pulse & (n == 2), 1e12).when(pulse & (n == 3), 3e9)
+             .otherwise(F.col("value")))
+    t = F.when(F.col("seq") % 400 == 7, F.col("t") - F.expr("INTERVAL 60 YEARS")).otherwise(F.col("t"))
+    return readings(spark, sf_dir).withColumns({"value": value, "t": t})
+
+
+@query
+def prepare_with_bad_values(spark, sf_dir):
+    """The preparation over readings of which some are NaN or far too large."""
+    rows = odd_readings(spark, sf_dir).where(F.col("seq") % 400 != 7)
+    return P.prepare(rows, clinical(spark, sf_dir), S.BASE, S.STEP_SECONDS)
+
+
+@query
+def trend_with_bad_values(spark, sf_dir):
+    """Daily trends of messages whose heart rate is, for some cases, NaN or a huge number."""
+    n = F.col("caseid").cast("long") % 5
+    pulse = F.when(n == 0, "NaN").when(n == 1, "1e12").when(n == 2, "3e9").otherwise(F.col("Heart Rate"))
+    rows = M.decode(M.encode(samples(spark, sf_dir))).withColumn("Heart Rate", pulse)
+    return zoneless(V.trend(V.with_event_time(enrich(rows)), "1 day"), "window_start")
+
+
+@query
+def grid_outlier_times(spark, sf_dir):
+    """Rows of each case's grid and its readings set aside, where some readings are sixty years early."""
+    rows = odd_readings(spark, sf_dir)
+    extent = G.case_extent(rows, S.STEP_SECONDS, span_slots=0)
+    far = G.outlying_readings(rows, S.STEP_SECONDS, span_slots=0).groupBy("caseid").agg(F.count("*").alias("n_far"))
+    n = F.col("last_slot") - F.col("first_slot") + 1
+    return extent.join(far, "caseid", "left").select("caseid", n.alias("n_slots"), F.coalesce("n_far", F.lit(0)).alias("n_far"))
+
+
+@query
+def row_accounting(spark, sf_dir):
+    """Readings by what became of them; the parts sum to all readings with a value."""
+    rows = odd_readings(spark, sf_dir).where(F.col("seq") % 400 != 7)
+    known = clinical(spark, sf_dir).where(F.col("caseid").cast("long") % 7 != 0)
+    unplaced, unknown = P.set_aside(rows, known, S.STEP_SECONDS)
+    kept = rows.where(G.usable()).join(known.select("caseid"), "caseid", "left_semi")
+    parts = [kept.agg(F.count("*").alias("n")).select(F.lit("prepared").alias("fate"), "n"),
+             unplaced.groupBy(F.col("reason").alias("fate")).agg(F.count("*").alias("n")),
+             unknown.groupBy(F.col("reason").alias("fate")).agg(F.sum("n_readings").alias("n"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def clinical_csv_lookup(spark, sf_dir):
+    """Clinical rows from a folder of files with ids like 007 and repeats, for a list of cases."""
+    rows = clinical(spark, sf_dir)
+    path = new_dir(spark, "clinical-csv")
+    padded = rows.withColumn("caseid", F.lpad("caseid", 9, "0"))
+    later = rows.where(F.col("caseid").cast("long") % 3 == 0).withColumn("age", F.lit("99"))
+    for part in (padded, later):
+        part.repartition(3).write.option("header", True).mode("append").csv(path)
+    ids = range(1, 2000, 5)
+    return C.first_per_case(C.select_cases(read_clinical(spark, path), ids))
+
+
+@query
+def read_tracks(spark, sf_dir):
+    """A long table with other tracks and NaN, read as readings."""
+    path = new_dir(spark, "tracks")
+    rows = readings(spark, sf_dir)
+    other = rows.where(F.col("seq") % 3 == 0).withColumn("track", F.lit("Solar8000/OTHER"))
+    nan = F.when(F.col("seq") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    rows.withColumn("value", nan).unionByName(other).write.parquet(path)
+    return read_readings(spark, path).groupBy("caseid", "track").agg(
+        F.count("*").alias("n"), F.count("value").alias("n_values"), F.max("value").alias("high"))
+
+
 # ---- Publish and decode ----
 
 @query
 def publish_route(spark, sf_dir):
-    """Messages with topic and key, in time order inside each case."""
-    rows = messages_of(samples(spark, sf_dir))
-    body = F.col("value").cast("string")
-    return rows.select("tag", "topic", F.col("key").cast("string").alias("key"), "timestamp",
-                       F.get_json_object(body, "$['Heart Rate']").alias("heart_rate"))
+    """Messages published to files, read back with their place: the block of time and the position inside the case."""
+    path = new_dir(spark, "topic")
+    publish(samples(spark, sf_dir), "parquet", path=path, block_seconds=TOPIC_BLOCK_SECONDS)
+    sent = spark.read.schema(ENVELOPE_SCHEMA).parquet(path)
+    rows = M.decode(sent).select(*MESSAGE_COLUMNS)
+    place = Window.partitionBy("caseid").orderBy("timestamp")
+    return rows.withColumn("position", F.row_number().over(place) - 1)
 
 
 @query
@@ -304,22 +391,27 @@ def topk_preview(spark, sf_dir):
 
 @query
 def ml_score_batch(spark, sf_dir):
-    """Fit on the training rows, save, load, score the held-out rows."""
+    """Fit on the training rows, save, load, score the held-out rows, and compare with the model that was saved."""
     rows = T.complete_rows(stored(T.spread(documents(spark, sf_dir)), "training"), S.TEXT_FEATURES)
     training, test = L.hash_split(rows, ["doc_id"])
     path = new_dir(spark, "model")
-    save_model(T.fit_risk_model(training, S.TEXT_FEATURES), path)
+    fitted = T.fit_risk_model(training, S.TEXT_FEATURES)
+    save_model(fitted, path)
     model = load_model(path)
-    scored = model.transform(test)
-    return scored.select("doc_id", LABEL, "prediction",
-                         R.risk_label(F.col("prediction"), T.labels_of(model)).alias("Risk Predicted"))
+    before = fitted.transform(test).select("doc_id", F.col("prediction").alias("before"))
+    scored = model.transform(test).join(before, "doc_id")
+    text = R.risk_label(F.col("prediction"), T.labels_of(model))
+    return scored.select("doc_id", LABEL, text.isin(*T.labels_of(model)).alias("known_label"),
+                         (F.col("prediction") == F.col("before")).alias("same_as_before_saving"))
 
 
 @query
 def ml_importances(spark, sf_dir):
-    """Importance of each model input."""
+    """Importance of each model input: all are named, none is negative, and they sum to one."""
     model, _ = T.train_and_test(documents(spark, sf_dir), ["doc_id"], S.TEXT_FEATURES)
-    return T.importances(spark, model, S.TEXT_FEATURES)
+    found = T.importances(spark, model, S.TEXT_FEATURES)
+    total = F.round(F.sum("importance").over(Window.partitionBy()), 9)
+    return found.select("feature", (F.col("importance") >= 0).alias("valid"), total.alias("total"))
 
 
 # ---- Score ----
@@ -393,6 +485,27 @@ def stream_decode_enrich(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(path).select("caseid", "Gender", "timestamp", *FLOAT_COLUMNS)
 
 
+def plain_scored(rows):
+    """Scored documents with, in the place of the model's text, whether it is one of the two labels."""
+    return rows.select(*SCORED_COLUMNS[:-1], F.col("Risk Predicted").isin(HIGH_RISK, LOW_RISK).alias("known_label"))
+
+
+@query
+def stream_restart_scores_once(spark, sf_dir):
+    """A scoring job that is stopped, finds new files and starts again: every document once, by its id."""
+    rows = stored(samples(spark, sf_dir), "samples")
+    model = vital_model(T.spread(enrich(rows)))
+    at = {name: new_dir(spark, name) for name in ("topic", "scored", "aside", "dead", "progress")}
+    for half in (0, 1):
+        publish(rows.where(F.col("caseid").cast("long") % 2 == half), "parquet", path=at["topic"],
+                block_seconds=TOPIC_BLOCK_SECONDS)
+        for _ in range(2):
+            finish(scoring.start_scoring_job(
+                read_topic(spark, "parquet", path=at["topic"]), model, delivery.replace_batch(at["scored"]), at["aside"],
+                at["dead"], at["progress"], TRIGGER))
+    return spark.read.parquet(at["scored"]).select("document_id", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
+
+
 @query
 def stream_score_append(spark, sf_dir):
     """A topic scored as a stream and appended to a table."""
@@ -400,7 +513,7 @@ def stream_score_append(spark, sf_dir):
     path = new_dir(spark, "scored")
     finish(scoring.start_scoring(topic(spark, sf_dir), model, "parquet", new_dir(spark, "progress"), path=path,
                                  trigger=TRIGGER))
-    return spark.read.parquet(path)
+    return plain_scored(spark.read.parquet(path))
 
 
 def _updates(spark, aggregates, keys):
@@ -411,28 +524,24 @@ def _updates(spark, aggregates, keys):
 
 @query
 def stream_trend(spark, sf_dir):
-    """Daily trend of a topic."""
-    rows = V.with_event_time(enrich(M.decode(topic(spark, sf_dir))))
-    latest = _updates(spark, monitor.trend_stream(rows, "1 day"), ["caseid", "window_start", "vital"])
+    """Daily trend of a topic, a file per micro-batch."""
+    rows = V.with_event_time(enrich(M.decode(topic(spark, sf_dir, ONE_FILE))))
+    latest = _updates(spark, monitor.trend_stream(rows, "1 day", DELAY), ["caseid", "window_start", "vital"])
     return zoneless(latest, "window_start")
 
 
 @query
 def stream_gauge(spark, sf_dir):
-    """Sliding mean of a topic."""
-    rows = V.with_event_time(enrich(M.decode(topic(spark, sf_dir))))
-    latest = _updates(spark, monitor.gauge_stream(rows, "1 day", "12 hours"), ["caseid", "window_start", "vital"])
+    """Sliding mean of a topic, a file per micro-batch."""
+    rows = V.with_event_time(enrich(M.decode(topic(spark, sf_dir, ONE_FILE))))
+    latest = _updates(spark, monitor.gauge_stream(rows, "1 day", "12 hours", DELAY), ["caseid", "window_start", "vital"])
     return zoneless(latest, "window_start")
 
 
 @query
 def stream_drop_repeats(spark, sf_dir):
-    """A topic in which every message was sent twice, each kept once."""
-    path = new_dir(spark, "topic")
-    rows = samples(spark, sf_dir)
-    for _ in range(2):
-        publish(rows, "parquet", path=path)
-    once = arrivals.drop_repeats(arrivals.decoded_with_time(read_topic(spark, "parquet", path=path)))
+    """A topic in which every message was sent twice, in differing micro-batches, each kept once."""
+    once = arrivals.drop_repeats(arrivals.decoded_with_time(topic(spark, sf_dir, ONE_FILE, times=2)), DELAY)
     out = new_dir(spark, "once")
     finish(delivery.start_append(once.select(*MESSAGE_COLUMNS), "parquet", new_dir(spark, "progress"), path=out,
                                  trigger=TRIGGER))

@@ -18,3 +18,8 @@ def as_int(c):
 def blank_nan(c):
     """NaN marks a missing reading; Spark's NULL takes its place."""
     return F.when(~F.isnan(c), c)
+
+
+def finite(c):
+    """NULL for NaN and the infinities, which are no measured values."""
+    return F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)

@@ -14,7 +14,8 @@ def round_half_up(x, places=2):
 
 
 def round_to_int(x):
-    return F.rint(x).cast("int")
+    """NULL where the whole number has no place in 32 bits."""
+    return F.rint(x).try_cast("int")
 
 
 def round_to_tenth(x):

@@ -6,6 +6,12 @@ from pyspark.sql import functions as F
 from ..schemas import CLINICAL_COLUMNS
 
 
+def case_key(c):
+    """Case ids are compared as numbers: "007" is case 7; an id that is no number stays as it is."""
+    number = c.try_cast("bigint")
+    return F.coalesce(number.cast("string"), c.cast("string"))
+
+
 def select_cases(clinical, case_ids=None):
     """The five kept columns, for all cases or those asked for.
 

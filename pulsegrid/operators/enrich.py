@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import as_double, as_float, body_mass_index, mean_arterial_pressure, pulse_pressure
+from ..functions import as_double, as_float, body_mass_index, finite, mean_arterial_pressure, pulse_pressure
 from ..schemas import FLOAT_COLUMNS
 
 
@@ -18,8 +18,8 @@ def derive(rows):
 
 
 def cast_floats(rows, columns=FLOAT_COLUMNS):
-    """All numeric columns to FLOAT in one projection; unreadable text becomes NULL."""
-    return rows.withColumns({c: as_float(F.col(c)) for c in columns})
+    """All numeric columns to FLOAT in one projection; unreadable text, and text for no finite number, becomes NULL."""
+    return rows.withColumns({c: finite(as_float(F.col(c))) for c in columns})
 
 
 def enrich(rows):

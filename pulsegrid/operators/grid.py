@@ -17,6 +17,11 @@ from ..functions import slot_of
 from ..schemas import TRACK_COLUMNS
 
 BLOCK_SLOTS = 1 << 16
+#: Slots on both sides of a case's fullest block that its grid may cover: 12 days at a step of 2 seconds.
+SPAN_SLOTS = 8 * BLOCK_SLOTS
+_FAR_BLOCK = 1 << 45  # beyond any block of a timestamp
+#: No vital is that large; such a reading is set aside.
+MOST_VALUE = 1e9
 
 
 def block_of(slot):
@@ -24,22 +29,58 @@ def block_of(slot):
 
 
 def _placed(readings, step_seconds):
-    """Non-empty readings of known cases with their slot.
+    """Usable readings of wanted tracks and known cases with their slot; ``unusable_readings`` has the others.
 
     The NULL tests are those that a join on (caseid, block) brings along. With them here, a plan that uses the
     samples twice, for the means and for the rows, has equal branches and shuffles the readings once.
     """
     rows = readings.select("caseid", slot_of(F.col("t"), step_seconds).alias("slot"), "track", "seq", "value")
-    filled = F.col("value").isNotNull() & ~F.isnan("value")
-    return rows.where(filled & F.col("caseid").isNotNull() & F.col("slot").isNotNull())
+    return rows.where(usable("slot"))
 
 
-def case_extent(readings, step_seconds):
-    """(caseid, first_slot, last_slot): one row per case, combined on the map side."""
-    return (
-        _placed(readings, step_seconds).select("caseid", "slot")
-        .groupBy("caseid").agg(F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
-    )
+def usable(time="t"):
+    """A measured value of a wanted track with a case and a time; NaN is a gap, not a value."""
+    measured = F.col("track").isin(list(TRACK_COLUMNS)) & (F.abs("value") < MOST_VALUE)
+    return measured & F.col("caseid").isNotNull() & F.col(time).isNotNull()
+
+
+def unusable_readings(readings):
+    """Readings of wanted tracks that the grid leaves out, with ``reason``; an empty value is a gap, not a reading."""
+    value = F.col("value")
+    reason = (F.when(F.col("caseid").isNull(), "no case").when(F.col("t").isNull(), "no time")
+              .when(~(F.abs(value) < MOST_VALUE) & ~F.isnan(value), "value out of range"))
+    wanted = F.col("track").isin(list(TRACK_COLUMNS)) & value.isNotNull() & ~F.isnan(value)
+    return readings.where(wanted).withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def case_blocks(readings, step_seconds, span_slots=SPAN_SLOTS):
+    """(caseid, block, low, high): the blocks of a case that its grid covers, combined on the map side.
+
+    These are its fullest block (of equals the first) and those at most ``span_slots`` away. A reading with a wrong time
+    would have the grid of its case filled over years; such readings lie elsewhere, see ``outlying_readings``.
+    """
+    rows = _placed(readings, step_seconds).select("caseid", "slot", block_of(F.col("slot")).alias("block"))
+    blocks = rows.groupBy("caseid", "block").agg(
+        F.min("slot").alias("low"), F.max("slot").alias("high"), F.count("*").alias("n"))
+    # Count above, block below in one number, so that the fullest one is a plain maximum.
+    shift = F.lit(2 * _FAR_BLOCK).cast("decimal(15,0)")
+    packed = F.col("n").cast("decimal(20,0)") * shift + (F.lit(_FAR_BLOCK) - F.col("block"))
+    fullest = blocks.groupBy("caseid").agg((F.lit(_FAR_BLOCK) - (F.max(packed) % shift).cast("long")).alias("fullest"))
+    near = F.abs(F.col("block") - F.col("fullest")) * BLOCK_SLOTS <= span_slots
+    return blocks.join(fullest, "caseid").where(near).select("caseid", "block", "low", "high")
+
+
+def case_extent(readings, step_seconds, span_slots=SPAN_SLOTS):
+    """(caseid, first_slot, last_slot): one row per case."""
+    return case_blocks(readings, step_seconds, span_slots).groupBy("caseid").agg(
+        F.min("low").alias("first_slot"), F.max("high").alias("last_slot"))
+
+
+def outlying_readings(readings, step_seconds, span_slots=SPAN_SLOTS):
+    """Usable readings too far from the rest of their case to be put on its grid, with ``reason``."""
+    covered = case_blocks(readings, step_seconds, span_slots).select("caseid", "block")
+    rows = _placed(readings, step_seconds).withColumn("block", block_of(F.col("slot")))
+    return rows.join(covered, ["caseid", "block"], "left_anti").drop("block").withColumn("reason", F.lit("time far from the case"))
 
 
 def keep_middle(extent, dropped_share=0.25):

@@ -6,9 +6,14 @@ from pyspark.sql import functions as F
 def exact_mean(c):
     """Mean over decimals with nine places: equal for any order and partitioning of the rows.
 
-    Values reach to 10^9; a larger one is an error, not a silent gap.
+    Values that no such decimal can hold, not finite or from 10^19 up, are neither summed nor counted.
     """
-    return F.try_divide(F.sum(c.cast("decimal(18,9)")).cast("double"), F.count(c))
+    exact = summable(c)
+    return F.try_divide(F.sum(exact).cast("double"), F.count(exact))
+
+
+def summable(c):
+    return c.cast("double").try_cast("decimal(28,9)")
 
 
 def mean_name(column):

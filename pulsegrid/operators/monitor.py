@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import event_time
 from ..schemas import VITALS
-from .impute import exact_mean
+from .impute import exact_mean, summable
 
 # (green from, green to, yellow from, yellow to); outside yellow is red. Our choice of limits, to be replaced by
 # the ward's own.
@@ -43,15 +43,17 @@ def trend(rows, width, slide=None, columns=VITALS):
     for c in columns:
         aggregates += [exact_mean(F.col(c)).alias(f"mean {c}"),
                        F.min(c).cast("double").alias(f"low {c}"),
-                       F.max(c).cast("double").alias(f"high {c}"), F.count(c).alias(f"n {c}")]
+                       F.max(c).cast("double").alias(f"high {c}"), F.count(summable(F.col(c))).alias(f"n {c}")]
     wide = rows.groupBy("caseid", windows.alias("w")).agg(*aggregates)
     wide = wide.withColumn("window_start", F.col("w.start"))
     return _one_row_per_vital(wide, ["caseid", "window_start"], columns, ["mean", "low", "high", "n"])
 
 
 def sliding_means(rows, width, slide, columns=VITALS):
-    """(caseid, window_start, vital, mean): the gauge value at every slide step."""
-    return trend(rows, width, slide, columns).select("caseid", "window_start", "vital", "mean")
+    """(caseid, window_start, vital, mean): the gauge value at every slide step. Only means are aggregated."""
+    wide = rows.groupBy("caseid", F.window("event_ts", width, slide).alias("w")).agg(
+        *[exact_mean(F.col(c)).alias(f"mean {c}") for c in columns])
+    return _one_row_per_vital(wide.withColumn("window_start", F.col("w.start")), ["caseid", "window_start"], columns, ["mean"])
 
 
 def recent_means(rows, interval_seconds, columns=VITALS):

@@ -23,12 +23,9 @@ def unrouted(messages, routes=None):
 
 
 def in_case_order(messages):
-    """Time order inside each case, kept by partition order and by row order inside a partition.
-
-    Ranges of (key, timestamp) split a case that is too long for one task.
-    """
-    return (messages.repartitionByRange("key", "timestamp")
-            .sortWithinPartitions("key", "timestamp"))
+    """Time order inside each case: all messages of a key in one partition, in order. For messages of one block of time, whose
+    length bounds those of a key."""
+    return messages.repartition("key").sortWithinPartitions("key", "timestamp")
 
 
 def union_inputs(first, *others):

@@ -6,9 +6,10 @@ The order matters: trim before the means, means before rounding, time stamps las
 from pyspark.sql import functions as F
 
 from ..functions import iso_millis, metres, round_to_int, round_to_tenth
-from ..operators.clinical import first_per_case, select_cases
+from ..operators.clinical import case_key, first_per_case, select_cases, unknown_cases
 from ..operators.columns import fractional_columns, keys_first, rename_columns
-from ..operators.grid import attach_case_values, case_extent, grid_rows, keep_middle, resample
+from ..operators.grid import (attach_case_values, case_extent, grid_rows, keep_middle, outlying_readings, resample,
+                              unusable_readings, usable)
 from ..operators.impute import case_means, fill_with_means
 from ..schemas import MESSAGE_COLUMNS, VITALS
 
@@ -43,8 +44,9 @@ def prepare(readings, clinical, base, step_seconds=SAMPLE_SECONDS, case_ids=None
     Means and clinical attributes are joined to each other first, one row per case, so that the samples are
     joined once.
     """
+    readings = readings.withColumn("caseid", case_key(F.col("caseid")))
     if case_ids:
-        readings = readings.where(F.col("caseid").isin([str(i) for i in case_ids]))
+        readings = readings.where(F.col("caseid").isin([str(int(i)) for i in case_ids]))
     samples, kept = trimmed_samples(readings, step_seconds)
     attributes = first_per_case(select_cases(clinical, case_ids))
     case_values = kept.join(case_means(samples, VITALS), "caseid").join(attributes, "caseid")
@@ -53,3 +55,14 @@ def prepare(readings, clinical, base, step_seconds=SAMPLE_SECONDS, case_ids=None
     stamped = (round_vitals(named)
                .withColumn("timestamp", iso_millis(sample_time(base, step_seconds))))
     return keys_first(stamped.select(*MESSAGE_COLUMNS))
+
+
+def set_aside(readings, clinical, step_seconds=SAMPLE_SECONDS):
+    """(readings, cases) that ``prepare`` uses for nothing, with ``reason``: readings of wanted tracks that cannot be placed, and
+    cases without a clinical row, which keep their number of usable readings."""
+    readings = readings.withColumn("caseid", case_key(F.col("caseid")))
+    columns = ["caseid", "track", "seq", "value", "reason"]
+    unusable = unusable_readings(readings).select(*columns)
+    outlying = outlying_readings(readings, step_seconds).select(*columns)
+    unknown = unknown_cases(readings.where(usable()), select_cases(clinical))
+    return unusable.unionByName(outlying), unknown

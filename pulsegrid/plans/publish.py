@@ -1,14 +1,41 @@
 """Prepared samples to a message topic."""
 
+from pyspark.sql import functions as F
+
+from ..functions import event_time
 from ..operators.messages import encode
-from ..operators.routing import in_case_order, routed
+from ..operators.routing import in_case_order, routed, unrouted
+from ..session import new_dir
 from ..sources.topics import write_topic
 
+#: Messages of so much time are sent before the next ones.
+BLOCK_SECONDS = 3600
+
 
 def messages_of(samples, routes=None):
     return routed(encode(samples), routes)
 
 
-def publish(samples, fmt="kafka", options=None, path=None, routes=None):
-    """One job for all cases; inside a case the messages keep their time order."""
-    write_topic(in_case_order(messages_of(samples, routes)), fmt, options, path)
+def publish(samples, fmt="kafka", options=None, path=None, routes=None, aside=None, block_seconds=BLOCK_SECONDS):
+    """One block of time after the other, all cases of a block together, so that arrival follows event time.
+
+    A topic's reader may then set a watermark of a block or two without losing a case. Messages are computed once and kept
+    by block in the shared folder; a block is spread by key and in time order inside a key. What has no route or no
+    readable time is not sent; it goes to the table ``aside`` with a reason, or is an error if there is none.
+    """
+    spark = samples.sparkSession
+    at = F.unix_seconds(event_time(F.col("timestamp")))
+    staged = new_dir(spark, "publish")
+    messages = encode(samples).withColumn("block", F.floor(at / block_seconds))
+    messages.repartition("block", "key").write.partitionBy("block").parquet(staged)
+    rows = spark.read.parquet(staged)
+    lost = unrouted(rows.where("block IS NOT NULL"), routes).withColumn("reason", F.lit("no route")).unionByName(
+        rows.where("block IS NULL").withColumn("reason", F.lit("unreadable timestamp")), allowMissingColumns=True)
+    if aside:
+        lost.drop("block").write.mode("append").parquet(aside)
+    elif not lost.isEmpty():
+        raise ValueError("messages without a route or a readable time; name a table to set them aside")
+    blocks = rows.where("block IS NOT NULL").select("block").distinct().orderBy("block").toLocalIterator()
+    for block in blocks:
+        due = routed(rows.where(F.col("block") == block.block), routes)
+        write_topic(in_case_order(due), fmt, options, path)

@@ -1,6 +1,7 @@
 """Session set-up and the shared folder for checkpoints and intermediate tables."""
 
 import atexit
+import hashlib
 import os
 import shutil
 import tempfile
@@ -55,6 +56,12 @@ def new_dir(spark, name):
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def job_dir(spark, *names):
+    """A folder below the shared one that a job finds again after a restart: its name follows from ``names`` alone."""
+    mark = hashlib.sha256("|".join(map(str, names)).encode()).hexdigest()[:16]
+    return f"{shared_dir(spark).rstrip('/')}/{names[0]}-{mark}"
+
+
 def stored(df, name):
     """``df`` written once to the shared folder and read back.
 

@@ -4,6 +4,7 @@ import os
 from dataclasses import dataclass, field
 
 
+# Names of the environment and of the connector's options.
 @dataclass(frozen=True)
 class JobSettings:
     kafka_servers: str = "broker:9092"
@@ -15,6 +16,7 @@ class JobSettings:
     index_user: str = "elastic"
     index_password: str | None = field(default=None, repr=False)
     fail_on_data_loss: bool = True
+    starting_offsets: str = "earliest"
     case_ids: tuple[int, ...] = ()
 
     @classmethod
@@ -30,6 +32,7 @@ class JobSettings:
             index_user=env.get("ELASTIC_USER", cls.index_user),
             index_password=env.get("ELASTIC_PASSWORD"),
             fail_on_data_loss=env.get("FAIL_ON_DATA_LOSS", "true").lower() != "false",
+            starting_offsets=env.get("STARTING_OFFSETS", cls.starting_offsets),
             case_ids=tuple(int(i) for i in ids.split(",") if i.strip()),
         )
 

@@ -14,8 +14,11 @@ def require_rows(df, what):
 
 
 def read_text_csv(spark, path):
-    """A header CSV with all columns as text; Spark drops a leading byte-order mark itself."""
-    return spark.read.option("header", True).csv(path)
+    """A header CSV with all columns as text; Spark drops a leading byte-order mark itself.
+
+    All files must have the same header; a file with another one, also in another order, is an error, not a misread.
+    """
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
 
 
 def read_clinical(spark, path):

@@ -4,6 +4,8 @@
 clinical table. The values are numbers, not physiology; the grid step is 6 hours because a case has a few events a day.
 """
 
+import string
+
 from pyspark.sql import functions as F
 
 from ..functions import as_double
@@ -59,28 +61,29 @@ def training_rows(enriched):
     return named.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in TRAINING_SCHEMA.fields])
 
 
-def text_features(documents):
-    """Eight counts over the whole text of a document."""
+def text_features(documents, *keep):
+    """Eight counts over the whole text of a document, and the columns to keep."""
     text = F.col("text")
     words = F.split(F.trim(text), "[ \\t\\n\\r]+")
 
-    def count_of(pattern):
-        return F.regexp_count(text, F.lit(pattern)).cast("double")
+    def count_of(characters):
+        return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("double")
 
     return documents.select(
         "doc_id", F.length(text).cast("double").alias("characters"),
-        F.size(words).cast("double").alias("words"), count_of("\\n").alias("newlines"),
-        count_of("[0-9]").alias("digits"), count_of("[A-Z]").alias("capitals"),
-        count_of("[!-/:-@\\[-`{-~]").alias("punctuation"),
+        F.size(words).cast("double").alias("words"), count_of("\n").alias("newlines"),
+        count_of(string.digits).alias("digits"), count_of(string.ascii_uppercase).alias("capitals"),
+        count_of(string.punctuation).alias("punctuation"),
         F.size(F.array_distinct(words)).cast("double").alias("distinct_words"),
-        count_of("[ \\t\\n\\r]").alias("white_space"),
+        count_of(" \t\n\r").alias("white_space"), *keep,
     )
 
 
 def labelled_documents(documents, labels):
     """Text features with a label: quality 1 as low risk, 0 as high risk."""
     risk = F.when(F.col("quality") == 1, LOW_RISK).when(F.col("quality") == 0, HIGH_RISK)
-    return text_features(documents).join(labels.select("doc_id", risk.alias(LABEL)), "doc_id")
+    labelled = documents.join(labels.select("doc_id", risk.alias(LABEL)), "doc_id")
+    return text_features(labelled, LABEL)
 
 
 def rule_predictions(documents, labels):

@@ -3,8 +3,10 @@
 from ..schemas import ENVELOPE_SCHEMA
 
 
-def kafka_options(servers, topic, fail_on_data_loss=True):
+def kafka_options(servers, topic, fail_on_data_loss=True, starting_offsets="earliest"):
+    """``starting_offsets`` counts only for a new checkpoint; "latest" skips what came while no job was there."""
     return {
+        "startingOffsets": starting_offsets,
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "failOnDataLoss": str(fail_on_data_loss).lower(),

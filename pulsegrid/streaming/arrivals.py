@@ -1,5 +1,7 @@
 """Decoded message streams: event time, repeats, clinical attributes."""
 
+from pyspark.sql import functions as F
+
 from ..operators.messages import decode
 from ..operators.monitor import with_event_time
 
@@ -8,9 +10,12 @@ def decoded_with_time(envelope):
     return with_event_time(decode(envelope))
 
 
-def drop_repeats(rows, delay="1 hour"):
+def drop_repeats(rows, delay):
     """One row per case and event time: a record that was sent again within ``delay`` is dropped.
 
+    ``delay`` must cover how far arrival may lag behind event time, a block of ``publish`` at least: rows behind the
+    watermark are dropped too, and counted in the query's progress (see ``monitor.rows_behind``); ``not_in`` finds them.
+
     Rows without an event time are left out; set them aside with ``untimed``.
     """
     rows = rows.where(rows["event_ts"].isNotNull())
@@ -20,3 +25,8 @@ def drop_repeats(rows, delay="1 hour"):
 def attach_clinical(rows, clinical_per_case):
     """Stream-static join with the clinical table, one row per case."""
     return rows.join(clinical_per_case, "caseid")
+
+
+def not_in(rows, kept, keys=("caseid", "timestamp")):
+    """Rows of a topic, read as a table, that a stream over it has not kept: those behind its watermark, with a reason."""
+    return rows.join(kept.select(*keys), list(keys), "left_anti").withColumn("reason", F.lit("behind the watermark"))

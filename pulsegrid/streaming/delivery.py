@@ -1,6 +1,7 @@
 """Sinks: plain append, and a writer with bounded retries and a dead-letter table."""
 
 import time
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -27,7 +28,8 @@ def deliver(write, dead_letters, tries=5, pause_seconds=2.0):
     """A ``foreachBatch`` function: up to ``tries`` attempts, then the batch goes to the dead-letter table.
 
     ``write(rows, batch_id)`` may run again for the same batch, after a failure or a restart, so it should replace what it
-    wrote before. If the dead-letter table cannot be written either, the query fails and keeps its place.
+    wrote before. Dead letters are kept by run and batch, so no run replaces those of another. If the dead-letter table
+    cannot be written either, the query fails and keeps its place.
     """
     def run(rows, batch_id):
         for attempt in range(tries):
@@ -37,8 +39,10 @@ def deliver(write, dead_letters, tries=5, pause_seconds=2.0):
                 return write(rows, batch_id)
             except Exception as failure:
                 reason = f"{type(failure).__name__}: {failure}"
-        replace_batch(dead_letters)(rows.withColumn("reason", F.lit(reason[:500])), batch_id)
+        dead = f"{dead_letters.rstrip('/')}/run={run_id}"
+        replace_batch(dead)(rows.withColumn("reason", F.lit(reason)), batch_id)
 
+    run_id = uuid.uuid4().hex  # batch numbers start again with a new checkpoint
     return run
 
 

@@ -7,12 +7,12 @@ from ..operators.monitor import sliding_means, trend
 from .delivery import replace_batch, start_foreach_batch
 
 
-def trend_stream(rows, width, delay="1 hour"):
-    """Tumbling windows; the watermark bounds the state."""
+def trend_stream(rows, width, delay):
+    """Tumbling windows; the watermark bounds the state. ``delay`` must cover how far arrival may lag behind event time."""
     return trend(rows.withWatermark("event_ts", delay), width)
 
 
-def gauge_stream(rows, width, slide, delay="1 hour"):
+def gauge_stream(rows, width, slide, delay):
     return sliding_means(rows.withWatermark("event_ts", delay), width, slide)
 
 
@@ -26,3 +26,13 @@ def latest_updates(updates, keys):
     newest = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
     return (updates.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") == 1)
             .drop("rank", "batch_id"))
+
+
+def rows_behind(query):
+    """Rows that a query has dropped so far because they came behind its watermark."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def compacted(updates, keys, path):
+    """All updates so far as one table with a row per window, so that batch folders need not be kept for ever."""
+    latest_updates(updates, keys).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").parquet(path)

@@ -5,15 +5,23 @@ from pyspark.sql import functions as F
 TICKS_PER_BLOCK = 1800
 
 
-def write_replay_table(messages, path, base, step_seconds=2, ticks_per_block=TICKS_PER_BLOCK):
+def write_replay_table(messages, path, base, step_seconds=2, ticks_per_block=TICKS_PER_BLOCK, unsent=None):
     """Messages by tick, partitioned by block of ticks, so that a micro-batch reads one partition.
 
-    Large blocks are split over tasks by (tick, key).
+    Large blocks are split over tasks by (tick, key). Messages without a tick, because their time cannot be read or lies
+    before ``base``, go to the table ``unsent`` with a reason, or are an error if there is none.
     """
     start = F.unix_micros(F.lit(base).cast("timestamp"))
     now = F.unix_micros(F.col("timestamp").try_cast("timestamp"))
     tick = F.round((now - start) / F.lit(step_seconds * 1_000_000)).cast("bigint")
-    (messages.withColumn("tick", tick)
+    placed = messages.withColumn("tick", tick)
+    lost = placed.where("tick IS NULL OR tick < 0").withColumn(
+        "reason", F.when(F.col("tick").isNull(), "unreadable timestamp").otherwise("before the first tick"))
+    if unsent:
+        lost.drop("tick").write.mode("overwrite").parquet(unsent)
+    elif not lost.isEmpty():
+        raise ValueError("messages without a tick; name a table to set them aside")
+    (placed.where("tick >= 0")
      .withColumn("tick_block", F.floor(F.col("tick") / ticks_per_block))
      .repartitionByRange("tick_block", "tick", "key")
      .write.mode("overwrite").partitionBy("tick_block").parquet(path))

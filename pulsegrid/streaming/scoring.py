@@ -2,9 +2,10 @@
 
 from ..operators.enrich import enrich
 from ..operators.messages import decode
+from ..operators.monitor import with_event_time
 from ..operators.quarantine import quarantined
 from ..plans.scoring import score
-from .delivery import start_append
+from .delivery import deliver, document_id, replace_batch, start_append, start_foreach_batch
 
 
 def start_scoring(envelope, model, fmt, checkpoint, options=None, path=None, trigger=None):
@@ -15,3 +16,17 @@ def start_scoring(envelope, model, fmt, checkpoint, options=None, path=None, tri
 def start_quarantine(envelope, path, checkpoint, fmt="parquet", trigger=None):
     """The rows the scoring query leaves out, with a reason, as a query of its own."""
     return start_append(quarantined(enrich(decode(envelope))), fmt, checkpoint, None, path, trigger)
+
+
+def start_scoring_job(envelope, model, write, quarantine, dead_letters, checkpoint, trigger=None):
+    """Each batch read once: scored documents to ``write(rows, batch_id)``, the others to the ``quarantine`` table.
+
+    Documents carry ``document_id`` and the parsed time, ``event_ts``. A batch that is repeated after a restart
+    replaces what it wrote, in ``quarantine`` too; one that cannot be written goes to ``dead_letters``, as it came.
+    """
+    def both(batch, batch_id):
+        rows = decode(batch)
+        write(document_id(with_event_time(score(rows, model))), batch_id)
+        replace_batch(quarantine)(quarantined(enrich(rows)), batch_id)
+
+    return start_foreach_batch(envelope, deliver(both, dead_letters), checkpoint, trigger=trigger)

@@ -10,6 +10,7 @@ from pulsegrid.operators.messages import decode, encode
 from pulsegrid.operators.monitor import with_event_time
 from pulsegrid.operators.quarantine import quarantined, scorable, untimed
 from pulsegrid.operators.routing import in_case_order, routed, union_inputs, unrouted
+from pulsegrid.plans.publish import publish
 from pulsegrid.schemas import FLOAT_COLUMNS, MESSAGE_COLUMNS
 
 GOOD = {"caseid": "7", "Age": "77", "Gender": "M", "Height": 1.602, "Weight": "67.5", "Diastolic Blood Pressure": 61,
@@ -95,3 +96,24 @@ def test_time_order_inside_a_case(spark, parts):
     for row in in_case_order(rows).withColumn("p", F.spark_partition_id()).collect():
         seen.setdefault(bytes(row.key), []).append(row.timestamp)
     assert all(times == sorted(times) and len(times) == 100 for times in seen.values())
+
+
+def test_blocks_of_time_are_published_in_turn(spark, tmp_path):
+    rows = spark.range(200).select(
+        (F.col("id") % 5).cast("string").alias("caseid"), *[F.lit("1").alias(c) for c in MESSAGE_COLUMNS[1:-1]],
+        F.date_format(F.timestamp_seconds(F.col("id") * 60), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"))
+    path, aside = str(tmp_path / "topic"), str(tmp_path / "aside")
+    odd = rows.limit(3).withColumn("timestamp", F.lit("soon"))
+    with pytest.raises(ValueError):
+        publish(rows.unionByName(odd), "parquet", path=path)
+    publish(rows.unionByName(odd), "parquet", path=path, aside=aside, block_seconds=3600)
+    files = spark.read.parquet(path).select("timestamp", F.col("_metadata.file_modification_time").alias("written")).groupBy(
+        F.floor(F.unix_seconds("timestamp") / 3600).alias("block")).agg(F.min("written").alias("a"), F.max("written").alias("b"))
+    blocks = files.orderBy("block").collect()
+    assert len(blocks) == 4 and all(x.b <= y.a for x, y in zip(blocks, blocks[1:]))
+    assert [r.reason for r in spark.read.parquet(aside).collect()] == ["unreadable timestamp"] * 3
+
+
+def test_numbers_that_are_not_finite_count_as_missing(spark):
+    rows = enrich(decode(envelope(spark, changed(**{"Heart Rate": "NaN"}), changed(**{"Heart Rate": "Infinity"}), changed(**{"Heart Rate": "1e12"}))))
+    assert [r.hr is None for r in rows.select(F.col("Heart Rate").alias("hr")).collect()] == [True, True, False]

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from oracle.sql import ORACLES
+from pulsegrid.catalog import QUERIES
 
 from .oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con():
 
 def test_every_oracle_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"ml_score_batch", "ml_importances", "stream_score_append", "flagship"}
+    assert set(QUERIES) - set(ORACLES) == {"flagship"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -26,17 +27,6 @@ def test_equals_duckdb(spark, con, name):
     assert differing == 0 and rows > 0, message
 
 
-@pytest.mark.parametrize("name", ["ml_score_batch", "stream_score_append"])
-def test_scored_rows(spark, name):
-    rows = QUERIES[name](spark, SF)
-    assert {r["Risk Predicted"] for r in rows.select("Risk Predicted").distinct().collect()} <= {"High Risk", "Low Risk"}
-    assert rows.count() > 0
-
-
-def test_importances_sum_to_one(spark):
-    assert sum(r.importance for r in QUERIES["ml_importances"](spark, SF).collect()) == pytest.approx(1)
-
-
 def test_entry(spark):
     rows = entry.entry(spark)
     assert rows.columns == ["caseid", "Risk Predicted", "n", "share"] and rows.count() > 0

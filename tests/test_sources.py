@@ -5,7 +5,7 @@ import pytest
 
 from pulsegrid.schemas import READING_SCHEMA, TRAINING_SCHEMA
 from pulsegrid.settings import JobSettings
-from pulsegrid.sources.files import read_clinical, read_readings, read_training
+from pulsegrid.sources.files import read_clinical, read_readings, read_text_csv, read_training
 from pulsegrid.sources.topics import kafka_options, read_topic, write_topic
 
 
@@ -69,3 +69,10 @@ def test_file_topic_has_the_shape_of_the_broker_source(spark, tmp_path):
     stream = read_topic(spark, "parquet", path=str(tmp_path / "t"))
     assert stream.isStreaming and stream.columns == ["key", "value", "topic", "partition", "offset", "timestamp",
                                                      "timestampType"]
+
+
+def test_files_with_differing_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("caseid,age,sex,height,weight\n1,50,F,170,70\n")
+    (tmp_path / "b.csv").write_text("age,caseid,sex,height,weight\n50,2,F,170,70\n")
+    with pytest.raises(Exception, match="header"):
+        read_text_csv(spark, str(tmp_path)).select("caseid", "age").collect()

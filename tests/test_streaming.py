@@ -78,7 +78,7 @@ def test_scoring_stream_has_no_shuffle(spark, topic, model):
 def test_repeats_are_dropped(spark, topic, tmp_path):
     topic(message("1", 0), message("1", 2))
     stream = topic(message("1", 0), message("1", 0), message("2", 0))
-    once = arrivals.drop_repeats(arrivals.decoded_with_time(stream)).select("caseid", "timestamp")
+    once = arrivals.drop_repeats(arrivals.decoded_with_time(stream), "1 hour").select("caseid", "timestamp")
     delivery.start_append(once, "parquet", str(tmp_path / "p"), path=str(tmp_path / "o"), trigger=NOW).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "o")).groupBy("caseid").count().orderBy("caseid").collect() == [("1", 2), ("2", 1)]
 
@@ -96,7 +96,7 @@ def test_trend_stream_over_several_batches_equals_batch(spark, tmp_path):
     for part in range(4):
         publish(spark, path, texts[part::4])
         rows = with_event_time(enrich(decode(read_topic(spark, "parquet", path=path))))
-        monitor.start_updates(monitor.trend_stream(rows, "1 minute"), out, progress, NOW).awaitTermination()
+        monitor.start_updates(monitor.trend_stream(rows, "1 minute", "1 hour"), out, progress, NOW).awaitTermination()
     keys = ["caseid", "window_start", "vital"]
     got = monitor.latest_updates(spark.read.parquet(out), keys)
     batch = with_event_time(enrich(decode(spark.createDataFrame([(t,) for t in texts], "value string"))))
@@ -110,8 +110,22 @@ def test_late_rows_stay_out_of_closed_windows(spark, tmp_path):
         publish(spark, path, texts)
         rows = with_event_time(enrich(decode(read_topic(spark, "parquet", path=path))))
         stream = monitor.gauge_stream(rows, "1 minute", "1 minute", "10 minutes")
-        monitor.start_updates(stream, out, progress, NOW).awaitTermination()
-    assert spark.read.parquet(out).where("vital = 'Heart Rate'").count() == 2
+        behind = monitor.rows_behind(started(monitor.start_updates(stream, out, progress, NOW)))
+    updates = spark.read.parquet(out)
+    assert updates.where("vital = 'Heart Rate'").count() == 2 and behind > 0
+    monitor.compacted(updates, ["caseid", "window_start", "vital"], str(tmp_path / "all"))
+    assert spark.read.parquet(str(tmp_path / "all")).drop("batch_id").count() == updates.drop("batch_id").distinct().count()
+
+
+def started(query):
+    query.awaitTermination()
+    return query
+
+
+def test_rows_a_stream_did_not_keep(spark):
+    sent = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a")], "caseid string, timestamp string")
+    lost = arrivals.not_in(sent, sent.limit(0).union(sent.where("timestamp = 'a'")))
+    assert [(r.caseid, r.timestamp, r.reason) for r in lost.collect()] == [("1", "b", "behind the watermark")]
 
 
 def test_bounded_retry_then_dead_letter(spark, topic, tmp_path):
@@ -138,6 +152,20 @@ def test_bounded_retry_then_dead_letter(spark, topic, tmp_path):
     letters = spark.read.parquet(dead)
     assert len(calls) == 5 and letters.count() == 2
     assert {r.reason for r in letters.collect()} == {"ConnectionError: broker away"}
+    run = delivery.deliver(broken, dead, pause_seconds=0)
+    delivery.start_foreach_batch(stream, run, str(tmp_path / "p3"), trigger=NOW).awaitTermination()
+    assert spark.read.parquet(dead).count() == 4
+
+
+def test_replay_sets_aside_what_has_no_tick(spark, tmp_path):
+    rows = spark.createDataFrame([(b"1", b"v", "2025-02-11T10:00:02Z"), (b"1", b"v", "soon"), (b"1", b"v", "2025-02-11T09:00:00Z")],
+                                 "key binary, value binary, timestamp string")
+    table, unsent = str(tmp_path / "t"), str(tmp_path / "u")
+    with pytest.raises(ValueError):
+        replay.write_replay_table(rows, table, "2025-02-11 10:00:00")
+    replay.write_replay_table(rows, table, "2025-02-11 10:00:00", unsent=unsent)
+    assert spark.read.parquet(table).count() == 1
+    assert {r.reason for r in spark.read.parquet(unsent).collect()} == {"unreadable timestamp", "before the first tick"}
 
 
 def test_replay_sends_one_record_per_case_and_tick_in_order(spark, tmp_path):
