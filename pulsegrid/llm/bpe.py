@@ -29,8 +29,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: A text with any other character is split by the tokenizer's own splitter.
 AGREED = ("\\u0000-\\u0557\\u0559-\\u058a\\u058d-\\u087f\\u0900-\\u0c5b\\u0c5d-\\u0cdb\\u0cdd-\\u13ff\\u1e00-\\u206f\\u20a0-\\u2bff"
           "\\u3000-\\u9fff\\uac00-\\ud7a3\\ue000-\\ufffd\\U0001f300-\\U0001f64f\\U0001f680-\\U0001f6ff\\U0001f900-\\U0001f9ff")
-#: Pieces of text whose code is remembered by a worker; when there are more it starts anew. Longer pieces are never remembered.
-MEMORY_PIECES, MEMORY_CHARS = 400_000, 64
+#: Pieces of text in each of two generations that a worker remembers, and the length of those it never does.
+MEMORY_PIECES, MEMORY_CHARS = 150_000, 64
 
 
 @functools.lru_cache(maxsize=1)
@@ -91,7 +91,7 @@ class Vocabulary:
         pair = left << 32 | right
         known = self.known_pairs.get(pair)
         if known is None:
-            if len(self.known_pairs) > 1_000_000:
+            if len(self.known_pairs) > 250_000:
                 self.known_pairs.clear()
             known = self.known_pairs[pair] = self._never_joined(left, right)
         return known
@@ -156,16 +156,17 @@ class Vocabulary:
 
 
 class Remembered(dict):
-    """What ``work`` gives for a piece of text; bounded, and only short pieces are kept."""
+    """What ``work`` gives for a piece of text. When there are too many, those not met again since the last time are let go."""
 
     def __init__(self, work):
         super().__init__()
-        self.work = work
+        self.work, self.older = work, {}
 
     def __missing__(self, piece):
-        value = self.work(piece)
+        value = self.older.get(piece) or self.work(piece)
         if len(piece) <= MEMORY_CHARS:
             if len(self) >= MEMORY_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = value
         return value

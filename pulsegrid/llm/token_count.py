@@ -29,7 +29,7 @@ from .columns import in_small_batches
 
 CHUNK_CHARS = 1 << 16
 #: Compiled states of a worker; when there are more it starts anew.
-MOST_STATES = 250_000
+MOST_STATES = 150_000
 _RESET = regex.compile(r"\S\s")
 
 
@@ -43,10 +43,11 @@ class Transducer:
         self.ids = {s: i for s, i in v.ids.items() if s not in v.special}
         self.beginnings = {s[:k] for s in self.ids for k in range(1, len(s) + 1)}
         self.counts = Remembered(self.count_piece)
+        self.runs, self.known = {}, v.known_pairs.get
         self._forget()
 
     def _forget(self):
-        self.runs, self.steps = {}, {}
+        self.steps = {}
         self.places = [("", ((None, 0),))]
         self.numbers = {self.places[0]: 0}
 
@@ -70,15 +71,16 @@ class Transducer:
         run = ending + symbol
         common = self.runs.get(run)
         if common is None:
+            if len(self.runs) >= MOST_STATES:
+                self.runs.clear()
             common = self.runs[run] = self._run(run)
         found, ending, kept = common
-        known = self.vocabulary.known_pairs.get
         for token, place in found:
             last, before = behind[place]
-            if last is None or known(last << 32 | token) or self.vocabulary.may_follow(last, token):
+            if last is None or self.known(last << 32 | token) or self.vocabulary.may_follow(last, token):
                 break
         added = before + 1
-        places = ending, ((token, 0), *[(behind[i][0], behind[i][1] - added) for i in kept])
+        places = (ending, ((token, 0), *[(behind[i][0], behind[i][1] - added) for i in kept])) if kept else (ending, ((token, 0),))
         following = self.numbers.setdefault(places, len(self.places))
         if following == len(self.places):
             self.places.append(places)
