@@ -82,11 +82,14 @@ ONE_FILE = {"maxFilesPerTrigger": 1}
 
 def topic(spark, sf_dir, options=None, times=1):
     """All prepared samples as a published topic, read as a stream; ``times`` over, if asked for."""
-    path = new_dir(spark, "topic")
-    rows = stored(samples(spark, sf_dir), "samples")
+    return topic_of(stored(samples(spark, sf_dir), "samples"), options, times)
+
+
+def topic_of(rows, options=None, times=1):
+    path = new_dir(rows.sparkSession, "topic")
     for _ in range(times):
         publish(rows, "parquet", path=path, block_seconds=TOPIC_BLOCK_SECONDS)
-    return read_topic(spark, "parquet", options, path)
+    return read_topic(rows.sparkSession, "parquet", options, path)
 
 
 def vital_model(rows):
@@ -392,7 +395,7 @@ def topk_preview(spark, sf_dir):
 @query
 def ml_score_batch(spark, sf_dir):
     """Fit on the training rows, save, load, score the held-out rows, and compare with the model that was saved."""
-    rows = T.complete_rows(stored(T.spread(documents(spark, sf_dir)), "training"), S.TEXT_FEATURES)
+    rows = T.complete_rows(stored(documents(spark, sf_dir), "training"), S.TEXT_FEATURES)
     training, test = L.hash_split(rows, ["doc_id"])
     path = new_dir(spark, "model")
     fitted = T.fit_risk_model(training, S.TEXT_FEATURES)
@@ -494,7 +497,7 @@ def plain_scored(rows):
 def stream_restart_scores_once(spark, sf_dir):
     """A scoring job that is stopped, finds new files and starts again: every document once, by its id."""
     rows = stored(samples(spark, sf_dir), "samples")
-    model = vital_model(T.spread(enrich(rows)))
+    model = vital_model(stored(enrich(rows), "training"))
     at = {name: new_dir(spark, name) for name in ("topic", "scored", "aside", "dead", "progress")}
     for half in (0, 1):
         publish(rows.where(F.col("caseid").cast("long") % 2 == half), "parquet", path=at["topic"],
@@ -509,9 +512,10 @@ def stream_restart_scores_once(spark, sf_dir):
 @query
 def stream_score_append(spark, sf_dir):
     """A topic scored as a stream and appended to a table."""
-    model = vital_model(stored(T.spread(enriched(spark, sf_dir)), "training"))
+    rows = stored(samples(spark, sf_dir), "samples")
+    model = vital_model(stored(enrich(rows), "training"))
     path = new_dir(spark, "scored")
-    finish(scoring.start_scoring(topic(spark, sf_dir), model, "parquet", new_dir(spark, "progress"), path=path,
+    finish(scoring.start_scoring(topic_of(rows), model, "parquet", new_dir(spark, "progress"), path=path,
                                  trigger=TRIGGER))
     return plain_scored(spark.read.parquet(path))
 
@@ -561,5 +565,5 @@ def stream_clinical_join(spark, sf_dir):
 @query
 def flagship(spark, sf_dir):
     """Prepare, enrich, train, score, and the risk share of each case."""
-    rows = stored(T.spread(enriched(spark, sf_dir)), "enriched")
+    rows = stored(enriched(spark, sf_dir), "enriched")
     return V.risk_share(score_enriched(rows, vital_model(rows)))

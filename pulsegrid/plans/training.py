@@ -15,7 +15,12 @@ def assembler(features=FEATURES):
     return VectorAssembler(inputCols=list(features), outputCol="features")
 
 
-def fit_risk_model(rows, features=FEATURES, label=LABEL, trees=100, seed=1234):
+#: Parts that the rows of a fit are dealt into. The forest draws its samples part by part, so the number belongs to the
+#: model like the seed; give more for a table that does not fit into so many tasks.
+FIT_PARTS = 32
+
+
+def fit_risk_model(rows, features=FEATURES, label=LABEL, trees=100, seed=1234, parts=FIT_PARTS):
     """Label index, feature vector and a forest of ``trees`` trees, with a fixed seed.
 
     Rows without a label or with a missing input are left out: the one would become a class of its own, the
@@ -23,21 +28,19 @@ def fit_risk_model(rows, features=FEATURES, label=LABEL, trees=100, seed=1234):
     """
     forest = RandomForestClassifier(featuresCol="features", labelCol=ENCODED_LABEL, numTrees=trees, seed=seed)
     pipeline = Pipeline(stages=[label_indexer(label, ENCODED_LABEL), assembler(features), forest])
-    return pipeline.fit(complete_rows(rows, features, label))
+    return pipeline.fit(spread(complete_rows(rows, features, label), parts))
 
 
 def complete_rows(rows, features=FEATURES, label=LABEL):
     return with_label(rows, label).dropna(subset=list(features))
 
 
-def spread(rows):
-    """Rows dealt evenly over all tasks, in a fixed order.
+def spread(rows, parts=FIT_PARTS):
+    """Rows dealt by a hash of all columns, in a fixed order, so that neither the cluster nor the files decide the model.
 
-    A training table is small in bytes next to the work a forest puts into it, so file sizes would give too
-    few tasks. The order inside a task decides the bootstrap samples; sorting makes a rerun repeat them.
+    A training table is small in bytes next to the work a forest puts into it, so file sizes would also give too few tasks.
     """
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(tasks).sortWithinPartitions(*rows.columns)
+    return rows.repartition(parts, F.xxhash64(*rows.columns)).sortWithinPartitions(*rows.columns)
 
 
 def left_out(rows, features=FEATURES, label=LABEL):
@@ -60,7 +63,7 @@ def train_and_test(rows, keys, features=FEATURES, label=LABEL, trees=100, seed=1
     The rows are computed once and stored for all passes, before they are tested for gaps: a test on a computed
     input would compute it again.
     """
-    rows = complete_rows(stored(spread(rows), "training"), features, label)
+    rows = complete_rows(stored(rows, "training"), features, label)
     training, test = hash_split(rows, keys, seed=seed)
     model = fit_risk_model(training, features, label, trees, seed)
     known = test.where(test[label].isin(labels_of(model)))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pulsegrid.operators.labels import hash_split, index_labels
 from pulsegrid.operators.metrics import confusion_matrix, quality
 from pulsegrid.plans.scoring import score_enriched
-from pulsegrid.plans.training import (evaluate, fit_risk_model, importances, labels_of, left_out, preview, spread,
-                                      train_and_test)
+from pulsegrid.plans.training import (complete_rows, evaluate, fit_risk_model, importances, labels_of, left_out, preview,
+                                      spread, train_and_test)
 from pulsegrid.schemas import ENCODED_LABEL, FEATURES, HIGH_RISK, LABEL, LOW_RISK, SCORED_COLUMNS, TRAINING_SCHEMA
 from pulsegrid.sources.models import load_model, save_model
 
@@ -122,4 +122,16 @@ def test_importances_and_preview(spark, fitted):
 def test_spread_keeps_all_rows(spark):
     rows = training(spark, 100)
     assert spread(rows).exceptAll(rows).count() == 0 and spread(rows).count() == 100
-    assert spread(rows).rdd.getNumPartitions() == 4
+    assert spread(rows, 4).rdd.getNumPartitions() == 4
+
+
+def test_the_model_does_not_depend_on_the_cluster(spark, tmp_path):
+    rows = complete_rows(training(spark, 300))
+    rows.write.parquet(str(tmp_path / "rows"))
+    given, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for tasks, source in (("2", rows), ("9", spark.read.parquet(str(tmp_path / "rows")).repartition(7))):
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        model = fit_risk_model(source, trees=10)
+        found.append(sorted((r[0], tuple(r.probability)) for r in model.transform(rows).select("Patient ID", "probability").collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", given)
+    assert found[0] == found[1]
