@@ -10,9 +10,10 @@
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .operators.messages import decode, encode
-from .operators.monitor import recent_means, risk_share, trend, with_bands, with_event_time
+from .operators.monitor import recent_means, risk_share, trend, with_bands
 from .operators.routing import routed
 from .plans.prepare import prepare, set_aside
 from .plans.publish import publish
@@ -90,17 +91,18 @@ def score_topic(spark, settings, args):
     def to_index(rows, batch_id):
         rows.write.format(INDEX_FORMAT).options(**settings.index_options(), **UPSERT).mode("append").save()
 
-    write = replace_batch(args.path) if args.path else to_index
+    write = replace_batch(args.path, by_date=True) if args.path else to_index
     trigger = {"availableNow": True} if args.once else None
     print(f"set aside: {quarantine}, {dead}")
     start_scoring_job(envelope, model, write, quarantine, dead, progress, trigger).awaitTermination()
 
 
 def monitor(spark, settings, args):
-    rows = with_event_time(spark.read.parquet(args.scored))
+    rows = spark.read.parquet(args.scored)
+    recent = rows.where(F.col("event_date") >= F.lit(args.since).cast("date")) if args.since else rows
     tables = {
         "trend": trend(rows, args.bucket),
-        "gauge": with_bands(recent_means(rows, args.recent_seconds)),
+        "gauge": with_bands(recent_means(recent, args.recent_seconds)),
         "risk_share": risk_share(rows),
     }
     for name, table in tables.items():
@@ -142,6 +144,7 @@ def parser():
     job.add_argument("scored")
     job.add_argument("out")
     job.add_argument("--bucket", default="1 minute", help="width of a trend bucket")
+    job.add_argument("--since", help="first date the gauge looks at; earlier folders are not opened")
     job.add_argument("--recent-seconds", type=int, default=300, help="reach of the gauge")
     job.set_defaults(run=monitor)
     return root

@@ -22,9 +22,18 @@ def drop_repeats(rows, delay):
     return rows.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["caseid", "event_ts"])
 
 
-def attach_clinical(rows, clinical_per_case):
-    """Stream-static join with the clinical table, one row per case."""
-    return rows.join(clinical_per_case, "caseid")
+#: Parts that a case's rows are dealt into when they meet the clinical table.
+PARTS = 8
+
+
+def attach_clinical(rows, clinical_per_case, parts=PARTS):
+    """Stream-static join with the clinical table, one row per case.
+
+    Streams have no adaptive handling of large keys, so a case's rows are dealt into ``parts`` and the small table repeated.
+    """
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)))
+    repeated = clinical_per_case.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    return dealt.join(repeated, ["caseid", "part"]).drop("part")
 
 
 def not_in(rows, kept, keys=("caseid", "timestamp")):

@@ -46,10 +46,15 @@ def deliver(write, dead_letters, tries=5, pause_seconds=2.0):
     return run
 
 
-def replace_batch(path, fmt="parquet"):
-    """A batch writer that can be repeated: each batch has its own folder, which a second try replaces."""
+def replace_batch(path, fmt="parquet", by_date=False):
+    """A batch writer that can be repeated: each batch has its own folder, which a second try replaces.
+
+    With ``by_date`` rows lie by the date of their ``event_ts``, so that a reader of recent rows opens no others.
+    """
     def write(rows, batch_id):
-        rows.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch_id={batch_id}")
+        writer = (rows.withColumn("event_date", F.to_date("event_ts")) if by_date else rows).write
+        writer = writer.partitionBy("event_date") if by_date else writer
+        writer.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch_id={batch_id}")
 
     return write
 

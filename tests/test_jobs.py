@@ -26,7 +26,7 @@ def test_all_jobs_in_turn(spark, tmp_path, monkeypatch, capsys):
     main(["publish", at("readings"), at("cases.csv"), "--base", "2025-02-11 10:00:00", "--path", at("topic")])
     main(["score", "--topic-path", at("topic"), "--path", at("scored"), "--quarantine", at("aside"),
           "--checkpoint", at("progress"), "--once"])
-    main(["monitor", at("scored"), at("dashboard")])
+    main(["monitor", at("scored"), at("dashboard"), "--since", "2025-02-11"])
 
     shares = {(r.caseid, r["Risk Predicted"]): (r.n, r.share) for r in spark.read.parquet(at("dashboard/risk_share")).collect()}
     assert shares == {("1", "Low Risk"): (20, 1.0), ("2", "High Risk"): (20, 1.0)}
