@@ -95,8 +95,14 @@ def n_repeat_words(words, text):
     return F.when(F.size(words) <= WINDOW_WORDS, F.lit(0).cast("long")).otherwise(let(_window_hashes(words), counted))
 
 
+def n_stutters(words, text):
+    """Words equal to the one before."""
+    return F.size(F.filter(words, lambda w, i: w == F.get(words, i - 1))).cast("long")
+
+
 MEASURES = {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_lines": n_lines,
-            "n_dup_lines": n_dup_lines, "n_capitals": n_capitals, "n_repeat_words": n_repeat_words}
+            "n_dup_lines": n_dup_lines, "n_capitals": n_capitals, "n_stutters": n_stutters,
+            "n_repeat_words": n_repeat_words}
 
 
 @dataclass(frozen=True)
@@ -112,7 +118,8 @@ RULES = (
     Rule("repeated_passages", lambda m: m("n_repeat_words") * 100 > m("n_words") * 30),
     Rule("symbols", lambda m: m("n_symbols") * 10 > m("n_words")),
     Rule("word_length", lambda m: (m("word_chars") < m("n_words") * 3) | (m("word_chars") > m("n_words") * 15)),
-    Rule("repeated_lines", lambda m: m("n_dup_lines") * 10 > m("n_lines") * 3),
+    Rule("repeated_lines", lambda m: (m("n_dup_lines") >= 3) & (m("n_dup_lines") * 10 > m("n_lines") * 3)),
+    Rule("stutters", lambda m: m("n_stutters") * 10 > m("n_words") * 3),
     Rule("capitals", lambda m: m("n_capitals") * 10 > m("word_chars") * 4),
 )
 

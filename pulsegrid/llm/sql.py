@@ -40,11 +40,12 @@ ORACLES = {
             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines,
             length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')) AS n_capitals,
+            len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS n_stutters,
             coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN rep USING (doc_id)),
         b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
             NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 3 * n_words OR word_chars > 15 * n_words
-                OR 10 * n_dup_lines > 3 * n_lines OR 10 * n_capitals > 4 * word_chars) AS kept
+                OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines) OR 10 * n_stutters > 3 * n_words OR 10 * n_capitals > 4 * word_chars) AS kept
         FROM b""",
     "op10_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings

@@ -63,7 +63,7 @@ def measures(text):
     covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(8)}
     return {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(c in "#*$%&|<>" for c in text),
             "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
-            "n_capitals": sum(c.isupper() for c in text)}
+            "n_capitals": sum(c.isupper() for c in text), "n_stutters": sum(a == b for a, b in zip(words, words[1:]))}
 
 
 def texts():
@@ -96,7 +96,8 @@ def fails(rule, m):
     return {"few_words": m["n_words"] < 20, "repeated_passages": m["n_repeat_words"] * 100 > m["n_words"] * 30,
             "symbols": m["n_symbols"] * 10 > m["n_words"],
             "word_length": m["word_chars"] < 3 * m["n_words"] or m["word_chars"] > 15 * m["n_words"],
-            "repeated_lines": m["n_dup_lines"] * 10 > m["n_lines"] * 3,
+            "repeated_lines": m["n_dup_lines"] >= 3 and m["n_dup_lines"] * 10 > m["n_lines"] * 3,
+            "stutters": m["n_stutters"] * 10 > m["n_words"] * 3,
             "capitals": m["n_capitals"] * 10 > m["word_chars"] * 4}[rule.name]
 
 
