@@ -97,7 +97,7 @@ def n_repeat_words(words, text):
 
 def n_stutters(words, text):
     """Words equal to the one before."""
-    return F.size(F.filter(words, lambda w, i: w == F.get(words, i - 1))).cast("long")
+    return let(words, lambda ws: F.size(F.filter(ws, lambda w, i: w == F.get(ws, i - 1)))).cast("long")
 
 
 MEASURES = {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_lines": n_lines,
@@ -158,6 +158,12 @@ def cascade(rules, measure):
     return F.lit(True) if verdict is None else verdict.otherwise(True)
 
 
+def verdict(text, rules):
+    """``cascade`` over a text. Its words are bound inside the expression: as a column of their own, a filter on the verdict,
+    which Spark moves below that column, would split the text once for every use."""
+    return let(words_of(text), lambda words: cascade(rules, lambda name: MEASURES[name](words, text)))
+
+
 def sampled_order(df, text="text", rules=RULES, sample_rows=SAMPLE_ROWS, seed=7):
     n = df.count()
     sample = df.select(F.col(text).alias("text")).sample(min(1.0, sample_rows / max(n, 1)), seed)
@@ -183,6 +189,4 @@ def judged(df, text="text", rules=RULES, measures=(), sample_rows=SAMPLE_ROWS, o
 def keep_good(df, text="text", rules=RULES, sample_rows=SAMPLE_ROWS):
     """The rows of ``df`` that no rule rejects, with their own columns."""
     order = sampled_order(df, text, rules, sample_rows)
-    row = F.struct(*df.columns)
-    rows = df.select(row.alias("row"), F.col(text).alias("text"), words_of(F.col(text)).alias("words"))
-    return rows.where(cascade(order, measure_of())).select("row.*")
+    return df.where(verdict(F.col(text), order))
