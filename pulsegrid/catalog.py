@@ -210,8 +210,8 @@ def odd_readings(spark, sf_dir):
 
 @query
 def prepare_with_bad_values(spark, sf_dir):
-    """The preparation over readings of which some are NaN or far too large."""
-    rows = odd_readings(spark, sf_dir).where(F.col("seq") % 400 != 7)
+    """The preparation over readings of which some are NaN, far too large or sixty years early."""
+    rows = odd_readings(spark, sf_dir)
     return P.prepare(rows, clinical(spark, sf_dir), S.BASE, S.STEP_SECONDS)
 
 
@@ -228,8 +228,8 @@ def trend_with_bad_values(spark, sf_dir):
 def grid_outlier_times(spark, sf_dir):
     """Rows of each case's grid and its readings set aside, where some readings are sixty years early."""
     rows = odd_readings(spark, sf_dir)
-    extent = G.case_extent(rows, S.STEP_SECONDS, span_slots=0)
-    far = G.outlying_readings(rows, S.STEP_SECONDS, span_slots=0).groupBy("caseid").agg(F.count("*").alias("n_far"))
+    extent = G.case_extent(rows, S.STEP_SECONDS)
+    far = G.outlying_readings(rows, S.STEP_SECONDS).groupBy("caseid").agg(F.count("*").alias("n_far"))
     n = F.col("last_slot") - F.col("first_slot") + 1
     return extent.join(far, "caseid", "left").select("caseid", n.alias("n_slots"), F.coalesce("n_far", F.lit(0)).alias("n_far"))
 

@@ -11,15 +11,15 @@ no join key holds more than that many rows, however long a case is.
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import slot_of
 from ..schemas import TRACK_COLUMNS
 
 BLOCK_SLOTS = 1 << 16
-#: Slots on both sides of a case's fullest block that its grid may cover: 12 days at a step of 2 seconds.
-SPAN_SLOTS = 8 * BLOCK_SLOTS
-_FAR_BLOCK = 1 << 45  # beyond any block of a timestamp
+#: Seconds without a reading (12 days) that part a case: its grid covers the part with most readings.
+SPAN_SECONDS = 1 << 20
 #: No vital is that large; such a reading is set aside.
 MOST_VALUE = 1e9
 
@@ -53,34 +53,36 @@ def unusable_readings(readings):
     return readings.where(wanted).withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
-def case_blocks(readings, step_seconds, span_slots=SPAN_SLOTS):
-    """(caseid, block, low, high): the blocks of a case that its grid covers, combined on the map side.
+def case_extent(readings, step_seconds, span_seconds=SPAN_SECONDS):
+    """(caseid, first_slot, last_slot): one row per case, from the first to the last reading of its main part.
 
-    These are its fullest block (of equals the first) and those at most ``span_slots`` away. A reading with a wrong time
-    would have the grid of its case filled over years; such readings lie elsewhere, see ``outlying_readings``.
+    A stretch without a reading that is longer than ``span_seconds`` parts a case, whatever the step; the part with most readings
+    (of equals the first) is the main one, however long it is. A reading with a wrong time would have the grid of its case
+    filled over years; such readings lie elsewhere, see ``outlying_readings``. Readings are combined on the map side to
+    stretches no longer than the span, so that a gap that parts never lies inside one; the windows see stretches only.
     """
-    rows = _placed(readings, step_seconds).select("caseid", "slot", block_of(F.col("slot")).alias("block"))
-    blocks = rows.groupBy("caseid", "block").agg(
+    width = max(1, int(span_seconds // step_seconds))
+    rows = _placed(readings, step_seconds).select("caseid", "slot", F.floor(F.col("slot") / width).alias("stretch"))
+    stretches = rows.groupBy("caseid", "stretch").agg(
         F.min("slot").alias("low"), F.max("slot").alias("high"), F.count("*").alias("n"))
-    # Count above, block below in one number, so that the fullest one is a plain maximum.
-    shift = F.lit(2 * _FAR_BLOCK).cast("decimal(15,0)")
-    packed = F.col("n").cast("decimal(20,0)") * shift + (F.lit(_FAR_BLOCK) - F.col("block"))
-    fullest = blocks.groupBy("caseid").agg((F.lit(_FAR_BLOCK) - (F.max(packed) % shift).cast("long")).alias("fullest"))
-    near = F.abs(F.col("block") - F.col("fullest")) * BLOCK_SLOTS <= span_slots
-    return blocks.join(fullest, "caseid").where(near).select("caseid", "block", "low", "high")
+    by_time = Window.partitionBy("caseid").orderBy("stretch")
+    gap = (F.col("low") - F.lag("high").over(by_time)) * F.lit(step_seconds)
+    parted = stretches.withColumn("parted", F.coalesce(gap > span_seconds, F.lit(False)).cast("long"))
+    parts = parted.withColumn("part", F.sum("parted").over(by_time)).groupBy("caseid", "part").agg(
+        F.min("low").alias("first_slot"), F.max("high").alias("last_slot"), F.sum("n").alias("n"))
+    by_size = Window.partitionBy("caseid").orderBy(F.desc("n"), "part")
+    return parts.withColumn("place", F.row_number().over(by_size)).where("place = 1").select(
+        "caseid", "first_slot", "last_slot")
 
 
-def case_extent(readings, step_seconds, span_slots=SPAN_SLOTS):
-    """(caseid, first_slot, last_slot): one row per case."""
-    return case_blocks(readings, step_seconds, span_slots).groupBy("caseid").agg(
-        F.min("low").alias("first_slot"), F.max("high").alias("last_slot"))
-
-
-def outlying_readings(readings, step_seconds, span_slots=SPAN_SLOTS):
+def outlying_readings(readings, step_seconds, span_seconds=SPAN_SECONDS):
     """Usable readings too far from the rest of their case to be put on its grid, with ``reason``."""
-    covered = case_blocks(readings, step_seconds, span_slots).select("caseid", "block")
+    covered = by_block(case_extent(readings, step_seconds, span_seconds)).select(
+        F.col("caseid").alias("case"), F.col("block").alias("case_block"), "first_slot", "last_slot")
     rows = _placed(readings, step_seconds).withColumn("block", block_of(F.col("slot")))
-    return rows.join(covered, ["caseid", "block"], "left_anti").drop("block").withColumn("reason", F.lit("time far from the case"))
+    on_grid = ((F.col("caseid") == F.col("case")) & (F.col("block") == F.col("case_block"))
+               & F.col("slot").between(F.col("first_slot"), F.col("last_slot")))
+    return rows.join(covered, on_grid, "left_anti").drop("block").withColumn("reason", F.lit("time far from the case"))
 
 
 def keep_middle(extent, dropped_share=0.25):
