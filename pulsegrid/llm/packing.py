@@ -10,6 +10,7 @@ a document of any length is packed whole; other columns are not carried.
 """
 
 import functools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,10 @@ WINDOW = 2048
 END_ID = 1
 #: A group is packed when it has so many tokens.
 GROUP_TOKENS = 1 << 20
+#: The library's splitter fails on about a million white-space characters in a row; parts with so many are split by our own.
+SPACE_RUN = 1 << 16
 _SEQUENCE_BITS = 33  # a task's number above, its sequences below
+_SPACE = re.compile(r"\s+")
 
 
 class Room:
@@ -84,6 +88,11 @@ def best_fit(lengths, window=WINDOW):
     return placed, n
 
 
+def long_space(part):
+    """Whether the part has a white-space run of ``SPACE_RUN`` characters."""
+    return len(part) >= SPACE_RUN and any(m.end() - m.start() >= SPACE_RUN for m in _SPACE.finditer(part))
+
+
 class Tokens:
     """Ids of texts by a compiled merging library over the tokenizer file's own tokens."""
 
@@ -100,7 +109,7 @@ class Tokens:
         for no, part in enumerate(v.split_special.split(text)):
             if no % 2:
                 parts.append(np.array([v.special[part]], "<u4"))
-            elif v.unsure.search(part):
+            elif v.unsure.search(part) or long_space(part):
                 parts.append(np.array([i for p in v.pieces(part) for i in v.encode_piece(p)], "<u4"))
             elif part:
                 parts.append(self.library.encode_to_numpy(part, disallowed_special=()).astype("<u4"))

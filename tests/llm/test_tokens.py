@@ -151,3 +151,9 @@ def test_equal_rows_are_packed_each(spark):
     df = spark.createDataFrame([(1, "a b c")] * 3 + [(None, None)], "doc_id long, text string")
     rows = packing.packed(df, PATH).collect()
     assert sorted((r.doc_id or 0, r.doc_tokens) for r in rows) == [(0, 1), (1, 4), (1, 4), (1, 4)]
+
+
+@pytest.mark.parametrize("space", [" ", "\n"])
+def test_a_document_with_two_million_blanks(space):
+    text = "a b" + space * 2_000_000 + "c d<|endoftext|>" + space * 70_000
+    assert packing.Tokens(PATH).ids(text).tolist() == ids(text)
