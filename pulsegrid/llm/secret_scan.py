@@ -1,6 +1,8 @@
 """Secrets in texts: known patterns, and strings that pass a battery of randomness tests.
 
-Candidates are runs of at least 20 characters of a coding alphabet. The coding is inferred from the characters present;
+Candidates are runs of at least 20 characters of a coding alphabet, and their parts of at least 20 between separators
+(a secret behind a path or a name): letters and digits alone, with ``+/``, and with ``-_``. A part is reported where its whole
+run is let go; parts of different separators may overlap. The coding is inferred from the characters present;
 under it the string is tested for a uniform alphabet (chi-squared over equal parts of the alphabet), for runs above and below
 the middle, and for serial correlation. The hypothesis tested is "random"; the smallest of three p-values counts
 threefold. Short strings give weak tests, so the false-discovery rate (Benjamini and Hochberg) is controlled within
@@ -29,21 +31,28 @@ PRESENT = {"assign": r"(?i:password|passwd|secret|token|api_?key)", "access": r"
 
 RANDOM = "random"
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+SEPARATOR = r"[+/_-]"
+#: Parts of a candidate, by what may stand inside them.
+PARTS = tuple(rf"[A-Za-z0-9{inside}]{{20,}}={{0,2}}" for inside in ("", "+/", "_-"))
 LEAST = 20
 RATE = 0.05
 #: Classes of length, half a power of two each; longer strings share the last.
 LENGTH_CLASSES = 12
 _BINS_PER_POWER, _MOST_BIN = 8, 2400
-_MOST_PARTS = 8
+_MOST_PARTS = 13
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Codings from the narrowest: characters, alphabet in order of value, equal parts for the uniformity test.
 CODINGS = (
+    ("base10", r"^[0-9]+$", _DIGITS, 5),
     ("base16", r"^[0-9a-f]+$", _DIGITS + "abcdef", 8),
     ("base16u", r"^[0-9A-F]+$", _DIGITS + "ABCDEF", 8),
+    ("base26", r"^[a-z]+$", _LOWER, 13),
+    ("base26u", r"^[A-Z]+$", _UPPER, 13),
     ("base32", r"^[A-Z2-7]+$", _UPPER + "234567", 8),
     ("base36", r"^[0-9a-z]+$", _DIGITS + _LOWER, 6),
     ("base36u", r"^[0-9A-Z]+$", _DIGITS + _UPPER, 6),
+    ("base52", r"^[A-Za-z]+$", _UPPER + _LOWER, 4),
     ("base64", r"^[A-Za-z0-9+/]+$", _UPPER + _LOWER + _DIGITS + "+/", 8),
     ("base64url", r"^[A-Za-z0-9_-]+$", _UPPER + _LOWER + _DIGITS + "-_", 8),
     ("base66", r"^.*$", _UPPER + _LOWER + _DIGITS + "+/-_", 6),
@@ -167,16 +176,43 @@ def _length_class(length):
     return F.least(F.lit(LENGTH_CLASSES - 1), F.floor(F.log2(length / LEAST) * 2)).cast("int")
 
 
+_JUDGED = ("start", "end", "length_class", "bin")
+_CANDIDATES = "array<struct<start:bigint,end:bigint,length_class:int,bin:int,whole:struct<length_class:int,bin:int>>>"
+
+
+def _judged(start, end, found):
+    p = F.greatest(randomness(found), F.lit(1e-90))
+    return F.struct(start.alias("start"), end.alias("end"), _length_class(end - start).alias("length_class"),
+                    F.least(F.lit(_MOST_BIN), F.floor(-F.log2(p) * _BINS_PER_POWER)).cast("int").alias("bin"))
+
+
+def _parts_of(m):
+    """The parts of a candidate that are candidates of their own."""
+    found = F.array_distinct(F.concat(*[matches(m["found"], part) for part in PARTS]))
+    shorter = F.filter(found, lambda x: x["end"] - x["start"] < m["end"] - m["start"])
+    return F.when(m["found"].rlike(SEPARATOR), shorter).otherwise(F.array().cast(
+        "array<struct<start:bigint,end:bigint,found:string>>"))
+
+
 def candidates(text):
-    """(start, end, class, bin): the bin is the p-value's negative logarithm in steps of an eighth of a power of two."""
+    """(start, end, class, bin, whole): the bin is the p-value's negative logarithm in steps of an eighth of a power of two.
+
+    ``whole`` has class and bin of the whole run for a part of it, else it is NULL.
+    """
     def tested(m):
-        p = F.greatest(randomness(m["found"]), F.lit(1e-90))
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"),
-                        _length_class(m["end"] - m["start"]).alias("length_class"),
-                        F.least(F.lit(_MOST_BIN), F.floor(-F.log2(p) * _BINS_PER_POWER)).cast("int").alias("bin"))
+        def with_parts(run):
+            whole = F.struct(run["length_class"].alias("length_class"), run["bin"].alias("bin"))
+            parts = F.transform(_parts_of(m), lambda x: let(
+                _judged(m["start"] + x["start"], m["start"] + x["end"], x["found"]),
+                lambda part: F.struct(*[part[c].alias(c) for c in _JUDGED], whole.alias("whole"))))
+            own = F.struct(*[run[c].alias(c) for c in _JUDGED],
+                           F.lit(None).cast("struct<length_class:int,bin:int>").alias("whole"))
+            return F.concat(F.array(own).cast(_CANDIDATES), parts.cast(_CANDIDATES))
 
-    none = F.array().cast("array<struct<start:bigint,end:bigint,length_class:int,bin:int>>")
-    return F.when(text.rlike(CANDIDATE), F.transform(matches(text, CANDIDATE), tested)).otherwise(none)
+        return let(_judged(m["start"], m["end"], m["found"]), with_parts)
+
+    return F.when(text.rlike(CANDIDATE), F.flatten(F.transform(matches(text, CANDIDATE), tested))).otherwise(
+        F.array().cast(_CANDIDATES))
 
 
 def rejected_from(scanned, rate=RATE):
@@ -207,8 +243,10 @@ def scan(df, text="text", rate=RATE):
     if rejected:
         limits = F.array(*[F.struct(F.lit(r.length_class).alias("length_class"), F.lit(r.bin).alias("bin"))
                            for r in rejected])
-    kept = F.filter("found", lambda c: ~F.exists(
-        limits, lambda x: (x["length_class"] == c["length_class"]) & (x["bin"] <= c["bin"])))
+    def let_go(c):
+        return F.exists(limits, lambda x: (x["length_class"] == c["length_class"]) & (x["bin"] <= c["bin"]))
+
+    kept = F.filter("found", lambda c: ~let_go(c) & (c["whole"].isNull() | let_go(c["whole"])))
     added = F.transform(kept, lambda c: F.struct(
         c["start"].alias("start"), F.lit(len(KINDS)).alias("kind_no"), c["end"].alias("end"), F.lit(RANDOM).alias("kind")))
     return scanned.select("row.*", "known", F.array_sort(F.concat("known", added.cast(_SPANS))).alias("spans"))

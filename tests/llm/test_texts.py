@@ -202,6 +202,27 @@ def test_battery_p_values(spark):
         assert r.p == pytest.approx(p_value(r.x), rel=2e-2, abs=1e-6), r.x
 
 
+@pytest.mark.parametrize("alphabet, n", [
+    ("0123456789", 32), ("abcdefghijklmnopqrstuvwxyz", 64), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 64),
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 128)])
+def test_random_strings_of_few_characters_look_random(spark, alphabet, n):
+    rng = random.Random(n)
+    found = [("".join(rng.choice(alphabet) for _ in range(n)),) for _ in range(400)]
+    rows = spark.createDataFrame(found, "x string").select(secret_scan.randomness(F.col("x")).alias("p")).collect()
+    assert sum(r.p < 0.04 for r in rows) <= 0.08 * len(rows)
+
+
+@pytest.mark.parametrize("before, inside", [("com/services/reference/archive/", ""), ("production_access_key_", "+/"), ("a/bb/", "_-")])
+def test_a_secret_behind_a_name_is_reported(spark, before, inside):
+    rng, alphabet = random.Random(5), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + inside
+    words = ["com/services/reference/archive/" + w * 12 for w in ("ab", "aab", "abab")] * 40
+    secrets = [before + "".join(rng.choice(alphabet) for _ in range(32)) for _ in range(60)]
+    rows = secret_scan.scan(spark.createDataFrame(list(enumerate(secrets + words)), "doc_id long, text string")).collect()
+    covered = [any(s.start <= len(before) and s.end == len(r.text) for s in r.spans) for r in rows if r.doc_id < 60]
+    assert sum(covered) >= 54
+    assert all(0 <= s.start < s.end <= len(r.text) for r in rows for s in r.spans)
+
+
 def test_redaction(spark):
     rows = list(enumerate(secret_texts()))
     scanned = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"))
