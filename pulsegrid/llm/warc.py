@@ -37,7 +37,7 @@ IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 ARCHIVE_BYTES = 1 << 30
 SPLIT_BYTES = 64 << 20
-_LEVEL, _BLOCK, _STEP, _HEADER_BYTES = 4, 4 << 20, 1 << 14, 1 << 16
+_LEVEL, _BLOCK, _STEP = 4, 4 << 20, 1 << 14
 _NAME = "<urn:record:{}>"
 
 
@@ -88,48 +88,53 @@ class Blocks:
 
 
 def decoded(read, place):
-    """(bytes, end) of the member that starts here; None if it isn't a record."""
+    """(bytes, end) of the member that starts here; None if it isn't a record. A header may have any length."""
     flags = read(place + 3, 1)
     if not flags or flags[0] & 0xE0:
         return None
-    unpacker, parts, at, checked = zlib.decompressobj(31), [], place, False
+    unpacker, made, at = zlib.decompressobj(31), bytearray(), place
     while not unpacker.eof:
         data = read(at, _STEP)
         if not data:
             return None
         at += len(data)
         try:
-            parts.append(unpacker.decompress(data))
+            made += unpacker.decompress(data)
         except zlib.error:
             return None
-        if not checked:
-            parts = [b"".join(parts)]
-            if parts[0][:5] != b"WARC/"[:len(parts[0])]:
-                return None
-            checked = b"\r\n\r\n" in parts[0]
-            if not checked and len(parts[0]) > _HEADER_BYTES:
-                return None
-    return (b"".join(parts), at - len(unpacker.unused_data)) if checked else None
-
-
-def records(read, start, end):
-    """(place, bytes) of all records that start from ``start`` to before ``end``."""
-    place = start
+        if made[:5] != b"WARC/"[:len(made)]:
+            return None
+    return (bytes(made), at - len(unpacker.unused_data)) if b"\r\n\r\n" in made else None
+
+
+def records(read, start, end, size=None):
+    """(place, bytes) of all records that start from ``start`` to before ``end``.
+
+    With ``size``, that of a file of our writer, records must stand side by side from the first byte to the last: a place between
+    two of them without a record is an error. The task that owns a record looks at the place behind it, also in the next range.
+    """
+    place, due = start, 0 if start == 0 else None
     while place < end:
         data = read(place, min(_STEP, end - place) + len(MAGIC) - 1)
+        if not data:
+            break
         found = data.find(MAGIC)
         if found < 0:
             place += max(1, len(data) - len(MAGIC) + 1)
             continue
         place += found
         if place >= end:
-            return
+            break
         member = decoded(read, place)
         if member is None:
             place += 1
         else:
+            if size is not None and due not in (None, place):
+                raise ValueError(f"no record at byte {due}")
             yield place, member[0]
-            place = member[1]
+            place = due = member[1]
+    if size is not None and due is not None and due < size and (due < end or decoded(read, due) is None):
+        raise ValueError(f"no record at byte {due}")
 
 
 def _fields(lines):
@@ -209,8 +214,10 @@ def read_archives(manifest, split_bytes=SPLIT_BYTES, payloads=True):
     """A row per record of the files in (path, bytes): path, place, key, url, type, refers_to, digest, payload, payload_bytes.
 
     The digest is that of the payload read, or for a revisit the one it states. Without ``payloads`` the column is NULL.
+    A manifest with ``records`` is one of our writer: if a file of it gives fewer records, or is cut short, reading fails.
     """
-    ranges = manifest.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(
+    own = "records" in manifest.columns
+    ranges = manifest.where("bytes > 0").select("path", "bytes", F.lit(own).alias("own"), F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
     schema = ("path string, place long, key string, url string, type string, refers_to string, digest string, "
               "payload binary, payload_bytes long")
@@ -222,11 +229,11 @@ def read_archives(manifest, split_bytes=SPLIT_BYTES, payloads=True):
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
-            for path, size, start in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+            for path, size, whole, start in zip(*[batch.column(i).to_pylist() for i in range(4)]):
                 store, inside = fs.FileSystem.from_uri(path)
                 rows, held = [], 0
                 with store.open_input_file(inside) as file:
-                    for place, data in records(Blocks(file, size), start, min(start + split_bytes, size)):
+                    for place, data in records(Blocks(file, size), start, min(start + split_bytes, size), size if whole else None):
                         *head, payload, n = parsed(data)
                         rows.append((path, place, *head, payload if payloads else None, n))
                         held += n if payloads else 200

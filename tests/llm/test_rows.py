@@ -277,6 +277,34 @@ def test_a_record_that_holds_an_archive():
             for _, d in warc.records(lambda a, n: member[a:a + n], s, min(s + 1000, len(member)))] == ["outer"]
 
 
+@pytest.mark.parametrize("split", [50_000, 1 << 26])
+def test_a_header_of_any_length_is_read(spark, split):
+    url = base64.b32encode(random.Random(4).randbytes(200_000)).decode().rstrip("=")
+    rows = [(1, "u", "a"), (2, url, "long"), (3, "v", "long"), (4, "w", "b")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    out = warc.read_archives(warc.write_archives(df, new_dir(spark, "archives")), split_bytes=split).collect()
+    assert sorted((r.key, r.url, r.type, r.refers_to) for r in out) == [
+        ("1", "u", "response", None), ("2", url, "response", None), ("3", "v", "revisit", "2"), ("4", "w", "response", None)]
+
+
+@pytest.mark.parametrize("step", [1, 50, 10 ** 6])
+def test_a_place_without_a_record_is_an_error(step):
+    members = [warc.compressed(warc.record(i, None, b"x" * 30 * i)) for i in range(5)]
+    bad = warc.MAGIC + bytes(60)
+
+    def keys(data, size=None):
+        size = size or len(data)
+        return [warc.parsed(d)[0] for s in range(0, size, step)
+                for _, d in warc.records(lambda a, n: data[a:a + n], s, min(s + step, size), size)]
+
+    whole = b"".join(members)
+    assert keys(whole) == [str(i) for i in range(5)]
+    for data, size in [(bad + whole, None), (members[0] + bad + members[1], None), (whole + bad, None),
+                       (whole[:-9], len(whole)), (whole[:-len(members[-1])], len(whole))]:
+        with pytest.raises(ValueError, match="no record at byte"):
+            keys(data, size)
+
+
 def test_schema_types(spark):
     df = spark.createDataFrame([(1, "u", "a")], "page_id long, url string, html string")
     out = warc.read_archives(warc.write_archives(df, new_dir(spark, "archives")))
