@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import use_utc
-from . import bpe, chat, packing, quality, secret_scan, sharding, simhash, token_count, topk, warc
+from . import bpe, chat, filter_audit, packing, quality, secret_scan, sharding, simhash, token_count, topk, warc
 from .columns import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -123,3 +123,9 @@ def op1_warc(spark, sf_dir):
 def op10_top_k(spark, sf_dir):
     """The ten highest products of every hundredth vector with all others."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
+@query
+def op11_filter_audit(spark, sf_dir):
+    """Five filters over all documents in each of their 120 orders."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -54,4 +54,28 @@ ORACLES = {
             FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_filter_audit": rf"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, {_WORDS} AS words FROM d),
+        f AS (SELECT doc_id, part,
+            [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text), regexp_matches(text, '[#$%&*|]'),
+             coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails FROM w),
+        m AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM f LEFT JOIN m USING (doc_id) GROUP BY ALL),
+        l AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+        o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM l a, l b, l c, l d, l e
+            WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+        s AS (SELECT o, l.i::INT AS step, o[l.i] AS f, o[1:l.i - 1] AS earlier FROM o, l),
+        x AS (SELECT part, o, step, f, n, good, toxic, fails[f] AS hit,
+            len(list_filter(earlier, lambda e: fails[e])) > 0 AS gone, len(list_filter(fails, lambda b: b)) = 1 AS alone FROM s, c),
+        r AS (SELECT part, o, step, f, coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0)::BIGINT AS kept,
+            coalesce(sum(n) FILTER (NOT gone AND hit), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (gone AND hit), 0)::BIGINT AS redundant,
+            coalesce(sum(n) FILTER (alone AND hit), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (NOT gone AND hit), 0)::BIGINT AS good_lost,
+            coalesce(sum(toxic) FILTER (NOT gone AND hit), 0)::BIGINT AS toxic_lost FROM x GROUP BY ALL)
+        SELECT part, array_to_string(list_transform(o, lambda i: 'ABCDE'[i]), '') AS filter_order, step, 'ABCDE'[f] AS filter,
+            kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM r""",
 }
