@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import use_utc
-from . import bpe, chat, filter_audit, packing, quality, secret_scan, sharding, simhash, token_count, topk, warc
+from . import bpe, chat, filter_audit, packing, quality, secret_scan, sharding, simhash, token_count, topk, warc, whitening
 from .columns import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -129,3 +129,9 @@ def op10_top_k(spark, sf_dir):
 def op11_filter_audit(spark, sf_dir):
     """Five filters over all documents in each of their 120 orders."""
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    """The first four whitened components of every vector."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
