@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import use_utc
-from . import bpe, chat, filter_audit, packing, quality, secret_scan, sharding, simhash, token_count, topk, warc, whitening
+from . import bpe, chat, filter_audit, ngram_join, packing, quality, secret_scan, sharding, simhash, token_count, topk, warc, whitening
 from .columns import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -135,3 +135,9 @@ def op11_filter_audit(spark, sf_dir):
 def op12_whitening(spark, sf_dir):
     """The first four whitened components of every vector."""
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_ngram_join(spark, sf_dir):
+    """The component of every document under links of three-word Jaccard similarity from 0.9 on."""
+    return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
