@@ -198,7 +198,7 @@ def marked(df, doc, text, words, similarity, band):
 
 @lru_cache(maxsize=4096)
 def _left_out(a, k):
-    return np.array(list(combinations(range(a), k)), np.int64).reshape(-1, k)
+    return np.array(list(combinations(range(a), k)), np.int64).reshape(comb(a, k), k)
 
 
 def subset_keys(small, most, similarity=SIMILARITY):
