@@ -1,8 +1,8 @@
 """Readings on a regular time grid, and the trim of unstable first and last quarters.
 
-The grid of a case is complete: every slot from its first to its last reading has one row. The position of
-a row is therefore ``slot - first_slot``, and "drop the first and last quarter" is a slot range that follows
-from the case's first and last slot. No window over a case is needed, so a case that holds a large share
+A case has one stay or, where it has no reading for long, several. The grid of a stay is complete: every slot from its first to its
+last reading has one row. The position of a row is therefore ``slot - first_slot``, and "drop the first and last quarter" is a
+slot range that follows from the stay's first and last slot. No window over a case is needed, so a case that holds a large share
 of all rows is spread over tasks by slot like all others.
 
 Where rows must meet per-case values they are matched by (caseid, block). A block is ``BLOCK_SLOTS`` slots, so
@@ -18,8 +18,11 @@ from ..functions import slot_of
 from ..schemas import TRACK_COLUMNS
 
 BLOCK_SLOTS = 1 << 16
-#: Seconds without a reading (12 days) that part a case: its grid covers the part with most readings.
+#: Seconds without a reading (12 days) that part a case into stays; each has a grid, a trim and means of its own.
 SPAN_SECONDS = 1 << 20
+#: A part of a case with no more readings is no stay, if the case has a larger one: its times are wrong.
+LONE_READINGS = 8
+FAR = "time far from the case"
 #: No vital is that large; such a reading is set aside.
 MOST_VALUE = 1e9
 
@@ -44,22 +47,27 @@ def usable(time="t"):
     return measured & F.col("caseid").isNotNull() & F.col(time).isNotNull()
 
 
+def measured():
+    """A reading of a wanted track; an empty value and NaN are gaps, not readings."""
+    return F.col("track").isin(list(TRACK_COLUMNS)) & F.col("value").isNotNull() & ~F.isnan("value")
+
+
+def unusable_reason():
+    """Why a measured reading has no place in any grid; NULL if it may have one."""
+    return (F.when(F.col("caseid").isNull(), "no case").when(F.col("t").isNull(), "no time")
+            .when(~(F.abs("value") < MOST_VALUE), "value out of range"))
+
+
 def unusable_readings(readings):
-    """Readings of wanted tracks that the grid leaves out, with ``reason``; an empty value is a gap, not a reading."""
-    value = F.col("value")
-    reason = (F.when(F.col("caseid").isNull(), "no case").when(F.col("t").isNull(), "no time")
-              .when(~(F.abs(value) < MOST_VALUE) & ~F.isnan(value), "value out of range"))
-    wanted = F.col("track").isin(list(TRACK_COLUMNS)) & value.isNotNull() & ~F.isnan(value)
-    return readings.where(wanted).withColumn("reason", reason).where(F.col("reason").isNotNull())
+    """Readings of wanted tracks that the grid leaves out, with ``reason``."""
+    return readings.where(measured()).withColumn("reason", unusable_reason()).where(F.col("reason").isNotNull())
 
 
-def case_extent(readings, step_seconds, span_seconds=SPAN_SECONDS):
-    """(caseid, first_slot, last_slot): one row per case, from the first to the last reading of its main part.
+def case_parts(readings, step_seconds, span_seconds=SPAN_SECONDS):
+    """(caseid, part, first_slot, last_slot, n): the parts of a case between stretches without a reading longer than ``span_seconds``.
 
-    A stretch without a reading that is longer than ``span_seconds`` parts a case, whatever the step; the part with most readings
-    (of equals the first) is the main one, however long it is. A reading with a wrong time would have the grid of its case
-    filled over years; such readings lie elsewhere, see ``outlying_readings``. Readings are combined on the map side to
-    stretches no longer than the span, so that a gap that parts never lies inside one; the windows see stretches only.
+    Readings are combined on the map side to stretches no longer than the span, so that a gap that parts never lies inside
+    one; the windows see stretches only.
     """
     width = max(1, int(span_seconds // step_seconds))
     rows = _placed(readings, step_seconds).select("caseid", "slot", F.floor(F.col("slot") / width).alias("stretch"))
@@ -68,31 +76,55 @@ def case_extent(readings, step_seconds, span_seconds=SPAN_SECONDS):
     by_time = Window.partitionBy("caseid").orderBy("stretch")
     gap = (F.col("low") - F.lag("high").over(by_time)) * F.lit(step_seconds)
     parted = stretches.withColumn("parted", F.coalesce(gap > span_seconds, F.lit(False)).cast("long"))
-    parts = parted.withColumn("part", F.sum("parted").over(by_time)).groupBy("caseid", "part").agg(
+    return parted.withColumn("part", F.sum("parted").over(by_time)).groupBy("caseid", "part").agg(
         F.min("low").alias("first_slot"), F.max("high").alias("last_slot"), F.sum("n").alias("n"))
+
+
+def case_extent(readings, step_seconds, span_seconds=SPAN_SECONDS, lone_readings=LONE_READINGS):
+    """(caseid, stay, first_slot, last_slot): a row per stay of a case, numbered from 0 in order of time.
+
+    A stay is a part of a case with more than ``lone_readings`` readings, however long, or the largest part if there is none with so
+    many (of equals the first). What lies elsewhere are lone readings with a wrong time, which would have a grid of their own; see
+    ``outlying_readings``.
+    """
+    parts = case_parts(readings, step_seconds, span_seconds)
     by_size = Window.partitionBy("caseid").orderBy(F.desc("n"), "part")
-    return parts.withColumn("place", F.row_number().over(by_size)).where("place = 1").select(
-        "caseid", "first_slot", "last_slot")
+    stays = parts.withColumn("place", F.row_number().over(by_size)).where((F.col("place") == 1) | (F.col("n") > lone_readings))
+    by_time = Window.partitionBy("caseid").orderBy("part")
+    return stays.select("caseid", (F.row_number().over(by_time) - 1).cast("long").alias("stay"), "first_slot", "last_slot")
 
 
-def outlying_readings(readings, step_seconds, span_seconds=SPAN_SECONDS):
-    """Usable readings too far from the rest of their case to be put on its grid, with ``reason``."""
-    covered = by_block(case_extent(readings, step_seconds, span_seconds)).select(
-        F.col("caseid").alias("case"), F.col("block").alias("case_block"), "first_slot", "last_slot")
-    rows = _placed(readings, step_seconds).withColumn("block", block_of(F.col("slot")))
+def with_stay(rows, extent, how):
+    """``rows`` (caseid, block, slot, ...) joined with the stay that holds them, by case and block; ``stay`` names it."""
+    covered = by_block(extent).select(F.col("caseid").alias("case"), F.col("block").alias("case_block"), "stay",
+                                      "first_slot", "last_slot")
     on_grid = ((F.col("caseid") == F.col("case")) & (F.col("block") == F.col("case_block"))
                & F.col("slot").between(F.col("first_slot"), F.col("last_slot")))
-    return rows.join(covered, on_grid, "left_anti").drop("block").withColumn("reason", F.lit("time far from the case"))
+    joined = rows.join(covered, on_grid, how)
+    return joined if how == "left_anti" else joined.drop("case", "case_block", "first_slot", "last_slot")
+
+
+def outlying_readings(readings, step_seconds, span_seconds=SPAN_SECONDS, lone_readings=LONE_READINGS):
+    """Usable readings too far from the stays of their case to be put on a grid, with ``reason``."""
+    rows = _placed(readings, step_seconds).withColumn("block", block_of(F.col("slot")))
+    far = with_stay(rows, case_extent(readings, step_seconds, span_seconds, lone_readings), "left_anti")
+    return far.drop("block").withColumn("reason", F.lit(FAR))
 
 
 def keep_middle(extent, dropped_share=0.25):
-    """The slot range that is left when this share of the rows is dropped at both ends, and the row count before."""
+    """Per stay the slot range that is left when this share of its rows is dropped at both ends, and the row count before.
+
+    ``origin`` is the slot that a case's samples are counted from: the first kept one, in later stays less the rows kept before.
+    """
     n = F.col("last_slot") - F.col("first_slot") + 1
     cutoff = F.floor(n * F.lit(dropped_share))
-    return extent.select(
-        "caseid", (F.col("first_slot") + cutoff).alias("first_slot"),
+    kept = extent.select(
+        "caseid", "stay", (F.col("first_slot") + cutoff).alias("first_slot"),
         (F.col("last_slot") - cutoff).alias("last_slot"), n.alias("n_slots"),
     )
+    earlier = Window.partitionBy("caseid").orderBy("stay").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("last_slot") - F.col("first_slot") + 1).over(earlier), F.lit(0))
+    return kept.withColumn("origin", F.col("first_slot") - before)
 
 
 def by_block(extent):
@@ -102,18 +134,19 @@ def by_block(extent):
 
 
 def grid_rows(extent):
-    """(caseid, slot, first_slot): every slot of every case.
+    """(caseid, slot, stay, origin): every slot of every stay; without ``origin`` slots count from the stay's first.
 
     Blocks are spread before they are unfolded; the partition number is given so that the small input is not
     merged back into few tasks.
     """
     spark = extent.sparkSession
+    extent = extent if "origin" in extent.columns else extent.withColumn("origin", F.col("first_slot"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     low = F.greatest(F.col("first_slot"), F.col("block") * BLOCK_SLOTS)
     high = F.least(F.col("last_slot"), F.col("block") * BLOCK_SLOTS + (BLOCK_SLOTS - 1))
     return (
         by_block(extent).repartition(tasks, "caseid", "block")
-        .select("caseid", F.explode(F.sequence(low, high)).alias("slot"), "first_slot")
+        .select("caseid", F.explode(F.sequence(low, high)).alias("slot"), "stay", "origin")
     )
 
 
@@ -136,16 +169,16 @@ def resample(readings, step_seconds, grid=None):
         return rows.groupBy("caseid", "slot").agg(*vitals).where(any_track)
     rows = rows.unionByName(grid, allowMissingColumns=True).withColumn("block", block_of(F.col("slot")))
     rows = rows.where(F.col("block").isNotNull())
-    on_grid = F.max("first_slot").alias("first_slot")
-    return (rows.groupBy("caseid", "block", "slot").agg(*vitals, on_grid)
-            .where(F.col("first_slot").isNotNull()))
+    on_grid = [F.max(c).alias(c) for c in ("stay", "origin")]
+    return (rows.groupBy("caseid", "block", "slot").agg(*vitals, *on_grid)
+            .where(F.col("stay").isNotNull() & F.col("origin").isNotNull()))  # both, so that branches of a plan stay equal
 
 
 def attach_case_values(samples, case_values):
-    """Per-case values onto every sample of the case.
+    """Values of a stay onto every sample of it.
 
-    ``case_values`` has one row per case with ``first_slot`` and ``last_slot``. Both sides are keyed by (caseid, block).
-    Catalyst broadcasts the per-case side only where its measured size is below the session's limit.
+    ``case_values`` has one row per stay with ``first_slot`` and ``last_slot``. Both sides are keyed by (caseid, block, stay).
+    Catalyst broadcasts the side of the stays only where its measured size is below the session's limit.
     """
-    values = by_block(case_values).drop("first_slot", "last_slot")
-    return samples.join(values, ["caseid", "block"]).drop("block")
+    values = by_block(case_values).drop("first_slot", "last_slot", "origin")
+    return samples.join(values, ["caseid", "block", "stay"]).drop("block")

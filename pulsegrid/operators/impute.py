@@ -20,9 +20,9 @@ def mean_name(column):
     return f"mean {column}"
 
 
-def case_means(samples, columns):
-    """(caseid, "mean <column>"...): empty values are skipped; an all-empty column has no mean."""
-    return samples.groupBy("caseid").agg(*[exact_mean(F.col(c)).alias(mean_name(c)) for c in columns])
+def case_means(samples, columns, keys=("caseid", "stay")):
+    """(caseid, stay, "mean <column>"...): empty values are skipped; an all-empty column has no mean."""
+    return samples.groupBy(*keys).agg(*[exact_mean(F.col(c)).alias(mean_name(c)) for c in columns])
 
 
 def fill_with_means(samples, columns):

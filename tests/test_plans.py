@@ -55,7 +55,7 @@ def test_without_broadcast_samples_meet_case_values_by_block(spark):
     try:
         df = entry.queries()["prepared_samples"](spark, SF)
         plan = final_plan(df)
-        assert re.search(r"SortMergeJoin \[caseid#\d+, block#\d+L\]", plan)
+        assert re.search(r"SortMergeJoin \[caseid#\d+, block#\d+L, stay#\d+L\]", plan)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
