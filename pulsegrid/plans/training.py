@@ -3,6 +3,7 @@
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.labels import hash_split, label_indexer, with_label
@@ -15,32 +16,48 @@ def assembler(features=FEATURES):
     return VectorAssembler(inputCols=list(features), outputCol="features")
 
 
-#: Parts that the rows of a fit are dealt into. The forest draws its samples part by part, so the number belongs to the
-#: model like the seed; give more for a table that does not fit into so many tasks.
-FIT_PARTS = 32
+#: Rows of a class that a fit sees at most, those with the smallest hashes.
+FIT_ROWS_PER_CLASS = 1 << 20
+#: Rows of a part. The forest draws its samples part by part, so the number of parts belongs to the model like the seed.
+PART_ROWS = 1 << 15
+LEAST_PARTS = 32
+WEIGHT, FIT_HASH = "fit_weight", "fit_hash"
 
 
-def fit_risk_model(rows, features=FEATURES, label=LABEL, trees=100, seed=1234, parts=FIT_PARTS):
-    """Label index, feature vector and a forest of ``trees`` trees, with a fixed seed.
+def fit_sample(rows, label=LABEL, rows_per_class=FIT_ROWS_PER_CLASS, seed=1234):
+    """A bounded sample of training rows, whatever their number: of each class the rows with the smallest hashes.
+
+    The hash is over all columns and the seed, so the sample follows from the rows alone. Tasks keep so many rows of a class
+    before the shuffle. ``fit_weight`` is the number of a class's rows that a row stands for, so class shares are kept.
+    """
+    hashed = rows.withColumn(FIT_HASH, F.xxhash64(F.lit(seed), *rows.columns))
+    smallest = Window.partitionBy(label).orderBy(FIT_HASH, *rows.columns)
+    chosen = hashed.withColumn("fit_rank", F.row_number().over(smallest)).where(F.col("fit_rank") <= rows_per_class).drop("fit_rank")
+    counts = rows.groupBy(F.col(label).alias("fit_class")).agg(F.count("*").alias("fit_n"))
+    weighted = chosen.join(counts, F.col(label) == F.col("fit_class"))
+    return weighted.withColumn(WEIGHT, F.greatest(F.lit(1.0), F.col("fit_n") / F.lit(rows_per_class))).drop("fit_class", "fit_n")
+
+
+def fit_risk_model(rows, features=FEATURES, label=LABEL, trees=100, seed=1234, rows_per_class=FIT_ROWS_PER_CLASS):
+    """Label index, feature vector and a forest of ``trees`` trees, with a fixed seed, over a bounded sample.
 
     Rows without a label or with a missing input are left out: the one would become a class of its own, the
-    other would stop the fit. The fit passes over its rows several times, so give it a table, not a long plan.
+    other would stop the fit. The sample is stored, as the fit passes over it several times; its size decides the number of parts.
     """
-    forest = RandomForestClassifier(featuresCol="features", labelCol=ENCODED_LABEL, numTrees=trees, seed=seed)
+    sample = stored(fit_sample(complete_rows(rows, features, label), label, rows_per_class, seed), "fit-sample")
+    parts = max(LEAST_PARTS, -(-sample.count() // PART_ROWS))
+    forest = RandomForestClassifier(featuresCol="features", labelCol=ENCODED_LABEL, weightCol=WEIGHT, numTrees=trees, seed=seed)
     pipeline = Pipeline(stages=[label_indexer(label, ENCODED_LABEL), assembler(features), forest])
-    return pipeline.fit(spread(complete_rows(rows, features, label), parts))
+    return pipeline.fit(spread(sample, parts))
 
 
 def complete_rows(rows, features=FEATURES, label=LABEL):
     return with_label(rows, label).dropna(subset=list(features))
 
 
-def spread(rows, parts=FIT_PARTS):
-    """Rows dealt by a hash of all columns, in a fixed order, so that neither the cluster nor the files decide the model.
-
-    A training table is small in bytes next to the work a forest puts into it, so file sizes would also give too few tasks.
-    """
-    return rows.repartition(parts, F.xxhash64(*rows.columns)).sortWithinPartitions(*rows.columns)
+def spread(sample, parts):
+    """Rows dealt by their hash, in a fixed order, so that neither the cluster nor the files decide the model."""
+    return sample.repartition(parts, FIT_HASH).sortWithinPartitions(FIT_HASH, *[c for c in sample.columns if c != FIT_HASH])
 
 
 def left_out(rows, features=FEATURES, label=LABEL):
@@ -66,8 +83,19 @@ def train_and_test(rows, keys, features=FEATURES, label=LABEL, trees=100, seed=1
     rows = complete_rows(stored(rows, "training"), features, label)
     training, test = hash_split(rows, keys, seed=seed)
     model = fit_risk_model(training, features, label, trees, seed)
-    known = test.where(test[label].isin(labels_of(model)))
-    return model, model.transform(known)
+    return model, model.transform(unseen_labels(test, model, label, False))
+
+
+def unseen_labels(test, model, label=LABEL, unseen=True):
+    """The held-out rows whose label the training rows lack, so that no measure counts them; or the others."""
+    known = F.col(label).isin(labels_of(model))
+    return test.where(~known if unseen else known)
+
+
+def unseen_counts(rows, model, keys, features=FEATURES, label=LABEL, seed=1234):
+    """(label, n): held-out rows that the quality measures leave out because the model has no such class."""
+    _, test = hash_split(complete_rows(rows, features, label), keys, seed=seed)
+    return unseen_labels(test, model, label).groupBy(label).agg(F.count("*").alias("n"))
 
 
 def evaluate(predictions, label=ENCODED_LABEL):

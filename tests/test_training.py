@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -7,8 +8,9 @@ from pyspark.sql import functions as F
 from pulsegrid.operators.labels import hash_split, index_labels
 from pulsegrid.operators.metrics import confusion_matrix, quality
 from pulsegrid.plans.scoring import score_enriched
-from pulsegrid.plans.training import (complete_rows, evaluate, fit_risk_model, importances, labels_of, left_out, preview,
-                                      spread, train_and_test)
+from pulsegrid.plans import training as fitting
+from pulsegrid.plans.training import (WEIGHT, complete_rows, evaluate, fit_risk_model, fit_sample, importances, labels_of, left_out,
+                                      preview, spread, train_and_test, unseen_counts)
 from pulsegrid.schemas import ENCODED_LABEL, FEATURES, HIGH_RISK, LABEL, LOW_RISK, SCORED_COLUMNS, TRAINING_SCHEMA
 from pulsegrid.sources.models import load_model, save_model
 
@@ -119,10 +121,37 @@ def test_importances_and_preview(spark, fitted):
     assert len(ids) == 10 and ids == sorted(ids)
 
 
-def test_spread_keeps_all_rows(spark):
-    rows = training(spark, 100)
-    assert spread(rows).exceptAll(rows).count() == 0 and spread(rows).count() == 100
-    assert spread(rows, 4).rdd.getNumPartitions() == 4
+def test_the_sample_of_a_fit_is_bounded_and_keeps_class_shares(spark):
+    rows = training(spark, 1000)
+    all_rows = fit_sample(rows)
+    assert all_rows.count() == 1000 and all_rows.select(WEIGHT).distinct().collect() == [(1.0,)]
+    some = fit_sample(rows, rows_per_class=50)
+    counts = {r[LABEL]: (r.n, r.w) for r in some.groupBy(LABEL).agg(F.count("*").alias("n"), F.sum(WEIGHT).alias("w")).collect()}
+    whole = {r[LABEL]: r["count"] for r in rows.groupBy(LABEL).count().collect()}
+    assert {k: n for k, (n, _) in counts.items()} == {HIGH_RISK: 50, LOW_RISK: 50}
+    assert all(w == pytest.approx(whole[k]) for k, (_, w) in counts.items())
+    again = fit_sample(rows.repartition(9), rows_per_class=50)
+    assert sorted(some.collect()) == sorted(again.collect())
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit .* row_number\(\), 50, Partial", plan)
+
+
+def test_a_fit_reads_no_more_than_its_bound(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(fitting, "spread", lambda sample, parts: seen.append((sample.count(), parts)) or spread(sample, parts))
+    monkeypatch.setattr(fitting, "PART_ROWS", 10)
+    monkeypatch.setattr(fitting, "LEAST_PARTS", 2)
+    fit_risk_model(training(spark, 500), trees=2, rows_per_class=40)
+    assert seen == [(80, 8)]
+
+
+def test_held_out_labels_that_no_training_row_has_are_counted(spark):
+    rows = training(spark, 200)
+    odd = rows.withColumn(LABEL, F.when(F.col("Patient ID") < 20, F.concat(F.lit("rare "), "Patient ID")).otherwise(F.col(LABEL)))
+    model, predictions = train_and_test(odd, ["Patient ID"], trees=2)
+    lacking = unseen_counts(odd, model, ["Patient ID"])
+    _, test = hash_split(complete_rows(odd), ["Patient ID"])
+    assert lacking.count() > 0 and lacking.agg(F.sum("n")).first()[0] + predictions.count() == test.count()
 
 
 def test_the_model_does_not_depend_on_the_cluster(spark, tmp_path):
