@@ -4,29 +4,32 @@
     publish  readings + clinical CSV -> topic (Kafka, or files with --path)
     replay   file topic -> topic, one record per case every two seconds, until stopped
     score    topic -> scored documents (search index, or files with --path), until stopped or --once
-    monitor  scored documents in files -> trend, gauge and risk_share tables
+    redeliver  dead letters of the scoring job -> scored documents, once more
+    watch    topic -> live trends and gauges, rows that come too late aside, until stopped or --once
+    monitor  scored documents in files -> trend, gauge and risk_share tables; only dates with new documents are done again
 """
 
 import argparse
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from .operators.messages import decode, encode
-from .operators.monitor import recent_means, risk_share, trend, with_bands
 from .operators.routing import routed
+from .plans.dashboard import refresh
 from .plans.prepare import prepare, set_aside
 from .plans.publish import publish
-from .plans.training import evaluate, importances, left_out, preview, train_and_test
+from .plans.training import evaluate, importances, left_out, preview, train_and_test, unseen_counts
 from .schemas import ENCODED_LABEL, ENVELOPE_SCHEMA, LABEL
 from .session import job_dir, new_dir, use_utc
 from .settings import JobSettings
 from .sources.files import read_clinical, read_readings, read_training, require_rows
 from .sources.models import load_model, save_model
 from .sources.topics import kafka_options, read_topic, write_topic
-from .streaming.delivery import UPSERT, deliver, replace_batch
+from .streaming.commits import Committed
+from .streaming.delivery import UPSERT, deliver, redeliver
 from .streaming.replay import start_replay, write_replay_table
-from .streaming.scoring import start_scoring_job
+from .streaming.scoring import scored_writer, start_scoring_job
+from .streaming.watch import watch
 
 INDEX_FORMAT = "org.elasticsearch.spark.sql"
 
@@ -36,6 +39,7 @@ def train(spark, settings, args):
     left_out(rows).show()
     model, predictions = train_and_test(rows, ["Patient ID"] + args.key)
     evaluate(predictions).show(truncate=False)
+    unseen_counts(rows, model, ["Patient ID"] + args.key).show(truncate=False)
     preview(predictions, ["Patient ID", LABEL, ENCODED_LABEL, "prediction"], ["Patient ID"]).show()
     importances(spark, model).show(truncate=False)
     save_model(model, settings.model_path)
@@ -47,13 +51,14 @@ def publish_samples(spark, settings, args):
     samples = prepare(readings, clinical, args.base, case_ids=settings.case_ids)
     routes = {"patient.vitals": settings.topic}
     aside = args.aside or job_dir(spark, "publish-aside", args.readings, args.path or settings.topic)
-    unplaced, unknown = set_aside(readings, clinical)
+    unplaced, unknown = set_aside(readings, clinical, case_ids=settings.case_ids)
+    progress = args.progress or job_dir(spark, "publish-progress", args.readings, args.clinical, args.base, args.path or settings.topic)
     unplaced.write.mode("overwrite").parquet(f"{aside}/readings")
     unknown.write.mode("overwrite").parquet(f"{aside}/cases")
-    if args.path:
-        publish(samples, "parquet", path=args.path, routes=routes, aside=f"{aside}/messages")
-    else:
-        publish(samples, "kafka", {"kafka.bootstrap.servers": settings.kafka_servers}, routes=routes, aside=f"{aside}/messages")
+    where = {"fmt": "parquet", "path": args.path} if args.path else {
+        "fmt": "kafka", "options": {"kafka.bootstrap.servers": settings.kafka_servers}}
+    sent, skipped = publish(samples, **where, routes=routes, aside=f"{aside}/messages", progress=progress, blocks_per_job=args.blocks_per_job)
+    print(f"blocks sent: {sent}, sent before: {skipped}")
     print(f"set aside: {aside}")
 
 
@@ -64,10 +69,12 @@ def replay(spark, settings, args):
     write_replay_table(encode(messages), table, args.base, unsent=unsent)
     kafka = {"kafka.bootstrap.servers": settings.kafka_servers}
 
-    def send(rows, batch_id):
+    to_files = Committed(args.path) if args.path else None
+
+    def send(rows, batch_id, part=""):
         rows = routed(rows, {"patient.vitals": settings.topic})
-        if args.path:
-            replace_batch(args.path)(rows.drop("tag", "tick", "timestamp"), batch_id)
+        if to_files:
+            to_files(rows.drop("tag", "tick", "timestamp"), batch_id, part)
         else:
             write_topic(rows, "kafka", kafka)
 
@@ -76,37 +83,57 @@ def replay(spark, settings, args):
     start_replay(spark, table, deliver(send, dead), progress).awaitTermination()
 
 
-def score_topic(spark, settings, args):
-    model = load_model(settings.model_path)
+def envelope_of(spark, settings, args):
     if args.topic_path:
-        envelope = read_topic(spark, "parquet", path=args.topic_path)
-    else:
-        envelope = read_topic(spark, "kafka", kafka_options(
-            settings.kafka_servers, settings.topic, settings.fail_on_data_loss, settings.starting_offsets))
+        return read_topic(spark, "parquet", path=args.topic_path)
+    return read_topic(spark, "kafka", kafka_options(
+        settings.kafka_servers, settings.topic, settings.fail_on_data_loss, settings.starting_offsets))
+
+
+def score_places(spark, settings, args):
     names = (args.topic_path or settings.topic, args.path or settings.index)
-    progress = args.checkpoint or job_dir(spark, "score-progress", *names)
-    quarantine = args.quarantine or job_dir(spark, "score-quarantine", *names)
-    dead = args.dead_letters or job_dir(spark, "score-dead", *names)
+    return (args.quarantine or job_dir(spark, "score-quarantine", *names), args.dead_letters or job_dir(spark, "score-dead", *names),
+            args.checkpoint or job_dir(spark, "score-progress", *names))
 
-    def to_index(rows, batch_id):
+
+def document_writer(settings, args, run=None):
+    def to_index(rows, batch_id, part=""):
         rows.write.format(INDEX_FORMAT).options(**settings.index_options(), **UPSERT).mode("append").save()
 
-    write = replace_batch(args.path, by_date=True) if args.path else to_index
+    return Committed(args.path, run, by_date=True) if args.path else to_index
+
+
+def score_topic(spark, settings, args):
+    quarantine, dead, progress = score_places(spark, settings, args)
     trigger = {"availableNow": True} if args.once else None
     print(f"set aside: {quarantine}, {dead}")
-    start_scoring_job(envelope, model, write, quarantine, dead, progress, trigger).awaitTermination()
+    start_scoring_job(envelope_of(spark, settings, args), load_model(settings.model_path), document_writer(settings, args),
+                      quarantine, dead, progress, trigger).awaitTermination()
+
+
+def redeliver_scored(spark, settings, args):
+    quarantine, dead, _ = score_places(spark, settings, args)
+    again = "redelivered"
+    write = scored_writer(load_model(settings.model_path), document_writer(settings, args, again), Committed(quarantine, again))
+    sent, left = redeliver(spark, dead, write)
+    print(f"dead letters handled: {sent}, failed again: {left}")
+
+
+def watch_topic(spark, settings, args):
+    progress = args.checkpoint or job_dir(spark, "watch-progress", args.topic_path or settings.topic, args.out)
+    clinical = read_clinical(spark, args.clinical) if args.clinical else None
+    queries = watch(envelope_of(spark, settings, args), args.out, progress, args.delay_seconds, args.bucket, args.reach, args.slide,
+                    clinical, {"availableNow": True} if args.once else None)
+    if not args.once:
+        spark.streams.awaitAnyTermination()
+    for query in queries:
+        if query.exception():
+            raise query.exception()
 
 
 def monitor(spark, settings, args):
-    rows = spark.read.parquet(args.scored)
-    recent = rows.where(F.col("event_date") >= F.lit(args.since).cast("date")) if args.since else rows
-    tables = {
-        "trend": trend(rows, args.bucket),
-        "gauge": with_bands(recent_means(recent, args.recent_seconds)),
-        "risk_share": risk_share(rows),
-    }
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+    dates = refresh(spark, args.scored, args.out, args.bucket, args.recent_seconds)
+    print(f"dates done again: {len(dates)}")
 
 
 def parser():
@@ -123,6 +150,8 @@ def parser():
     job.add_argument("--base", required=True, help="time of the first sample, UTC")
     job.add_argument("--path", help="write files instead of Kafka")
     job.add_argument("--aside", help="folder for rejected cases, readings and messages")
+    job.add_argument("--progress", help="shared folder of staged messages and blocks sent; by default one that follows from the inputs")
+    job.add_argument("--blocks-per-job", type=int, default=1, help="blocks of an hour that are written at once")
     job.set_defaults(run=publish_samples)
     job = jobs.add_parser("replay")
     job.add_argument("topic_path")
@@ -140,11 +169,28 @@ def parser():
     job.add_argument("--checkpoint", help="shared folder; by default one that follows from topic and sink")
     job.add_argument("--once", action="store_true", help="stop when all present messages are scored")
     job.set_defaults(run=score_topic)
+    job = jobs.add_parser("redeliver")
+    job.add_argument("--topic-path", help="topic of the scoring job, if files")
+    job.add_argument("--path", help="files of the scoring job instead of the search index")
+    job.add_argument("--quarantine", help="as for the scoring job")
+    job.add_argument("--dead-letters", help="as for the scoring job")
+    job.add_argument("--checkpoint", help="as for the scoring job")
+    job.set_defaults(run=redeliver_scored)
+    job = jobs.add_parser("watch")
+    job.add_argument("out")
+    job.add_argument("--topic-path", help="read files instead of Kafka")
+    job.add_argument("--clinical", help="clinical CSV to take each case's attributes from")
+    job.add_argument("--delay-seconds", type=int, default=7200, help="how far arrival may lag behind event time")
+    job.add_argument("--bucket", default="1 minute", help="width of a trend bucket")
+    job.add_argument("--reach", default="5 minutes", help="reach of the gauge")
+    job.add_argument("--slide", default="1 minute", help="time between two values of the gauge")
+    job.add_argument("--checkpoint", help="shared folder; by default one that follows from topic and output")
+    job.add_argument("--once", action="store_true", help="stop when all present messages are handled")
+    job.set_defaults(run=watch_topic)
     job = jobs.add_parser("monitor")
     job.add_argument("scored")
     job.add_argument("out")
-    job.add_argument("--bucket", default="1 minute", help="width of a trend bucket")
-    job.add_argument("--since", help="first date the gauge looks at; earlier folders are not opened")
+    job.add_argument("--bucket", default="1 minute", help="width of a trend bucket; it must divide a day")
     job.add_argument("--recent-seconds", type=int, default=300, help="reach of the gauge")
     job.set_defaults(run=monitor)
     return root

@@ -20,11 +20,6 @@ def scorable(enriched, features=FEATURES):
     return enriched.where(can_be_scored(features))
 
 
-def untimed(rows):
-    """Rows whose timestamp cannot be read: they fit into no window and cannot be told from a repeat."""
-    return rows.where(F.col("event_ts").isNull()).withColumn("reason", F.lit("unreadable timestamp"))
-
-
 def quarantined(enriched, features=FEATURES):
     """The other rows, with ``reason``: what could not be decoded, or which inputs are missing."""
     names = F.concat_ws(", ", *[F.when(_missing(c), F.lit(c)) for c in features])

@@ -56,10 +56,21 @@ def new_dir(spark, name):
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Where jobs on a local master keep what must outlast them, if ``spark.checkpoint.dir`` is not set.
+LOCAL_STATE = "pulsegrid-state"
+
+
 def job_dir(spark, *names):
-    """A folder below the shared one that a job finds again after a restart: its name follows from ``names`` alone."""
+    """A folder that a job finds again after a restart: its name follows from ``names`` alone.
+
+    It lies below ``spark.checkpoint.dir``, or for a local master without that setting in the working folder: progress, dead letters
+    and rows set aside must not go with the session's own temporary folder.
+    """
     mark = hashlib.sha256("|".join(map(str, names)).encode()).hexdigest()[:16]
-    return f"{shared_dir(spark).rstrip('/')}/{names[0]}-{mark}"
+    kept = spark.conf.get("spark.checkpoint.dir", None)
+    if not kept and spark.sparkContext.master.startswith("local"):
+        kept = os.path.abspath(LOCAL_STATE)
+    return f"{(kept or shared_dir(spark)).rstrip('/')}/{names[0]}-{mark}"
 
 
 def stored(df, name):

@@ -18,7 +18,7 @@ def read_topic(spark, fmt="kafka", options=None, path=None):
     reader = spark.readStream.format(fmt).options(**(options or {}))
     if fmt == "kafka":
         return reader.load()
-    return reader.schema(ENVELOPE_SCHEMA).load(path)
+    return reader.schema(ENVELOPE_SCHEMA).load(path).select(*ENVELOPE_SCHEMA.names)
 
 
 def write_topic(messages, fmt="kafka", options=None, path=None, mode="append"):

@@ -14,9 +14,8 @@ def drop_repeats(rows, delay):
     """One row per case and event time: a record that was sent again within ``delay`` is dropped.
 
     ``delay`` must cover how far arrival may lag behind event time, a block of ``publish`` at least: rows behind the
-    watermark are dropped too, and counted in the query's progress (see ``monitor.rows_behind``); ``not_in`` finds them.
-
-    Rows without an event time are left out; set them aside with ``untimed``.
+    watermark are dropped too, and counted by ``monitor.DroppedRows``. Rows without an event time are left out. ``watch.start_front``
+    sets both aside before.
     """
     rows = rows.where(rows["event_ts"].isNotNull())
     return rows.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["caseid", "event_ts"])
@@ -34,8 +33,3 @@ def attach_clinical(rows, clinical_per_case, parts=PARTS):
     dealt = rows.withColumn("part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)))
     repeated = clinical_per_case.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
     return dealt.join(repeated, ["caseid", "part"]).drop("part")
-
-
-def not_in(rows, kept, keys=("caseid", "timestamp")):
-    """Rows of a topic, read as a table, that a stream over it has not kept: those behind its watermark, with a reason."""
-    return rows.join(kept.select(*keys), list(keys), "left_anti").withColumn("reason", F.lit("behind the watermark"))

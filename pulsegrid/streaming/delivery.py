@@ -1,10 +1,11 @@
-"""Sinks: plain append, and a writer with bounded retries and a dead-letter table."""
+"""Sinks: plain append, and a writer with bounded retries that sets single records aside in a dead-letter table."""
 
 import time
-import uuid
 
 from pyspark.sql import functions as F
 
+from .commits import Committed, commits, read_committed
+
 
 def document_id(rows):
     """A name for each document, so that a store with keys replaces a repeated one; see ``UPSERT``."""
@@ -24,37 +25,106 @@ def start_append(rows, fmt, checkpoint, options=None, path=None, trigger=None):
     return writer.start(path)
 
 
-def deliver(write, dead_letters, tries=5, pause_seconds=2.0):
-    """A ``foreachBatch`` function: up to ``tries`` attempts, then the batch goes to the dead-letter table.
+#: Failing writes after which what is left of a batch goes to the dead letters as it is: then it is the sink that fails, not records.
+MOST_FAILURES = 256
+
+
+def attempt(write, tries, pause_seconds):
+    """None if ``write()`` succeeds within ``tries`` attempts, else why the last one failed."""
+    for number in range(tries):
+        if number:
+            time.sleep(pause_seconds)
+        try:
+            write()
+            return None
+        except Exception as failure:
+            reason = f"{type(failure).__name__}: {failure}"
+    return reason
+
+
+def halves(rows, columns, depth, part):
+    """The rows of ``rows`` in the two halves of a part: those whose hash agrees with ``part`` on one bit more."""
+    code = F.xxhash64(*columns)
+    return [(2 ** depth + part, rows.where(F.pmod(code, F.lit(2 ** (depth + 1))) == 2 ** depth + part)),
+            (part, rows.where(F.pmod(code, F.lit(2 ** (depth + 1))) == part))]
+
+
+def deliver(write, dead_letters, tries=5, pause_seconds=2.0, most_failures=MOST_FAILURES):
+    """A ``foreachBatch`` function that delivers all records it can, and puts each of the others aside with the reason.
 
-    ``write(rows, batch_id)`` may run again for the same batch, after a failure or a restart, so it should replace what it
-    wrote before. Dead letters are kept by run and batch, so no run replaces those of another. If the dead-letter table
-    cannot be written either, the query fails and keeps its place.
+    A batch gets up to ``tries`` attempts as a whole. If all fail it is halved by a hash of its records, and the halves again,
+    until the failing records are alone (or equal ones together); these get their ``tries`` too and go to the dead letters. A
+    batch with f such records costs about 2 f log2(n) writes; after ``most_failures`` failing ones the rest follows as it is.
+
+    ``write(rows, batch_id, part)`` may run again for the same batch and part, after a failure or a restart, so it should
+    do nothing for one that it has written, as ``Committed`` does, or replace it. ``part`` is "" for a whole batch. If the dead letters
+    cannot be written, the query fails and keeps its place.
     """
+    aside = Committed(dead_letters)
+
     def run(rows, batch_id):
-        for attempt in range(tries):
-            if attempt:
-                time.sleep(pause_seconds)
-            try:
-                return write(rows, batch_id)
-            except Exception as failure:
-                reason = f"{type(failure).__name__}: {failure}"
-        dead = f"{dead_letters.rstrip('/')}/run={run_id}"
-        replace_batch(dead)(rows.withColumn("reason", F.lit(reason)), batch_id)
-
-    run_id = uuid.uuid4().hex  # batch numbers start again with a new checkpoint
+        reason = attempt(lambda: write(rows, batch_id, ""), tries, pause_seconds)
+        if reason is None:
+            return
+        columns, failures = rows.columns, 0
+        waiting, letters = [(0, 0, rows, reason)], []
+        while waiting:
+            depth, part, some, reason = waiting.pop()
+            failures += 1
+            reach = some.agg(F.min(F.xxhash64(*columns)).alias("low"), F.max(F.xxhash64(*columns)).alias("high")).first()
+            if reach.low is None:
+                continue
+            name = f"{depth}-{part}"
+            if reach.low == reach.high or failures >= most_failures:
+                if depth:
+                    reason = attempt(lambda: write(some, batch_id, name), tries if failures < most_failures else 1, pause_seconds)
+                if reason is not None:
+                    letters.append((name, some, reason))
+                continue
+            for half, rest in halves(some, columns, depth, part):
+                failed = attempt(lambda: write(rest, batch_id, f"{depth + 1}-{half}"), 1, 0)
+                if failed is not None:
+                    waiting.append((depth + 1, half, rest, failed))
+        for name, some, reason in letters:
+            aside(some.withColumn("reason", F.lit(reason)), batch_id, name)
+
     return run
 
 
+def redeliver(spark, dead_letters, write, schema=None, tries=5, pause_seconds=2.0):
+    """Sends the dead letters again, each commit once; what fails again stays, under a new commit with its new reason.
+
+    Returns (sent, left): how many commits of dead letters were handled, and how many failed again. Handled commits are named in a
+    log of their own beside the dead letters, so a job that is started again goes on with the others.
+    """
+    handled = f"{dead_letters.rstrip('/')}/_redelivered"
+    log = commits(spark, dead_letters)
+    done = commits(spark, handled).select(F.col("part").alias("attempt"))
+    open_ones = log.join(done, "attempt", "left_anti").orderBy("at", "part").collect()
+    again = Committed(dead_letters, run="redelivered")
+    marks = Committed(handled, run="redelivered")
+    left = 0
+    for no, letter in enumerate(open_ones):
+        one = log.where(F.col("attempt") == letter["attempt"])
+        rows = read_committed(spark, dead_letters, schema, one).drop("run", "batch", "attempt", "reason")
+        reason = attempt(lambda: write(rows, no, letter["attempt"]), tries, pause_seconds)
+        if reason is not None:
+            left += 1
+            again(rows.withColumn("reason", F.lit(reason)), no, letter["attempt"])
+        marks.note(spark, no, letter["attempt"])
+    return len(open_ones), left
+
+
 def replace_batch(path, fmt="parquet", by_date=False):
-    """A batch writer that can be repeated: each batch has its own folder, which a second try replaces.
+    """A batch writer that replaces the folder of its batch number: for one checkpoint and one reader of all folders.
 
-    With ``by_date`` rows lie by the date of their ``event_ts``, so that a reader of recent rows opens no others.
+    Where runs share a folder, use ``commits.Committed``.
     """
-    def write(rows, batch_id):
+    def write(rows, batch_id, part=""):
         writer = (rows.withColumn("event_date", F.to_date("event_ts")) if by_date else rows).write
         writer = writer.partitionBy("event_date") if by_date else writer
-        writer.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch_id={batch_id}")
+        name = f"{batch_id}-{part}" if part else f"{batch_id}"
+        writer.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch_id={name}")
 
     return write
 

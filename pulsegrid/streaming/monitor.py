@@ -2,9 +2,11 @@
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators.monitor import sliding_means, trend
-from .delivery import replace_batch, start_foreach_batch
+from .commits import PLACE, Committed, commits, read_committed
+from .delivery import start_foreach_batch
 
 
 def trend_stream(rows, width, delay):
@@ -18,21 +20,35 @@ def gauge_stream(rows, width, slide, delay):
 
 def start_updates(aggregates, path, checkpoint, trigger=None):
     """Every changed window of each micro-batch, so open windows are readable too; see ``latest_updates``."""
-    return start_foreach_batch(aggregates, replace_batch(path), checkpoint, "update", trigger)
+    return start_foreach_batch(aggregates, Committed(path), checkpoint, "update", trigger)
 
 
-def latest_updates(updates, keys):
+def latest_updates(spark, path, keys, schema=None):
     """The last state of every window; each task keeps one row per key before the shuffle."""
-    newest = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return (updates.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") == 1)
-            .drop("rank", "batch_id"))
+    rows = read_committed(spark, path, schema).join(commits(spark, path).select(*PLACE, "at"), PLACE)
+    newest = Window.partitionBy(*keys).orderBy(F.desc("at"), F.desc("batch"))
+    return rows.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") == 1).drop("rank", "at", *PLACE)
 
 
-def rows_behind(query):
-    """Rows that a query has dropped so far because they came behind its watermark."""
-    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+class DroppedRows(StreamingQueryListener):
+    """Rows that queries dropped because they came behind a watermark, summed by query over all batches.
 
+    A query's own ``recentProgress`` has the last hundred batches only. Register it with ``spark.streams.addListener``.
+    """
 
-def compacted(updates, keys, path):
-    """All updates so far as one table with a row per window, so that batch folders need not be kept for ever."""
-    latest_updates(updates, keys).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").parquet(path)
+    def __init__(self):
+        self.dropped, self.batches = {}, {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress, query = event.progress, str(event.progress.id)
+        self.batches[query] = self.batches.get(query, 0) + 1
+        self.dropped[query] = self.dropped.get(query, 0) + sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass

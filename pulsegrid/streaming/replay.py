@@ -27,12 +27,31 @@ def write_replay_table(messages, path, base, step_seconds=2, ticks_per_block=TIC
      .write.mode("overwrite").partitionBy("tick_block").parquet(path))
 
 
+def device_clock(spark, step_seconds=2):
+    """One tick per trigger, from 0 on; the place is kept in the checkpoint."""
+    return (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1)
+            .option("advanceMillisPerBatch", int(step_seconds * 1000)).load().select("value"))
+
+
+def file_clock(spark, folder, per_trigger=None):
+    """A clock that is moved by hand: the ticks in the files of ``folder``, see ``move_clock``."""
+    reader = spark.readStream.schema("value long")
+    return (reader.option("maxFilesPerTrigger", per_trigger) if per_trigger else reader).parquet(folder)
+
+
+def move_clock(spark, folder, first, last):
+    """Lets a ``file_clock`` go on from tick ``first`` to ``last``, both included."""
+    spark.range(first, last + 1).select(F.col("id").alias("value")).coalesce(1).write.mode("append").parquet(folder)
+
+
 def start_replay(spark, path, write, checkpoint, step_seconds=2, pause_seconds=None,
-                 ticks_per_block=TICKS_PER_BLOCK):
-    """One tick per trigger; the place is kept in the checkpoint. ``write(rows, batch_id)`` sends a tick's messages."""
+                 ticks_per_block=TICKS_PER_BLOCK, clock=None, trigger=None):
+    """The messages of the ticks that ``clock`` has come to, one tick per trigger with the device's own clock.
+
+    ``write(rows, batch_id)`` sends a tick's messages, which keep their ``tick``.
+    """
     pause = step_seconds if pause_seconds is None else pause_seconds
-    ticks = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1)
-             .option("advanceMillisPerBatch", int(step_seconds * 1000)).load())
+    ticks = device_clock(spark, step_seconds) if clock is None else clock
 
     def send(batch, batch_id):
         reach = batch.agg(F.min("value").alias("first"), F.max("value").alias("last")).first()
@@ -43,4 +62,4 @@ def start_replay(spark, path, write, checkpoint, step_seconds=2, pause_seconds=N
         write(due.drop("tick_block").sortWithinPartitions("tick"), batch_id)
 
     return (ticks.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)
-            .trigger(processingTime=f"{pause} seconds").start())
+            .trigger(**(trigger or {"processingTime": f"{pause} seconds"})).start())

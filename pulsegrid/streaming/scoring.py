@@ -5,7 +5,8 @@ from ..operators.messages import decode
 from ..operators.monitor import with_event_time
 from ..operators.quarantine import quarantined
 from ..plans.scoring import score
-from .delivery import deliver, document_id, replace_batch, start_append, start_foreach_batch
+from .commits import Committed
+from .delivery import deliver, document_id, start_append, start_foreach_batch
 
 
 def start_scoring(envelope, model, fmt, checkpoint, options=None, path=None, trigger=None):
@@ -18,15 +19,21 @@ def start_quarantine(envelope, path, checkpoint, fmt="parquet", trigger=None):
     return start_append(quarantined(enrich(decode(envelope))), fmt, checkpoint, None, path, trigger)
 
 
+def scored_writer(model, write, quarantine):
+    """``write(batch, batch_id, part)`` of topic rows: scored documents to ``write``, the others to ``quarantine`` with a reason."""
+    def both(batch, batch_id, part=""):
+        rows = decode(batch)
+        write(document_id(with_event_time(score(rows, model))), batch_id, part)
+        quarantine(quarantined(enrich(rows)), batch_id, part)
+
+    return both
+
+
 def start_scoring_job(envelope, model, write, quarantine, dead_letters, checkpoint, trigger=None):
-    """Each batch read once: scored documents to ``write(rows, batch_id)``, the others to the ``quarantine`` table.
+    """Each batch read once: scored documents to ``write(rows, batch_id, part)``, the others to the ``quarantine`` table.
 
-    Documents carry ``document_id`` and the parsed time, ``event_ts``. A batch that is repeated after a restart
-    replaces what it wrote, in ``quarantine`` too; one that cannot be written goes to ``dead_letters``, as it came.
+    Documents carry ``document_id`` and the parsed time, ``event_ts``. A batch that is repeated after a restart is not written twice
+    to ``quarantine``, nor to a ``Committed`` sink; records that cannot be written go to ``dead_letters``, as they came.
     """
-    def both(batch, batch_id):
-        rows = decode(batch)
-        write(document_id(with_event_time(score(rows, model))), batch_id)
-        replace_batch(quarantine)(quarantined(enrich(rows)), batch_id)
-
+    both = scored_writer(model, write, Committed(quarantine))
     return start_foreach_batch(envelope, deliver(both, dead_letters), checkpoint, trigger=trigger)

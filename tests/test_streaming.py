@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 import time
 
 import pytest
@@ -9,11 +10,12 @@ from pulsegrid.operators.clinical import first_per_case
 from pulsegrid.operators.enrich import enrich
 from pulsegrid.operators.messages import decode
 from pulsegrid.operators.monitor import trend, with_event_time
+from pulsegrid.plans import dashboard
 from pulsegrid.plans.scoring import score
 from pulsegrid.plans.training import fit_risk_model
-from pulsegrid.schemas import CLINICAL_SCHEMA, ENVELOPE_SCHEMA, MESSAGE_COLUMNS
+from pulsegrid.schemas import CLINICAL_SCHEMA, ENVELOPE_SCHEMA, MESSAGE_COLUMNS, VITALS
 from pulsegrid.sources.topics import read_topic
-from pulsegrid.streaming import arrivals, delivery, monitor, replay, scoring
+from pulsegrid.streaming import arrivals, commits, delivery, monitor, replay, scoring, watch
 
 from .test_messages import GOOD
 from .test_training import training
@@ -98,63 +100,193 @@ def test_trend_stream_over_several_batches_equals_batch(spark, tmp_path):
         rows = with_event_time(enrich(decode(read_topic(spark, "parquet", path=path))))
         monitor.start_updates(monitor.trend_stream(rows, "1 minute", "1 hour"), out, progress, NOW).awaitTermination()
     keys = ["caseid", "window_start", "vital"]
-    got = monitor.latest_updates(spark.read.parquet(out), keys)
+    got = monitor.latest_updates(spark, out, keys)
     batch = with_event_time(enrich(decode(spark.createDataFrame([(t,) for t in texts], "value string"))))
     want = trend(batch, "1 minute")
     assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_late_rows_stay_out_of_closed_windows(spark, tmp_path):
+def test_late_rows_stay_out_of_closed_windows_and_are_counted(spark, tmp_path):
     path, out, progress = (str(tmp_path / n) for n in ("topic", "out", "progress"))
-    for texts in ([message("1", 0)], [message("1", 7200)], [message("1", 1)]):
-        publish(spark, path, texts)
-        rows = with_event_time(enrich(decode(read_topic(spark, "parquet", path=path))))
-        stream = monitor.gauge_stream(rows, "1 minute", "1 minute", "10 minutes")
-        behind = monitor.rows_behind(started(monitor.start_updates(stream, out, progress, NOW)))
-    updates = spark.read.parquet(out)
-    assert updates.where("vital = 'Heart Rate'").count() == 2 and behind > 0
-    monitor.compacted(updates, ["caseid", "window_start", "vital"], str(tmp_path / "all"))
-    assert spark.read.parquet(str(tmp_path / "all")).drop("batch_id").count() == updates.drop("batch_id").distinct().count()
-
-
-def started(query):
-    query.awaitTermination()
-    return query
-
-
-def test_rows_a_stream_did_not_keep(spark):
-    sent = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a")], "caseid string, timestamp string")
-    lost = arrivals.not_in(sent, sent.limit(0).union(sent.where("timestamp = 'a'")))
-    assert [(r.caseid, r.timestamp, r.reason) for r in lost.collect()] == [("1", "b", "behind the watermark")]
-
-
-def test_bounded_retry_then_dead_letter(spark, topic, tmp_path):
+    listener = monitor.DroppedRows()
+    spark.streams.addListener(listener)
+    try:
+        for texts in ([message("1", 0)], [message("1", 7200)], [message("1", 1)]):
+            publish(spark, path, texts)
+            rows = with_event_time(enrich(decode(read_topic(spark, "parquet", path=path))))
+            stream = monitor.gauge_stream(rows, "1 minute", "1 minute", "10 minutes")
+            query = monitor.start_updates(stream, out, progress, NOW)
+            query.awaitTermination()
+        deadline = time.time() + 20
+        while time.time() < deadline and not listener.dropped.get(str(query.id)):
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    updates = commits.read_committed(spark, out)
+    assert updates.where("vital = 'Heart Rate'").count() == 2 and listener.dropped[str(query.id)] > 0
+
+
+def test_a_new_checkpoint_keeps_what_another_run_wrote(spark, topic, tmp_path):
+    out = str(tmp_path / "out")
+    for run in range(2):
+        stream = topic(*[message(str(run), s) for s in range(0, 10, 2)])
+        for _ in range(2):
+            sink = commits.Committed(out)
+            delivery.start_foreach_batch(stream, sink, str(tmp_path / f"p{run}"), trigger=NOW).awaitTermination()
+    log = commits.commits(spark, out)
+    assert log.count() == 2 and log.select("run").distinct().count() == 2
+    assert commits.read_committed(spark, out).count() == 5 + 10
+
+
+def test_a_failed_attempt_is_not_read_and_a_committed_batch_not_written_again(spark, tmp_path, monkeypatch):
+    rows, out = spark.range(10), str(tmp_path / "out")
+    sink = commits.Committed(out, run="a")
+    monkeypatch.setattr(sink, "note", lambda *a: (_ for _ in ()).throw(IOError("log away")))
+    with pytest.raises(IOError):
+        sink(rows, 0)
+    assert commits.commits(spark, out).count() == 0
+    for _ in range(2):
+        commits.Committed(out, run="a")(rows, 0)
+    commits.Committed(out, run="b")(rows, 0)
+    assert spark.read.parquet(out).count() == 30
+    assert commits.read_committed(spark, out).count() == 20 and commits.read_committed(spark, out, rows.schema).count() == 20
+    commits.compact_log(spark, out)
+    assert commits.read_committed(spark, out).count() == 20
+
+
+def test_only_folders_in_the_log_are_opened(spark, tmp_path):
+    out, sink = str(tmp_path / "out"), commits.Committed(str(tmp_path / "out"), run="a")
+    for batch in range(4):
+        sink(spark.range(5).withColumn("b", F.lit(batch)), batch)
+    log = commits.commits(spark, out)
+    rows = commits.read_committed(spark, out, log=log.where("batch = 2"))
+    assert {r.b for r in rows.collect()} == {2}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
+def test_a_batch_begun_in_parts_is_not_written_whole(spark, tmp_path):
+    sink = commits.Committed(str(tmp_path / "out"), run="a")
+    sink(spark.range(5), 0, "2-1")
+    for part in ("", "1-1"):
+        with pytest.raises(ValueError):
+            sink(spark.range(5), 0, part)
+    for part in ("1-0", "2-3", "2-1"):
+        sink(spark.range(5), 0, part)
+    assert commits.read_committed(spark, str(tmp_path / "out")).count() == 15
+
+
+def test_of_a_document_that_two_runs_wrote_the_later_one_counts(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for value, run in (("old", "b"), ("new", "a")):
+        rows = spark.createDataFrame([("1|t", value)] + ([("2|t", "old")] if run == "b" else []), "document_id string, value string")
+        commits.Committed(out, run=run)(rows, 0)
+        time.sleep(0.01)
+    once = commits.one_per_document(commits.read_committed(spark, out), commits.commits(spark, out))
+    assert {(r.document_id, r.value) for r in once.collect()} == {("1|t", "new"), ("2|t", "old")}
+
+
+def test_bounded_retry_then_dead_letters(spark, topic, tmp_path):
     calls, dead, out = [], str(tmp_path / "dead"), str(tmp_path / "out")
+    sink = commits.Committed(out)
 
-    def flaky(rows, batch_id):
-        calls.append(batch_id)
+    def flaky(rows, batch_id, part):
+        calls.append(part)
         if len(calls) < 3:
             raise ConnectionError("broker away")
-        delivery.replace_batch(out)(rows, batch_id)
+        sink(rows, batch_id, part)
 
     stream = topic(message("1", 0), message("2", 0))
     run = delivery.deliver(flaky, dead, pause_seconds=0)
     delivery.start_foreach_batch(stream, run, str(tmp_path / "p1"), trigger=NOW).awaitTermination()
-    assert len(calls) == 3 and spark.read.parquet(out).count() == 2
+    assert calls == ["", "", ""] and commits.read_committed(spark, out).count() == 2
 
-    def broken(rows, batch_id):
-        calls.append(batch_id)
+    def broken(rows, batch_id, part):
+        calls.append(part)
         raise ConnectionError("broker away")
 
-    calls.clear()
-    run = delivery.deliver(broken, dead, pause_seconds=0)
-    delivery.start_foreach_batch(stream, run, str(tmp_path / "p2"), trigger=NOW).awaitTermination()
-    letters = spark.read.parquet(dead)
-    assert len(calls) == 5 and letters.count() == 2
-    assert {r.reason for r in letters.collect()} == {"ConnectionError: broker away"}
-    run = delivery.deliver(broken, dead, pause_seconds=0)
-    delivery.start_foreach_batch(stream, run, str(tmp_path / "p3"), trigger=NOW).awaitTermination()
-    assert spark.read.parquet(dead).count() == 4
+    for n, most in ((1, delivery.MOST_FAILURES), (2, 1)):
+        calls.clear()
+        run = delivery.deliver(broken, dead, pause_seconds=0, most_failures=most)
+        delivery.start_foreach_batch(stream, run, str(tmp_path / f"p{n + 1}"), trigger=NOW).awaitTermination()
+        letters = commits.read_committed(spark, dead)
+        assert calls[:5] == [""] * 5 and letters.count() == 2 * n
+        assert {r.reason for r in letters.collect()} == {"ConnectionError: broker away"}
+
+
+def test_bad_records_are_found_and_sent_again_later(spark, topic, tmp_path):
+    dead, out = str(tmp_path / "dead"), str(tmp_path / "out")
+    texts = [message(str(c), s) for c in range(20) for s in range(0, 10, 2)]
+    bad = {texts[7], texts[55]}
+
+    def refuses(sink, bad_ones):
+        def write(rows, batch_id, part):
+            if rows.where(F.col("value").cast("string").isin(list(bad_ones))).count():
+                raise ValueError("bad record")
+            sink(rows, batch_id, part)
+        return write
+
+    run = delivery.deliver(refuses(commits.Committed(out), bad), dead, tries=2, pause_seconds=0)
+    delivery.start_foreach_batch(topic(*texts), run, str(tmp_path / "p"), trigger=NOW).awaitTermination()
+    letters = commits.read_committed(spark, dead)
+    assert {r.value.decode() for r in letters.collect()} == bad and commits.read_committed(spark, out).count() == 98
+    again = refuses(commits.Committed(out, run="again"), {texts[55]})
+    assert delivery.redeliver(spark, dead, again, tries=1) == (2, 1)
+    assert commits.read_committed(spark, out).count() == 99
+    assert delivery.redeliver(spark, dead, refuses(commits.Committed(out, run="again"), set()), tries=1) == (1, 0)
+    assert delivery.redeliver(spark, dead, again, tries=1) == (0, 0)
+    assert sorted(r.value.decode() for r in commits.read_committed(spark, out).collect()) == sorted(texts)
+
+
+def test_the_live_monitor_keeps_or_sets_aside_every_row(spark, tmp_path):
+    path, out, progress = (str(tmp_path / n) for n in ("topic", "out", "progress"))
+    clinical = spark.createDataFrame([("1", "40", "M", "170", "80")], CLINICAL_SCHEMA)
+    sends = [[message("1", 0), message("1", 2), message("7", 0)], [message("1", 7200), message("1", 7200), "not json"],
+             [message("1", 4), message("1", 7000), message("1", 2, timestamp="noon")], [message("1", 7202)]]
+    for texts in sends:
+        publish(spark, path, texts)
+        for query in watch.watch(read_topic(spark, "parquet", path=path), out, progress, 600, clinical=clinical, trigger=NOW):
+            assert query.exception() is None
+    aside = commits.read_committed(spark, f"{out}/{watch.ASIDE}")
+    assert sorted(r.reason for r in aside.collect()) == ["behind the watermark", "no clinical row", "undecodable", "unreadable timestamp"]
+    kept = spark.read.schema(watch.ROW_SCHEMA).parquet(f"{out}/{watch.ONCE}")
+    stamps = sorted((r.event_ts - kept.agg(F.min("event_ts")).first()[0]).total_seconds() for r in kept.collect())
+    assert stamps == [0, 2, 7000, 7200, 7202] and {r.Age for r in kept.collect()} == {40.0}
+    trend_rows = monitor.latest_updates(spark, f"{out}/{watch.TREND}", ["caseid", "window_start", "vital"])
+    assert trend_rows.where("vital = 'Heart Rate'").agg(F.sum("n")).first()[0] == 5
+
+
+def test_the_high_water_mark_goes_on_after_a_restart():
+    known = {(0, ""): {"high": 5}, (1, ""): {"high": None}, (2, ""): {"high": 9}}
+    assert watch.high_water(known, 2) == 5 and watch.high_water(known, 3) == 9 and watch.high_water({}, 0) is None
+
+
+def test_a_refresh_opens_only_dates_with_new_documents(spark, tmp_path):
+    scored, out = str(tmp_path / "scored"), str(tmp_path / "out")
+
+    def documents(first, n, level):
+        day = F.timestamp_seconds(F.col("id") * 43200 + 60)
+        rows = spark.range(first, n).select(F.lit("1").alias("caseid"), day.alias("event_ts"), F.lit("Low Risk").alias("Risk Predicted"),
+                                            *[F.lit(level).cast("float").alias(c) for c in VITALS])
+        return rows.withColumn("document_id", F.concat_ws("|", "caseid", F.col("event_ts").cast("string")))
+
+    commits.Committed(scored, run="a", by_date=True)(documents(0, 8, 70.0), 0)
+    assert len(dashboard.refresh(spark, scored, out, reach_seconds=86400)) == 4
+    assert dashboard.refresh(spark, scored, out, reach_seconds=86400) == []
+    written = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "out" / "rollup").rglob("*.parquet")}
+    commits.Committed(scored, run="b", by_date=True)(documents(6, 10, 90.0), 0)  # two of the last day again, two new ones
+    new = dashboard.new_commits(spark, scored, out)
+    assert {r.run for r in new.collect()} == {"r-b"}
+    dates = dashboard.refresh(spark, scored, out, reach_seconds=86400)
+    assert [str(d) for d in dates] == ["1970-01-04", "1970-01-05"]
+    plan = dashboard.documents_of(spark, scored, dates)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*event_date#\d+ IN \(1970-01-04,1970-01-05\)", plan)
+    kept = {f for f in written if "event_date=1970-01-04" not in f}
+    assert kept and all((tmp_path / f).stat().st_mtime_ns == written[f] for f in kept)
+    rates = spark.read.parquet(f"{out}/trend").where("vital = 'Heart Rate'").orderBy("window_start").collect()
+    assert [(r["mean"], r.n) for r in rates] == [(70.0, 1)] * 6 + [(90.0, 1)] * 4
+    assert [(r["mean"], r.band) for r in spark.read.parquet(f"{out}/gauge").where("vital = 'Heart Rate'").collect()] == [(90.0, "green")]
+    assert [(r.n, r.share) for r in spark.read.parquet(f"{out}/risk_share").collect()] == [(10, 1.0)]
 
 
 def test_replay_sets_aside_what_has_no_tick(spark, tmp_path):
@@ -195,6 +327,18 @@ def test_replay_sends_one_record_per_case_and_tick_in_order(spark, tmp_path):
     assert order == sorted(order)
 
 
+def test_a_clock_that_is_moved_by_hand(spark, tmp_path):
+    table, clock, out = (str(tmp_path / n) for n in ("replay", "clock", "out"))
+    decoded = decode(spark.createDataFrame([(message(str(c), 2 * i),) for i in range(6) for c in range(3)], "value string"))
+    replay.write_replay_table(decoded.select(F.col("caseid").alias("key"), "caseid", "timestamp"), table, BASE, ticks_per_block=4)
+    for first, last, total in ((0, 1, 6), (2, 4, 15), (5, 9, 18)):
+        replay.move_clock(spark, clock, first, last)
+        replay.start_replay(spark, table, commits.Committed(out), str(tmp_path / "p"), ticks_per_block=4,
+                            clock=replay.file_clock(spark, clock), trigger=NOW).awaitTermination()
+        rows = commits.read_committed(spark, out)
+        assert rows.count() == total and rows.agg(F.max("tick")).first()[0] == min(last, 5)
+
+
 def test_document_ids_name_a_record(spark):
     rows = decode(spark.createDataFrame([(message("1", 0),), (message("1", 0),), (message("1", 2),)], "value string"))
     assert delivery.document_id(rows).select("document_id").distinct().count() == 2
