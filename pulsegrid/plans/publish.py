@@ -1,41 +1,93 @@
 """Prepared samples to a message topic."""
 
+import uuid
+from itertools import chain
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import event_time
 from ..operators.messages import encode
 from ..operators.routing import in_case_order, routed, unrouted
 from ..session import new_dir
 from ..sources.topics import write_topic
+from ..streaming.commits import Committed, commits
+from ..streaming.delivery import attempt
 
 #: Messages of so much time are sent before the next ones.
 BLOCK_SECONDS = 3600
+#: Files of a block among the staged messages.
+BLOCK_PARTS = 8
 
 
 def messages_of(samples, routes=None):
     return routed(encode(samples), routes)
 
 
-def publish(samples, fmt="kafka", options=None, path=None, routes=None, aside=None, block_seconds=BLOCK_SECONDS):
-    """One block of time after the other, all cases of a block together, so that arrival follows event time.
+def stage(samples, progress, block_seconds=BLOCK_SECONDS):
+    """Messages by block of time, computed once for a ``progress`` folder: a publish that is started again finds them there.
 
-    A topic's reader may then set a watermark of a block or two without losing a case. Messages are computed once and kept
-    by block in the shared folder; a block is spread by key and in time order inside a key. What has no route or no
-    readable time is not sent; it goes to the table ``aside`` with a reason, or is an error if there is none.
+    A block's messages are dealt by key into a bounded number of files, whatever the number of tasks.
     """
     spark = samples.sparkSession
-    at = F.unix_seconds(event_time(F.col("timestamp")))
-    staged = new_dir(spark, "publish")
-    messages = encode(samples).withColumn("block", F.floor(at / block_seconds))
-    messages.repartition("block", "key").write.partitionBy("block").parquet(staged)
-    rows = spark.read.parquet(staged)
+    staged = Committed(f"{progress}/staged", run="stage")
+    known = staged.committed(spark).get((0, ""))
+    if known is None:
+        at = F.unix_seconds(event_time(F.col("timestamp")))
+        messages = encode(samples).withColumn("block", F.floor(at / block_seconds))
+        folder = f"{progress}/messages-{uuid.uuid4().hex}"
+        part = F.pmod(F.xxhash64("key"), F.lit(BLOCK_PARTS))
+        messages.repartition("block", part).write.partitionBy("block").parquet(folder)
+        known = {"folder": folder.rsplit("/", 1)[1], "block_seconds": block_seconds}
+        staged.note(spark, 0, notes=known)
+    if known["block_seconds"] != block_seconds:
+        raise ValueError(f"{progress} holds messages staged by blocks of {known['block_seconds']} seconds")
+    kept = T.StructType([*encode(samples).schema.fields, T.StructField("block", T.LongType())])
+    return spark.read.schema(kept).parquet(f"{progress}/{known['folder']}")
+
+
+def publish(samples, fmt="kafka", options=None, path=None, routes=None, aside=None, block_seconds=BLOCK_SECONDS, progress=None,
+            blocks_per_job=1, tries=5, pause_seconds=2.0):
+    """One block of time after the other, all cases of a block together, so that arrival follows event time; (sent, skipped) blocks.
+
+    A topic's reader may then set a watermark of a block or two without losing a case; with ``blocks_per_job`` files of so many
+    blocks are written at once, and the watermark must cover them. A block is spread by key and in time order inside a key.
+
+    Staged messages and a log of the blocks sent lie in ``progress``. A publish that ended early and is started again with the same
+    folder goes on behind the last block sent. In a file topic the folder of a block is named after the publish and the block and is
+    replaced, so each message is there once; to Kafka the block that was under way is sent again (see ``arrivals.drop_repeats``).
+    A failing write is tried up to ``tries`` times. What has no route or no readable time is not sent; it goes to the table ``aside``
+    with a reason, or is an error if there is none.
+    """
+    spark = samples.sparkSession
+    progress = (progress or new_dir(spark, "publish")).rstrip("/")
+    rows = stage(samples, progress, block_seconds)
     lost = unrouted(rows.where("block IS NOT NULL"), routes).withColumn("reason", F.lit("no route")).unionByName(
         rows.where("block IS NULL").withColumn("reason", F.lit("unreadable timestamp")), allowMissingColumns=True)
     if aside:
-        lost.drop("block").write.mode("append").parquet(aside)
+        Committed(aside, run=_name(spark, progress))(lost.drop("block"), 0)
     elif not lost.isEmpty():
         raise ValueError("messages without a route or a readable time; name a table to set them aside")
-    blocks = rows.where("block IS NOT NULL").select("block").distinct().orderBy("block").toLocalIterator()
-    for block in blocks:
-        due = routed(rows.where(F.col("block") == block.block), routes)
-        write_topic(in_case_order(due), fmt, options, path)
+    log = Committed(f"{progress}/sent", run="publish")
+    last = max((notes["last"] for notes in log.committed(spark).values()), default=None)
+    blocks = rows.where("block IS NOT NULL").select("block").distinct()
+    skipped = 0 if last is None else blocks.where(F.col("block") <= last).count()
+    due = (blocks if last is None else blocks.where(F.col("block") > last)).orderBy("block").toLocalIterator()
+    sent, group = 0, []
+    for row in chain(due, [None]):
+        if row is not None:
+            group.append(row.block)
+        if group and (row is None or len(group) == blocks_per_job):
+            ready = in_case_order(routed(rows.where(F.col("block").between(group[0], group[-1])), routes))
+            place = f"{path.rstrip('/')}/publish={_name(spark, progress)}/block={group[0]}" if path and fmt != "kafka" else path
+            reason = attempt(lambda: write_topic(ready, fmt, options, place, "overwrite" if place != path else "append"), tries, pause_seconds)
+            if reason is not None:
+                raise RuntimeError(f"blocks {group[0]} to {group[-1]} were not sent, start again with progress={progress!r}: {reason}")
+            log.note(spark, group[0], notes={"last": group[-1]})
+            sent, group = sent + len(group), []
+    return sent, skipped
+
+
+def _name(spark, progress):
+    """The name of a publish: that of its staged messages, which are made once."""
+    return commits(spark, f"{progress}/staged").first()["attempt"]

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from pulsegrid.operators.enrich import enrich
 from pulsegrid.operators.messages import decode, encode
 from pulsegrid.operators.monitor import with_event_time
-from pulsegrid.operators.quarantine import quarantined, scorable, untimed
+from pulsegrid.operators.quarantine import quarantined, scorable
 from pulsegrid.operators.routing import in_case_order, routed, union_inputs, unrouted
+from pulsegrid.plans import publish as publishing
 from pulsegrid.plans.publish import publish
+from pulsegrid.streaming.commits import read_committed
 from pulsegrid.schemas import FLOAT_COLUMNS, MESSAGE_COLUMNS
 
 GOOD = {"caseid": "7", "Age": "77", "Gender": "M", "Height": 1.602, "Weight": "67.5", "Diastolic Blood Pressure": 61,
@@ -57,11 +59,6 @@ def test_a_message_is_parsed_once(spark):
         assert plan.count("from_json") == 1
 
 
-def test_unreadable_time_is_set_aside(spark):
-    rows = with_event_time(decode(envelope(spark, GOOD, changed(timestamp="noon"))))
-    assert [(r["timestamp"], r.reason) for r in untimed(rows).collect()] == [("noon", "unreadable timestamp")]
-
-
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(1, 300), st.integers(1, 300)), min_size=1, max_size=20))
 def test_relations_between_pressures(spark, pairs):
@@ -111,7 +108,66 @@ def test_blocks_of_time_are_published_in_turn(spark, tmp_path):
         F.floor(F.unix_seconds("timestamp") / 3600).alias("block")).agg(F.min("written").alias("a"), F.max("written").alias("b"))
     blocks = files.orderBy("block").collect()
     assert len(blocks) == 4 and all(x.b <= y.a for x, y in zip(blocks, blocks[1:]))
-    assert [r.reason for r in spark.read.parquet(aside).collect()] == ["unreadable timestamp"] * 3
+    assert [r.reason for r in read_committed(spark, aside).collect()] == ["unreadable timestamp"] * 3
+
+
+def hourly(spark, n=200):
+    return spark.range(n).select(
+        (F.col("id") % 5).cast("string").alias("caseid"), *[F.lit("1").alias(c) for c in MESSAGE_COLUMNS[1:-1]],
+        F.date_format(F.timestamp_seconds(F.col("id") * 60), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"))
+
+
+def test_a_publish_that_stops_goes_on_behind_the_last_block(spark, tmp_path, monkeypatch):
+    rows, path, progress = hourly(spark), str(tmp_path / "topic"), str(tmp_path / "progress")
+    calls, real = [], publishing.write_topic
+
+    def stops(messages, fmt, options, place, mode):
+        calls.append(place)
+        real(messages, fmt, options, place, mode)
+        if len(calls) == 3:
+            raise ConnectionError("away, though the block was written")
+
+    monkeypatch.setattr(publishing, "write_topic", stops)
+    with pytest.raises(RuntimeError, match="progress="):
+        publish(rows, "parquet", path=path, progress=progress, tries=1)
+    monkeypatch.setattr(publishing, "write_topic", lambda *a: (calls.append(a[3]), real(*a)))
+    empty = rows.limit(0)  # messages are staged already
+    assert publish(empty, "parquet", path=path, progress=progress) == (2, 2)
+    assert publish(empty, "parquet", path=path, progress=progress) == (0, 4)
+    assert len(calls) == 5 and calls[2] == calls[3]
+    sent = decode(spark.read.parquet(path))
+    assert sent.count() == 200 and sent.select("timestamp").distinct().count() == 200
+    with pytest.raises(ValueError):
+        publish(rows, "parquet", path=path, progress=progress, block_seconds=60)
+
+
+def test_a_failing_write_is_tried_again(spark, tmp_path, monkeypatch):
+    failures, real = [1, 1], publishing.write_topic
+
+    def flaky(*args):
+        if failures:
+            failures.pop()
+            raise ConnectionError("away")
+        real(*args)
+
+    monkeypatch.setattr(publishing, "write_topic", flaky)
+    assert publish(hourly(spark), "parquet", path=str(tmp_path / "topic"), pause_seconds=0) == (4, 0)
+    assert spark.read.parquet(str(tmp_path / "topic")).count() == 200
+
+
+def test_blocks_may_be_written_together(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    assert publish(hourly(spark), "parquet", path=path, blocks_per_job=3) == (4, 0)
+    assert spark.read.parquet(path).select("block").distinct().count() == 2 and spark.read.parquet(path).count() == 200
+    publish(hourly(spark, 50), "parquet", path=path)
+    assert spark.read.parquet(path).count() == 250
+
+
+def test_staged_files_are_bounded(spark, tmp_path):
+    progress = str(tmp_path / "progress")
+    publish(hourly(spark).repartition(30), "parquet", path=str(tmp_path / "topic"), progress=progress)
+    files = [f for f in (tmp_path / "progress").rglob("*.parquet") if "messages-" in str(f)]
+    assert 4 <= len(files) <= 4 * publishing.BLOCK_PARTS
 
 
 def test_numbers_that_are_not_finite_count_as_missing(spark):
