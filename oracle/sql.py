@@ -142,6 +142,25 @@ def without_bad(ctes):
         "wide AS (", f"readings AS (SELECT * FROM all_readings WHERE NOT {BAD_VALUE} AND seq % 400 <> 7),\nwide AS (", 1)
 
 
+# Every case with a second stay 400 days later; each stay is numbered, filled, trimmed and averaged for itself.
+TWO_STAYS = READINGS + """,
+moved AS (SELECT caseid, seq, track, value, 1 - seq % 2 AS stay, t + to_days(CAST(400 * (1 - seq % 2) AS INTEGER)) AS t FROM readings),
+wide AS (
+  SELECT caseid, stay, time_bucket(INTERVAL 6 HOUR, t) AS slot_start, """ + ", ".join(
+    f"arg_max(value, seq) FILTER (WHERE track = '{t}') AS {c}" for t, c in TRACKS.items()) + f"""
+  FROM moved GROUP BY ALL),
+grid AS (
+  SELECT caseid, stay, unnest(generate_series(min(slot_start), max(slot_start), INTERVAL 6 HOUR)) AS slot_start
+  FROM wide GROUP BY caseid, stay),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY caseid, stay ORDER BY slot_start) AS rn,
+         count(*) OVER (PARTITION BY caseid, stay) AS n_slots FROM grid LEFT JOIN wide USING (caseid, stay, slot_start)),
+stamped AS (
+  SELECT *, row_number() OVER (PARTITION BY caseid ORDER BY slot_start) - 1 AS i
+  FROM numbered WHERE rn > floor(n_slots * 0.25) AND rn <= n_slots - floor(n_slots * 0.25)),
+means AS (SELECT caseid, stay, """ + ", ".join(
+    f"{exact_mean(c)} AS {prefixed('mean', c)}" for c in VITALS) + """ FROM stamped GROUP BY ALL)"""
+
 TRACK_NAME = ("CASE track WHEN 'view' THEN 'Solar8000/ART_DBP' WHEN 'purchase' THEN 'Solar8000/ART_SBP' "
               "WHEN 'click' THEN 'Solar8000/HR' WHEN 'error' THEN 'Solar8000/BT' WHEN 'signup' THEN 'Solar8000/VENT_RR' "
               "ELSE 'Solar8000/PLETH_SPO2' END")
@@ -158,6 +177,10 @@ counts AS (SELECT place, prediction, count(*) AS n FROM indexed GROUP BY ALL)"""
 
 RISK_RULE = """CASE WHEN "Derived_MAP" > 50 THEN 'High Risk' WHEN "Derived_MAP" IS NOT NULL THEN 'Low Risk' END"""
 
+# Messages that are sent after all others.
+HELD = """marked AS (SELECT *, CAST(caseid AS BIGINT) % 4 = 0
+    AND epoch_ms(event_ts) // 1000 < (SELECT max(epoch_ms(event_ts) // 1000) FROM enriched) - 4 * 86400 AS held FROM enriched)"""
+
 QUARANTINE_NAMES = ["Heart Rate", "Respiratory Rate", "Body Temperature", "Oxygen Saturation",
                     "Systolic Blood Pressure", "Diastolic Blood Pressure"]
 
@@ -196,14 +219,22 @@ ORACLES = {
         far AS (SELECT caseid, count(*) AS n_far FROM good WHERE seq % 400 = 7 GROUP BY caseid)
         SELECT caseid, CAST(date_diff('hour', a, b) / 6 + 1 AS BIGINT) AS n_slots, coalesce(n_far, 0) AS n_far
         FROM near LEFT JOIN far USING (caseid)""",
-    "row_accounting": f"""WITH {READINGS}, r AS (SELECT * FROM readings WHERE seq % 400 <> 7 AND NOT (track = 'click' AND seq % 50 = 1))
-        SELECT CASE WHEN {BAD_VALUE} THEN 'value out of range' WHEN CAST(caseid AS BIGINT) % 7 = 0
+    "row_accounting": f"""WITH {READINGS}, r AS (SELECT * FROM readings WHERE NOT (track = 'click' AND seq % 50 = 1))
+        SELECT CASE WHEN {BAD_VALUE} THEN 'value out of range' WHEN seq % 400 = 7 THEN 'time far from the case'
+          WHEN CAST(caseid AS BIGINT) % 7 = 0
           OR caseid NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer) THEN 'no clinical row'
           ELSE 'prepared' END AS fate, count(*) AS n FROM r GROUP BY ALL""",
+    "two_stays_accounting": f"""WITH {READINGS}
+        SELECT caseid, CASE WHEN seq % 400 = 7 THEN 'time far from the case'
+          WHEN caseid NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer) THEN 'no clinical row'
+          ELSE 'prepared' END AS fate, count(*) AS n FROM readings GROUP BY ALL""",
+    "grid_two_stays": f"""WITH {TWO_STAYS}
+        SELECT caseid, slot_start, CAST(stay AS BIGINT) AS stay, n_slots, {STAMP} AS "timestamp",
+          {each('coalesce({c}, {m}) AS {c}')} FROM stamped JOIN means USING (caseid, stay)""",
     "clinical_csv_lookup": f"""WITH {CLINICAL}, rows_of_both AS (SELECT * FROM clinical UNION ALL
           SELECT caseid, '99', sex, height, weight FROM clinical WHERE CAST(caseid AS BIGINT) % 3 = 0)
         SELECT caseid, min(age) AS age, any_value(sex) AS sex, any_value(height) AS height, any_value(weight) AS weight
-        FROM rows_of_both WHERE CAST(caseid AS BIGINT) % 5 = 1 AND CAST(caseid AS BIGINT) < 2000 GROUP BY caseid""",
+        FROM rows_of_both WHERE CAST(caseid AS BIGINT) IN (SELECT user_id FROM events) GROUP BY caseid""",
     "read_tracks": f"""WITH {READINGS}, n AS (SELECT caseid, {TRACK_NAME} AS track,
           CASE WHEN seq % 11 <> 0 THEN value END AS value FROM readings)
         SELECT caseid, track, count(*) AS n, count(value) AS n_values, max(value) AS high FROM n GROUP BY ALL""",
@@ -215,6 +246,25 @@ ORACLES = {
         FROM enriched WHERE {" AND ".join(f"{c} IS NOT NULL" for c in SCORABLE)}""",
     "stream_restart_scores_once": f"""WITH {ENRICHED} SELECT caseid || '|' || "timestamp" AS document_id, event_ts
         FROM enriched WHERE {" AND ".join(f"{c} IS NOT NULL" for c in SCORABLE)}""",
+    "stream_new_checkpoint_keeps_documents": f"""WITH {ENRICHED} SELECT caseid || '|' || "timestamp" AS document_id, event_ts
+        FROM enriched WHERE {" AND ".join(f"{c} IS NOT NULL" for c in SCORABLE)}""",
+    "stream_bad_record": f"""WITH {PREPARED} SELECT caseid, "timestamp", CASE WHEN CAST(caseid AS BIGINT) % 500 = 7
+          AND starts_with("timestamp", '2025-02-11T10:00:00') THEN 'redelivered' ELSE 'delivered' END AS fate FROM prepared""",
+    "replay_ticks": f"WITH {TRIMMED}, {CLINICAL} SELECT caseid, i AS tick, i AS place FROM trimmed JOIN clinical USING (caseid)",
+    "stream_late_rows": f"""WITH {ENRICHED}, {HELD} SELECT caseid, "timestamp",
+          CASE WHEN held THEN 'behind the watermark' ELSE 'kept' END AS fate FROM marked""",
+    "watch_trend": f"""WITH {ENRICHED}, {HELD}, on_time AS (SELECT * FROM marked WHERE NOT held), vital_rows AS ({unpivot('on_time')})
+        SELECT caseid, time_bucket(INTERVAL 1 DAY, event_ts) AS window_start, vital, {exact_mean('value')} AS mean,
+               min(value) AS low, max(value) AS high, count(value) AS n
+        FROM vital_rows GROUP BY ALL HAVING count(value) > 0""",
+    "monitor_rollup": TUMBLING.replace("INTERVAL 1 DAY", "INTERVAL 12 HOUR"),
+    "monitor_rollup_now": f"""WITH {LONG},
+        hours AS (SELECT *, time_bucket(INTERVAL 1 HOUR, event_ts) AS grain FROM vital_rows WHERE value IS NOT NULL),
+        ends AS (SELECT caseid, max(grain) AS latest FROM hours GROUP BY caseid),
+        r AS (SELECT caseid, {RISK_RULE} AS risk FROM enriched), c AS (SELECT caseid, risk, count(*) AS n FROM r GROUP BY ALL)
+        SELECT caseid, 'gauge' AS measure, vital AS name, {exact_mean('value')} AS value
+        FROM hours JOIN ends USING (caseid) WHERE grain > latest - INTERVAL 1 DAY GROUP BY caseid, vital
+        UNION ALL SELECT caseid, 'share', risk, n / sum(n) OVER (PARTITION BY caseid) FROM c""",
     "multi_patient_union": f"""WITH {READINGS} SELECT caseid, count(*) AS n_readings, min(t) AS first_t,
         max(t) AS last_t, max(value) AS high FROM readings GROUP BY caseid""",
     "json_roundtrip": f"""WITH {PREPARED} SELECT caseid, "Age", "Gender", CAST("Height" AS VARCHAR) AS "Height",

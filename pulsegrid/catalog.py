@@ -17,6 +17,7 @@ from .operators.columns import keys_first, numeric_columns, rename_columns
 from .operators.enrich import derive, enrich
 from .operators.quarantine import quarantined
 from .operators.routing import union_inputs
+from .plans import dashboard
 from .plans import prepare as P
 from .plans import training as T
 from .plans.publish import publish
@@ -28,7 +29,8 @@ from .sources import standins as S
 from .sources.files import read_clinical, read_readings, read_training, write_training
 from .sources.models import load_model, save_model
 from .sources.topics import read_topic
-from .streaming import arrivals, delivery, monitor, scoring
+from .streaming import arrivals, delivery, monitor, replay, scoring, watch
+from .streaming.commits import Committed, commits, read_committed
 
 QUERIES = {}
 TRIGGER = {"availableNow": True}
@@ -138,15 +140,15 @@ def trim_quarters(spark, sf_dir):
 def case_means(spark, sf_dir):
     """Mean of each vital over the trimmed rows of a case."""
     rows, _ = P.trimmed_samples(readings(spark, sf_dir), S.STEP_SECONDS)
-    return I.case_means(rows, VITALS)
+    return I.case_means(rows, VITALS).drop("stay")
 
 
 @query
 def mean_impute(spark, sf_dir):
     """Gaps in numeric columns filled with the case's mean."""
     rows, kept = P.trimmed_samples(readings(spark, sf_dir), S.STEP_SECONDS)
-    columns = numeric_columns(rows, leave_out=["slot", "first_slot", "block"])
-    case_values = kept.join(I.case_means(rows, columns), "caseid")
+    columns = numeric_columns(rows, leave_out=["slot", "stay", "origin", "block"])
+    case_values = kept.join(I.case_means(rows, columns), ["caseid", "stay"])
     return at_slot(I.fill_with_means(G.attach_case_values(rows, case_values), columns), *VITALS)
 
 
@@ -236,28 +238,46 @@ def grid_outlier_times(spark, sf_dir):
 
 @query
 def row_accounting(spark, sf_dir):
-    """Readings by what became of them; the parts sum to all readings with a value."""
-    rows = odd_readings(spark, sf_dir).where(F.col("seq") % 400 != 7)
+    """Readings by what became of them, out of one classification; the parts sum to all readings with a value."""
     known = clinical(spark, sf_dir).where(F.col("caseid").cast("long") % 7 != 0)
-    unplaced, unknown = P.set_aside(rows, known, S.STEP_SECONDS)
-    kept = rows.where(G.usable()).join(known.select("caseid"), "caseid", "left_semi")
-    parts = [kept.agg(F.count("*").alias("n")).select(F.lit("prepared").alias("fate"), "n"),
-             unplaced.groupBy(F.col("reason").alias("fate")).agg(F.count("*").alias("n")),
-             unknown.groupBy(F.col("reason").alias("fate")).agg(F.sum("n_readings").alias("n"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return P.fates(odd_readings(spark, sf_dir), known, S.STEP_SECONDS).groupBy("fate").agg(F.count("*").alias("n"))
+
+
+def two_stays(spark, sf_dir):
+    """Readings of which every case has a second stay, four hundred days after the first one."""
+    later = F.when(F.col("seq") % 2 == 0, F.col("t") + F.expr("INTERVAL 400 DAYS")).otherwise(F.col("t"))
+    return readings(spark, sf_dir).withColumn("t", later)
+
+
+@query
+def grid_two_stays(spark, sf_dir):
+    """Cases with two stays: each has its own grid, trim and means, and time stamps go on from one to the next."""
+    rows, kept = P.trimmed_samples(two_stays(spark, sf_dir), S.STEP_SECONDS)
+    values = kept.join(I.case_means(rows, VITALS), ["caseid", "stay"])
+    text = P.iso_millis(P.sample_time(S.BASE, S.STEP_SECONDS))
+    filled = I.fill_with_means(G.attach_case_values(rows, values), VITALS)
+    return at_slot(filled, "stay", "n_slots", text.alias("timestamp"), *VITALS)
+
+
+@query
+def two_stays_accounting(spark, sf_dir):
+    """Nothing of a case with two stays is set aside but single readings with a wrong year."""
+    early = F.when(F.col("seq") % 400 == 7, F.col("t") - F.expr("INTERVAL 60 YEARS")).otherwise(F.col("t"))
+    rows = P.fates(two_stays(spark, sf_dir).withColumn("t", early), clinical(spark, sf_dir), S.STEP_SECONDS)
+    return rows.groupBy("caseid", "fate").agg(F.count("*").alias("n"))
 
 
 @query
 def clinical_csv_lookup(spark, sf_dir):
-    """Clinical rows from a folder of files with ids like 007 and repeats, for a list of cases."""
+    """Clinical rows from a folder of files with ids like 007 and repeats, for the cases that have readings."""
     rows = clinical(spark, sf_dir)
     path = new_dir(spark, "clinical-csv")
     padded = rows.withColumn("caseid", F.lpad("caseid", 9, "0"))
     later = rows.where(F.col("caseid").cast("long") % 3 == 0).withColumn("age", F.lit("99"))
     for part in (padded, later):
         part.repartition(3).write.option("header", True).mode("append").csv(path)
-    ids = range(1, 2000, 5)
-    return C.first_per_case(C.select_cases(read_clinical(spark, path), ids))
+    asked = S.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("caseid"))
+    return C.first_per_case(C.select_cases(read_clinical(spark, path), asked))
 
 
 @query
@@ -504,9 +524,68 @@ def stream_restart_scores_once(spark, sf_dir):
                 block_seconds=TOPIC_BLOCK_SECONDS)
         for _ in range(2):
             finish(scoring.start_scoring_job(
-                read_topic(spark, "parquet", path=at["topic"]), model, delivery.replace_batch(at["scored"]), at["aside"],
+                read_topic(spark, "parquet", path=at["topic"]), model, Committed(at["scored"]), at["aside"],
                 at["dead"], at["progress"], TRIGGER))
-    return spark.read.parquet(at["scored"]).select("document_id", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
+    return scored_documents(spark, at["scored"])
+
+
+def scored_documents(spark, path):
+    return read_committed(spark, path).select("document_id", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
+
+
+@query
+def stream_new_checkpoint_keeps_documents(spark, sf_dir):
+    """Two scoring jobs with checkpoints of their own, each restarted, write to the same folders: all documents stay, each once."""
+    rows = stored(samples(spark, sf_dir), "samples")
+    model = vital_model(stored(enrich(rows), "training"))
+    at = {name: new_dir(spark, name) for name in ("scored", "aside", "dead")}
+    for half in (0, 1):
+        stream, progress = topic_of(rows.where(F.col("caseid").cast("long") % 2 == half)), new_dir(spark, "progress")
+        for _ in range(2):
+            finish(scoring.start_scoring_job(stream, model, Committed(at["scored"], by_date=True), at["aside"], at["dead"],
+                                             progress, TRIGGER))
+    return scored_documents(spark, at["scored"])
+
+
+@query
+def stream_bad_record(spark, sf_dir):
+    """A sink that refuses some records: these alone go to the dead letters, and are delivered again when it takes them."""
+    at = {name: new_dir(spark, name) for name in ("sent", "dead", "progress")}
+    refused = (F.col("caseid").cast("long") % 500 == 7) & F.col("timestamp").startswith("2025-02-11T10:00:00")
+
+    def writer(refuses, run=None):
+        sink = Committed(at["sent"], run)
+        error = F.when(refused & F.lit(refuses), F.raise_error(F.lit("record refused"))).otherwise(F.col("caseid"))
+
+        def write(batch, batch_id, part=""):
+            rows = M.decode(batch).select("caseid", "timestamp")
+            sink(rows.withColumn("caseid", error), batch_id, part)
+
+        return write
+
+    finish(delivery.start_foreach_batch(topic(spark, sf_dir), delivery.deliver(writer(True), at["dead"], 1, 0), at["progress"],
+                                        trigger=TRIGGER))
+    before = stored(commits(spark, at["sent"]), "commits")
+    first = read_committed(spark, at["sent"], log=before).select("caseid", "timestamp", F.lit("delivered").alias("fate"))
+    delivery.redeliver(spark, at["dead"], writer(False, "redelivered"), ENVELOPE_SCHEMA.add("reason", "string"), 1, 0)
+    later = commits(spark, at["sent"]).join(before.select("attempt"), "attempt", "left_anti")
+    again = read_committed(spark, at["sent"], first.select("caseid", "timestamp").schema, later)
+    return first.unionByName(again.select("caseid", "timestamp", F.lit("redelivered").alias("fate")))
+
+
+@query
+def replay_ticks(spark, sf_dir):
+    """Messages replayed along a clock that is moved by hand: each at its tick, in order of its place in the case."""
+    at = {name: new_dir(spark, name) for name in ("replay", "clock", "sent", "progress")}
+    replay.write_replay_table(M.encode(samples(spark, sf_dir)), at["replay"], S.BASE, S.STEP_SECONDS, ticks_per_block=16)
+    last = spark.read.parquet(at["replay"]).agg(F.max("tick")).first()[0]
+    sink = Committed(at["sent"])
+    for first in range(0, last + 1, 16):
+        replay.move_clock(spark, at["clock"], first, first + 15)
+        finish(replay.start_replay(spark, at["replay"], sink, at["progress"], S.STEP_SECONDS, ticks_per_block=16,
+                                   clock=replay.file_clock(spark, at["clock"]), trigger=TRIGGER))
+    rows = read_committed(spark, at["sent"]).select(F.col("key").cast("string").alias("caseid"), "tick", "batch")
+    return rows.select("caseid", "tick", (F.row_number().over(Window.partitionBy("caseid").orderBy("batch", "tick")) - 1).alias("place"))
 
 
 @query
@@ -523,7 +602,7 @@ def stream_score_append(spark, sf_dir):
 def _updates(spark, aggregates, keys):
     path = new_dir(spark, "updates")
     finish(monitor.start_updates(aggregates, path, new_dir(spark, "progress"), TRIGGER))
-    return monitor.latest_updates(spark.read.parquet(path), keys)
+    return monitor.latest_updates(spark, path, keys)
 
 
 @query
@@ -552,6 +631,68 @@ def stream_drop_repeats(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+#: Messages of so long before the end are held back, and come behind the watermark.
+HELD_BACK_SECONDS, DELAY_SECONDS = 4 * 86400, 3 * 86400
+
+
+def watched(spark, sf_dir):
+    """(folder, rows): the live monitor over a topic in which old messages of every fourth case come after all others, a file per batch."""
+    rows = stored(samples(spark, sf_dir), "samples")
+    timed_rows = V.with_event_time(rows)
+    end = timed_rows.agg(F.max(F.unix_seconds("event_ts"))).first()[0]
+    held = (F.col("caseid").cast("long") % 4 == 0) & (F.unix_seconds("event_ts") < F.lit((end or 0) - HELD_BACK_SECONDS))
+    at = {name: new_dir(spark, name) for name in ("topic", "watch", "progress")}
+    for part in (~held, held):
+        publish(timed_rows.where(part).drop("event_ts"), "parquet", path=at["topic"], block_seconds=TOPIC_BLOCK_SECONDS)
+    watch.watch(read_topic(spark, "parquet", ONE_FILE, at["topic"]), at["watch"], at["progress"], DELAY_SECONDS, "1 day", "1 day",
+                "12 hours", clinical(spark, sf_dir), TRIGGER)
+    return at["watch"], rows
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Every message of a topic either kept by the live monitor or set aside as late; together they are all that were sent."""
+    path, _ = watched(spark, sf_dir)
+    kept = spark.read.schema(watch.ROW_SCHEMA).parquet(f"{path}/{watch.ONCE}").select("caseid", "timestamp", F.lit("kept").alias("fate"))
+    late = read_committed(spark, f"{path}/{watch.ASIDE}").select("caseid", "timestamp", F.col("reason").alias("fate"))
+    return kept.unionByName(late)
+
+
+@query
+def watch_trend(spark, sf_dir):
+    """The live monitor's daily trend, over the messages in time."""
+    path, _ = watched(spark, sf_dir)
+    return zoneless(monitor.latest_updates(spark, f"{path}/{watch.TREND}", ["caseid", "window_start", "vital"]), "window_start")
+
+
+def refreshed(spark, sf_dir):
+    """Dashboard tables of scored documents that came in two parts, refreshed after each; a third of the cases came twice."""
+    rows = stored(V.with_event_time(delivery.document_id(ruled(spark, sf_dir))), "scored")
+    scored, out = new_dir(spark, "scored"), new_dir(spark, "dashboard")
+    number = F.col("caseid").cast("long")
+    for no, part in enumerate((number % 3 != 0, number % 3 != 1)):
+        Committed(scored, run=f"part-{no}", by_date=True)(rows.where(part), 0)
+        dashboard.refresh(spark, scored, out, "12 hours", 86400, 3600)
+    return out
+
+
+@query
+def monitor_rollup(spark, sf_dir):
+    """The trend out of rollups, after two refreshes."""
+    trend = spark.read.parquet(f"{refreshed(spark, sf_dir)}/trend").drop("event_date")
+    return zoneless(trend, "window_start")
+
+
+@query
+def monitor_rollup_now(spark, sf_dir):
+    """Gauge and risk share out of rollups, after two refreshes, one row per case, measure and name."""
+    out = refreshed(spark, sf_dir)
+    gauge = spark.read.parquet(f"{out}/gauge").select("caseid", F.lit("gauge").alias("measure"), F.col("vital").alias("name"), F.col("mean").alias("value"))
+    share = spark.read.parquet(f"{out}/risk_share").select("caseid", F.lit("share").alias("measure"), F.col("Risk Predicted").alias("name"),
+                                                           F.col("share").alias("value"))
+    return gauge.unionByName(share)
+
+
 @query
 def stream_clinical_join(spark, sf_dir):
     """Clinical attributes attached to a topic after publishing."""
