@@ -8,8 +8,9 @@ link; so a key's sets are tied to one of the smaller size as a star, and no pair
 
 Large sets (and the small ones near the boundary): inverted lists. A global order puts n-grams with a hash in the first ``BAND`` of
 all in front, there the rarer ones first; linked sets have one of the first |a| - c + 1 n-grams of both in common, so only these
-go into lists. Lists are scanned in rounds. In each, a list chooses leaders, those of the smallest component first; all others that are
-not in the leader's component, and of a fitting size, are compared with it by their whole texts, and then it leaves the
+go into lists, and only as far as what follows there could suffice. Sets that meet in long lists get others, by an order over all of
+their n-grams. Lists are scanned in rounds. In each, a list chooses leaders, those of the smallest component first; all others that
+are not in the leader's component, and may share enough, are compared with it by their whole texts, and then it leaves the
 list. What is left of a list whose members are all connected by then needs no comparison. So a group of near copies costs about its
 size times the number of its members that stay apart.
 
@@ -45,6 +46,8 @@ SIMILARITY = (90, 100)
 SMALL_MOST = 40
 #: N-grams whose hash lies in this part of the hashes are ordered by frequency; it must exceed one less the similarity.
 BAND = 0.2
+#: Sets in lists with more members get lists by an order of their own.
+LONG_LIST = 64
 #: A list's leaders in the first round, by how much there are more in each round, and how many at most.
 LEADERS, MORE, MOST_LEADERS = 1, 16, 4096
 FILTER_BITS = 1 << 26
@@ -235,8 +238,26 @@ def small_links(small, most, similarity=SIMILARITY):
 
 # ---- Inverted lists ----
 
-def inverted_lists(sets, similarity=SIMILARITY):
-    """(token, cls, n): the first n-grams of each set in the global order, but those that no other set offers."""
+#: What a list is: the order it was made by, and its n-gram.
+LIST = ["level", "token"]
+
+
+def _least_shared(n, m, similarity):
+    part, whole = similarity
+    return F.ceil((n + m) * F.lit(part) / F.lit(part + whole))
+
+
+def _fits(n, m, similarity):
+    part, whole = similarity
+    return F.least(n, m) * whole >= F.greatest(n, m) * part
+
+
+def inverted_lists(sets, level=0, similarity=SIMILARITY):
+    """(level, token, cls, n, place): the first n-grams of each set in the global order, but those that no other set offers.
+
+    ``place`` is the number of a set's n-grams before the token. Sets that have the token in common, but none before it, share
+    at most those from there on; a member whose rest is too short for the smallest set of a list is left out of it.
+    """
     part, whole = similarity
     offered = sets.select("cls", "n", "in_band", F.posexplode("tokens").alias("at", "token"))
     shared = offered.groupBy("token").agg(F.count("*").alias("many")).where("many > 1")
@@ -246,30 +267,69 @@ def inverted_lists(sets, similarity=SIMILARITY):
     rank = F.row_number().over(whole_set.orderBy(F.when(in_front, 0).otherwise(1), "many", "at"))
     alone = F.col("in_band") - F.count(F.when(in_front, 1)).over(whole_set)
     place = F.when(in_front, alone + rank - 1).otherwise(F.col("at"))
-    first = F.col("n") - F.floor((F.col("n") * part + whole - 1) / whole) + 1
-    return found.withColumn("place", place).where(F.col("place") < first).select("token", "cls", "n")
+    least = F.ceil(F.col("n") * F.lit(part) / F.lit(whole))
+    lists = found.withColumn("place", place.cast("long")).where(F.col("place") < F.col("n") - least + 1).select(
+        F.lit(level).alias("level"), "token", "cls", "n", "place")
+    return lists
 
 
-def _fits(n, m, similarity):
+def _useful(lists, similarity):
+    """``lists`` without the members that can link to none of their list, and without lists of one."""
     part, whole = similarity
-    return F.least(n, m) * whole >= F.greatest(n, m) * part
+    smallest = lists.groupBy(*LIST).agg(F.min("n").alias("low"), F.count("*").alias("many")).where("many > 1").drop("many")
+    partner = F.greatest("low", F.ceil(F.col("n") * F.lit(part) / F.lit(whole)))
+    return lists.join(smallest, LIST).where(F.col("n") - F.col("place") >= _least_shared(F.col("n"), partner, similarity)).drop("low")
+
+
+def all_lists(large, classes, df, text, keys, words=WORDS, similarity=SIMILARITY, long_list=LONG_LIST):
+    """The lists of all large sets. Sets in lists of more than ``long_list`` members get others instead, by an order of their own.
+
+    There all n-grams are ordered by frequency among these sets, so what a near copy has for itself comes first, not only the part
+    of it that lies in the band. Each pair that a long list would have found has both sets there.
+    """
+    lists = stored(_useful(inverted_lists(large, 0, similarity).join(classes.select("cls"), "cls", "left_semi"), similarity), "lists")
+    long = stored(lists.groupBy(*LIST).agg(F.count("*").alias("many")).where(F.col("many") > long_list).select(*LIST), "long-lists")
+    if long.isEmpty():
+        return lists
+    crowded = stored(lists.join(long, LIST, "left_semi").select("cls").distinct(), "crowded-sets")
+    again = stored(whole_sets(texts_of(df, text, keys.join(crowded, "cls", "left_semi")), words), "whole-sets")
+    return lists.join(long, LIST, "left_anti").unionByName(_useful(inverted_lists(again, 1, similarity), similarity))
+
+
+def whole_sets(texts, words=WORDS):
+    """(cls, n, in_band, tokens) of (cls, text): all n-grams, all of them ordered by frequency."""
+    def run(batches):
+        for batch in batches:
+            sets = [ngram_set(t, words).view(np.int64) for t in batch.column(1).to_pylist()]
+            sizes = pa.array([len(x) for x in sets], pa.int64())
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32), pa.int32())
+            flat = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, sizes, pa.ListArray.from_arrays(offsets, flat)],
+                                             names=["cls", "n", "in_band", "tokens"])
+
+    return in_small_batches(texts.select("cls", "text")).mapInArrow(run, "cls long, n long, in_band long, tokens array<long>")
 
 
 def open_lists(lists, stars):
-    """(token, cls, n, comp, comp_size) of lists whose members are in more than one component."""
+    """``lists`` with ``comp``, those whose members are in more than one component."""
     rows = lists.join(stars.withColumnRenamed("a", "cls"), "cls", "left").select(
-        "token", "cls", "n", F.coalesce("b", "cls").alias("comp"))
-    apart = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    rows = stored(rows.join(apart, "token", "left_semi"), "open-lists")
+        *LIST, "cls", "n", "place", F.coalesce("b", "cls").alias("comp"))
+    apart = rows.groupBy(*LIST).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select(*LIST)
+    return rows.join(apart, LIST, "left_semi")
+
+
+def with_comp_sizes(rows):
+    """``rows`` of open lists with ``comp_size``, the number of their sets in a component."""
     sizes = rows.select("cls", "comp").distinct().groupBy("comp").agg(F.count("*").alias("comp_size"))
     return rows.join(sizes, "comp")
 
 
 def leaders_of(lists, k):
-    """(token, leader, m, leader_comp): up to ``k`` members per list, of the smallest components; tasks keep as many before the shuffle."""
-    first = Window.partitionBy("token").orderBy("comp_size", F.xxhash64("cls"), "cls")
+    """(level, token, leader, m, ahead, leader_comp): up to ``k`` members per list, of the smallest components, there those with the
+    fewest n-grams of their own first; tasks keep as many before the shuffle."""
+    first = Window.partitionBy(*LIST).orderBy("comp_size", "place", F.xxhash64("cls"), "cls")
     return lists.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select(
-        "token", F.col("cls").alias("leader"), F.col("n").alias("m"), F.col("comp").alias("leader_comp"))
+        *LIST, F.col("cls").alias("leader"), F.col("n").alias("m"), F.col("place").alias("ahead"), F.col("comp").alias("leader_comp"))
 
 
 def _filter_bit(key):
@@ -323,21 +383,24 @@ def large_links(lists, edges, df, text, keys, words=WORDS, similarity=SIMILARITY
 
     ``keys`` has (cls, text_key), from which texts are fetched. A pair is compared in one round only.
     """
-    lists, tried, texts, k = stored(lists, "lists"), None, None, LEADERS
+    tried, texts, k = None, None, LEADERS
     while True:
-        rows = stored(open_lists(lists, stars_of(edges)), "sized-lists")
+        rows = stored(open_lists(lists, stars_of(edges)), "open-lists")
         if rows.isEmpty():
             return edges
         if texts is None:
             texts = texts_of(df, text, keys.join(rows.select("cls").distinct(), "cls", "left_semi"))
-        leaders = stored(leaders_of(rows, k), "leaders")
-        pairs = rows.join(leaders, "token").where((F.col("comp") != F.col("leader_comp")) & _fits(F.col("n"), F.col("m"), similarity))
+        leaders = stored(leaders_of(with_comp_sizes(rows), k), "leaders")
+        shared = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("ahead"))
+        pairs = rows.join(leaders, LIST).where(
+            (F.col("comp") != F.col("leader_comp")) & _fits(F.col("n"), F.col("m"), similarity)
+            & (shared >= _least_shared(F.col("n"), F.col("m"), similarity)))
         pairs = pairs.select(F.greatest("cls", "leader").alias("a"), F.least("cls", "leader").alias("b")).distinct()
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         edges = edges.unionByName(stored(linked_pairs(pairs, texts, words, similarity), "links"))
-        lists = rows.join(leaders.select("token", F.col("leader").alias("cls")), ["token", "cls"], "left_anti").select("token", "cls", "n")
-        lists, k = stored(lists, "lists"), min(k * MORE, MOST_LEADERS)
+        done = leaders.select(*LIST, F.col("leader").alias("cls"))
+        lists, k = rows.join(done, [*LIST, "cls"], "left_anti").drop("comp"), min(k * MORE, MOST_LEADERS)
 
 
 def linked_documents(df, doc="doc_id", text="text", words=WORDS, similarity=SIMILARITY, band=BAND):
@@ -354,9 +417,9 @@ def linked_documents(df, doc="doc_id", text="text", words=WORDS, similarity=SIMI
     first_rows = classes.select(F.col("cls").alias("row_no"))
     small = rows.where(F.col("n").between(low, most)).join(first_rows, "row_no", "left_semi").withColumnRenamed("row_no", "cls")
     large = rows.where(F.col("n") >= max(low, partners(most + 1, similarity).start)).withColumnRenamed("row_no", "cls")
-    lists = inverted_lists(large, similarity).join(classes.select("cls"), "cls", "left_semi")
-    edges = stored(small_links(small, most, similarity), "links")
     keys = rows.select(F.col("row_no").alias("cls"), "text_key")
+    lists = all_lists(large, classes, df, text, keys, words, similarity)
+    edges = stored(small_links(small, most, similarity), "links")
     tied = stars_of(large_links(lists, edges, df, text, keys, words, similarity)).withColumnRenamed("a", "cls")
     rooted = classes.join(tied, "cls", "left").select("digest", "first", F.coalesce("b", "cls").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
