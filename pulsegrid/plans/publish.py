@@ -1,17 +1,16 @@
 """Prepared samples to a message topic."""
 
 import uuid
-from itertools import chain
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import event_time
 from ..operators.messages import encode
-from ..operators.routing import in_case_order, routed, unrouted
+from ..operators.routing import in_case_order, route, routed
 from ..session import new_dir
 from ..sources.topics import write_topic
-from ..streaming.commits import Committed, commits
+from ..streaming.commits import Committed
 from ..streaming.delivery import attempt
 
 #: Messages of so much time are sent before the next ones.
@@ -25,7 +24,7 @@ def messages_of(samples, routes=None):
 
 
 def stage(samples, progress, block_seconds=BLOCK_SECONDS):
-    """Messages by block of time, computed once for a ``progress`` folder: a publish that is started again finds them there.
+    """(name, messages by block of time), computed once for a ``progress`` folder: a publish that is started again finds them there.
 
     A block's messages are dealt by key into a bounded number of files, whatever the number of tasks.
     """
@@ -35,15 +34,14 @@ def stage(samples, progress, block_seconds=BLOCK_SECONDS):
     if known is None:
         at = F.unix_seconds(event_time(F.col("timestamp")))
         messages = encode(samples).withColumn("block", F.floor(at / block_seconds))
-        folder = f"{progress}/messages-{uuid.uuid4().hex}"
+        known = {"name": f"p-{uuid.uuid4().hex}", "block_seconds": block_seconds}
         part = F.pmod(F.xxhash64("key"), F.lit(BLOCK_PARTS))
-        messages.repartition("block", part).write.partitionBy("block").parquet(folder)
-        known = {"folder": folder.rsplit("/", 1)[1], "block_seconds": block_seconds}
+        messages.repartition("block", part).write.partitionBy("block").parquet(f"{progress}/messages/{known['name']}")
         staged.note(spark, 0, notes=known)
     if known["block_seconds"] != block_seconds:
         raise ValueError(f"{progress} holds messages staged by blocks of {known['block_seconds']} seconds")
     kept = T.StructType([*encode(samples).schema.fields, T.StructField("block", T.LongType())])
-    return spark.read.schema(kept).parquet(f"{progress}/{known['folder']}")
+    return known["name"], spark.read.schema(kept).parquet(f"{progress}/messages/{known['name']}")
 
 
 def publish(samples, fmt="kafka", options=None, path=None, routes=None, aside=None, block_seconds=BLOCK_SECONDS, progress=None,
@@ -61,33 +59,23 @@ def publish(samples, fmt="kafka", options=None, path=None, routes=None, aside=No
     """
     spark = samples.sparkSession
     progress = (progress or new_dir(spark, "publish")).rstrip("/")
-    rows = stage(samples, progress, block_seconds)
-    lost = unrouted(rows.where("block IS NOT NULL"), routes).withColumn("reason", F.lit("no route")).unionByName(
-        rows.where("block IS NULL").withColumn("reason", F.lit("unreadable timestamp")), allowMissingColumns=True)
+    name, rows = stage(samples, progress, block_seconds)
+    reason = F.when(F.col("block").isNull(), "unreadable timestamp").when(F.col("topic").isNull(), "no route")
+    lost = route(rows, routes).withColumn("reason", reason).where("reason IS NOT NULL").drop("block", "topic")
     if aside:
-        Committed(aside, run=_name(spark, progress))(lost.drop("block"), 0)
+        Committed(aside, run=name)(lost, 0)
     elif not lost.isEmpty():
         raise ValueError("messages without a route or a readable time; name a table to set them aside")
-    log = Committed(f"{progress}/sent", run="publish")
+    log = Committed(f"{progress}/sent", run=name)
     last = max((notes["last"] for notes in log.committed(spark).values()), default=None)
-    blocks = rows.where("block IS NOT NULL").select("block").distinct()
-    skipped = 0 if last is None else blocks.where(F.col("block") <= last).count()
-    due = (blocks if last is None else blocks.where(F.col("block") > last)).orderBy("block").toLocalIterator()
-    sent, group = 0, []
-    for row in chain(due, [None]):
-        if row is not None:
-            group.append(row.block)
-        if group and (row is None or len(group) == blocks_per_job):
-            ready = in_case_order(routed(rows.where(F.col("block").between(group[0], group[-1])), routes))
-            place = f"{path.rstrip('/')}/publish={_name(spark, progress)}/block={group[0]}" if path and fmt != "kafka" else path
-            reason = attempt(lambda: write_topic(ready, fmt, options, place, "overwrite" if place != path else "append"), tries, pause_seconds)
-            if reason is not None:
-                raise RuntimeError(f"blocks {group[0]} to {group[-1]} were not sent, start again with progress={progress!r}: {reason}")
-            log.note(spark, group[0], notes={"last": group[-1]})
-            sent, group = sent + len(group), []
-    return sent, skipped
-
-
-def _name(spark, progress):
-    """The name of a publish: that of its staged messages, which are made once."""
-    return commits(spark, f"{progress}/staged").first()["attempt"]
+    blocks = sorted(r.block for r in rows.where("block IS NOT NULL").select("block").distinct().collect())  # a number per block of time
+    due = [b for b in blocks if last is None or b > last]
+    for start in range(0, len(due), blocks_per_job):
+        group = due[start:start + blocks_per_job]
+        ready = in_case_order(routed(rows.where(F.col("block").between(group[0], group[-1])), routes))
+        place, mode = (path, "append") if fmt == "kafka" else (f"{path.rstrip('/')}/publish={name}/block={group[0]}", "overwrite")
+        failed = attempt(lambda: write_topic(ready, fmt, options, place, mode), tries, pause_seconds)
+        if failed is not None:
+            raise RuntimeError(f"blocks {group[0]} to {group[-1]} were not sent, start again with progress={progress!r}: {failed}")
+        log.note(spark, group[0], notes={"last": group[-1]})
+    return len(due), len(blocks) - len(due)

@@ -166,7 +166,7 @@ def test_blocks_may_be_written_together(spark, tmp_path):
 def test_staged_files_are_bounded(spark, tmp_path):
     progress = str(tmp_path / "progress")
     publish(hourly(spark).repartition(30), "parquet", path=str(tmp_path / "topic"), progress=progress)
-    files = [f for f in (tmp_path / "progress").rglob("*.parquet") if "messages-" in str(f)]
+    files = [f for f in (tmp_path / "progress").rglob("*.parquet") if "/messages/" in str(f)]
     assert 4 <= len(files) <= 4 * publishing.BLOCK_PARTS
 
 
