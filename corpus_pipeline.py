@@ -7,7 +7,7 @@ read again as the next one's ``docs``. All but the last return the columns of ``
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import packing, quality, secret_scan, simhash
-from pulsegrid.llm.columns import table
+from pulsegrid.llm.columns import columns, table
 from pulsegrid.llm.queries import TOKENIZER
 from pulsegrid.session import stored, use_utc
 
@@ -27,7 +27,7 @@ def without_secrets(spark, docs, sf_dir):
     scanned = secret_scan.scan(docs)
     clean = secret_scan.redacted(F.col("text"), F.col("spans"))
     return scanned.withColumn("text", clean).withColumn(
-        "n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+        "n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*columns(docs.columns))
 
 
 def sequences(spark, docs, sf_dir):
