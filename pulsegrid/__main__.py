@@ -20,7 +20,7 @@ from .plans.prepare import prepare, set_aside
 from .plans.publish import publish
 from .plans.training import evaluate, importances, left_out, preview, train_and_test, unseen_counts
 from .schemas import ENCODED_LABEL, ENVELOPE_SCHEMA, LABEL
-from .session import job_dir, new_dir, use_utc
+from .session import job_dir, new_dir, remove_made, use_utc
 from .settings import JobSettings
 from .sources.files import read_clinical, read_readings, read_training, require_rows
 from .sources.models import load_model, save_model
@@ -199,7 +199,10 @@ def parser():
 def main(argv=None):
     args = parser().parse_args(argv)
     spark = use_utc(SparkSession.builder.appName(f"pulsegrid-{args.job}").getOrCreate())
-    args.run(spark, JobSettings.from_env(), args)
+    try:
+        args.run(spark, JobSettings.from_env(), args)
+    finally:
+        remove_made(spark)
 
 
 if __name__ == "__main__":

@@ -51,9 +51,21 @@ def shared_dir(spark):
     return _local_dirs[app]
 
 
+_made = []
+
+
 def new_dir(spark, name):
-    """A fresh folder name below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name below the shared folder; nothing is created yet. A job's last step is ``remove_made``."""
+    _made.append(f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def remove_made(spark):
+    """Removes the folders that ``new_dir`` has named in this process: intermediate tables, which nobody reads after the job."""
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while _made:
+        path = paths(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Where jobs on a local master keep what must outlast them, if ``spark.checkpoint.dir`` is not set.

@@ -1,5 +1,6 @@
 """The command line, from a training file to dashboard tables."""
 
+import os
 import types
 
 import pytest
@@ -8,7 +9,7 @@ from pulsegrid.__main__ import main, parser
 from pulsegrid.sources.files import write_training
 from pulsegrid.streaming.monitor import latest_updates
 from pulsegrid.schemas import TRACK_COLUMNS
-from pulsegrid.session import LOCAL_STATE, job_dir
+from pulsegrid.session import LOCAL_STATE, job_dir, remove_made, stored
 
 from .test_prepare import readings_of, reading
 from .test_training import training
@@ -55,6 +56,14 @@ def test_every_job_has_help(job, capsys):
     assert stop.value.code == 0 and "usage" in capsys.readouterr().out
 
 
+def test_intermediate_tables_go_with_the_job(spark):
+    mine = stored(spark.range(3), "mine")
+    path = mine.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and mine.count() == 3
+    remove_made(spark)
+    assert not os.path.exists(path)
+
+
 class Unset:
     """A session on a local master without ``spark.checkpoint.dir``."""
 
