@@ -43,11 +43,32 @@ def _by_date(rows, path):
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
 
 
+def exists(spark, path):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def gauges(spark, rollup, dates, out, reach_seconds):
+    """The gauge of every case: anew for those with rows on these dates, as it was for the others.
+
+    A case that has rows on one of the dates has its latest row then or later, so no date before the first of them, less the reach, is
+    opened.
+    """
+    first = F.lit(min(dates)) - F.expr(f"INTERVAL {-(-reach_seconds // 86400)} DAYS")
+    near = rollup.where(F.col("event_date") >= first.cast("date"))
+    cases = near.where(F.col("event_date").isin(dates) if len(dates) <= MOST_DATES else F.lit(True)).select("caseid").distinct()
+    fresh = with_bands(gauge_of(near.join(cases, "caseid", "left_semi"), reach_seconds))
+    if not exists(spark, f"{out}/gauge"):
+        return fresh
+    return spark.read.parquet(f"{out}/gauge").join(cases, "caseid", "left_anti").select(*fresh.columns).unionByName(fresh)
+
+
 def refresh(spark, scored, out, bucket="1 minute", reach_seconds=300, grain_seconds=GRAIN_SECONDS):
     """Brings ``rollup``, ``risks``, ``trend``, ``gauge`` and ``risk_share`` below ``out`` up to date; the dates that were done again.
 
-    Rollups and trends lie by date. Of documents, only the dates that new commits touch are read; gauges and shares are read from
-    rollups. The commits are noted last, so a refresh that ended early is done again. ``bucket`` must divide a day.
+    Rollups and trends lie by date. Of documents, only the dates that new commits touch are read. Gauges are made anew for the cases
+    with rows on these dates, from rollups of these dates and later ones; shares sum the small table of counts per case and day. The
+    commits are noted last, so a refresh that ended early is done again. ``bucket`` must divide a day.
     """
     out, scored = out.rstrip("/"), scored.rstrip("/")
     new = stored(new_commits(spark, scored, out).select("run", "batch", "attempt", "at"), "new-commits")
@@ -62,7 +83,7 @@ def refresh(spark, scored, out, bucket="1 minute", reach_seconds=300, grain_seco
         rollup = spark.read.parquet(f"{out}/rollup")
         changed = rollup.where(F.col("event_date").isin(dates)) if len(dates) <= MOST_DATES else rollup
         _by_date(trend_of(changed, bucket).withColumn("event_date", F.to_date("window_start")), f"{out}/trend")
-        with_bands(gauge_of(rollup, reach_seconds)).write.mode("overwrite").parquet(f"{out}/gauge")
+        stored(gauges(spark, rollup, dates, out, reach_seconds), "gauge").write.mode("overwrite").parquet(f"{out}/gauge")
         share_of(spark.read.parquet(f"{out}/risks")).write.mode("overwrite").parquet(f"{out}/risk_share")
     Committed(f"{out}/_sources", run="refresh-" + first)(new.select(F.col("attempt").alias("source")).coalesce(1), 0)
     return dates

@@ -264,13 +264,13 @@ def test_the_high_water_mark_goes_on_after_a_restart():
 def test_a_refresh_opens_only_dates_with_new_documents(spark, tmp_path):
     scored, out = str(tmp_path / "scored"), str(tmp_path / "out")
 
-    def documents(first, n, level):
+    def documents(first, n, level, case="1"):
         day = F.timestamp_seconds(F.col("id") * 43200 + 60)
-        rows = spark.range(first, n).select(F.lit("1").alias("caseid"), day.alias("event_ts"), F.lit("Low Risk").alias("Risk Predicted"),
+        rows = spark.range(first, n).select(F.lit(case).alias("caseid"), day.alias("event_ts"), F.lit("Low Risk").alias("Risk Predicted"),
                                             *[F.lit(level).cast("float").alias(c) for c in VITALS])
         return rows.withColumn("document_id", F.concat_ws("|", "caseid", F.col("event_ts").cast("string")))
 
-    commits.Committed(scored, run="a", by_date=True)(documents(0, 8, 70.0), 0)
+    commits.Committed(scored, run="a", by_date=True)(documents(0, 8, 70.0).unionByName(documents(0, 2, 50.0, "2")), 0)
     assert len(dashboard.refresh(spark, scored, out, reach_seconds=86400)) == 4
     assert dashboard.refresh(spark, scored, out, reach_seconds=86400) == []
     written = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "out" / "rollup").rglob("*.parquet")}
@@ -283,10 +283,14 @@ def test_a_refresh_opens_only_dates_with_new_documents(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^]]*event_date#\d+ IN \(1970-01-04,1970-01-05\)", plan)
     kept = {f for f in written if "event_date=1970-01-04" not in f}
     assert kept and all((tmp_path / f).stat().st_mtime_ns == written[f] for f in kept)
-    rates = spark.read.parquet(f"{out}/trend").where("vital = 'Heart Rate'").orderBy("window_start").collect()
+    rates = spark.read.parquet(f"{out}/trend").where("vital = 'Heart Rate' AND caseid = '1'").orderBy("window_start").collect()
     assert [(r["mean"], r.n) for r in rates] == [(70.0, 1)] * 6 + [(90.0, 1)] * 4
-    assert [(r["mean"], r.band) for r in spark.read.parquet(f"{out}/gauge").where("vital = 'Heart Rate'").collect()] == [(90.0, "green")]
-    assert [(r.n, r.share) for r in spark.read.parquet(f"{out}/risk_share").collect()] == [(10, 1.0)]
+    gauge = spark.read.parquet(f"{out}/gauge").where("vital = 'Heart Rate'")
+    assert {(r.caseid, r["mean"], r.band) for r in gauge.collect()} == {("1", 90.0, "green"), ("2", 50.0, "yellow")}
+    near = dashboard.gauges(spark, spark.read.parquet(f"{out}/rollup"), dates, out, 86400)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in near.split("\n") if "FileScan" in line and "grain" in line]
+    assert scans and all(re.search(r"PartitionFilters: \[[^]]*event_date#\d+ (>=|IN)", line) for line in scans)
+    assert {(r.caseid, r.n, r.share) for r in spark.read.parquet(f"{out}/risk_share").collect()} == {("1", 10, 1.0), ("2", 2, 1.0)}
 
 
 def test_replay_sets_aside_what_has_no_tick(spark, tmp_path):
