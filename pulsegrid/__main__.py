@@ -25,7 +25,7 @@ from .settings import JobSettings
 from .sources.files import read_clinical, read_readings, read_training, require_rows
 from .sources.models import load_model, save_model
 from .sources.topics import kafka_options, read_topic, write_topic
-from .streaming.commits import Committed
+from .streaming.commits import Committed, compact_log
 from .streaming.delivery import UPSERT, deliver, redeliver
 from .streaming.replay import start_replay, write_replay_table
 from .streaming.scoring import scored_writer, start_scoring_job
@@ -133,6 +133,7 @@ def watch_topic(spark, settings, args):
 
 def monitor(spark, settings, args):
     dates = refresh(spark, args.scored, args.out, args.bucket, args.recent_seconds)
+    compact_log(spark, args.scored)
     print(f"dates done again: {len(dates)}")
 
 

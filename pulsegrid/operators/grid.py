@@ -32,7 +32,7 @@ def block_of(slot):
 
 
 def _placed(readings, step_seconds):
-    """Usable readings of wanted tracks and known cases with their slot; ``unusable_readings`` has the others.
+    """Usable readings of wanted tracks and known cases with their slot; ``unusable_reason`` says why others have none.
 
     The NULL tests are those that a join on (caseid, block) brings along. With them here, a plan that uses the
     samples twice, for the means and for the rows, has equal branches and shuffles the readings once.
@@ -58,11 +58,6 @@ def unusable_reason():
             .when(~(F.abs("value") < MOST_VALUE), "value out of range"))
 
 
-def unusable_readings(readings):
-    """Readings of wanted tracks that the grid leaves out, with ``reason``."""
-    return readings.where(measured()).withColumn("reason", unusable_reason()).where(F.col("reason").isNotNull())
-
-
 def case_parts(readings, step_seconds, span_seconds=SPAN_SECONDS):
     """(caseid, part, first_slot, last_slot, n): the parts of a case between stretches without a reading longer than ``span_seconds``.
 

@@ -19,10 +19,6 @@ BLOCK_SECONDS = 3600
 BLOCK_PARTS = 8
 
 
-def messages_of(samples, routes=None):
-    return routed(encode(samples), routes)
-
-
 def stage(samples, progress, block_seconds=BLOCK_SECONDS):
     """(name, messages by block of time), computed once for a ``progress`` folder: a publish that is started again finds them there.
 

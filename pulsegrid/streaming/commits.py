@@ -28,19 +28,37 @@ def _log_path(path):
     return f"{path.rstrip('/')}/{LOG}"
 
 
+def _folder(spark, path):
+    """(file system, path) of the log of ``path``, as the JVM knows them."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_log_path(path))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def commits(spark, path):
     """The log: a row per committed batch or part of one; of several rows for one, that with the smallest attempt counts."""
-    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_log_path(path))
-    if not log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+    store, folder = _folder(spark, path)
+    if not store.exists(folder):
         return spark.createDataFrame([], LOG_SCHEMA)
     first = Window.partitionBy("run", "batch", "part").orderBy("attempt")
     rows = spark.read.schema(LOG_SCHEMA).json(_log_path(path))
     return rows.withColumn("rank", F.row_number().over(first)).where("rank = 1").drop("rank")
 
 
-def compact_log(spark, path):
-    """The log as one file more; the many small ones may be removed afterwards, as rows that stand in it twice count once."""
-    commits(spark, path).coalesce(1).write.mode("append").json(_log_path(path))
+def compact_log(spark, path, least_files=1000):
+    """Puts the log's small files, if there are so many, into one; how many there were.
+
+    A writer may go on meanwhile: only files that were there at the start are removed, after their rows stand in the new one,
+    and a row that stands in two files counts once.
+    """
+    store, folder = _folder(spark, path)
+    old = [f.getPath() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-")] if store.exists(folder) else []
+    if len(old) < least_files:
+        return 0
+    rows = spark.read.schema(LOG_SCHEMA).json([f.toString() for f in old]).distinct()
+    rows.coalesce(1).write.mode("append").json(_log_path(path))
+    for f in old:
+        store.delete(f, False)
+    return len(old)
 
 
 class Committed:

@@ -115,20 +115,6 @@ def redeliver(spark, dead_letters, write, schema=None, tries=5, pause_seconds=2.
     return len(open_ones), left
 
 
-def replace_batch(path, fmt="parquet", by_date=False):
-    """A batch writer that replaces the folder of its batch number: for one checkpoint and one reader of all folders.
-
-    Where runs share a folder, use ``commits.Committed``.
-    """
-    def write(rows, batch_id, part=""):
-        writer = (rows.withColumn("event_date", F.to_date("event_ts")) if by_date else rows).write
-        writer = writer.partitionBy("event_date") if by_date else writer
-        name = f"{batch_id}-{part}" if part else f"{batch_id}"
-        writer.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch_id={name}")
-
-    return write
-
-
 def start_foreach_batch(rows, write_batch, checkpoint, mode="append", trigger=None):
     writer = (rows.writeStream.outputMode(mode).foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from pulsegrid.operators.monitor import recent_means
 from pulsegrid.schemas import VITALS
-from pulsegrid.streaming.delivery import replace_batch
+from pulsegrid.streaming.commits import Committed, read_committed
 
 SF = "/root/testdata/sf0.001"
 BATCH = ["grid_downsample", "grid_fill_gaps", "trim_quarters", "case_means", "mean_impute", "clinical_lookup",
@@ -63,8 +63,8 @@ def test_without_broadcast_samples_meet_case_values_by_block(spark):
 def test_recent_rows_are_read_by_date(spark, tmp_path):
     rows = spark.range(10).select(F.lit("1").alias("caseid"), F.timestamp_seconds(F.col("id") * 86400).alias("event_ts"),
                                   *[F.col("id").cast("float").alias(c) for c in VITALS])
-    replace_batch(str(tmp_path), by_date=True)(rows, 0)
-    stored = spark.read.parquet(str(tmp_path)).where("event_date >= DATE '1970-01-08'")
+    Committed(str(tmp_path), run="a", by_date=True)(rows, 0)
+    stored = read_committed(spark, str(tmp_path)).where("event_date >= DATE '1970-01-08'")
     plan = recent_means(stored, 86400)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^]]*event_date#\d+ >= 1970-01-08", plan) and stored.count() == 3
 

@@ -150,8 +150,10 @@ def test_a_failed_attempt_is_not_read_and_a_committed_batch_not_written_again(sp
     commits.Committed(out, run="b")(rows, 0)
     assert spark.read.parquet(out).count() == 30
     assert commits.read_committed(spark, out).count() == 20 and commits.read_committed(spark, out, rows.schema).count() == 20
-    commits.compact_log(spark, out)
-    assert commits.read_committed(spark, out).count() == 20
+    before = sorted(commits.commits(spark, out).collect())
+    assert commits.compact_log(spark, out, 3) == 0 and commits.compact_log(spark, out, 2) == 2
+    assert sorted(commits.commits(spark, out).collect()) == before and commits.read_committed(spark, out).count() == 20
+    assert len(list((tmp_path / "out" / commits.LOG).glob("part-*"))) == 1
 
 
 def test_only_folders_in_the_log_are_opened(spark, tmp_path):
