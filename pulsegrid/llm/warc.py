@@ -37,6 +37,8 @@ IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 ARCHIVE_BYTES = 1 << 30
 SPLIT_BYTES = 64 << 20
+#: Tasks that ranges are dealt to at most.
+MOST_TASKS = 1 << 14
 _LEVEL, _BLOCK, _STEP = 4, 4 << 20, 1 << 14
 _NAME = "<urn:record:{}>"
 
@@ -243,7 +245,8 @@ def read_archives(manifest, split_bytes=SPLIT_BYTES, payloads=True):
                 if rows:
                     yield made(rows)
 
-    return ranges.repartition("path", "start").mapInArrow(run, schema)
+    tasks = max(1, min(ranges.count(), MOST_TASKS))  # given, or the small rows of many ranges would meet in one task
+    return ranges.repartition(tasks, "path", "start").mapInArrow(run, schema)
 
 
 def archive_folder(spark):
