@@ -2,8 +2,9 @@
 
 A document longer than a window is first cut into full windows. What is left of it, and every shorter document, goes, longest
 first, into the open window with the least room that still holds it. A segment tree over remaining room finds that
-window. Documents are packed in groups of a million tokens within a task, so memory is bounded by a group and the rows are
-not shuffled; a group leaves a window or two not full.
+window. Documents are packed in groups of a million tokens within a task, so memory is bounded by a group; a group leaves a window or
+two not full, and a task with little input perhaps nearly all. Pieces of windows with room are brought together and packed
+once more; full ones are not shuffled.
 
 Defined cases: a NULL or empty text is the end id alone; equal rows are packed each for itself; an empty table gives no rows;
 a document of any length is packed whole; other columns are not carried.
@@ -15,8 +16,11 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..session import stored
 from .bpe import Vocabulary
 from .columns import in_small_batches
 
@@ -26,7 +30,10 @@ END_ID = 1
 GROUP_TOKENS = 1 << 20
 #: The library's splitter fails on about a million white-space characters in a row; parts with so many are split by our own.
 SPACE_RUN = 1 << 16
+#: The part of a window that may stay free in the first pass, and the groups that a task of the second pass has at least.
+MOST_ROOM, TASK_GROUPS = 0.01, 4
 _SEQUENCE_BITS = 33  # a task's number above, its sequences below
+_SECOND = 1 << 62  # sequences of the second pass
 _SPACE = re.compile(r"\s+")
 
 
@@ -121,40 +128,71 @@ def tokens(path):
     return Tokens(path)
 
 
-def packed(df, path, doc="doc_id", text="text", window=WINDOW, end_id=END_ID, group_tokens=GROUP_TOKENS):
-    """A row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
+def _schema(kind):
+    return T.StructType([T.StructField("doc", kind), *T._parse_datatype_string(
+        "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, filled long").fields])
+
+
+def _group(schema, rows, lengths, sequences, window):
+    """Rows (doc, start, ids, doc_tokens) of these lengths, longer ones cut, as a batch of pieces; ``sequences`` names the first sequence."""
+    placed, n = best_fit(lengths, window)
+    item, start, length, sequence, offset = np.array(placed, np.int64).T
+    filled = np.bincount(sequence, weights=length, minlength=n).astype(np.int64)[sequence]
+    columns = [[rows[i][0] for i in item], start + np.array([rows[i][1] for i in item], np.int64), length,
+               [rows[i][2][a:a + k].tobytes() for i, a, k in zip(item, start, length)],
+               np.array([rows[i][3] for i in item], np.int64), sequence + sequences, offset, filled]
+    kinds = to_arrow_schema(schema).types
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=schema.names), n
+
+
+def _in_groups(rows, schema, window, group_tokens, first):
+    """Batches of pieces from rows (doc, start, ids, doc_tokens), a group of about ``group_tokens`` ids at a time."""
+    group, held = [], 0
+    for row in rows:
+        group.append(row)
+        held += len(row[2])
+        if held >= group_tokens:
+            made, n = _group(schema, group, [len(r[2]) for r in group], first, window)
+            first, group, held = first + n, [], 0
+            yield made
+    if group:
+        yield _group(schema, group, [len(r[2]) for r in group], first, window)[0]
+
+
+def packed(df, path, doc="doc_id", text="text", window=WINDOW, end_id=END_ID, group_tokens=GROUP_TOKENS, most_room=MOST_ROOM):
+    """A row per piece: ``doc``, start, length, ids, doc_tokens, sequence_id, offset.
 
     ``ids`` are unsigned little-endian 32-bit numbers; ``start`` counts the document's ids before the piece, ``offset`` those
     before it in its sequence, and ``doc_tokens`` includes the end id. Sequence numbers are unique over all tasks.
+
+    What a first pass over the tasks of the input packs is written once. Sequences that it left with more than ``most_room`` of their
+    window free are packed again, in as many tasks as their number of tokens asks for, so that padding does not follow the layout.
     """
-    schema = T.StructType([df.schema[doc], T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
-                           T.StructField("ids", T.BinaryType()), T.StructField("doc_tokens", T.LongType()),
-                           T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    rows = df.select(doc, text)
-
-    def group(docs, codes, first, doc_type):
-        placed, n = best_fit([len(c) for c in codes], window)
-        item, start, length, sequence, offset = np.array(placed, np.int64).T
-        arrays = [
-            pa.array([docs[i] for i in item], doc_type), pa.array(start), pa.array(length),
-            pa.array([codes[i][a:a + k].tobytes() for i, a, k in zip(item, start, length)], pa.binary()),
-            pa.array(np.array([len(c) for c in codes], np.int64)[item]), pa.array(sequence + first), pa.array(offset)]
-        return pa.RecordBatch.from_arrays(arrays, names=schema.names), n
-
-    def run(batches):
+    rows = df.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+    schema = _schema(rows.schema[0].dataType)
+
+    def first_pass(batches):
         read, end = tokens(path).ids, np.array([end_id], "<u4")
-        first, docs, codes, held, kind = TaskContext.get().partitionId() << _SEQUENCE_BITS, [], [], 0, pa.int64()
-        for batch in batches:
-            kind = batch.column(0).type
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                codes.append(np.concatenate([read(t or ""), end]))
-                docs.append(d)
-                held += len(codes[-1])
-                if held >= group_tokens:
-                    made, n = group(docs, codes, first, kind)
-                    first, docs, codes, held = first + n, [], [], 0
-                    yield made
-        if docs:
-            yield group(docs, codes, first, kind)[0]
-
-    return in_small_batches(rows).mapInArrow(run, schema)
+
+        def coded():
+            for batch in batches:
+                for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    codes = np.concatenate([read(t or ""), end])
+                    yield d, 0, codes, len(codes)
+
+        return _in_groups(coded(), schema, window, group_tokens, TaskContext.get().partitionId() << _SEQUENCE_BITS)
+
+    def second_pass(batches):
+        def pieces():
+            for batch in batches:
+                for d, start, codes, n in zip(*[batch.column(i).to_pylist() for i in (0, 1, 3, 4)]):
+                    yield d, start, np.frombuffer(codes, "<u4"), n
+
+        return _in_groups(pieces(), schema, window, group_tokens, _SECOND | TaskContext.get().partitionId() << _SEQUENCE_BITS)
+
+    done = stored(in_small_batches(rows).mapInArrow(first_pass, schema), "packed")
+    roomy = (F.lit(window) - F.col("filled")) > F.lit(int(most_room * window))
+    loose = done.where(roomy).agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, loose // (TASK_GROUPS * group_tokens))
+    again = done.where(roomy).repartition(tasks, F.xxhash64("sequence_id", "offset")).mapInArrow(second_pass, schema)
+    return done.where(~roomy).unionByName(again).drop("filled").withColumnRenamed("doc", doc)
