@@ -1,6 +1,8 @@
 """Column helpers of this package."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space between words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
@@ -10,6 +12,46 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name):
+    """A column name as it stands, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def columns(names):
+    return [F.col(quoted(n)) for n in names]
+
+
+def row_of(names):
+    """A struct of these columns; ``row.*`` gives them back."""
+    return F.struct(*(columns(names) or [F.lit(0)]))
+
+
+def place_of(names, wanted):
+    """Where Spark finds the column ``wanted`` among ``names``, which it compares without case; None if nowhere."""
+    exact = [i for i, n in enumerate(names) if n == wanted]
+    return next(iter(exact or [i for i, n in enumerate(names) if n.lower() == wanted.lower()]), None)
+
+
+def with_made(df, source, name, kind, work):
+    """``df`` with column ``name``, which ``work`` makes of the Arrow array of column ``source``; one of that name is replaced.
+
+    Python workers get columns by place, under plain names, so that no name of ``df`` matters.
+    """
+    kept = [i for i, n in enumerate(df.columns) if n.lower() != name.lower()]
+    sent = columns(df.columns[i] for i in kept)
+    at = place_of([df.columns[i] for i in kept], source)
+    if at is None:
+        at, sent = len(sent), [*sent, F.col(source)]
+    plain = df.select(*[c.alias(f"c{i}") for i, c in enumerate(sent)])
+    schema = T.StructType([*plain.schema.fields[:len(kept)], T.StructField("made", kind)])
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], work(batch.column(at))], names=schema.names)
+
+    return in_small_batches(plain).mapInArrow(run, schema).toDF(*[df.columns[i] for i in kept], name)
+
+
 #: Rows with whole texts that a Python worker gets at once.
 TEXT_ROWS = 500
 

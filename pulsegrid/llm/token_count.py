@@ -7,9 +7,10 @@ compiled when first met. A whole piece leads from the start back to the start, s
 
 A text is cut into chunks. A space after another character always ends a piece, whatever came before: it resets the
 transducer. So the state map of a chunk is short: the text up to its first reset, whose count depends on the state at entry,
-the count from there to its last reset, and the text after that, which stands for the state at exit. Maps compose by
-putting the rest of one and the beginning of the next together; composing is associative, and only these border
-texts are counted after it.
+the count from there to its last reset, and the text after that, which stands for the state at exit. Two maps compose by putting
+the rest of one and the beginning of the next together, a border text that is counted at once; composing is associative, so maps are
+composed by pairs, a round of Spark for each doubling. A text without any reset (no white space behind another character) is one
+border text from beginning to end, and is counted whole by the task that composes its last pair.
 
 Special strings count as one token. Defined cases: a NULL text is empty and has no tokens; equal rows are counted each for
 itself; an empty table gives an empty one; texts are counted whole; other columns are carried, and one called like a result
@@ -17,6 +18,7 @@ column is replaced.
 """
 
 import functools
+import math
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,8 +26,9 @@ import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
 from .bpe import Remembered, Vocabulary
-from .columns import in_small_batches
+from .columns import in_small_batches, place_of, row_of
 
 CHUNK_CHARS = 1 << 16
 #: Compiled states of a worker; when there are more it starts anew.
@@ -88,16 +91,7 @@ class Transducer:
 
     def count_piece(self, piece):
         symbols = piece.encode().decode("latin-1").translate(self.vocabulary.symbol_of)
-        return self._by_tokens(symbols) or self._by_symbols(symbols)
-
-    def _by_tokens(self, symbols):
-        """The count where longest tokens, one after the other, are all allowed: a step per token; else None."""
-        last, n, known = None, 0, self.vocabulary.known_pairs.get
-        for _, token in self.vocabulary.automaton.iter_long(symbols):
-            if n and not (known(last << 32 | token) or self.vocabulary.may_follow(last, token)):
-                return None
-            last, n = token, n + 1
-        return n
+        return self._by_symbols(symbols)
 
     def _by_symbols(self, symbols):
         if len(self.places) >= MOST_STATES:
@@ -136,61 +130,73 @@ def transducer(path):
     return Transducer(path)
 
 
+_MAP = "head string, n_tokens long, tail string, passes boolean"
+
+
 def _state_maps(df, path):
-    """``df`` with (row_no, row, chunk_no, chunk, whole) as (row_no, row, chunk_no, map)."""
-    schema = T.StructType([df.schema["row_no"], df.schema["row"], df.schema["chunk_no"], *T._parse_datatype_string(
-        "head string, n_tokens long, tail string, passes boolean").fields])
+    """``df`` with (row_no, row, n_chunks, chunk_no, chunk) as (row_no, row, n_chunks, chunk_no, map)."""
+    schema = T.StructType([*df.schema.fields[:4], *T._parse_datatype_string(_MAP).fields])
 
     def run(batches):
         of = transducer(path).state_map
         for batch in batches:
-            maps = [of(c, w) for c, w in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+            maps = [of(c, n == 1) for n, c in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())]
             made = [pa.array([m[i] for m in maps], kind) for i, kind in enumerate(
                 (pa.string(), pa.int64(), pa.string(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *made], names=schema.names)
 
     return in_small_batches(df).mapInArrow(run, schema)
 
 
-def _composed(maps):
-    """All chunks' maps of a row, in order, as the tokens inside and the border texts between resets."""
-    text = T.ArrayType(T.StringType()).simpleString()
-    empty = F.struct(F.lit("").alias("rest"), F.lit(0).cast("long").alias("n"), F.array().cast(text).alias("borders"))
+def _counted_too(df, path, borders):
+    """``df`` with the tokens of the text columns ``borders`` added to ``n_tokens``, and without these columns."""
+    kept = [c for c in df.columns if c not in borders]
+    schema = T.StructType([df.schema[c] for c in kept])
 
-    def then(s, m):
-        through = F.struct(F.concat(s["rest"], m["head"]).alias("rest"), s["n"].alias("n"), s["borders"].alias("borders"))
-        reset = F.struct(m["tail"].alias("rest"), (s["n"] + m["n_tokens"]).alias("n"),
-                         F.concat(s["borders"], F.array(F.concat(s["rest"], m["head"]))).alias("borders"))
-        return F.when(m["passes"], through).otherwise(reset)
+    def run(batches):
+        count = transducer(path).count
+        for batch in batches:
+            more = [sum(count(t) for t in texts if t) for texts in zip(*[batch.column(c).to_pylist() for c in borders])]
+            columns = [pc.add(batch.column(c), pa.array(more, pa.int64())) if c == "n_tokens" else batch.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays(columns, names=kept)
+
+    return in_small_batches(df).mapInArrow(run, schema)
 
-    return F.aggregate(maps, empty, then, lambda s: F.struct(
-        s["n"].alias("n"), F.filter(F.concat(s["borders"], F.array(s["rest"])), lambda b: b != "").alias("borders")))
+
+def _by_pairs(maps, path):
+    """One round of the scan: the maps of chunks 2i and 2i + 1 of a row composed to map i, on whatever task the pair falls."""
+    pair = F.array_sort(F.collect_list(F.struct("chunk_no", "head", "n_tokens", "tail", "passes", "row")))
+    pairs = maps.groupBy("row_no", F.floor(F.col("chunk_no") / 2).cast("int").alias("pair_no")).agg(
+        F.any_value("n_chunks").alias("n_chunks"), pair.alias("ms"))
+    left, right = F.col("ms")[0], F.get("ms", F.lit(1))
+    alone, through, on = right.isNull(), left["passes"], right["passes"]
+    composed = pairs.select(
+        "row_no", left["row"].alias("row"), "n_chunks", F.col("pair_no").alias("chunk_no"),
+        F.when(~alone & through, F.concat(left["head"], right["head"])).otherwise(left["head"]).alias("head"),
+        (left["n_tokens"] + F.coalesce(right["n_tokens"], F.lit(0))).alias("n_tokens"),
+        F.when(alone, left["tail"]).when(on, F.concat(left["tail"], F.when(through, "").otherwise(right["head"])))
+        .otherwise(right["tail"]).alias("tail"),
+        F.when(alone, through).otherwise(through & on).alias("passes"),
+        F.when(~alone & ~through & ~on, F.concat(left["tail"], right["head"])).alias("border"))
+    return _counted_too(composed, path, ["border"])
 
 
 def counted(df, path, text="text", chunk_chars=CHUNK_CHARS):
-    """The columns of ``df`` but ``text``, and ``n_tokens``. A row's chunks stay in its task; only their maps are shuffled."""
-    kept = [c for c in df.columns if c.lower() not in ("n_tokens", text.lower())]
+    """The columns of ``df`` but ``text``, and ``n_tokens``. Chunks are mapped in the task that reads the row; their maps meet in a
+    scan by pairs, a round for each doubling of the number of chunks."""
+    at = place_of(df.columns, text)
+    kept = [c for i, c in enumerate(df.columns) if c.lower() != "n_tokens" and i != at]
     string = F.coalesce(F.col(text), F.lit(""))
     pieces = F.when(F.length(string) <= chunk_chars, F.array(string)).otherwise(
         F.regexp_extract_all(string, F.lit("(?s).{1,%d}+" % chunk_chars), F.lit(0)))
-    rows = df.select(F.monotonically_increasing_id().alias("row_no"), F.struct(*(kept or [F.lit(0)])).alias("row"),
-                     pieces.alias("pieces"))
-    chunks = rows.select("row_no", "row", F.size("pieces").alias("n"), F.posexplode("pieces").alias("chunk_no", "chunk")).select(
-        "row_no", "row", "chunk_no", "chunk", (F.col("n") == 1).alias("whole"))
-    maps = _state_maps(chunks, path)
-    composed = maps.groupBy("row_no").agg(
-        F.any_value("row").alias("row"),
-        F.array_sort(F.collect_list(F.struct("chunk_no", "head", "n_tokens", "tail", "passes"))).alias("maps"),
-    ).select("row", _composed(F.col("maps")).alias("c")).select("row", "c.n", "c.borders")
-    schema = T.StructType([composed.schema["row"], T.StructField("n_tokens", T.LongType())])
-
-    def borders(batches):
-        for batch in batches:
-            if pc.sum(batch.column(2).value_lengths()).as_py():
-                count = transducer(path).count
-                more = pa.array([sum(map(count, b)) for b in batch.column(2).to_pylist()], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pc.add(batch.column(1), more)], names=schema.names)
-            else:
-                yield pa.RecordBatch.from_arrays(batch.columns[:2], names=schema.names)
-
-    return composed.mapInArrow(borders, schema).select(*[F.col("row")[c].alias(c) for c in kept], "n_tokens")
+    rows = df.select(F.monotonically_increasing_id().alias("row_no"), row_of(kept).alias("row"), pieces.alias("pieces"))
+    chunks = rows.select("row_no", "row", F.size("pieces").alias("n_chunks"), F.posexplode("pieces").alias("chunk_no", "chunk")).select(
+        "row_no", F.when(F.col("chunk_no") == 0, F.col("row")).alias("row"), "n_chunks", "chunk_no", "chunk")
+    maps = stored(_state_maps(chunks, path), "state-maps")
+    parts = maps.where("n_chunks > 1")
+    most = parts.agg(F.max("n_chunks")).first()[0] or 1
+    for _ in range(math.ceil(math.log2(most))):
+        parts = _by_pairs(parts, path)
+    parts = parts.withColumn("tail", F.when(~F.col("passes"), F.col("tail"))).select("row", "n_tokens", "head", "tail")
+    whole = maps.where("n_chunks = 1").select("row", "n_tokens").unionByName(_counted_too(parts, path, ["head", "tail"]))
+    return whole.select(*[F.col("row").getField(c).alias(c) for c in kept], "n_tokens")
