@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import types as T
 
-from .columns import in_small_batches
+from .columns import with_made
 
 # Fixed value: the pattern that splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -31,6 +31,8 @@ AGREED = ("\\u0000-\\u0557\\u0559-\\u058a\\u058d-\\u087f\\u0900-\\u0c5b\\u0c5d-\
           "\\u3000-\\u9fff\\uac00-\\ud7a3\\ue000-\\ufffd\\U0001f300-\\U0001f64f\\U0001f680-\\U0001f6ff\\U0001f900-\\U0001f9ff")
 #: Pieces of text in each of two generations that a worker remembers, and the length of those it never does.
 MEMORY_PIECES, MEMORY_CHARS = 150_000, 64
+#: Bytes of a long piece that are matched at once.
+_PART = 1024
 
 
 @functools.lru_cache(maxsize=1)
@@ -60,6 +62,9 @@ class Vocabulary:
                 raise ValueError(f"{path}: ids don't follow the order of the merges")
             self.parts[c], self.joined[a, b], last = (a, b), c, c
         self.lengths = {i: len(s) for s, i in self.ids.items()}
+        self.longest = max(len(s) for s in self.ids)
+        if 2 * self.longest > _PART:
+            raise ValueError(f"{path}: tokens of over {_PART // 2} bytes")
         self.symbol_of = _byte_symbols()
         self.known_pairs = {}
         self.pattern, self.unsure = regex.compile(PATTERN), regex.compile(f"[^{AGREED}]")
@@ -111,11 +116,26 @@ class Vocabulary:
             else:
                 right, bound = right_part, right + 1
 
+    def longest_tokens(self, symbols, place):
+        """What ``iter_long`` gives for a long piece, in parts: the library copies all that it is given. The last tokens of a part may be
+        cut short, so they are looked for again in the next."""
+        while place < len(symbols):
+            part = symbols[place:place + _PART]
+            sure = len(part) - self.longest if place + len(part) < len(symbols) else len(part)
+            for end, token in self.automaton.iter_long(part):
+                if end >= sure:
+                    place += end + 1 - self.lengths[token]
+                    break
+                yield end, token
+            else:
+                return
+
     def encode_piece(self, piece):
         symbols = piece.encode().decode("latin-1").translate(self.symbol_of)
         n, lengths, shorter, known = len(symbols), self.lengths, self.shorter, self.known_pairs.get
         tokens, closed, place, last = [], None, 0, None
-        longest = self.automaton.iter_long(symbols)
+        tokens_from = self.automaton.iter_long if n <= _PART else self.longest_tokens
+        longest = tokens_from(symbols, 0)
         token = next(longest)[1]
         while True:
             whole = token
@@ -138,7 +158,7 @@ class Vocabulary:
             if place == n:
                 return tokens
             if token != whole or longest is None:
-                longest = self.automaton.iter_long(symbols, place)
+                longest = tokens_from(symbols, place)
             token = next(longest)[1]
 
     def segments(self, text):
@@ -220,20 +240,6 @@ def decoder(path):
     return Decoder(path)
 
 
-def with_column(df, name, kind, work):
-    """``df`` with a column that ``work`` makes of each Arrow batch; a column of that name is replaced."""
-    kept = [f.name for f in df.schema.fields if f.name.lower() != name.lower()]
-    schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(name, kind)])
-
-    def run(batches):
-        for batch in batches:
-            made = work(batch)
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*arrays, made], names=[*kept, name])
-
-    return in_small_batches(df).mapInArrow(run, schema)
-
-
 def int_lists(parts):
     """An Arrow array with a list for each bytes object of little-endian 32-bit numbers."""
     offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
@@ -243,19 +249,19 @@ def int_lists(parts):
 
 def encoded(df, path, text="text"):
     """``df`` with ``ids``, the token ids of the whole ``text``."""
-    def work(batch):
+    def work(column):
         code = encoder(path).encode
-        return int_lists([code(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()])
+        return int_lists([code(t) for t in column.to_pylist()])
 
-    return with_column(df, "ids", T.ArrayType(T.IntegerType()), work)
+    return with_made(df, text, "ids", T.ArrayType(T.IntegerType()), work)
 
 
 def decoded(df, path, ids="ids"):
     """``df`` with ``decoded``, the text that the list ``ids`` stands for, special strings included."""
-    def work(batch):
-        column, read = batch.column(batch.schema.get_field_index(ids)), decoder(path).decode
+    def work(column):
+        read = decoder(path).decode
         flat, starts = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(np.concatenate(
             [[0], column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)]))
         return pa.array([read(flat[a:b]) for a, b in zip(starts[:-1], starts[1:])], pa.string())
 
-    return with_column(df, "decoded", T.StringType(), work)
+    return with_made(df, ids, "decoded", T.StringType(), work)

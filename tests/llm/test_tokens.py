@@ -1,6 +1,7 @@
 """Encoding, counting and packing against the tokenizer library, which none but the tests uses for whole texts."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -157,3 +158,46 @@ def test_equal_rows_are_packed_each(spark):
 def test_a_document_with_two_million_blanks(space):
     text = "a b" + space * 2_000_000 + "c d<|endoftext|>" + space * 70_000
     assert packing.Tokens(PATH).ids(text).tolist() == ids(text)
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "0123456789", "acgt", "ab"])
+def test_long_runs_take_time_in_proportion(letters):
+    rng = random.Random(4)
+    code = bpe.encoder(PATH).vocabulary.encode_piece
+    run = "".join(rng.choice(letters) for _ in range(2_000_000))
+    assert code(run[:20_000]) == ids(run[:20_000])
+
+    def seconds(n):
+        begun = time.process_time()
+        assert sum(bpe.encoder(PATH).vocabulary.lengths[i] for i in code(run[:n])) == n
+        return time.process_time() - begun
+
+    seconds(1000)
+    short, long = seconds(250_000), seconds(2_000_000)
+    assert long < 16 * short
+
+
+def test_parts_of_a_long_piece_are_matched_as_the_whole(monkeypatch):
+    vocabulary = bpe.encoder(PATH).vocabulary
+    long = [(chars * (900 // len(chars))) for chars in ("-", "=", "ab", "the ", " ")]
+    long += ["".join(random.Random(i).choice("abcdefgh0123é-") for _ in range(900)) for i in range(20)]
+    whole = [vocabulary.encode_piece(p) for p in long]
+    monkeypatch.setattr(bpe, "_PART", 2 * vocabulary.longest)
+    assert [vocabulary.encode_piece(p) for p in long] == whole
+
+
+@pytest.mark.parametrize("parts", [1, 64, 300])
+def test_padding_does_not_follow_the_file_layout(spark, parts):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").repartition(parts)
+    packed = packing.packed(docs, PATH).select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset").collect()
+    sequences, held = {}, {}
+    for r in packed:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        held[r.doc_id] = held.get(r.doc_id, 0) + r.length
+    for pieces in sequences.values():
+        pieces.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(pieces, [*pieces[1:], (sum(n for _, n in pieces), 0)]))
+        assert sum(n for _, n in pieces) <= 2048
+    assert all(held[r.doc_id] == r.doc_tokens for r in packed)
+    tokens = sum(r.length for r in packed)
+    assert len(sequences) * 2048 < 1.01 * tokens
