@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .columns import in_small_batches, let
+from .columns import let, row_of, with_made
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -51,17 +51,10 @@ def fingerprint(text, words=SHINGLE_WORDS):
 
 def with_fingerprints(df, text="text", words=SHINGLE_WORDS):
     """``df`` with ``fingerprint``, its 64 bits as a signed number."""
-    kept = [f for f in df.schema.fields if f.name.lower() != "fingerprint"]
-    schema = T.StructType([*kept, T.StructField("fingerprint", T.LongType())])
+    def work(column):
+        return pa.array(np.array([fingerprint(t, words) for t in column.to_pylist()], np.uint64).view(np.int64))
 
-    def run(batches):
-        for batch in batches:
-            found = [fingerprint(t, words) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            made = pa.array(np.array(found, np.uint64).view(np.int64))
-            arrays = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
-            yield pa.RecordBatch.from_arrays([*arrays, made], names=schema.names)
-
-    return in_small_batches(df).mapInArrow(run, schema)
+    return with_made(df, text, "fingerprint", T.LongType(), work)
 
 
 # ---- BK-trees of many shards at once ----
@@ -238,8 +231,9 @@ def components(fingerprints, radius=RADIUS, shard_rows=SHARD_ROWS):
 def near_duplicates(df, doc="doc_id", text="text", words=SHINGLE_WORDS, radius=RADIUS, shard_rows=SHARD_ROWS):
     """``df`` with ``fingerprint`` (signed) and ``component_id``, the smallest document of those it is linked to."""
     kept = [c for c in df.columns if c.lower() not in ("fingerprint", "component_id")]
-    marked = stored(with_fingerprints(df.select(*kept), text, words), "fingerprints")
-    return _with_components(marked, doc, radius, shard_rows).select(*kept, "fingerprint", "component_id")
+    marked = stored(with_fingerprints(df.select(row_of(kept).alias("row"), F.col(doc).alias("doc"), F.col(text).alias("text")),
+                                      "text", words).drop("text"), "fingerprints")
+    return _with_components(marked, "doc", radius, shard_rows).select("row.*", "fingerprint", "component_id")
 
 
 def _with_components(marked, doc, radius, shard_rows):
@@ -250,7 +244,7 @@ def _with_components(marked, doc, radius, shard_rows):
 
 def one_of_each(df, doc="doc_id", text="text", words=SHINGLE_WORDS, radius=RADIUS, shard_rows=SHARD_ROWS):
     """The row of each component's smallest document, with its own columns; of equal ids in a component one row stays."""
-    marked = stored(with_fingerprints(df.select(F.struct(*df.columns).alias("row"), F.col(doc).alias("doc"),
+    marked = stored(with_fingerprints(df.select(row_of(df.columns).alias("row"), F.col(doc).alias("doc"),
                                                 F.col(text).alias("text")), "text", words).drop("text"), "fingerprints")
     found = stored(marked.groupBy("fingerprint").agg(F.min("doc").alias("first")), "distinct-fingerprints")
     classes = components(found, radius, shard_rows)
