@@ -3,8 +3,9 @@
 Vectors are dealt into shards; the task that holds a shard builds a ball tree over it. A ball of centre c and radius r
 holds no vector whose product with q is above q·c + |q| r. Blocks of queries go to every shard, and there down the tree: balls
 are taken in order of their largest bound over the queries still interested, a query drops out of a ball whose bound is
-below its current kth score, and what is left is scored exactly. The kth score to start from is shared by all shards:
-it comes from a bounded sample of all vectors, so it is one that the result reaches at least.
+below its current kth score, and what is left is scored exactly. Shards share kth scores. The one to start from comes from a
+bounded sample of all vectors, so it is one that the result reaches at least. Shards are searched in waves, and each wave
+starts from the kth scores that the waves before it have found together.
 
 Components are whole numbers, floor(scale * x), and scores exact: in 64-bit floats while every product is below 2^53, in whole
 numbers of any size beyond; a score outside 64 bits is set to the nearest one inside.
@@ -168,22 +169,49 @@ def first_floors(rows, queries, k, sample_rows=SAMPLE_ROWS, scale=SCALE):
     return queries.mapInArrow(run, "row_no long, id long, vector array<double>, floor long")
 
 
+#: The part of all shards that each wave searches but the last, which has the rest.
+WAVES = (0.1, 0.3)
+
+
+def waves_of(n_shards):
+    """(first, end) of the shards of each wave: a few first, whose kth scores then hold for all others."""
+    ends = sorted({*(math.ceil(n_shards * part) for part in WAVES), n_shards})
+    return list(zip([0, *ends[:-1]], ends))
+
+
 def top_k(df, is_query, key="vec_id", vector="embedding", k=10, scale=SCALE, shard_rows=SHARD_ROWS, query_block=QUERY_BLOCK):
     """The k highest products of each query row with all other rows: query_id, rank, ``key``, score."""
-    rows = usable(df.select(key, vector), key, vector, scale)
-    n_rows = rows.count()
-    n_shards = max(1, math.ceil(n_rows / shard_rows))
-    asked = rows.where(F.expr(is_query) if isinstance(is_query, str) else is_query(F.col("id")))
-    asked = stored(first_floors(rows, asked, k, scale=scale), "queries")
-    n_blocks = max(1, math.ceil(asked.count() / query_block))
+    rows = usable(df.select(F.col(key).alias(key), F.col(vector).alias(vector)), key, vector, scale)
+    n_shards = max(1, math.ceil(rows.count() / shard_rows))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("row_no"), F.lit(n_shards)))
+    asked = rows.drop("shard").where(F.expr(is_query) if isinstance(is_query, str) else is_query(F.col("id")))
+    asked = stored(first_floors(rows.drop("shard"), asked, k, scale=scale), "queries")
+    n_blocks, best = max(1, math.ceil(asked.count() / query_block)), None
+    for first, end in waves_of(n_shards):
+        found = searched(rows.where(F.col("shard").between(first, end - 1)), asked, first, end, n_blocks, k, scale)
+        best = ranked(found if best is None else best.drop("rank").unionByName(found), k)
+        if end < n_shards:
+            best = stored(best, "best-so-far")
+            kth = best.where(F.col("rank") == k).select("row_no", F.col("score").alias("kth"))
+            asked = asked.join(kth, "row_no", "left").withColumn("floor", F.greatest("floor", "kth")).drop("kth")
+    return best.select("query_id", "rank", F.col("id").alias(key), "score")
+
+
+def ranked(found, k):
+    """The k best rows of each query with ``rank``; tasks keep as many before the shuffle."""
+    order = Window.partitionBy("row_no").orderBy(F.desc("score"), F.asc_nulls_last("id"))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def searched(rows, asked, first, end, n_blocks, k, scale=SCALE):
+    """(row_no, query_id, id, score): what the shards from ``first`` to before ``end`` have for each query, from its floor on."""
     one = F.struct("row_no", "id", "vector", "floor")
     blocks = asked.groupBy(F.pmod(F.xxhash64("row_no"), F.lit(n_blocks)).alias("block")).agg(F.collect_list(one).alias("qs"))
-    everywhere = blocks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("shard"),
+    everywhere = blocks.select(F.explode(F.sequence(F.lit(first).cast("long"), F.lit(end - 1).cast("long"))).alias("shard"),
                                F.col("block").alias("block"), F.lit(None).cast("long").alias("row_no"),
                                F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("vector"), "qs")
     kind = blocks.schema["qs"].dataType.simpleString()
-    dealt = rows.select(F.pmod(F.xxhash64("row_no"), F.lit(n_shards)).alias("shard"), F.lit(-1).cast("long").alias("block"),
-                        "row_no", "id", "vector", F.lit(None).cast(kind).alias("qs"))
+    dealt = rows.select("shard", F.lit(-1).cast("long").alias("block"), "row_no", "id", "vector", F.lit(None).cast(kind).alias("qs"))
     both = dealt.unionByName(everywhere).repartition("shard").sortWithinPartitions("shard", "block")
 
     def answers(shard, qs):
@@ -224,7 +252,4 @@ def top_k(df, is_query, key="vec_id", vector="embedding", k=10, scale=SCALE, sha
                     members = []
                     yield from answers(shard, qs)
 
-    found = both.mapInArrow(run, "row_no long, query_id long, id long, score long")
-    best = Window.partitionBy("row_no").orderBy(F.desc("score"), F.asc_nulls_last("id"))
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", "rank", F.col("id").alias(key), "score")
+    return both.mapInArrow(run, "row_no long, query_id long, id long, score long")
