@@ -18,7 +18,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .columns import let, running_totals
+from .columns import let, row_of, running_totals
 
 # The known kinds in their order, with pattern, the group that is measured, and its least length.
 KINDS = (
@@ -234,7 +234,7 @@ def scan(df, text="text", rate=RATE):
     ``spans`` holds the known ones and those of the battery. Scanned rows are written once, because the rate takes a look
     at all candidates before the first verdict.
     """
-    row = F.struct(*[c for c in df.columns if c.lower() not in ("known", "spans")])
+    row = row_of([c for c in df.columns if c.lower() not in ("known", "spans")])
     string = F.coalesce(F.col(text), F.lit(""))
     scanned = stored(df.select(row.alias("row"), known_spans(string).alias("known"), candidates(string).alias("found")),
                      "scanned")

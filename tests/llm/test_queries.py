@@ -15,6 +15,7 @@ from pulsegrid.llm.queries import QUERIES
 from pulsegrid.llm.sql import ORACLES
 
 from ..oracle_check import compare, duck
+from .test_links import joined_by_hand, whitened_by_numpy
 from .test_rows import plain_components, plain_fingerprint
 from .test_texts import fails, known, measures
 from .test_tokens import LIBRARY, check_pieces, ids
@@ -37,7 +38,7 @@ def sha(text):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -100,6 +101,26 @@ def test_packing(spark):
     assert check_pieces(got, docs, 2048) < 0.02
 
 
+def test_linked_documents(spark):
+    docs = documents()
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(spark, "op13_ngram_join")), key=repr)
+    assert got == joined_by_hand(docs)
+
+
+def test_whitened_vectors(spark):
+    table = pq.read_table(f"{SF}/embeddings.parquet", columns=["vec_id", "embedding"])
+    n, want, shares = whitened_by_numpy(list(zip(table["vec_id"].to_pylist(), table["embedding"].to_pylist())))
+    got = {}
+    for r in rows(spark, "op12_whitening"):
+        got[r["vec_id"], r["component"]] = r
+    assert len(got) == 4 * len(want) and all(r["n"] == n and r["identity_error"] < 1e-4 for r in got.values())
+    for c in range(4):
+        mine = np.array([got[i, c + 1]["whitened"] for i, _, _ in want])
+        theirs = np.array([white[c] for _, _, white in want])
+        assert min(abs(mine - theirs).max(), abs(mine + theirs).max()) < 1e-8
+        assert all(got[i, c + 1]["deviation"] == d and abs(got[i, c + 1]["explained"] - shares[c]) < 1e-9 for i, d, _ in want)
+
+
 def test_pipeline(spark):
     good = [(d, t) for d, t in documents() if not any(fails(rule, measures(t)) for rule in RULES)]
     top = plain_components([plain_fingerprint(t) for _, t in good])
