@@ -27,9 +27,10 @@ from .sources.models import load_model, save_model
 from .sources.topics import kafka_options, read_topic, write_topic
 from .streaming.commits import Committed, compact_log
 from .streaming.delivery import UPSERT, deliver, redeliver
+from .streaming.monitor import DroppedRows
 from .streaming.replay import start_replay, write_replay_table
 from .streaming.scoring import scored_writer, start_scoring_job
-from .streaming.watch import watch
+from .streaming.watch import ASIDE, watch
 
 INDEX_FORMAT = "org.elasticsearch.spark.sql"
 
@@ -122,10 +123,14 @@ def redeliver_scored(spark, settings, args):
 def watch_topic(spark, settings, args):
     progress = args.checkpoint or job_dir(spark, "watch-progress", args.topic_path or settings.topic, args.out)
     clinical = read_clinical(spark, args.clinical) if args.clinical else None
+    listener = DroppedRows()
+    spark.streams.addListener(listener)
     queries = watch(envelope_of(spark, settings, args), args.out, progress, args.delay_seconds, args.bucket, args.reach, args.slide,
                     clinical, {"availableNow": True} if args.once else None)
     if not args.once:
         spark.streams.awaitAnyTermination()
+    print(f"set aside: {args.out}/{ASIDE}; dropped behind a watermark: {sum(listener.dropped.values())}")
+    spark.streams.removeListener(listener)
     for query in queries:
         if query.exception():
             raise query.exception()

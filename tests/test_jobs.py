@@ -37,6 +37,7 @@ def test_all_jobs_in_turn(spark, tmp_path, monkeypatch, capsys):
 
     main(["watch", at("live"), "--topic-path", at("topic"), "--clinical", at("cases.csv"), "--delay-seconds", "3600", "--checkpoint",
           at("watching"), "--once"])
+    assert "dropped behind a watermark: 0" in capsys.readouterr().out
     live = latest_updates(spark, at("live/trend"), ["caseid", "window_start", "vital"])
     assert live.where("vital = 'Heart Rate'").agg({"n": "sum"}).first()[0] == 40
     main(["redeliver", "--topic-path", at("topic"), "--path", at("scored"), "--quarantine", at("aside"), "--dead-letters", at("dead")])
