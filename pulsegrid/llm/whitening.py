@@ -6,7 +6,7 @@ its eigenvectors are found. All rows, centred in the same way, form a second blo
 eigenvectors over the roots of their eigenvalues gives the whitened rows. The covariance of the whitened fit list is measured
 in the same way and held against the identity.
 
-Sums are decimals and centred entries n * x - S exact before they are divided by n, so no digits are lost by large means. The middle
+Sums are decimals, and centred entries are exact, as n * x - S, before they are divided by n, so no digits are lost by large means. The middle
 dimension of the transposed product is split, so that a task multiplies ``TASK_BLOCKS`` blocks of either side; a block has as
 many rows as keep the number of blocks, which the driver lists, at ``MOST_BLOCKS``. The driver holds a matrix of dimensions squared,
 so vectors may have some thousands of dimensions. Copies of a vector are one row of the fit list, found by an aggregation that
@@ -47,8 +47,7 @@ _WHOLE = "decimal(38,0)"
 class Whitening:
     """``matrix`` projects centred rows: eigenvectors over the roots of their eigenvalues, a column per component."""
 
-    n: int
-    sums: tuple
+    centre: "Centre"
     eigenvalues: np.ndarray
     trace: float
     matrix: np.ndarray
@@ -83,21 +82,39 @@ def indexed(df, name):
     return rows.join(starts, "part").withColumn("idx", F.col("start") + F.col("at")).drop("part", "place", "at", "start")
 
 
-def gaps(n, sums):
-    """n * x - S for each entry of ``x``, exact; NULL for one beyond 38 digits."""
-    return F.zip_with("x", F.array(*[F.lit(Decimal(s)).cast(_WHOLE) for s in sums]), lambda x, s: F.try_subtract(
-        F.try_multiply(F.lit(Decimal(n)).cast("decimal(18,0)"), x.cast("decimal(19,0)")), s).cast(_WHOLE))
+@dataclass(frozen=True)
+class Centre:
+    """The number of fitted vectors, their sums, and the largest absolute entry among them.
+
+    Entries of ``n * x - S`` are exact: 64-bit numbers where the largest entry leaves room, decimals of 38 digits beyond.
+    """
+
+    n: int
+    sums: tuple
+    most: int
 
+    @property
+    def largest_gap(self):
+        return self.n * self.most + max(map(abs, self.sums), default=0)
 
-def centred(n, sums):
-    return F.transform(gaps(n, sums), lambda g: g.cast("double") / F.lit(float(n)))
+    def gaps(self):
+        """n * x - S for each entry of ``x``; NULL for one beyond 38 digits."""
+        if self.largest_gap < 2 ** 63:
+            return F.zip_with("x", F.array(*[F.lit(s).cast("bigint") for s in self.sums]), lambda x, s: x * F.lit(self.n).cast("bigint") - s)
+        sums = F.array(*[F.lit(Decimal(s)).cast(_WHOLE) for s in self.sums])
+        return F.zip_with("x", sums, lambda x, s: F.try_subtract(
+            F.try_multiply(F.lit(Decimal(self.n)).cast("decimal(18,0)"), x.cast("decimal(19,0)")), s).cast(_WHOLE))
 
+    def centred(self):
+        return F.transform(self.gaps(), lambda g: g.cast("double") / F.lit(float(self.n)))
 
-def deviation(n, sums):
-    """The sum of squared entries of ``gaps``."""
-    zero = F.lit(Decimal(0)).cast(_WHOLE)
-    return let(gaps(n, sums), lambda gs: F.aggregate(gs, zero, lambda a, g: F.try_add(a, F.try_multiply(g, g)).cast(
-        _WHOLE))).try_cast("bigint")
+    def deviation(self):
+        """The sum of squared ``gaps``; NULL where it is no 64-bit number."""
+        if len(self.sums) * self.largest_gap ** 2 < 2 ** 63:
+            return F.aggregate(self.gaps(), F.lit(0).cast("bigint"), lambda a, g: a + g * g)
+        zero = F.lit(Decimal(0)).cast(_WHOLE)
+        return let(self.gaps(), lambda gs: F.aggregate(F.transform(gs, lambda g: g.cast(_WHOLE)), zero, lambda a, g: F.try_add(
+            a, F.try_multiply(g, g)).cast(_WHOLE))).try_cast("bigint")
 
 
 # ---- Matrices ----
@@ -134,9 +151,11 @@ def projected(spark, matrix, by):
 def fit(spark, fit_rows, dimensions, components=COMPONENTS):
     """The whitening of (idx, x), all distinct."""
     sums = fit_rows.select(F.posexplode("x").alias("at", "x")).groupBy("at").agg(
-        F.count("*").alias("n"), F.sum(F.col("x").cast("decimal(20,0)")).alias("total")).orderBy("at").collect()
-    n, sums = sums[0].n, tuple(int(r.total) for r in sums)
-    matrix = block_matrix(fit_rows.select("idx", centred(n, sums).alias("v")), n)
+        F.count("*").alias("n"), F.sum(F.col("x").cast("decimal(20,0)")).alias("total"),
+        F.max("x").alias("high"), F.min("x").alias("low")).orderBy("at").collect()
+    centre = Centre(sums[0].n, tuple(int(r.total) for r in sums), max(max(abs(r.high), abs(r.low)) for r in sums))
+    n = centre.n
+    matrix = block_matrix(fit_rows.select("idx", centre.centred().alias("v")), n)
     covariance = scatter(matrix, n) / n
     values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
     order = np.argsort(-values, kind="stable")[:components]
@@ -151,12 +170,12 @@ def fit(spark, fit_rows, dimensions, components=COMPONENTS):
         means = white.agg(*[F.avg(F.col("values")[i]) for i in range(k)]).first()
         again = white.select("idx", F.zip_with("values", F.array(*map(F.lit, means)), lambda x, m: x - m).alias("v"))
         error = float(np.abs(scatter(block_matrix(again, n), n) / n - np.eye(k)).max())
-    return Whitening(n, sums, np.maximum(e, 0), float(np.trace(covariance)), by, error)
+    return Whitening(centre, np.maximum(e, 0), float(np.trace(covariance)), by, error)
 
 
 def transform(rows, n_rows, whitening):
     """(idx, x, ...) with ``values``, the whitened entries."""
-    matrix = block_matrix(rows.select("idx", centred(whitening.n, whitening.sums).alias("v")), n_rows)
+    matrix = block_matrix(rows.select("idx", whitening.centre.centred().alias("v")), n_rows)
     return rows.join(projected(rows.sparkSession, matrix, whitening.matrix), "idx")
 
 
@@ -170,7 +189,7 @@ def whitened(df, key="vec_id", vector="embedding", scale=SCALE, components=COMPO
         rows = indexed(vectors.where(F.size("x") == size), "indexed-vectors")
         w = fit(spark, indexed(rows.select("x").distinct(), "fit-list"), size, components)
         found = transform(rows, rows.count(), w).select(
-            "key", F.lit(w.n).cast("long").alias("n"), deviation(w.n, w.sums).alias("deviation"), F.posexplode(F.zip_with(
+            "key", F.lit(w.centre.n).cast("long").alias("n"), w.centre.deviation().alias("deviation"), F.posexplode(F.zip_with(
                 "values", F.array(*[F.struct(F.lit(a).cast("double").alias("share"), F.lit(b).alias("varies"))
                                     for a, b in zip(w.explained, w.varies)]),
                 lambda x, c: F.struct(F.when(c["varies"], x).alias("x"), c["share"].alias("share")))).alias("at", "c"))

@@ -139,6 +139,19 @@ def test_whitening_equals_numpy(spark, monkeypatch):
         assert all(np.allclose(mine[c + 1], signs[c] * white[c], atol=1e-9) for c in range(4))
 
 
+def test_entries_of_any_size_are_centred_exactly(spark):
+    for big in (1, 2 ** 20, 2 ** 40, 2 ** 61):
+        fit = [[big, 3], [-big, 4], [big - 1, 9]]
+        sums = tuple(map(sum, zip(*fit)))
+        centre = whitening.Centre(3, sums, big)
+        rows = spark.createDataFrame([(i, x) for i, x in enumerate(fit)], "i int, x array<bigint>")
+        got = rows.select("i", centre.gaps().cast("array<string>").alias("g"), centre.deviation().alias("d")).collect()
+        for r in got:
+            gaps = [3 * x - s for x, s in zip(fit[r.i], sums)]
+            square = sum(g * g for g in gaps)
+            assert list(map(int, r.g)) == gaps and r.d == (square if square < 2 ** 63 else None)
+
+
 def test_whitening_of_vectors_without_variance(spark):
     kind = "vec_id long, embedding array<float>, n int, `n.x` string"
     one = whitening.whitened(spark.createDataFrame([(1, [1.0, 2.0], 0, ""), (2, [1.0, 2.0], 0, "")], kind)).collect()
