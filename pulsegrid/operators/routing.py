@@ -22,10 +22,11 @@ def unrouted(messages, routes=None):
     return route(messages, routes).where(F.col("topic").isNull())
 
 
-def in_case_order(messages):
+def in_case_order(messages, parts=None):
     """Time order inside each case: all messages of a key in one partition, in order. For messages of one block of time, whose
-    length bounds those of a key."""
-    return messages.repartition("key").sortWithinPartitions("key", "timestamp")
+    length bounds those of a key. ``parts`` is the number of partitions; without it the cluster decides."""
+    dealt = messages.repartition("key") if parts is None else messages.repartition(parts, "key")
+    return dealt.sortWithinPartitions("key", "timestamp")
 
 
 def union_inputs(first, *others):

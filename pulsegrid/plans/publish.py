@@ -17,6 +17,11 @@ from ..streaming.delivery import attempt
 BLOCK_SECONDS = 3600
 #: Files of a block among the staged messages.
 BLOCK_PARTS = 8
+#: Messages of a file of a file topic, about. Readers may take a file per micro-batch, and each costs the same whatever it holds, so the
+#: number of files follows from the messages and not from the cluster.
+FILE_MESSAGES = 1 << 20
+#: Files are large, so they have row groups of so many (compressed) bytes, which tasks read side by side.
+ROW_GROUP = {"parquet.block.size": 1 << 21}
 
 
 def stage(samples, progress, block_seconds=BLOCK_SECONDS):
@@ -45,7 +50,8 @@ def publish(samples, fmt="kafka", options=None, path=None, routes=None, aside=No
     """One block of time after the other, all cases of a block together, so that arrival follows event time; (sent, skipped) blocks.
 
     A topic's reader may then set a watermark of a block or two without losing a case; with ``blocks_per_job`` files of so many
-    blocks are written at once, and the watermark must cover them. A block is spread by key and in time order inside a key.
+    blocks are written at once, and the watermark must cover them. A block is spread by key and in time order inside a key; in a file
+    topic it has a file per ``FILE_MESSAGES`` messages.
 
     Staged messages and a log of the blocks sent lie in ``progress``. A publish that ended early and is started again with the same
     folder goes on behind the last block sent. In a file topic the folder of a block is named after the publish and the block and is
@@ -64,13 +70,16 @@ def publish(samples, fmt="kafka", options=None, path=None, routes=None, aside=No
         raise ValueError("messages without a route or a readable time; name a table to set them aside")
     log = Committed(f"{progress}/sent", run=name)
     last = max((notes["last"] for notes in log.committed(spark).values()), default=None)
-    blocks = sorted(r.block for r in rows.where("block IS NOT NULL").select("block").distinct().collect())  # a number per block of time
+    sizes = dict(rows.where("block IS NOT NULL").groupBy("block").count().collect())  # two numbers per block of time
+    blocks = sorted(sizes)
     due = [b for b in blocks if last is None or b > last]
     for start in range(0, len(due), blocks_per_job):
         group = due[start:start + blocks_per_job]
-        ready = in_case_order(routed(rows.where(F.col("block").between(group[0], group[-1])), routes))
+        files = None if fmt == "kafka" else -(-sum(sizes[b] for b in group) // FILE_MESSAGES)
+        ready = in_case_order(routed(rows.where(F.col("block").between(group[0], group[-1])), routes), files)
         place, mode = (path, "append") if fmt == "kafka" else (f"{path.rstrip('/')}/publish={name}/block={group[0]}", "overwrite")
-        failed = attempt(lambda: write_topic(ready, fmt, options, place, mode), tries, pause_seconds)
+        given = options if fmt == "kafka" else {**ROW_GROUP, **(options or {})}
+        failed = attempt(lambda: write_topic(ready, fmt, given, place, mode), tries, pause_seconds)
         if failed is not None:
             raise RuntimeError(f"blocks {group[0]} to {group[-1]} were not sent, start again with progress={progress!r}: {failed}")
         log.note(spark, group[0], notes={"last": group[-1]})

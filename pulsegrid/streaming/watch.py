@@ -14,6 +14,7 @@ from ..operators.enrich import enrich
 from ..operators.messages import CORRUPT, decode
 from ..operators.monitor import with_event_time
 from ..schemas import FLOAT_COLUMNS, MESSAGE_COLUMNS
+from ..session import stored
 from .arrivals import drop_repeats
 from .commits import Committed
 from .delivery import start_append, start_foreach_batch
@@ -43,15 +44,13 @@ def start_front(envelope, path, delay_seconds, checkpoint, clinical=None, trigge
     ``clinical`` table the attributes of each case are taken from there, and rows of cases without one are set aside.
     """
     on_time, aside = Committed(_at(path, ON_TIME)), Committed(_at(path, ASIDE))
-    per_case = None if clinical is None else first_per_case(select_cases(clinical))
+    per_case = None if clinical is None else stored(first_per_case(select_cases(clinical)), "clinical")  # every batch meets it
 
     def split(batch, batch_id):
         known = on_time.committed(batch.sparkSession)
         if (batch_id, "") in known:
             return
         rows = with_event_time(decode(batch))
-        if per_case is not None:
-            rows = _with_attributes(rows, per_case)
         before = high_water(known, batch_id)
         here = rows.agg(F.max(F.unix_micros("event_ts"))).first()[0]
         high = max((x for x in (before, here) if x is not None), default=None)
@@ -59,6 +58,7 @@ def start_front(envelope, path, delay_seconds, checkpoint, clinical=None, trigge
         reason = (F.when(F.col(CORRUPT).isNotNull(), "undecodable").when(F.col("event_ts").isNull(), "unreadable timestamp")
                   .when(late, "behind the watermark"))
         if per_case is not None:
+            rows = _with_attributes(rows, per_case)
             reason = F.when(F.col(CORRUPT).isNull() & ~F.col("known_case"), "no clinical row").otherwise(reason)
         marked = rows.withColumn("reason", reason)
         aside(marked.where("reason IS NOT NULL").select(*MESSAGE_COLUMNS, CORRUPT, "event_ts", "reason"), batch_id)

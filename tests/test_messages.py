@@ -3,6 +3,7 @@ import json
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyarrow.parquet import ParquetFile
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.enrich import enrich
@@ -170,6 +171,27 @@ def test_staged_files_are_bounded(spark, tmp_path):
     assert 4 <= len(files) <= 4 * publishing.BLOCK_PARTS
 
 
+def test_files_of_a_topic_follow_from_the_messages_not_the_cluster(spark, tmp_path, monkeypatch):
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as if a block were large
+    try:
+        publish(hourly(spark), "parquet", path=str(tmp_path / "topic"))
+        monkeypatch.setattr(publishing, "FILE_MESSAGES", 20)
+        publish(hourly(spark), "parquet", path=str(tmp_path / "small"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    assert len(list((tmp_path / "topic").rglob("*.parquet"))) == 4
+    small = spark.read.parquet(str(tmp_path / "small"))
+    assert 4 < len(small.inputFiles()) <= 3 * 3 + 1 and small.count() == 200
+
+
+def test_a_file_of_a_topic_can_be_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publishing, "ROW_GROUP", {"parquet.block.size": 1 << 14})
+    publish(hourly(spark, 20_000), "parquet", path=str(tmp_path / "topic"), block_seconds=10 ** 9)
+    file, = (tmp_path / "topic").rglob("*.parquet")
+    assert ParquetFile(file).num_row_groups > 1 and spark.read.parquet(str(tmp_path / "topic")).count() == 20_000
+
+
 def test_numbers_that_are_not_finite_count_as_missing(spark):
     rows = enrich(decode(envelope(spark, changed(**{"Heart Rate": "NaN"}), changed(**{"Heart Rate": "Infinity"}), changed(**{"Heart Rate": "1e12"}))))
     assert [r.hr is None for r in rows.select(F.col("Heart Rate").alias("hr")).collect()] == [True, True, False]

@@ -258,6 +258,24 @@ def test_the_live_monitor_keeps_or_sets_aside_every_row(spark, tmp_path):
     assert trend_rows.where("vital = 'Heart Rate'").agg(F.sum("n")).first()[0] == 5
 
 
+def test_the_clinical_table_is_computed_once_for_all_batches(spark, topic, tmp_path):
+    met = spark.sparkContext.accumulator(0)
+
+    def count(case):
+        met.add(1)
+        return case
+
+    one = spark.createDataFrame([("1", "40", "M", "170", "80")], CLINICAL_SCHEMA).coalesce(1)
+    clinical = one.withColumn("caseid", F.udf(count, "string").asNondeterministic()("caseid"))
+    for second in (0, 2, 4):
+        topic(message("1", second))
+    stream = read_topic(spark, "parquet", {"maxFilesPerTrigger": 1}, str(tmp_path / "topic"))
+    query = watch.start_front(stream, str(tmp_path / "out"), 600, str(tmp_path / "p"), clinical, NOW)
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 3 and 1 <= met.value <= 2
+    assert commits.read_committed(spark, str(tmp_path / "out" / watch.ON_TIME)).count() == 3
+
+
 def test_the_high_water_mark_goes_on_after_a_restart():
     known = {(0, ""): {"high": 5}, (1, ""): {"high": None}, (2, ""): {"high": 9}}
     assert watch.high_water(known, 2) == 5 and watch.high_water(known, 3) == 9 and watch.high_water({}, 0) is None
