@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators.monitor import with_bands
-from ..operators.rollup import GRAIN_SECONDS, gauge_of, risk_rollup, share_of, trend_of, vital_rollup
+from ..operators.rollup import GRAIN_SECONDS, gauge_of, latest_of, risk_rollup, share_of, trend_of, vital_rollup
 from ..schemas import VITALS
 from ..session import stored
 from ..streaming.commits import Committed, commits, one_per_document, read_committed
@@ -37,10 +37,18 @@ def documents_of(spark, scored, dates):
     return one_per_document(rows.select(*needed, "event_date", "run", "batch", "attempt"), commits(spark, scored))
 
 
-def _by_date(rows, path):
+#: Rows of a date are dealt by case into so many parts. Both columns follow from case and day, as do grains and windows, so rows that
+#: are dealt once can be aggregated and written without another shuffle.
+DATE_PARTS, DEALT = 64, ("event_date", "part")
+
+
+def _dealt(rows):
+    return rows.withColumn("part", F.pmod(F.xxhash64("caseid"), F.lit(DATE_PARTS))).repartition(*DEALT)
+
+
+def _replace(rows, path):
     """Replaces the dates that ``rows`` has, and no others."""
-    (rows.repartition("event_date", F.pmod(F.xxhash64("caseid"), F.lit(64))).write.partitionBy("event_date")
-     .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
+    rows.write.partitionBy("event_date").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
 def exists(spark, path):
@@ -54,13 +62,17 @@ def gauges(spark, rollup, dates, out, reach_seconds):
     A case that has rows on one of the dates has its latest row then or later, so no date before the first of them, less the reach, is
     opened.
     """
-    first = F.lit(min(dates)) - F.expr(f"INTERVAL {-(-reach_seconds // 86400)} DAYS")
-    near = rollup.where(F.col("event_date") >= first.cast("date"))
-    cases = near.where(F.col("event_date").isin(dates) if len(dates) <= MOST_DATES else F.lit(True)).select("caseid").distinct()
-    fresh = with_bands(gauge_of(near.join(cases, "caseid", "left_semi"), reach_seconds))
+    days = F.expr(f"INTERVAL {-(-reach_seconds // 86400)} DAYS")
+    near = rollup.where(F.col("event_date") >= (F.lit(min(dates)) - days).cast("date"))
+    touched = F.col("event_date").isin(dates) if len(dates) <= MOST_DATES else F.lit(True)
+    latest = stored(latest_of(near, touched), "latest")
+    earliest = latest.agg(F.to_date(F.min("latest"))).first()[0]  # what lies further back is in no gauge
+    if earliest is not None:
+        near = near.where(F.col("event_date") >= (F.lit(earliest) - days).cast("date"))
+    fresh = with_bands(gauge_of(near, reach_seconds, latest))
     if not exists(spark, f"{out}/gauge"):
         return fresh
-    return spark.read.parquet(f"{out}/gauge").join(cases, "caseid", "left_anti").select(*fresh.columns).unionByName(fresh)
+    return spark.read.parquet(f"{out}/gauge").join(latest.select("caseid"), "caseid", "left_anti").select(*fresh.columns).unionByName(fresh)
 
 
 def refresh(spark, scored, out, bucket="1 minute", reach_seconds=300, grain_seconds=GRAIN_SECONDS):
@@ -78,11 +90,11 @@ def refresh(spark, scored, out, bucket="1 minute", reach_seconds=300, grain_seco
     dates = dates_of(spark, scored, new)
     if dates:
         rows = documents_of(spark, scored, dates)
-        _by_date(vital_rollup(rows, grain_seconds), f"{out}/rollup")
-        _by_date(risk_rollup(rows), f"{out}/risks")
+        _replace(vital_rollup(_dealt(rows), grain_seconds, dealt=DEALT), f"{out}/rollup")
+        _replace(_dealt(risk_rollup(rows)).drop("part"), f"{out}/risks")
         rollup = spark.read.parquet(f"{out}/rollup")
         changed = rollup.where(F.col("event_date").isin(dates)) if len(dates) <= MOST_DATES else rollup
-        _by_date(trend_of(changed, bucket).withColumn("event_date", F.to_date("window_start")), f"{out}/trend")
+        _replace(trend_of(_dealt(changed), bucket, DEALT), f"{out}/trend")
         stored(gauges(spark, rollup, dates, out, reach_seconds), "gauge").write.mode("overwrite").parquet(f"{out}/gauge")
         share_of(spark.read.parquet(f"{out}/risks")).write.mode("overwrite").parquet(f"{out}/risk_share")
     Committed(f"{out}/_sources", run="refresh-" + first)(new.select(F.col("attempt").alias("source")).coalesce(1), 0)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.clinical import first_per_case
+from pulsegrid.operators import rollup
 from pulsegrid.operators.enrich import enrich
 from pulsegrid.operators.messages import decode
 from pulsegrid.operators.monitor import trend, with_event_time
@@ -313,6 +314,28 @@ def test_a_refresh_opens_only_dates_with_new_documents(spark, tmp_path):
     assert {(r.caseid, r.n, r.share) for r in spark.read.parquet(f"{out}/risk_share").collect()} == {("1", 10, 1.0), ("2", 2, 1.0)}
 
 
+def test_a_rollup_of_dealt_rows_is_not_shuffled_again_and_gauges_read_the_last_days(spark, tmp_path):
+    texts = [message(str(c), day * 86400 + s) for c in range(3) for day in range(12) for s in range(0, 60, 20)]
+    rows = with_event_time(enrich(decode(spark.createDataFrame([(t,) for t in texts], "value string"))))
+    dated = rows.withColumn("event_date", F.to_date("event_ts"))
+    dealt = rollup.vital_rollup(dashboard._dealt(dated), 60, dealt=dashboard.DEALT)
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    plain = rollup.vital_rollup(rows, 60)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
+    trend_rows = rollup.trend_of(dashboard._dealt(plain), "1 day", dashboard.DEALT)
+    assert trend_rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # one is that of ``plain``
+    assert sorted(map(tuple, trend_rows.drop("event_date").collect())) == sorted(map(tuple, rollup.trend_of(plain, "1 day").collect()))
+
+    path = str(tmp_path / "rollup")
+    plain.write.partitionBy("event_date").parquet(path)
+    stored = spark.read.parquet(path)
+    dates = sorted(r.event_date for r in stored.select("event_date").distinct().collect())
+    gauge = dashboard.gauges(spark, stored, dates, str(tmp_path), 3600)
+    assert len(gauge.inputFiles()) < len(stored.inputFiles()) / 2
+    want = rollup.gauge_of(plain, 3600)
+    assert sorted(map(tuple, gauge.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_replay_sets_aside_what_has_no_tick(spark, tmp_path):
     rows = spark.createDataFrame([(b"1", b"v", "2025-02-11T10:00:02Z"), (b"1", b"v", "soon"), (b"1", b"v", "2025-02-11T09:00:00Z")],
                                  "key binary, value binary, timestamp string")
