@@ -3,6 +3,7 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .functions import as_double, as_float, as_int, round_half_up, round_to_int, round_to_tenth, slot_start
 from .functions import risk as R
@@ -567,7 +568,7 @@ def stream_bad_record(spark, sf_dir):
                                         trigger=TRIGGER))
     before = stored(commits(spark, at["sent"]), "commits")
     first = read_committed(spark, at["sent"], log=before).select("caseid", "timestamp", F.lit("delivered").alias("fate"))
-    delivery.redeliver(spark, at["dead"], writer(False, "redelivered"), ENVELOPE_SCHEMA.add("reason", "string"), 1, 0)
+    delivery.redeliver(spark, at["dead"], writer(False, "redelivered"), StructType([*ENVELOPE_SCHEMA.fields, StructField("reason", StringType())]), 1, 0)
     later = commits(spark, at["sent"]).join(before.select("attempt"), "attempt", "left_anti")
     again = read_committed(spark, at["sent"], first.select("caseid", "timestamp").schema, later)
     return first.unionByName(again.select("caseid", "timestamp", F.lit("redelivered").alias("fate")))

@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from pulsegrid.catalog import QUERIES
 from pulsegrid.operators.clinical import first_per_case
 from pulsegrid.operators import rollup
 from pulsegrid.operators.enrich import enrich
@@ -393,3 +394,9 @@ def test_document_ids_name_a_record(spark):
 
 def test_topic_schema_is_the_envelope():
     assert ENVELOPE_SCHEMA.names[:3] == ["key", "value", "topic"]
+
+
+def test_redelivery_leaves_the_shape_of_a_topic_alone(spark):
+    names = list(ENVELOPE_SCHEMA.names)
+    QUERIES["stream_bad_record"](spark, "/root/testdata/sf0.001")
+    assert ENVELOPE_SCHEMA.names == names and "reason" not in names
