@@ -14,7 +14,7 @@ from ..operators.enrich import enrich
 from ..operators.messages import CORRUPT, decode
 from ..operators.monitor import with_event_time
 from ..schemas import FLOAT_COLUMNS, MESSAGE_COLUMNS
-from ..session import stored
+from ..session import stored, stored_meanwhile
 from .arrivals import drop_repeats
 from .commits import Committed
 from .delivery import start_append, start_foreach_batch
@@ -42,6 +42,7 @@ def start_front(envelope, path, delay_seconds, checkpoint, clinical=None, trigge
 
     Rows are late if they lie more than ``delay_seconds`` behind the latest time of all batches up to their own. With a
     ``clinical`` table the attributes of each case are taken from there, and rows of cases without one are set aside.
+    A batch is decoded and joined once, and stored for the passes over it.
     """
     on_time, aside = Committed(_at(path, ON_TIME)), Committed(_at(path, ASIDE))
     per_case = None if clinical is None else stored(first_per_case(select_cases(clinical)), "clinical")  # every batch meets it
@@ -51,14 +52,18 @@ def start_front(envelope, path, delay_seconds, checkpoint, clinical=None, trigge
         if (batch_id, "") in known:
             return
         rows = with_event_time(decode(batch))
-        before = high_water(known, batch_id)
+        if per_case is not None:
+            rows = _with_attributes(rows, per_case)
+        with stored_meanwhile(rows, "front") as ready:  # three passes: the latest time, what is set aside, what is kept
+            deal(ready, batch_id, high_water(known, batch_id))
+
+    def deal(rows, batch_id, before):
         here = rows.agg(F.max(F.unix_micros("event_ts"))).first()[0]
         high = max((x for x in (before, here) if x is not None), default=None)
         late = F.lit(False) if high is None else F.unix_micros("event_ts") < F.lit(high - int(delay_seconds * 1_000_000))
         reason = (F.when(F.col(CORRUPT).isNotNull(), "undecodable").when(F.col("event_ts").isNull(), "unreadable timestamp")
                   .when(late, "behind the watermark"))
         if per_case is not None:
-            rows = _with_attributes(rows, per_case)
             reason = F.when(F.col(CORRUPT).isNull() & ~F.col("known_case"), "no clinical row").otherwise(reason)
         marked = rows.withColumn("reason", reason)
         aside(marked.where("reason IS NOT NULL").select(*MESSAGE_COLUMNS, CORRUPT, "event_ts", "reason"), batch_id)

@@ -1,11 +1,13 @@
 import datetime as dt
 import json
+import os
 import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from pulsegrid import session
 from pulsegrid.catalog import QUERIES
 from pulsegrid.operators.clinical import first_per_case
 from pulsegrid.operators import rollup
@@ -278,6 +280,17 @@ def test_the_clinical_table_is_computed_once_for_all_batches(spark, topic, tmp_p
     assert commits.read_committed(spark, str(tmp_path / "out" / watch.ON_TIME)).count() == 3
 
 
+def test_the_front_reads_a_batch_once_and_leaves_no_copy(spark, topic, tmp_path):
+    made = list(session._made)
+    stream = topic(message("1", 0), message("1", 2), message("1", 4), "not json")
+    query = watch.start_front(stream, str(tmp_path / "out"), 600, str(tmp_path / "p"), trigger=NOW)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 4
+    assert session._made == made and not [n for n in os.listdir(session.shared_dir(spark)) if n.startswith("front-")]
+    kept, aside = (commits.read_committed(spark, str(tmp_path / "out" / n)).count() for n in (watch.ON_TIME, watch.ASIDE))
+    assert (kept, aside) == (3, 1)
+
+
 def test_the_high_water_mark_goes_on_after_a_restart():
     known = {(0, ""): {"high": 5}, (1, ""): {"high": None}, (2, ""): {"high": 9}}
     assert watch.high_water(known, 2) == 5 and watch.high_water(known, 3) == 9 and watch.high_water({}, 0) is None
