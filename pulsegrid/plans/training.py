@@ -22,20 +22,31 @@ FIT_ROWS_PER_CLASS = 1 << 20
 PART_ROWS = 1 << 15
 LEAST_PARTS = 32
 WEIGHT, FIT_HASH = "fit_weight", "fit_hash"
+#: Hashes that agree on their first 12 bits are a range.
+RANGE_SHIFT = 52
 
 
 def fit_sample(rows, label=LABEL, rows_per_class=FIT_ROWS_PER_CLASS, seed=1234):
     """A bounded sample of training rows, whatever their number: of each class the rows with the smallest hashes.
 
-    The hash is over all columns and the seed, so the sample follows from the rows alone. Tasks keep so many rows of a class
-    before the shuffle. ``fit_weight`` is the number of a class's rows that a row stands for, so class shares are kept.
+    The hash is over all columns and the seed, so the sample follows from the rows alone. Counts by class and range of hashes tell
+    the range that holds the last row of a class: rows behind it are left out before the shuffle, and rows are ranked inside
+    their range, so that no task gets a class. ``fit_weight`` is the number of a class's rows that a row stands for, so class shares
+    are kept.
     """
     hashed = rows.withColumn(FIT_HASH, F.xxhash64(F.lit(seed), *rows.columns))
-    smallest = Window.partitionBy(label).orderBy(FIT_HASH, *rows.columns)
-    chosen = hashed.withColumn("fit_rank", F.row_number().over(smallest)).where(F.col("fit_rank") <= rows_per_class).drop("fit_rank")
-    counts = rows.groupBy(F.col(label).alias("fit_class")).agg(F.count("*").alias("fit_n"))
-    weighted = chosen.join(counts, F.col(label) == F.col("fit_class"))
-    return weighted.withColumn(WEIGHT, F.greatest(F.lit(1.0), F.col("fit_n") / F.lit(rows_per_class))).drop("fit_class", "fit_n")
+    hashed = hashed.withColumn("fit_range", F.shiftright(FIT_HASH, RANGE_SHIFT))
+    counts = hashed.groupBy(F.col(label).alias("fit_class"), "fit_range").agg(F.count("*").alias("n"))
+    counts = counts.withColumn("before", F.sum("n").over(Window.partitionBy("fit_class").orderBy("fit_range")) - F.col("n"))
+    reached = F.when(F.col("before") + F.col("n") >= rows_per_class, F.struct("fit_range", (F.lit(rows_per_class) - F.col("before")).alias("wanted")))
+    last = F.min(reached)  # the first range that fills the class, and how many of its rows are wanted; NULL if all rows are
+    limits = counts.groupBy("fit_class").agg(F.sum("n").alias("fit_n"), last["fit_range"].alias("fit_last"), last["wanted"].alias("fit_wanted"))
+    near = hashed.join(F.broadcast(limits), F.col(label) == F.col("fit_class")).where("fit_last IS NULL OR fit_range <= fit_last")
+    smallest = Window.partitionBy(label, "fit_range").orderBy(FIT_HASH, *rows.columns)
+    ranked = near.withColumn("fit_rank", F.row_number().over(smallest)).where(F.col("fit_rank") <= rows_per_class)
+    chosen = ranked.where("fit_last IS NULL OR fit_range < fit_last OR fit_rank <= fit_wanted")
+    weight = F.greatest(F.lit(1.0), F.col("fit_n") / F.lit(rows_per_class))
+    return chosen.withColumn(WEIGHT, weight).select(*rows.columns, FIT_HASH, WEIGHT)
 
 
 def fit_risk_model(rows, features=FEATURES, label=LABEL, trees=100, seed=1234, rows_per_class=FIT_ROWS_PER_CLASS):

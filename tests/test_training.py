@@ -136,6 +136,17 @@ def test_the_sample_of_a_fit_is_bounded_and_keeps_class_shares(spark):
     assert re.search(r"WindowGroupLimit .* row_number\(\), 50, Partial", plan)
 
 
+def test_no_task_of_the_sample_gets_a_class(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        some = fit_sample(training(spark, 1000), rows_per_class=200)
+        by_task = some.groupBy(LABEL, F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {sum(r["count"] for r in by_task if r[LABEL] == c) for c in (HIGH_RISK, LOW_RISK)} == {200}
+    assert max(r["count"] for r in by_task) < 150
+
+
 def test_a_fit_reads_no_more_than_its_bound(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(fitting, "spread", lambda sample, parts: seen.append((sample.count(), parts)) or spread(sample, parts))
