@@ -4,7 +4,8 @@ from ..operators.enrich import enrich
 from ..operators.messages import decode
 from ..operators.monitor import with_event_time
 from ..operators.quarantine import quarantined
-from ..plans.scoring import score
+from ..plans.scoring import score, score_enriched
+from ..session import stored_meanwhile
 from .commits import Committed
 from .delivery import deliver, document_id, start_append, start_foreach_batch
 
@@ -20,11 +21,14 @@ def start_quarantine(envelope, path, checkpoint, fmt="parquet", trigger=None):
 
 
 def scored_writer(model, write, quarantine):
-    """``write(batch, batch_id, part)`` of topic rows: scored documents to ``write``, the others to ``quarantine`` with a reason."""
+    """``write(batch, batch_id, part)`` of topic rows: scored documents to ``write``, the others to ``quarantine`` with a reason.
+
+    Rows are decoded and enriched once and stored for the two passes.
+    """
     def both(batch, batch_id, part=""):
-        rows = decode(batch)
-        write(document_id(with_event_time(score(rows, model))), batch_id, part)
-        quarantine(quarantined(enrich(rows)), batch_id, part)
+        with stored_meanwhile(enrich(decode(batch)), "batch") as rows:
+            write(document_id(with_event_time(score_enriched(rows, model))), batch_id, part)
+            quarantine(quarantined(rows), batch_id, part)
 
     return both
 

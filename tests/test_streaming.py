@@ -280,6 +280,18 @@ def test_the_clinical_table_is_computed_once_for_all_batches(spark, topic, tmp_p
     assert commits.read_committed(spark, str(tmp_path / "out" / watch.ON_TIME)).count() == 3
 
 
+def test_the_scoring_job_reads_a_batch_once_and_leaves_no_copy(spark, topic, model, tmp_path):
+    made, at = list(session._made), {n: str(tmp_path / n) for n in ("scored", "aside", "dead", "p")}
+    stream = topic(message("1", 0), message("1", 2), message("1", 4, **{"Heart Rate": "none"}), "not json")
+    query = scoring.start_scoring_job(stream, model, commits.Committed(at["scored"]), at["aside"], at["dead"], at["p"], NOW)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 4
+    assert session._made == made and not [n for n in os.listdir(session.shared_dir(spark)) if n.startswith("batch-")]
+    assert commits.read_committed(spark, at["scored"]).count() == 2
+    reasons = commits.read_committed(spark, at["aside"]).select("reason").collect()
+    assert sorted(r.reason for r in reasons) == ["missing: Heart Rate", "undecodable"]
+
+
 def test_the_front_reads_a_batch_once_and_leaves_no_copy(spark, topic, tmp_path):
     made = list(session._made)
     stream = topic(message("1", 0), message("1", 2), message("1", 4), "not json")
