@@ -628,7 +628,7 @@ def stream_drop_repeats(spark, sf_dir):
     once = arrivals.drop_repeats(arrivals.decoded_with_time(topic(spark, sf_dir, ONE_FILE, times=2)), DELAY)
     out = new_dir(spark, "once")
     finish(delivery.start_append(once.select(*MESSAGE_COLUMNS), "parquet", new_dir(spark, "progress"), path=out,
-                                 trigger=TRIGGER))
+                                 trigger=TRIGGER, stateful=True))
     return spark.read.parquet(out)
 
 

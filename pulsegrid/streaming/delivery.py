@@ -1,5 +1,6 @@
 """Sinks: plain append, and a writer with bounded retries that sets single records aside in a dead-letter table."""
 
+import contextlib
 import time
 
 from pyspark.sql import functions as F
@@ -16,13 +17,51 @@ def document_id(rows):
 UPSERT = {"es.write.operation": "upsert", "es.mapping.id": "document_id", "es.mapping.exclude": "document_id"}
 
 
-def start_append(rows, fmt, checkpoint, options=None, path=None, trigger=None):
-    """Append query with a checkpoint of its own; ``fmt`` names a file format or a search-index connector."""
+#: Parts of a stream's state on a small cluster.
+LEAST_STATE_PARTS = 24
+
+
+def state_parts(spark):
+    """Into how many parts the state of a new stream is dealt: two per core, ``LEAST_STATE_PARTS`` at least, and never more than the
+    session's shuffles have.
+
+    Every micro-batch writes four small files per part, whether it changes the part or not. The rows that a part holds cost the same
+    in any number of parts.
+    """
+    given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(given, max(LEAST_STATE_PARTS, 2 * spark.sparkContext.defaultParallelism))
+
+
+@contextlib.contextmanager
+def _shuffles(spark, parts):
+    """A query started in the block takes a copy of the setting along; its checkpoint keeps it for restarts."""
+    name = "spark.sql.shuffle.partitions"
+    given = spark.conf.get(name)
+    spark.conf.set(name, str(parts))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, given)
+
+
+def _start(rows, writer, path=None, stateful=False):
+    if not stateful:
+        return writer.start(path)
+    spark = rows.sparkSession
+    with _shuffles(spark, state_parts(spark)):
+        return writer.start(path)
+
+
+def start_append(rows, fmt, checkpoint, options=None, path=None, trigger=None, stateful=False):
+    """Append query with a checkpoint of its own; ``fmt`` names a file format or a search-index connector.
+
+    ``stateful`` says that ``rows`` keep state (repeats dropped, windows): see ``state_parts``.
+    """
     writer = (rows.writeStream.outputMode("append").format(fmt).options(**(options or {}))
               .option("checkpointLocation", checkpoint))
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start(path)
+    return _start(rows, writer, path, stateful)
 
 
 #: Failing writes after which what is left of a batch goes to the dead letters as it is: then it is the sink that fails, not records.
@@ -115,9 +154,9 @@ def redeliver(spark, dead_letters, write, schema=None, tries=5, pause_seconds=2.
     return len(open_ones), left
 
 
-def start_foreach_batch(rows, write_batch, checkpoint, mode="append", trigger=None):
+def start_foreach_batch(rows, write_batch, checkpoint, mode="append", trigger=None, stateful=False):
     writer = (rows.writeStream.outputMode(mode).foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    return _start(rows, writer, stateful=stateful)

@@ -87,7 +87,8 @@ def on_time_rows(spark, path):
 
 def start_once(spark, path, delay, checkpoint, trigger=None):
     """Rows in time, each once, as the table ``once``."""
-    return start_append(drop_repeats(on_time_rows(spark, path), delay), "parquet", checkpoint, path=_at(path, ONCE), trigger=trigger)
+    return start_append(drop_repeats(on_time_rows(spark, path), delay), "parquet", checkpoint, path=_at(path, ONCE), trigger=trigger,
+                        stateful=True)
 
 
 def once_rows(spark, path):

@@ -96,6 +96,30 @@ def test_clinical_rows_join_a_stream(spark, topic, tmp_path):
     assert [(r.caseid, r.age) for r in spark.read.parquet(str(tmp_path / "o")).collect()] == [("1", "39")]
 
 
+@pytest.fixture
+def many_shuffle_parts(spark):
+    name = "spark.sql.shuffle.partitions"
+    given = spark.conf.get(name)
+    spark.conf.set(name, "64")
+    yield lambda: spark.conf.get(name)
+    spark.conf.set(name, given)
+
+
+def state_parts_in(progress):
+    return len([n for n in os.listdir(f"{progress}/state/0") if n.isdigit()])
+
+
+def test_state_of_dropped_repeats_is_dealt_by_cores_not_by_shuffles(spark, many_shuffle_parts, topic, tmp_path):
+    out, progress = str(tmp_path / "o"), str(tmp_path / "p")
+    for second in (0, 2):
+        stream = topic(*[message(str(c), s) for c in range(40) for s in (second, second)])
+        once = arrivals.drop_repeats(arrivals.decoded_with_time(stream), "1 hour").select("caseid", "timestamp")
+        delivery.start_append(once, "parquet", progress, path=out, trigger=NOW, stateful=True).awaitTermination()
+    assert delivery.state_parts(spark) == state_parts_in(progress) == 24 and many_shuffle_parts() == "64"
+    rows = spark.read.parquet(out)
+    assert rows.count() == rows.distinct().count() == 80
+
+
 def test_trend_stream_over_several_batches_equals_batch(spark, tmp_path):
     path, out, progress = (str(tmp_path / n) for n in ("topic", "out", "progress"))
     texts = [message(str(c), s, **{"Heart Rate": 60 + s % 50}) for s in range(0, 240, 2) for c in range(2)]
