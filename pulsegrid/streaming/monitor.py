@@ -20,7 +20,7 @@ def gauge_stream(rows, width, slide, delay):
 
 def start_updates(aggregates, path, checkpoint, trigger=None):
     """Every changed window of each micro-batch, so open windows are readable too; see ``latest_updates``."""
-    return start_foreach_batch(aggregates, Committed(path), checkpoint, "update", trigger)
+    return start_foreach_batch(aggregates, Committed(path), checkpoint, "update", trigger, stateful=True)
 
 
 def latest_updates(spark, path, keys, schema=None):

@@ -13,7 +13,7 @@ from pulsegrid.operators.clinical import first_per_case
 from pulsegrid.operators import rollup
 from pulsegrid.operators.enrich import enrich
 from pulsegrid.operators.messages import decode
-from pulsegrid.operators.monitor import trend, with_event_time
+from pulsegrid.operators.monitor import sliding_means, trend, with_event_time
 from pulsegrid.plans import dashboard
 from pulsegrid.plans.scoring import score
 from pulsegrid.plans.training import fit_risk_model
@@ -120,6 +120,26 @@ def test_state_of_dropped_repeats_is_dealt_by_cores_not_by_shuffles(spark, many_
     assert rows.count() == rows.distinct().count() == 80
 
 
+def updates_over_two_batches(spark, windows, tmp_path):
+    """(windows of a stream with a restart, the same rows as a batch, the folder of its progress)."""
+    path, out, progress = (str(tmp_path / n) for n in ("topic", "out", "progress"))
+    texts = [message(str(c), s, **{"Heart Rate": 60 + s % 50}) for s in range(0, 240, 2) for c in range(4)]
+    for part in range(2):
+        publish(spark, path, texts[part::2])
+        rows = with_event_time(enrich(decode(read_topic(spark, "parquet", path=path))))
+        monitor.start_updates(windows(rows), out, progress, NOW).awaitTermination()
+    batch = with_event_time(enrich(decode(spark.createDataFrame([(t,) for t in texts], "value string"))))
+    return monitor.latest_updates(spark, out, ["caseid", "window_start", "vital"]), batch, progress
+
+
+def test_state_of_the_gauge_is_dealt_by_cores_not_by_shuffles(spark, many_shuffle_parts, tmp_path):
+    got, batch, progress = updates_over_two_batches(
+        spark, lambda rows: monitor.gauge_stream(rows, "2 minutes", "1 minute", "1 hour"), tmp_path)
+    want = sliding_means(batch, "2 minutes", "1 minute")
+    assert state_parts_in(progress) == 24 and many_shuffle_parts() == "64"
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_trend_stream_over_several_batches_equals_batch(spark, tmp_path):
     path, out, progress = (str(tmp_path / n) for n in ("topic", "out", "progress"))
     texts = [message(str(c), s, **{"Heart Rate": 60 + s % 50}) for s in range(0, 240, 2) for c in range(2)]
