@@ -140,6 +140,13 @@ def test_state_of_the_gauge_is_dealt_by_cores_not_by_shuffles(spark, many_shuffl
     assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_state_of_the_trend_is_dealt_by_cores_not_by_shuffles(spark, many_shuffle_parts, tmp_path):
+    got, batch, progress = updates_over_two_batches(spark, lambda rows: monitor.trend_stream(rows, "1 minute", "1 hour"), tmp_path)
+    want = trend(batch, "1 minute")
+    assert state_parts_in(progress) == 24 and many_shuffle_parts() == "64"
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_trend_stream_over_several_batches_equals_batch(spark, tmp_path):
     path, out, progress = (str(tmp_path / n) for n in ("topic", "out", "progress"))
     texts = [message(str(c), s, **{"Heart Rate": 60 + s % 50}) for s in range(0, 240, 2) for c in range(2)]
