@@ -6,7 +6,9 @@ the log, a small file that appears as a whole. A batch that is in the log is not
 failed attempt replaces or doubles rows, as long as readers use ``read_committed``; what a failed attempt left is never read.
 """
 
+import datetime as dt
 import json
+import threading
 import uuid
 
 from pyspark.sql import Window
@@ -65,53 +67,113 @@ class Committed:
     """A batch writer, ``write(rows, batch_id, part="")``.
 
     ``part`` names a piece of a batch that is written for itself: ``depth-number``, the rows whose hash ends in ``depth`` bits that
-    are ``number``; "" is the whole batch. A piece is refused if a smaller one inside it is committed. With ``by_date`` rows
+    are ``number``; "" is the whole batch. A piece is refused if a smaller one inside it is committed, and is written already if a
+    larger one around it is. Several threads may write pieces of a batch. With ``by_date`` rows
     lie by the date of their ``event_ts``, so that a reader of some dates opens no others. Without a streaming query ``run`` must be given.
     ``notes`` are kept in the log.
     """
 
     def __init__(self, path, run=None, by_date=False):
         self.path, self.run, self.by_date = path.rstrip("/"), run, by_date
-        self.done = None
+        self.done, self.lock = None, threading.RLock()
 
     def committed(self, spark):
         """{(batch, part): notes} of this run; the log is read once."""
         run = "r-" + (self.run or run_of(spark))
-        if self.done is None or self.done[0] != run:
-            known = commits(spark, self.path).where(F.col("run") == run).select("batch", "part", "notes").collect()
-            self.done = run, {(r.batch, r.part): json.loads(r.notes) for r in known}
-        return self.done[1]
+        with self.lock:
+            if self.done is None or self.done[0] != run:
+                known = commits(spark, self.path).where(F.col("run") == run).select("batch", "part", "notes").collect()
+                self.done, self.begun = (run, {}), set()
+                for r in known:
+                    self._know(r.batch, r.part, json.loads(r.notes))
+            return self.done[1]
+
+    def _know(self, batch_id, part, notes):
+        self.done[1][batch_id, part] = notes
+        for whole in wholes(part):
+            if (batch_id, whole) in self.begun:
+                break
+            self.begun.add((batch_id, whole))
+
+    def written(self, spark, batch_id, part):
+        """Whether a batch, or a piece of it, is committed; an error if a smaller piece inside it is."""
+        with self.lock:
+            known = self.committed(spark)
+            if any((batch_id, name) in known for name in (part, *wholes(part))):
+                return True
+            if (batch_id, part) in self.begun:
+                raise ValueError(f"batch {batch_id} of {self.path} was begun in parts")
+            return False
 
     def __call__(self, rows, batch_id, part="", notes=None):
         spark = rows.sparkSession
-        known = self.committed(spark)
-        if (batch_id, part) in known:
+        if self.written(spark, batch_id, part):
             return
-        if any(batch == batch_id and _inside(other, part) for batch, other in known):
-            raise ValueError(f"batch {batch_id} of {self.path} was begun in parts")
-        attempt = "t-" + uuid.uuid4().hex
+        attempt = new_attempt()
         writer = (rows.withColumn("event_date", F.to_date("event_ts")) if self.by_date else rows).write
         writer = writer.partitionBy("event_date") if self.by_date else writer
         writer.parquet(f"{self.path}/run={self.done[0]}/batch={batch_id}/attempt={attempt}")
         self.note(spark, batch_id, part, notes, attempt)
 
+    def each(self, rows, batch_id, key, parts):
+        """A commit for each of many pieces, all written in one pass: ``parts`` is {value of the column ``key``: part}.
+
+        ``key`` itself is not kept. Not for tables by date.
+        """
+        spark = rows.sparkSession
+        due = {value: (part, new_attempt()) for value, part in parts.items() if not self.written(spark, batch_id, part)}
+        if not due:
+            return
+        kind = T.StructType([rows.schema[key], T.StructField("new_attempt", T.StringType())])
+        places = spark.createDataFrame([(value, attempt) for value, (_, attempt) in due.items()], kind)
+        placed = rows.join(F.broadcast(places), key).drop(key).withColumnRenamed("new_attempt", "attempt")
+        placed.write.mode("append").partitionBy("attempt").parquet(f"{self.path}/run={self.done[0]}/batch={batch_id}")
+        self.note_all(spark, [(batch_id, part, {}, attempt) for part, attempt in due.values()])
+
     def note(self, spark, batch_id, part="", notes=None, attempt=None):
         """A row of the log, for a batch that is written or has nothing to write."""
-        known = self.committed(spark)
-        log = spark.range(0, 1, 1, 1).select(
-            F.lit(self.done[0]).alias("run"), F.lit(batch_id).cast("long").alias("batch"), F.lit(part).alias("part"),
-            F.lit(attempt or "t-" + uuid.uuid4().hex).alias("attempt"), F.current_timestamp().alias("at"),
-            F.lit(json.dumps(notes or {})).alias("notes"))
-        log.write.mode("append").json(_log_path(self.path))
-        known[batch_id, part] = notes or {}
-
-
-def _inside(part, whole):
-    """Whether ``part`` is a piece of ``whole``. Names of another form are pieces of the batch only."""
-    if not whole or not part:
-        return not whole and bool(part)
-    (depth, number), (less, end) = (map(int, x.split("-")) if x.replace("-", "").isdigit() else (0, 0) for x in (part, whole))
-    return depth > less > 0 and number % 2 ** less == end
+        self.note_all(spark, [(batch_id, part, notes or {}, attempt or new_attempt())])
+
+    def note_all(self, spark, entries):
+        """Rows (batch, part, notes, attempt) of the log, which appear together."""
+        self.committed(spark)
+        at = dt.datetime.now(dt.timezone.utc).isoformat(timespec="milliseconds").replace("+00:00", "Z")
+        lines = [json.dumps({"run": self.done[0], "batch": batch, "part": part, "attempt": attempt, "at": at, "notes": json.dumps(notes)})
+                 for batch, part, notes, attempt in entries]
+        _put(spark, self.path, "".join(line + "\n" for line in lines))
+        with self.lock:
+            for batch, part, notes, _ in entries:
+                self._know(batch, part, notes)
+
+
+def new_attempt():
+    return "t-" + uuid.uuid4().hex
+
+
+def _put(spark, path, text):
+    """A file of the log, under a name that readers pass over until it is whole. No Spark job is needed for it."""
+    store, folder = _folder(spark, path)
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store.mkdirs(folder)
+    name = uuid.uuid4().hex
+    begun, whole = made(folder, f"_begun-{name}"), made(folder, f"part-{name}.json")
+    out = store.create(begun, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not store.rename(begun, whole):
+        raise OSError(f"{begun.toString()} cannot be renamed")
+
+
+def wholes(part):
+    """The pieces around ``part``, the smallest first, and the batch. Names of another form are pieces of the batch only."""
+    if not part:
+        return
+    depth, number = map(int, part.split("-")) if part.replace("-", "").isdigit() else (0, 0)
+    for less in range(depth - 1, 0, -1):
+        yield f"{less}-{number % 2 ** less}"
+    yield ""
 
 
 def read_committed(spark, path, schema=None, log=None):

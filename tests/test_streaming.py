@@ -295,6 +295,65 @@ def test_bad_records_are_found_and_sent_again_later(spark, topic, tmp_path):
     assert sorted(r.value.decode() for r in commits.read_committed(spark, out).collect()) == sorted(texts)
 
 
+def refusing(bad, sent, calls):
+    """A sink that takes a piece into ``sent`` as a whole, or not at all if it holds a bad record."""
+    def write(rows, batch_id, part):
+        values = [r.value.decode() for r in rows.collect()]
+        calls.append(part)
+        if set(values) & bad:
+            raise ValueError("bad record")
+        sent.extend(values)
+    return write
+
+
+def test_all_failing_records_are_found_however_many_they_are(spark, topic, tmp_path):
+    texts = [message(str(c), s) for c in range(20) for s in range(0, 20, 2)]
+    bad, sent, calls, dead = set(texts[::2]), [], [], str(tmp_path / "dead")
+    run = delivery.deliver(refusing(bad, sent, calls), dead, tries=1)
+    delivery.start_foreach_batch(topic(*texts), run, str(tmp_path / "p"), trigger=NOW).awaitTermination()
+    letters = commits.read_committed(spark, dead)
+    assert sorted(r.value.decode() for r in letters.collect()) == sorted(bad)
+    assert sorted(sent) == sorted(set(texts) - bad)
+    assert commits.commits(spark, dead).count() == len(bad)
+
+
+def test_a_sink_that_is_away_sets_no_record_aside(spark, topic, tmp_path, monkeypatch):
+    monkeypatch.setattr(delivery, "PROBE_EVERY", 10)
+    texts = [message(str(c), s) for c in range(4) for s in range(0, 16, 2)]
+    stream, sent, dead = topic(*texts), [], str(tmp_path / "dead")
+
+    def away(rows, batch_id, part):
+        raise ConnectionError("broker away")
+
+    def job(write):
+        return delivery.start_foreach_batch(stream, delivery.deliver(write, dead, tries=1), str(tmp_path / "p"), trigger=NOW)
+
+    with pytest.raises(Exception, match="a write of no rows: ConnectionError: broker away"):
+        job(away).awaitTermination()
+    assert commits.commits(spark, dead).count() == 0
+    job(refusing(set(texts), sent, [])).awaitTermination()
+    assert sent == [] and sorted(r.value.decode() for r in commits.read_committed(spark, dead).collect()) == sorted(texts)
+
+
+def test_a_write_of_no_rows_hinders_no_piece(spark, tmp_path):
+    sink = commits.Committed(str(tmp_path / "out"), run="a")
+    sink(spark.range(5).limit(0), 0, "none-1f")
+    for part in ("1-0", "3-5"):
+        sink(spark.range(5), 0, part)
+    assert commits.read_committed(spark, str(tmp_path / "out"), spark.range(5).schema).count() == 10
+
+
+def test_a_piece_inside_a_written_one_is_not_written_again(spark, tmp_path):
+    sink = commits.Committed(str(tmp_path / "out"), run="a")
+    sink(spark.range(5), 0, "2-1")
+    for part in ("3-1", "3-5", "40-" + str(2 ** 39 + 1)):
+        sink(spark.range(5), 0, part)
+    sink(spark.range(5), 0, "3-3")
+    sink(spark.range(5), 1)
+    commits.Committed(str(tmp_path / "out"), run="a")(spark.range(5), 1, "1-0")
+    assert commits.read_committed(spark, str(tmp_path / "out")).count() == 15
+
+
 def test_the_live_monitor_keeps_or_sets_aside_every_row(spark, tmp_path):
     path, out, progress = (str(tmp_path / n) for n in ("topic", "out", "progress"))
     clinical = spark.createDataFrame([("1", "40", "M", "170", "80")], CLINICAL_SCHEMA)
