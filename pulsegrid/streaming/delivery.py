@@ -97,9 +97,16 @@ def attempt(write, tries, pause_seconds):
     return reason
 
 
-def _signed(bits):
-    """64 bits as Spark's bigint."""
-    return bits - 2 ** 64 if bits >= 2 ** 63 else bits
+def code_of(*columns):
+    """The 64 bits of a hash as text, the last one first: a piece is what begins with some bits.
+
+    As Spark compiles a filter with another number anew, but not one with another text, pieces share the code of their plans.
+    """
+    return F.reverse(F.lpad(F.bin(F.xxhash64(*columns)), 64, "0"))
+
+
+def _text(code):
+    return format(code, "064b")[::-1]
 
 
 class Pieces:
@@ -109,23 +116,21 @@ class Pieces:
         self.kept, self.columns, self.bits, self.n = kept, columns, bits, n
 
     def coded(self, depth, number):
-        """Rows whose code ends in ``depth`` bits that are ``number``."""
-        rows = self.kept
-        if self.bits:
-            known = min(self.bits, depth)
-            rows = rows.where(F.col(FOLDER).bitwiseAND(F.lit(2 ** known - 1)) == number % 2 ** known)
-        if depth > self.bits:
-            rows = rows.where(F.col(CODE).bitwiseAND(F.lit(_signed(2 ** depth - 1))) == F.lit(_signed(number)))
-        return rows
+        """Rows whose hash ends in ``depth`` bits that are ``number``."""
+        start = format(number, f"0{depth}b")[::-1] if depth else ""
+        if depth < self.bits:
+            return self.kept.where(F.col(FOLDER).startswith(start))
+        rows = self.kept.where(F.col(FOLDER) == start[:self.bits]) if self.bits else self.kept
+        return rows.where(F.col(CODE).startswith(start))
 
     def rows(self, depth, number):
         return self.coded(depth, number).select(*self.columns)
 
     def codes(self, depth, number):
-        """The differing codes of a piece, as 64 bits each, or None if there may be too many."""
+        """The differing hashes of a piece, or None if there may be too many."""
         if self.n >> depth > PIECE_ROWS:
             return None
-        return sorted(code % 2 ** 64 for code in self.coded(depth, number).agg(F.collect_set(CODE)).first()[0])
+        return sorted(int(code[::-1], 2) for code in self.coded(depth, number).agg(F.collect_set(CODE)).first()[0])
 
 
 @contextlib.contextmanager
@@ -133,7 +138,7 @@ def in_pieces(rows, code, columns=None):
     """``Pieces`` of ``rows``, stored for the block, so that a write of a piece does not compute or read the whole batch."""
     n = rows.count()
     bits = min(MOST_FOLDER_BITS, (n // PIECE_ROWS).bit_length())
-    coded = rows.withColumn(CODE, code).withColumn(FOLDER, F.col(CODE).bitwiseAND(F.lit(2 ** bits - 1)))
+    coded = rows.withColumn(CODE, code).withColumn(FOLDER, F.substring(CODE, 1, bits))
     tasks = min(2 ** bits, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     with stored_meanwhile(coded.repartition(tasks, FOLDER), "pieces", [FOLDER]) as kept:
         yield Pieces(kept, columns or rows.columns, bits, n)
@@ -259,12 +264,12 @@ def deliver(write, dead_letters, tries=5, pause_seconds=2.0, most_failures=MOST_
         reason = attempt(lambda: write(rows, batch_id, ""), tries, pause_seconds)
         if reason is None:
             return
-        with in_pieces(rows, F.xxhash64(*rows.columns)) as pieces:
+        with in_pieces(rows, code_of(*rows.columns)) as pieces:
             if most_failures is not None and most_failures <= 1:
                 left = [_Piece(0, 0, None, reason)]
             else:
                 left = failing_records(write, pieces, batch_id, reason, tries, pause_seconds, most_failures, at_once)
-            single = {_signed(p.codes[0]): (p.name, p.reason) for p in left if p.codes is not None and len(p.codes) == 1}
+            single = {_text(p.codes[0]): (p.name, p.reason) for p in left if p.codes is not None and len(p.codes) == 1}
             if single:
                 set_aside(aside, pieces.kept.select(*pieces.columns, CODE), batch_id, CODE, single)
             for piece in left:
@@ -315,10 +320,10 @@ def _redelivered(write, rows, number, names, tries, pause_seconds, at_once):
     reason = attempt(lambda: write(rows.select(*columns), number, ""), tries, pause_seconds)
     if reason is None:
         return {}
-    with in_pieces(rows, F.xxhash64("attempt"), columns) as pieces:
+    with in_pieces(rows, code_of("attempt"), columns) as pieces:
         left = failing_records(write, pieces, number, reason, tries, pause_seconds, at_once=at_once)
-    codes = names.select(F.xxhash64("attempt").alias(CODE), "attempt").collect()
-    reasons = {_signed(code): piece.reason for piece in left for code in piece.codes}
+    codes = names.select(code_of("attempt").alias(CODE), "attempt").collect()
+    reasons = {_text(code): piece.reason for piece in left for code in piece.codes}
     return {r["attempt"]: reasons[r[CODE]] for r in codes if r[CODE] in reasons}
 
 

@@ -354,6 +354,68 @@ def test_a_piece_inside_a_written_one_is_not_written_again(spark, tmp_path):
     assert commits.read_committed(spark, str(tmp_path / "out")).count() == 15
 
 
+def dead_letters_of(spark, topic, tmp_path, texts):
+    """A folder of dead letters, each of the texts a commit of its own, and others that were sent."""
+    dead = str(tmp_path / "dead")
+    run = delivery.deliver(refusing(set(texts), [], []), dead, tries=1)
+    others = [message("99", s) for s in range(0, 20, 2)]
+    delivery.start_foreach_batch(topic(*texts, *others), run, str(tmp_path / "p"), trigger=NOW).awaitTermination()
+    return dead
+
+
+def test_dead_letters_are_sent_again_in_one_write(spark, topic, tmp_path):
+    texts, sent, calls = [message(str(c), 0) for c in range(6)], [], []
+    dead = dead_letters_of(spark, topic, tmp_path, texts)
+    assert commits.commits(spark, dead).count() == 6
+    assert delivery.redeliver(spark, dead, refusing(set(), sent, calls)) == (6, 0)
+    assert calls == [""] and sorted(sent) == sorted(texts)
+
+
+def test_a_redelivery_that_ends_early_goes_on_without_a_row_twice(spark, topic, tmp_path, monkeypatch):
+    texts, out = [message(str(c), 0) for c in range(3)], str(tmp_path / "out")
+    dead = dead_letters_of(spark, topic, tmp_path, texts)
+    note_all = commits.Committed.note_all
+
+    def log_away(self, spark, entries):
+        if self.path.endswith("_redelivered") and entries[0][1] != delivery.BEGUN:
+            raise IOError("log away")
+        note_all(self, spark, entries)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(commits.Committed, "note_all", log_away)
+        with pytest.raises(IOError):
+            delivery.redeliver(spark, dead, commits.Committed(out, run="again"))
+    assert delivery.redeliver(spark, dead, commits.Committed(out, run="again")) == (3, 0)
+    assert sorted(r.value.decode() for r in commits.read_committed(spark, out).collect()) == sorted(texts)
+
+
+def test_a_piece_of_a_batch_is_read_from_its_folders(spark):
+    rows = spark.range(20000)
+    with delivery.in_pieces(rows, delivery.code_of("id")) as pieces:
+        assert pieces.bits == 3
+        for depth, number in ((0, 0), (2, 3), (3, 5), (10, 77)):
+            want = rows.where(F.pmod(F.xxhash64("id"), F.lit(2 ** depth)) == number)
+            assert sorted(pieces.rows(depth, number).collect()) == sorted(want.collect())
+        low = {r.code % 2 ** 64 for r in want.select(F.xxhash64("id").alias("code")).collect()}
+        assert pieces.codes(0, 0) is None and pieces.codes(10, 77) == sorted(low)
+        plan = pieces.rows(10, 77)._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^]]*delivery_folder#\d+ = 101", plan)
+
+
+def test_one_failing_record_of_many_takes_few_writes(spark, tmp_path):
+    rows, calls, lost = spark.range(20000), [], []
+
+    def write(some, batch_id, part):
+        calls.append(part)
+        if some.where("id = 4321").count():
+            raise ValueError("bad record")
+
+    with delivery.in_pieces(rows, delivery.code_of("id")) as pieces:
+        lost = delivery.failing_records(write, pieces, 0, "bad", 1, 0)
+        assert [r.id for p in lost for r in pieces.rows(p.depth, p.number).collect()] == [4321]
+    assert len(calls) <= 2 * 16 and len(set(calls)) == len(calls)
+
+
 def test_the_live_monitor_keeps_or_sets_aside_every_row(spark, tmp_path):
     path, out, progress = (str(tmp_path / n) for n in ("topic", "out", "progress"))
     clinical = spark.createDataFrame([("1", "40", "M", "170", "80")], CLINICAL_SCHEMA)
