@@ -16,8 +16,6 @@ def assembler(features=FEATURES):
     return VectorAssembler(inputCols=list(features), outputCol="features")
 
 
-#: Rows of a class that a fit sees at most, those with the smallest hashes.
-FIT_ROWS_PER_CLASS = 1 << 20
 #: Rows of a part. The forest draws its samples part by part, so the number of parts belongs to the model like the seed.
 PART_ROWS = 1 << 15
 LEAST_PARTS = 32
@@ -26,8 +24,8 @@ WEIGHT, FIT_HASH = "fit_weight", "fit_hash"
 RANGE_SHIFT = 52
 
 
-def fit_sample(rows, label=LABEL, rows_per_class=FIT_ROWS_PER_CLASS, seed=1234):
-    """A bounded sample of training rows, whatever their number: of each class the rows with the smallest hashes.
+def fit_sample(rows, label=LABEL, rows_per_class=None, seed=1234):
+    """All training rows with their hash and a weight of one; with ``rows_per_class``, of each class only the rows with the smallest hashes.
 
     The hash is over all columns and the seed, so the sample follows from the rows alone. Counts by class and range of hashes tell
     the range that holds the last row of a class: rows behind it are left out before the shuffle, and rows are ranked inside
@@ -35,6 +33,8 @@ def fit_sample(rows, label=LABEL, rows_per_class=FIT_ROWS_PER_CLASS, seed=1234):
     are kept.
     """
     hashed = rows.withColumn(FIT_HASH, F.xxhash64(F.lit(seed), *rows.columns))
+    if rows_per_class is None:
+        return hashed.withColumn(WEIGHT, F.lit(1.0))
     hashed = hashed.withColumn("fit_range", F.shiftright(FIT_HASH, RANGE_SHIFT))
     counts = hashed.groupBy(F.col(label).alias("fit_class"), "fit_range").agg(F.count("*").alias("n"))
     counts = counts.withColumn("before", F.sum("n").over(Window.partitionBy("fit_class").orderBy("fit_range")) - F.col("n"))
@@ -49,26 +49,27 @@ def fit_sample(rows, label=LABEL, rows_per_class=FIT_ROWS_PER_CLASS, seed=1234):
     return chosen.withColumn(WEIGHT, weight).select(*rows.columns, FIT_HASH, WEIGHT)
 
 
-def fit_risk_model(rows, features=FEATURES, label=LABEL, trees=100, seed=1234, rows_per_class=FIT_ROWS_PER_CLASS):
-    """Label index, feature vector and a forest of ``trees`` trees, with a fixed seed, over a bounded sample.
+def fit_risk_model(rows, features=FEATURES, label=LABEL, trees=100, seed=1234, rows_per_class=None):
+    """Label index, feature vector and a forest of ``trees`` trees, with a fixed seed, over all rows.
 
     Rows without a label or with a missing input are left out: the one would become a class of its own, the
-    other would stop the fit. The sample is stored, as the fit passes over it several times; its size decides the number of parts.
+    other would stop the fit. The rows are stored, as the fit passes over them several times; their number decides that of the parts.
+    A caller who wants a bounded sample gives ``rows_per_class``; see ``fit_sample``.
     """
-    sample = stored(fit_sample(complete_rows(rows, features, label), label, rows_per_class, seed), "fit-sample")
-    parts = max(LEAST_PARTS, -(-sample.count() // PART_ROWS))
+    kept = stored(fit_sample(complete_rows(rows, features, label), label, rows_per_class, seed), "fit-rows")
+    parts = max(LEAST_PARTS, -(-kept.count() // PART_ROWS))
     forest = RandomForestClassifier(featuresCol="features", labelCol=ENCODED_LABEL, weightCol=WEIGHT, numTrees=trees, seed=seed)
     pipeline = Pipeline(stages=[label_indexer(label, ENCODED_LABEL), assembler(features), forest])
-    return pipeline.fit(spread(sample, parts))
+    return pipeline.fit(spread(kept, parts))
 
 
 def complete_rows(rows, features=FEATURES, label=LABEL):
     return with_label(rows, label).dropna(subset=list(features))
 
 
-def spread(sample, parts):
+def spread(rows, parts):
     """Rows dealt by their hash, in a fixed order, so that neither the cluster nor the files decide the model."""
-    return sample.repartition(parts, FIT_HASH).sortWithinPartitions(FIT_HASH, *[c for c in sample.columns if c != FIT_HASH])
+    return rows.repartition(parts, FIT_HASH).sortWithinPartitions(FIT_HASH, *[c for c in rows.columns if c != FIT_HASH])
 
 
 def left_out(rows, features=FEATURES, label=LABEL):

@@ -156,6 +156,16 @@ def test_a_fit_reads_no_more_than_its_bound(spark, monkeypatch):
     assert seen == [(80, 8)]
 
 
+def test_a_fit_sees_all_rows_however_many_they_are(spark, monkeypatch):
+    n, seen = (1 << 20) + 5000, []
+    number = F.col("id").cast("double")
+    risk = F.when(F.col("id") % 1000 == 0, HIGH_RISK).otherwise(LOW_RISK)
+    rows = spark.range(n).select(*[F.lit(1.0).alias(c) for c in FEATURES[1:]], number.alias(FEATURES[0]), risk.alias(LABEL))
+    monkeypatch.setattr(fitting, "spread", lambda sample, parts: seen.append(sample.agg(F.count("*"), F.sum(WEIGHT)).first()) or spread(sample, parts))
+    fit_risk_model(rows, trees=1)
+    assert [tuple(r) for r in seen] == [(n, float(n))]
+
+
 def test_held_out_labels_that_no_training_row_has_are_counted(spark):
     rows = training(spark, 200)
     odd = rows.withColumn(LABEL, F.when(F.col("Patient ID") < 20, F.concat(F.lit("rare "), "Patient ID")).otherwise(F.col(LABEL)))
